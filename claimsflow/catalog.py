@@ -12,9 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimsflow.functions import money, periods, text
+from claimsflow.operators import fees
+from claimsflow.operators import submissions as subs
+from claimsflow.plans import combined as rep000
+from claimsflow.plans import monthly_matrix as rep013
 from claimsflow.plans import original_values as rep012
 from claimsflow.sources import testbed
 
+# The seven amounts REP000 prints a VAT part for (MTH-2).
+VAT_SOURCES = rep000.VAT_SOURCES
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -49,3 +57,209 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 @query("rep012_original_values")
 def q_rep012(spark, sf_dir):
     return rep012.original_values(tables(spark, sf_dir))
+
+
+@query("rep013_month_totals")
+def q_rep013_long(spark, sf_dir):
+    cells = rep013.cell_totals(tables(spark, sf_dir))
+    return cells.select("office_account_number", "area_of_law", "submission_period", "month_total")
+
+
+@query("rep013_monthly_matrix")
+def q_rep013_matrix(spark, sf_dir):
+    return rep013.monthly_matrix(tables(spark, sf_dir))
+
+
+# ------------------------------------------------------------ period functions
+@query("period_normalise_strict")
+def q_period_strict(spark, sf_dir):
+    sub = tables(spark, sf_dir)["submission"]
+    start = periods.month_start_strict(F.col("submission_period"))
+    return sub.select("id", "submission_period", start.alias("month_start"),
+                      F.coalesce(periods.mon_yyyy(start), F.lit("")).alias("period_text"),
+                      text.dmy(start).alias("period_dmy"))
+
+
+@query("period_normalise_wide")
+def q_period_wide(spark, sf_dir):
+    sub = tables(spark, sf_dir)["submission"]
+    return sub.select("id", "submission_period",
+                      periods.period_date_wide(F.col("submission_period")).alias("period_date"))
+
+
+@query("period_columns_ordered")
+def q_period_columns(spark, sf_dir):
+    return rep013.period_columns(tables(spark, sf_dir)["submission"])
+
+
+@query("period_list_joined")
+def q_period_list(spark, sf_dir):
+    return rep013.period_list(tables(spark, sf_dir)["submission"])
+
+
+# ------------------------------------------------------------ choice of submissions
+@query("original_submissions")
+def q_original_submissions(spark, sf_dir):
+    return subs.pick_latest(tables(spark, sf_dir)["submission"])
+
+
+@query("semi_join_claims")
+def q_semi_join(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    chosen = subs.pick_latest(t["submission"])
+    return subs.claims_of(t["claim"], chosen).select("id", "submission_id", "status", "line_number")
+
+
+@query("superseded_anti_join")
+def q_anti_join(spark, sf_dir):
+    cur = subs.current_submissions(tables(spark, sf_dir)["submission"])
+    return cur.select("id", "office_account_number", "area_of_law", "submission_period",
+                      "is_nil_submission")
+
+
+@query("valid_claim_counts")
+def q_valid_counts(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return subs.valid_counts(t["claim"], subs.pick_latest(t["submission"]))
+
+
+@query("fee_totals_inner")
+def q_fee_totals(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    chosen = subs.pick_latest(t["submission"])
+    return fees.fee_totals(t["claim"], t["calculated_fee_detail"], chosen)
+
+
+@query("submission_totals_left")
+def q_submission_totals(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    cur = subs.current_submissions(t["submission"])
+    return fees.submission_totals(cur, t["claim"], t["calculated_fee_detail"])
+
+
+@query("latest_fee_detail")
+def q_latest_fee(spark, sf_dir):
+    latest = fees.latest_fee(tables(spark, sf_dir)["calculated_fee_detail"])
+    return latest.select("claim_id", "id", "fee_type", "total_amount", "created_on", "updated_on")
+
+
+@query("nil_override")
+def q_nil_override(spark, sf_dir):
+    long = rep013.month_totals(tables(spark, sf_dir))
+    return long.select("id", "month_total")
+
+
+# ------------------------------------------------------------ text / flag functions
+@query("area_canonicalise")
+def q_area(spark, sf_dir):
+    sub = tables(spark, sf_dir)["submission"]
+    return sub.select("id", "area_of_law",
+                      text.canonical_area(F.col("area_of_law")).alias("canonical_area"))
+
+
+@query("yn_flags")
+def q_yn_flags(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    cc = t["claim_case"].select("claim_id", "stage_reached_code", "exceptional_case_funding_reference")
+    c = t["claim"].select(F.col("id").alias("claim_id"), "matched_claim_id")
+    return c.join(cc, "claim_id", "left").select(
+        "claim_id",
+        text.yn_equals(F.col("stage_reached_code"), "VOID").alias("is_void"),
+        text.yn_present(F.col("matched_claim_id")).alias("is_duplicate"),
+        text.yn_nonblank(F.col("exceptional_case_funding_reference")).alias("is_exceptional"))
+
+
+@query("null_to_blank")
+def q_null_to_blank(spark, sf_dir):
+    fee = tables(spark, sf_dir)["calculated_fee_detail"]
+    return fee.select(
+        "id",
+        text.blank(F.col("vat_rate_applied")).alias("decimal_text"),
+        text.blank(F.col("vat_indicator")).alias("bool_text"),
+        text.blank(F.col("bolt_on_adjourned_hearing_count")).alias("int_text"),
+        text.blank(F.to_date("updated_on")).alias("date_text"),
+        text.blank(F.col("fee_type")).alias("plain_text"))
+
+
+@query("matter_type_split")
+def q_matter_split(spark, sf_dir):
+    c = tables(spark, sf_dir)["claim"]
+    return c.select("id", "matter_type_code",
+                    text.left4(F.col("matter_type_code")).alias("matter_type_1"),
+                    text.right4(F.col("matter_type_code")).alias("matter_type_2"))
+
+
+@query("numeric_text_guard")
+def q_numeric_guard(spark, sf_dir):
+    fee = tables(spark, sf_dir)["calculated_fee_detail"]
+    return fee.select("id", "total_amount", money.guarded_money(F.col("total_amount")).alias("total_text"))
+
+
+@query("money_round")
+def q_money_round(spark, sf_dir):
+    fee = tables(spark, sf_dir)["calculated_fee_detail"]
+    amount = money.num(F.col("total_amount"))
+    return fee.select("id", money.money2(amount).alias("rounded"),
+                      money.money2(-amount).alias("rounded_negative"),
+                      money.money2(amount * F.lit("0.5").cast("decimal(2,1)")).alias("rounded_half"))
+
+
+@query("vat_components")
+def q_vat(spark, sf_dir):
+    fee = tables(spark, sf_dir)["calculated_fee_detail"]
+    rate = F.col("vat_rate_applied")
+    return fee.select("id", *[money.vat_text(F.col(c), rate).alias(f"vat_{c}") for c in VAT_SOURCES])
+
+
+@query("date_text_dmy")
+def q_dmy(spark, sf_dir):
+    c = tables(spark, sf_dir)["claim"]
+    return c.select("id", text.dmy(F.col("case_concluded_date")).alias("concluded_dmy"),
+                    text.dmy(F.col("created_on")).alias("created_dmy"))
+
+
+@query("uploaded_date_local")
+def q_uploaded_local(spark, sf_dir):
+    sub = tables(spark, sf_dir)["submission"]
+    return sub.select("id", text.dmy_local(F.col("created_on")).alias("uploaded_london"))
+
+
+@query("rowkey_pack_unpack")
+def q_rowkey(spark, sf_dir):
+    cur = subs.current_submissions(tables(spark, sf_dir)["submission"])
+    key = text.pack_rowkey(F.col("area_of_law"), F.col("office_account_number"))
+    return cur.select("id", key.alias("row_id"),
+                      text.rowkey_part(key, 1).alias("area_part"),
+                      text.rowkey_part(key, 2).alias("office_part"))
+
+
+@query("rep000_combined_extract")
+def q_rep000(spark, sf_dir):
+    return rep000.combined_extract(tables(spark, sf_dir), as_of=testbed.AS_OF)
+
+
+@query("retention_window")
+def q_retention(spark, sf_dir):
+    bulk = tables(spark, sf_dir)["bulk_submission"]
+    return rep000.within_years(bulk, "created_on", testbed.AS_OF).select("id", "created_on")
+
+
+# ------------------------------------------------------------ report order keys
+@query("report_order_000")
+def q_order_000(spark, sf_dir):
+    rep = rep000.combined_extract(tables(spark, sf_dir), as_of=testbed.AS_OF)
+    return rep.select(periods.yyyymm_key(F.col("Submission Period")).alias("period_key"),
+                      "Office Account Number", "Line Number", "Claim ID")
+
+
+@query("report_order_012")
+def q_order_012(spark, sf_dir):
+    rep = rep012.original_values(tables(spark, sf_dir))
+    return rep.select(rep012.OFFICE, periods.yyyymm_key(F.col(rep012.MONTH)).alias("month_key"),
+                      rep012.AREA)
+
+
+@query("report_order_013")
+def q_order_013(spark, sf_dir):
+    rep = rep013.monthly_matrix(tables(spark, sf_dir))
+    return rep.select(rep013.OFFICE, rep013.AREA)

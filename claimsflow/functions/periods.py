@@ -22,7 +22,7 @@ def _to_date(text: Column, fmt: str, on_bad_period: str) -> Column:
     if on_bad_period == "error":
         return F.to_date(text, fmt)
     if on_bad_period == "null":
-        return F.try_to_date(text, F.lit(fmt))
+        return F.try_to_date(text, fmt)
     raise ValueError(f"on_bad_period must be 'error' or 'null', not {on_bad_period!r}")
 
 
@@ -56,14 +56,14 @@ def mon_yyyy(day: Column) -> Column:
 
 def yyyymm_key(mon_text: Column) -> Column:
     """DT-8: sort key of a ``MON-YYYY`` text; blank or unparsable -> null (D6)."""
-    return F.date_format(F.try_to_date(F.initcap(mon_text), F.lit("MMM-yyyy")), "yyyyMM")
+    return F.date_format(F.try_to_date(F.initcap(mon_text), "MMM-yyyy"), "yyyyMM")
 
 
 def month_order(period: Column) -> Column:
     """DT-9 / UDF-1: month number of the first three letters, 99 if none."""
     first3 = F.initcap(F.substring(period, 1, 3))
     return F.coalesce(
-        F.month(F.try_to_date(F.concat(first3, F.lit("-2000")), F.lit("MMM-yyyy"))),
+        F.month(F.try_to_date(F.concat(first3, F.lit("-2000")), "MMM-yyyy")),
         F.lit(99))
 
 

@@ -74,3 +74,198 @@ SELECT ch.office_account_number AS "Provider office account number",
        """ + london_dmy("ch.created_on") + """ AS "Date submission was uploaded"
 FROM rep12_chosen ch LEFT JOIN rep12_totals t ON t.submission_id = ch.submission_id
 """)
+
+
+# ---------------------------------------------------------------- REP013
+def canon(a: str) -> str:
+    return (f"upper(CASE WHEN upper({a}) = 'CRIME LOWER' THEN 'CRIME' "
+            f"WHEN upper({a}) = 'LEGAL HELP' THEN 'CIVIL' ELSE {a} END)")
+
+
+REP013_CTES = f"""
+rep13_cur AS (
+  SELECT * FROM (
+    SELECT s.id, s.office_account_number, {canon('s.area_of_law')} AS area, s.is_nil_submission,
+           s.submission_period, s.created_on
+    FROM submission s
+    WHERE s.status = 'VALIDATION_SUCCEEDED'
+      AND NOT EXISTS (SELECT 1 FROM submission n WHERE n.previous_submission_id = s.id)
+  ) WHERE area IN ('CIVIL', 'CRIME', 'MEDIATION')
+),
+rep13_tot AS (
+  SELECT cs.id, sum(TRY_CAST(f.total_amount AS DECIMAL(22,6))) AS total_amount
+  FROM rep13_cur cs
+  LEFT JOIN claim c ON c.submission_id = cs.id AND c.status = 'VALID'
+  LEFT JOIN calculated_fee_detail f ON f.claim_id = c.id
+  GROUP BY cs.id
+),
+rep13_long AS (
+  SELECT cs.*, CASE WHEN cs.is_nil_submission THEN CAST(0 AS DECIMAL(18,2))
+                    ELSE CAST(round(COALESCE(t.total_amount, 0), 2) AS DECIMAL(18,2)) END AS month_total
+  FROM rep13_cur cs LEFT JOIN rep13_tot t ON t.id = cs.id
+),
+rep13_cells AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY office_account_number, area, submission_period
+                                 ORDER BY created_on DESC, id DESC) AS rn
+    FROM rep13_long) WHERE rn = 1
+),
+rep13_periods AS (
+  SELECT DISTINCT submission_period AS period,
+         COALESCE(month(try_strptime(substr(submission_period, 1, 3) || '-2000', '%b-%Y')), 99) AS month_order,
+         CAST(substr(submission_period, 5) AS INTEGER) AS year_order
+  FROM submission WHERE status = 'VALIDATION_SUCCEEDED' AND submission_period IS NOT NULL
+)"""
+
+SQL["rep013_month_totals"] = with_testbed(REP013_CTES, """
+SELECT office_account_number, area AS area_of_law, submission_period,
+       CAST(month_total AS VARCHAR) AS month_total
+FROM rep13_cells""")
+
+SQL["nil_override"] = with_testbed(REP013_CTES, """
+SELECT id, CAST(month_total AS VARCHAR) AS month_total FROM rep13_long""")
+
+SQL["submission_totals_left"] = with_testbed(REP013_CTES, """
+SELECT id AS submission_id, CAST(total_amount AS VARCHAR) AS total_amount FROM rep13_tot""")
+
+SQL["superseded_anti_join"] = with_testbed(REP013_CTES, """
+SELECT id, office_account_number, area AS area_of_law, submission_period, is_nil_submission
+FROM rep13_cur""")
+
+SQL["rowkey_pack_unpack"] = with_testbed(REP013_CTES, """
+SELECT id, concat_ws('|', area, office_account_number) AS row_id,
+       split_part(concat_ws('|', area, office_account_number), '|', 1) AS area_part,
+       split_part(concat_ws('|', area, office_account_number), '|', 2) AS office_part
+FROM rep13_cur""")
+
+SQL["period_columns_ordered"] = with_testbed(REP013_CTES, """
+SELECT period, CAST(month_order AS BIGINT) AS month_order, CAST(year_order AS BIGINT) AS year_order
+FROM rep13_periods""")
+
+SQL["period_list_joined"] = with_testbed(REP013_CTES, """
+SELECT string_agg(period, ', ' ORDER BY year_order, month_order, period) AS list_text
+FROM rep13_periods""")
+
+# Matrix: DuckDB discovers the pivot columns itself; one all-null row per
+# succeeded period makes every period a column even without a current value.
+SQL["rep013_monthly_matrix"] = with_testbed(REP013_CTES, """
+SELECT * EXCLUDE (k) FROM (
+  SELECT "Provider Office Account Number" AS k, "Provider Office Account Number", "Area of Law",
+         COALESCE(COLUMNS(* EXCLUDE ("Provider Office Account Number", "Area of Law")), '')
+  FROM (
+    PIVOT (
+      SELECT office_account_number AS "Provider Office Account Number", area AS "Area of Law",
+             submission_period,
+             CAST(CAST(round(month_total, 2) AS DECIMAL(12,2)) AS VARCHAR) AS cell
+      FROM rep13_cells
+      UNION ALL
+      SELECT NULL, NULL, period, NULL FROM rep13_periods
+    ) ON submission_period USING first(cell) GROUP BY "Provider Office Account Number", "Area of Law"
+  )
+) WHERE k IS NOT NULL""")
+
+SQL["report_order_013"] = with_testbed(REP013_CTES, """
+SELECT DISTINCT office_account_number AS "Provider Office Account Number", area AS "Area of Law"
+FROM rep13_cells""")
+
+# ---------------------------------------------------------------- REP012 pieces
+SQL["original_submissions"] = with_testbed(REP012_CTES, """
+SELECT submission_id, office_account_number, area_of_law, CAST(pdate AS VARCHAR) AS submission_period_date,
+       strftime(created_on, '%Y-%m-%d %H:%M:%S') AS created_on
+FROM rep12_chosen""")
+
+SQL["semi_join_claims"] = with_testbed(REP012_CTES, """
+SELECT id, submission_id, status, CAST(line_number AS BIGINT) AS line_number
+FROM claim WHERE submission_id IN (SELECT submission_id FROM rep12_chosen)""")
+
+SQL["valid_claim_counts"] = with_testbed(REP012_CTES, """
+SELECT submission_id, count(*) FILTER (WHERE status = 'VALID') AS valid_claim_count
+FROM claim WHERE submission_id IN (SELECT submission_id FROM rep12_chosen)
+GROUP BY submission_id""")
+
+SQL["fee_totals_inner"] = with_testbed(REP012_CTES, """
+SELECT submission_id, CAST(total_fee AS VARCHAR) AS total_fee FROM rep12_totals""")
+
+SQL["report_order_012"] = with_testbed(REP012_CTES, """
+SELECT office_account_number AS "Provider office account number",
+       strftime(pdate, '%Y%m') AS month_key, area_of_law AS "Area of law"
+FROM rep12_chosen""")
+
+# ---------------------------------------------------------------- scalar functions
+SQL["period_normalise_strict"] = with_testbed("", f"""
+SELECT id, submission_period, CAST(d AS VARCHAR) AS month_start,
+       COALESCE(upper(strftime(d, '%b-%Y')), '') AS period_text,
+       COALESCE(strftime(d, '%d/%m/%Y'), '') AS period_dmy
+FROM (SELECT id, submission_period, {strict('submission_period')} AS d FROM submission)""")
+
+SQL["period_normalise_wide"] = with_testbed("", f"""
+SELECT id, submission_period, CAST({wide('submission_period')} AS VARCHAR) AS period_date
+FROM submission""")
+
+SQL["area_canonicalise"] = with_testbed("", f"""
+SELECT id, area_of_law, {canon('area_of_law')} AS canonical_area FROM submission""")
+
+SQL["uploaded_date_local"] = with_testbed("", f"""
+SELECT id, {london_dmy('created_on')} AS uploaded_london FROM submission""")
+
+SQL["latest_fee_detail"] = with_testbed("", """
+SELECT claim_id, id, fee_type, total_amount,
+       strftime(created_on, '%Y-%m-%d %H:%M:%S') AS created_on,
+       strftime(updated_on, '%Y-%m-%d %H:%M:%S') AS updated_on
+FROM calculated_fee_detail
+QUALIFY row_number() OVER (PARTITION BY claim_id
+                           ORDER BY COALESCE(updated_on, created_on) DESC NULLS LAST, id DESC) = 1""")
+
+SQL["yn_flags"] = with_testbed("", """
+SELECT c.id AS claim_id,
+       CASE WHEN cc.stage_reached_code = 'VOID' THEN 'Y' ELSE 'N' END AS is_void,
+       CASE WHEN c.matched_claim_id IS NULL THEN 'N' ELSE 'Y' END AS is_duplicate,
+       CASE WHEN COALESCE(cc.exceptional_case_funding_reference, '') = '' THEN 'N' ELSE 'Y' END AS is_exceptional
+FROM claim c LEFT JOIN claim_case cc ON cc.claim_id = c.id""")
+
+SQL["null_to_blank"] = with_testbed("", """
+SELECT id, COALESCE(vat_rate_applied, '') AS decimal_text,
+       COALESCE(CAST(vat_indicator AS VARCHAR), '') AS bool_text,
+       COALESCE(CAST(bolt_on_adjourned_hearing_count AS VARCHAR), '') AS int_text,
+       COALESCE(CAST(CAST(updated_on AS DATE) AS VARCHAR), '') AS date_text,
+       COALESCE(fee_type, '') AS plain_text
+FROM calculated_fee_detail""")
+
+SQL["matter_type_split"] = with_testbed("", """
+SELECT id, matter_type_code, left(matter_type_code, 4) AS matter_type_1,
+       right(matter_type_code, 4) AS matter_type_2
+FROM claim""")
+
+GUARD = r"""COALESCE(CASE WHEN regexp_full_match({x}, '[\s+-]?\d+(\.\d+)?')
+  THEN CAST(CAST(round(TRY_CAST({x} AS DECIMAL(22,6)), 2) AS DECIMAL(18,2)) AS VARCHAR) END, '')"""
+
+SQL["numeric_text_guard"] = with_testbed("", f"""
+SELECT id, total_amount, {GUARD.format(x='total_amount')} AS total_text
+FROM calculated_fee_detail""")
+
+SQL["money_round"] = with_testbed("", """
+SELECT id,
+  CAST(CAST(round(TRY_CAST(total_amount AS DECIMAL(22,6)), 2) AS DECIMAL(18,2)) AS VARCHAR) AS rounded,
+  CAST(CAST(round(-TRY_CAST(total_amount AS DECIMAL(22,6)), 2) AS DECIMAL(18,2)) AS VARCHAR) AS rounded_negative,
+  CAST(CAST(round(TRY_CAST(total_amount AS DECIMAL(22,6)) * CAST(0.5 AS DECIMAL(2,1)), 2) AS DECIMAL(18,2)) AS VARCHAR)
+    AS rounded_half
+FROM calculated_fee_detail""")
+
+VAT = """COALESCE(CASE WHEN vat_rate_applied IS NOT NULL AND {x} IS NOT NULL
+  THEN CAST(CAST(round(CAST({x} AS DECIMAL(22,6)) * CAST(vat_rate_applied AS DECIMAL(22,6)) * CAST(0.01 AS DECIMAL(3,2)), 2)
+       AS DECIMAL(18,2)) AS VARCHAR) END, '')"""
+VAT_COLS = ("fixed_fee_amount", "net_profit_costs_amount", "net_cost_of_counsel_amount",
+            "net_travel_costs_amount", "net_waiting_costs_amount", "jr_form_filling_amount",
+            "bolt_on_total_fee_amount")
+
+SQL["vat_components"] = with_testbed("", "SELECT id, " + ",\n".join(
+    f"{VAT.format(x=c)} AS vat_{c}" for c in VAT_COLS) + "\nFROM calculated_fee_detail")
+
+SQL["date_text_dmy"] = with_testbed("", """
+SELECT id, COALESCE(strftime(case_concluded_date, '%d/%m/%Y'), '') AS concluded_dmy,
+       COALESCE(strftime(CAST(created_on AS DATE), '%d/%m/%Y'), '') AS created_dmy
+FROM claim""")
+
+SQL["retention_window"] = with_testbed("", """
+SELECT id, strftime(created_on, '%Y-%m-%d %H:%M:%S') AS created_on
+FROM bulk_submission WHERE created_on >= DATE '2000-06-01' - INTERVAL 3 YEAR""")
