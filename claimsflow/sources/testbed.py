@@ -96,7 +96,7 @@ def submissions(orders: DataFrame) -> DataFrame:
 
 def bulk_submissions(submission: DataFrame) -> DataFrame:
     df = submission.groupBy(F.col("bulk_submission_id").alias("id")).agg(
-        F.min("created_on").alias("created_on"))
+        F.min_by("created_on", "id").alias("created_on"))
     df = df.select("id", F.lit("READY_FOR_PARSING").alias("status"),
                    F.lit("loader").alias("created_by_user_id"), "created_on")
     return _conform(df, "bulk_submission")

@@ -269,3 +269,182 @@ FROM claim""")
 SQL["retention_window"] = with_testbed("", """
 SELECT id, strftime(created_on, '%Y-%m-%d %H:%M:%S') AS created_on
 FROM bulk_submission WHERE created_on >= DATE '2000-06-01' - INTERVAL 3 YEAR""")
+
+
+# ---------------------------------------------------------------- REP000
+def t(x: str) -> str:
+    return f"COALESCE(CAST({x} AS VARCHAR), '')"
+
+
+def d(x: str) -> str:
+    return f"COALESCE(strftime({x}, '%d/%m/%Y'), '')"
+
+
+def vat(x: str) -> str:
+    return (f"COALESCE(CASE WHEN calc.vat_rate_applied IS NOT NULL AND {x} IS NOT NULL THEN "
+            f"CAST(CAST(round(CAST({x} AS DECIMAL(22,6)) * CAST(calc.vat_rate_applied AS DECIMAL(22,6))"
+            f" * CAST(0.01 AS DECIMAL(3,2)), 2) AS DECIMAL(18,2)) AS VARCHAR) END, '')")
+
+
+REP000_CTES = f"""
+rep0_sp AS (
+  SELECT *, {strict('submission_period')} AS pstart FROM submission
+),
+rep0_calc AS (
+  SELECT * FROM calculated_fee_detail
+  QUALIFY row_number() OVER (PARTITION BY claim_id
+                             ORDER BY COALESCE(updated_on, created_on) DESC NULLS LAST, id DESC) = 1
+),
+rep0 AS (
+SELECT
+  {t('sp.id')} AS "Submission ID",
+  {t('sp.office_account_number')} AS "Office Account Number",
+  COALESCE(upper(strftime(sp.pstart, '%b-%Y')), '') AS "Submission Period",
+  {d('sp.pstart')} AS "Submission For Date",
+  {d('CAST(bs.created_on AS DATE)')} AS "Date Submitted",
+  {t('sp.status')} AS "Submission Status",
+  {t('sp.area_of_law')} AS "Area of Law",
+  {t('sp.crime_lower_schedule_number')} AS "Crime Lower Schedule Number",
+  {t('sp.legal_help_submission_reference')} AS "Legal Help Submission Reference",
+  {t('sp.mediation_submission_reference')} AS "Mediation Submission Reference",
+  {t('c.id')} AS "Claim ID",
+  {t('c.line_number')} AS "Line Number",
+  {t('c.case_reference_number')} AS "Case Reference Number",
+  {t('c.unique_file_number')} AS "Unique File Number",
+  {t('cc.case_id')} AS "Case ID",
+  {t('cc.unique_case_id')} AS "Unique Case ID",
+  {t('c.maat_id')} AS "MAAT ID",
+  {t('c.scheme_id')} AS "Scheme ID",
+  '' AS "Has Post Submission Change",
+  CASE WHEN cc.stage_reached_code = 'VOID' THEN 'Y' ELSE 'N' END AS "Is Void",
+  CASE WHEN c.matched_claim_id IS NOT NULL THEN 'Y' ELSE 'N' END AS "Is Duplicate Claim",
+  {d('c.case_start_date')} AS "Case Start Date",
+  {d('c.case_concluded_date')} AS "Case Concluded Date",
+  {t('c.matter_type_code')} AS "Matter Type Code",
+  COALESCE(left(c.matter_type_code, 4), '') AS "Matter Type 1",
+  COALESCE(right(c.matter_type_code, 4), '') AS "Matter Type 2",
+  {t('cc.case_stage_code')} AS "Case Stage Level",
+  {t('cc.stage_reached_code')} AS "Stage Reached",
+  {t('cc.outcome_code')} AS "Outcome Code",
+  {d('cc.transfer_date')} AS "Transfer Date",
+  {t('c.delivery_location')} AS "Delivery Location",
+  {d('c.representation_order_date')} AS "Representation Order Date",
+  {t('c.police_station_court_prison_id')} AS "Police Station Court Prison ID",
+  {t('cl.client_forename')} AS "Client Forename",
+  {t('cl.client_surname')} AS "Client Surname",
+  {d('cl.client_date_of_birth')} AS "Client Date of Birth",
+  {t('cl.unique_client_number')} AS "Unique Client Number",
+  {t('cl.home_office_client_number')} AS "Home Office Client Number",
+  {t('cl.gender_code')} AS "Gender",
+  {t('cl.ethnicity_code')} AS "Ethnicity",
+  {t('cl.disability_code')} AS "Disability",
+  {t('cl.client_postcode')} AS "Client Postcode",
+  {t('cl.client_type_code')} AS "Client Type Code",
+  {t('cl.is_legally_aided')} AS "First Client Legally Aided",
+  {t('cl.client_2_forename')} AS "Second Client Forename",
+  {t('cl.client_2_surname')} AS "Second Client Surname",
+  {d('cl.client_2_date_of_birth')} AS "Second Client Date of Birth",
+  {t('cl.client_2_postcode')} AS "Second Client Postcode",
+  {t('cl.client_2_gender_code')} AS "Second Client Gender",
+  {t('cl.client_2_ethnicity_code')} AS "Second Client Ethnicity",
+  {t('cl.client_2_disability_code')} AS "Second Client Disability",
+  {t('cl.client_2_is_legally_aided')} AS "Second Client Legally Aided",
+  {t('cl.client_2_ucn')} AS "Second Client Unique Client Number",
+  {t('calc.category_of_law')} AS "Category of Law Code",
+  {t('c.fee_code')} AS "Fee Code",
+  {t('calc.fee_code_description')} AS "Fee Code Description",
+  {t('calc.fee_type')} AS "Fee Type",
+  {t('cc.standard_fee_category_code')} AS "Standard Fee Category Code",
+  {GUARD.format(x='calc.total_amount')} AS "Total Current Claim Value",
+  {t('calc.vat_rate_applied')} AS "VAT Rate Applied",
+  {t('csf.is_vat_applicable')} AS "VAT Indicator",
+  {t('csf.waiting_time')} AS "Waiting Time",
+  {t('csf.travel_time')} AS "Travel Time",
+  {t('csf.advice_time')} AS "Advice Time",
+  {t('csf.net_profit_costs_amount')} AS "Profit Costs",
+  {t('csf.net_counsel_costs_amount')} AS "Counsel Fees",
+  {t('csf.net_disbursement_amount')} AS "Disbursement Costs",
+  {t('csf.disbursements_vat_amount')} AS "Disbursement VAT Costs",
+  {t('csf.travel_waiting_costs_amount')} AS "Travel Waiting Costs",
+  {t('csf.net_waiting_costs_amount')} AS "Net Waiting Costs Amount",
+  {t('csf.jr_form_filling_amount')} AS "JR Form Filling Costs",
+  {t('csf.costs_damages_recovered_amount')} AS "Cost / Damages Recovered",
+  {t('csf.detention_travel_waiting_costs_amount')} AS "Detention Travel & Waiting Costs",
+  {t('csf.adjourned_hearing_fee_amount')} AS "Adjourned Hearing Fee Count",
+  {t('c.mediation_sessions_count')} AS "Mediation Sessions Count",
+  {t('csf.cmrh_oral_count')} AS "CMRH Oral Count",
+  {t('csf.cmrh_telephone_count')} AS "CMRH Telephone Count",
+  {t('csf.ho_interview')} AS "HO Interview Count",
+  {t('csf.medical_reports_count')} AS "Medical Reports Count",
+  {t('csf.meetings_attended_code')} AS "Meetings Attended Code",
+  {t('c.police_station_court_attendances_count')} AS "Police Station Court Attendances Count",
+  {t('c.suspects_defendants_count')} AS "Suspects Defendants Count",
+  {t('calc.vat_indicator')} AS "Current VAT Indicator",
+  {t('calc.net_profit_costs_amount')} AS "Current Net Profit Costs Amount",
+  {t('calc.net_cost_of_counsel_amount')} AS "Current Net Cost Of Counsel Amount",
+  {t('calc.disbursement_amount')} AS "Current Disbursement Amount",
+  {t('calc.travel_and_waiting_costs_amount')} AS "Current Travel And Waiting Costs Amount",
+  {t('calc.detention_travel_and_waiting_costs_amount')} AS "Current Detention And Waiting Costs Amount",
+  {t('calc.jr_form_filling_amount')} AS "Current JR Form Filling Amount",
+  {t('calc.fixed_fee_amount')} AS "Current Fixed Fee Amount",
+  {t('calc.escape_case_flag')} AS "Current Escape Case Flag",
+  {t('calc.hourly_total_amount')} AS "Current Hourly Total Amount",
+  {t('calc.bolt_on_total_fee_amount')} AS "Current Bolt On Total Fee Amount",
+  {t('calc.bolt_on_adjourned_hearing_count')} AS "Current Bolt On Adjourned Hearing Count",
+  {t('calc.bolt_on_adjourned_hearing_fee')} AS "Current Bolt On Adjourned Hearing Fee",
+  {t('calc.bolt_on_cmrh_telephone_count')} AS "Current Bolt On CMRH Telephone Count",
+  {t('calc.bolt_on_cmrh_telephone_fee')} AS "Current Bolt On CMRH Telephone Fee",
+  {t('calc.bolt_on_cmrh_oral_count')} AS "Current Bolt On CMRH Oral Count",
+  {t('calc.bolt_on_cmrh_oral_fee')} AS "Current Bolt On CMRH Oral Fee",
+  {t('calc.bolt_on_home_office_interview_count')} AS "Current Bolt On Home Office Interview Count",
+  {t('calc.bolt_on_home_office_interview_fee')} AS "Current Bolt On Home Office Interview Fee",
+  {vat('calc.fixed_fee_amount')} AS "Current Fixed Fee VAT",
+  {vat('calc.net_profit_costs_amount')} AS "Current Profit Costs VAT",
+  {vat('calc.net_cost_of_counsel_amount')} AS "Current Counsel Costs VAT",
+  {vat('calc.net_travel_costs_amount')} AS "Current Travel Costs VAT",
+  {vat('calc.net_waiting_costs_amount')} AS "Current Waiting Costs VAT",
+  {vat('calc.jr_form_filling_amount')} AS "Current JR / Form Filling Costs VAT",
+  {vat('calc.bolt_on_total_fee_amount')} AS "Current Bolt On Fees VAT",
+  {t('cc.is_legacy_case')} AS "Legacy Case Flag",
+  {t('csf.is_london_rate')} AS "London Rate Flag",
+  {t('csf.is_tolerance_applicable')} AS "Tolerance Indicator",
+  {t('csf.is_substantive_hearing')} AS "Substantive Hearing Flag",
+  {t('csf.is_additional_travel_payment')} AS "Additional Travel Payment Flag",
+  {t('csf.local_authority_number')} AS "Local Authority Number",
+  {t('c.procurement_area_code')} AS "Procurement Area Code",
+  {t('c.access_point_code')} AS "Access Point Code",
+  {t('c.referral_source')} AS "Referral Source Code",
+  {t('csf.ait_hearing_centre_code')} AS "AIT Hearing Centre Code",
+  {t('cc.exceptional_case_funding_reference')} AS "ECF Reference",
+  CASE WHEN COALESCE(cc.exceptional_case_funding_reference, '') <> '' THEN 'Y' ELSE 'N' END
+    AS "Is Exceptional Claim",
+  {t('cc.exemption_criteria_satisfied')} AS "Exemption Criteria Satisfied",
+  {t('cl.cla_reference_number')} AS "CLA Reference Number",
+  {t('cl.cla_exemption_code')} AS "CLA Exemption Code",
+  {t('csf.prior_authority_reference')} AS "Immigration Prior Authority Number",
+  {t('cc.is_postal_application_accepted')} AS "Postal Application Accepted",
+  {t('csf.is_irc_surgery')} AS "IRC Surgery",
+  {t('csf.surgery_date')} AS "Surgery Date",
+  {t('csf.surgery_clients_count')} AS "Number Of Clients Seen At The Surgery",
+  {t('csf.surgery_matters_count')} AS "Number Of Surgery Clients Resulting In A Legal Help Matter Open",
+  {t('cc.is_nrm_advice')} AS "NRM Advice",
+  {t('cc.follow_on_work')} AS "PRN Follow On Work",
+  {t('c.is_duty_solicitor')} AS "Is Duty Solicitor",
+  {t('c.is_youth_court')} AS "Is Youth Court"
+FROM rep0_sp sp
+JOIN bulk_submission bs ON bs.id = sp.bulk_submission_id
+JOIN claim c ON c.submission_id = sp.id
+JOIN claim_case cc ON cc.claim_id = c.id
+LEFT JOIN claim_summary_fee csf ON csf.claim_id = c.id
+LEFT JOIN rep0_calc calc ON calc.claim_id = c.id
+LEFT JOIN client cl ON cl.claim_id = c.id
+WHERE sp.status = 'VALIDATION_SUCCEEDED' AND c.status = 'VALID'
+  AND bs.created_on >= DATE '2000-06-01' - INTERVAL 3 YEAR
+)"""
+
+SQL["rep000_combined_extract"] = with_testbed(REP000_CTES, "SELECT * FROM rep0")
+
+SQL["report_order_000"] = with_testbed(REP000_CTES, """
+SELECT strftime(strptime(NULLIF("Submission Period", ''), '%b-%Y'), '%Y%m') AS period_key,
+       "Office Account Number", "Line Number", "Claim ID"
+FROM rep0""")

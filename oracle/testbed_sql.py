@@ -46,7 +46,7 @@ submission AS (
 
 BULK = r"""
 bulk_submission AS (
-  SELECT bulk_submission_id AS id, min(created_on) AS created_on, CAST(NULL AS TIMESTAMP) AS updated_on
+  SELECT bulk_submission_id AS id, arg_min(created_on, id) AS created_on, CAST(NULL AS TIMESTAMP) AS updated_on
   FROM submission GROUP BY bulk_submission_id
 )"""
 
