@@ -6,6 +6,7 @@ tables (``sources.testbed``) and runs the library operator on all of them.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,11 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimsflow.functions import money, periods, text
-from claimsflow.operators import fees
+from claimsflow.operators import fees, quality
+from claimsflow.operators import reconcile as recon
 from claimsflow.operators import submissions as subs
 from claimsflow.plans import combined as rep000
 from claimsflow.plans import monthly_matrix as rep013
 from claimsflow.plans import original_values as rep012
+from claimsflow.schemas import FOREIGN_KEYS, PRIMARY_KEYS, required_columns
 from claimsflow.sources import testbed
 
 # The seven amounts REP000 prints a VAT part for (MTH-2).
@@ -263,3 +266,110 @@ def q_order_012(spark, sf_dir):
 def q_order_013(spark, sf_dir):
     rep = rep013.monthly_matrix(tables(spark, sf_dir))
     return rep.select(rep013.OFFICE, rep013.AREA)
+
+
+# ------------------------------------------------------------ reconciliation
+def _recon_inputs(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    as_of = dt.date.fromisoformat(testbed.AS_OF)
+    day, _, _ = recon.day_bounds(as_of)
+    summary = testbed.replication_summaries(t, day)
+    return t, as_of, day, summary
+
+
+@query("daily_table_summary")
+def q_daily_summary(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return quality.union_all([recon.daily_summary(df, f"claims.{n}") for n, df in t.items()])
+
+
+@query("recon_summaries_for_day")
+def q_summaries_for_day(spark, sf_dir):
+    _, _, day, summary = _recon_inputs(spark, sf_dir)
+    return recon.summaries_for(summary, day)
+
+
+@query("recon_missing_tables")
+def q_missing_tables(spark, sf_dir):
+    t, _, day, summary = _recon_inputs(spark, sf_dir)
+    expected = recon.expected_tables(spark, t.keys())
+    return recon.missing(expected, recon.summaries_for(summary, day))
+
+
+@query("recon_counts")
+def q_recon_counts(spark, sf_dir):
+    t, as_of, day, summary = _recon_inputs(spark, sf_dir)
+    return recon.counts(t, recon.summaries_for(summary, day), as_of)
+
+
+@query("recon_lsn_progress")
+def q_lsn_progress(spark, sf_dir):
+    _, _, day, summary = _recon_inputs(spark, sf_dir)
+    return recon.lsn_progress(recon.summaries_for(summary, day), testbed.CURRENT_LSN)
+
+
+@query("lsn_order")
+def q_lsn_order(spark, sf_dir):
+    _, _, day, summary = _recon_inputs(spark, sf_dir)
+    return recon.summaries_for(summary, day).select(
+        "table_name", "wal_lsn", recon.lsn_value(F.col("wal_lsn")).alias("lsn_value"))
+
+
+@query("recon_failures")
+def q_recon_failures(spark, sf_dir):
+    t, as_of, day, summary = _recon_inputs(spark, sf_dir)
+    sums = recon.summaries_for(summary, day)
+    checks = recon.check_rows(recon.lsn_progress(sums, testbed.CURRENT_LSN),
+                              recon.missing(recon.expected_tables(spark, t.keys()), sums),
+                              recon.counts(t, sums, as_of))
+    return recon.failures(checks)
+
+
+@query("recon_health_report")
+def q_health(spark, sf_dir):
+    t, as_of, _, summary = _recon_inputs(spark, sf_dir)
+    return recon.health(spark, t, summary, testbed.CURRENT_LSN, as_of)
+
+
+# ------------------------------------------------------------ table contract checks
+@query("dq_primary_key")
+def q_dq_pk(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    parts = [quality.duplicate_keys(df, PRIMARY_KEYS[n]).agg(
+        F.count(F.lit(1)).alias("duplicate_keys"),
+        F.coalesce(F.sum("count"), F.lit(0)).alias("rows_in_duplicates"))
+        .select(F.lit(n).alias("table_name"), "duplicate_keys", "rows_in_duplicates")
+        for n, df in t.items()]
+    return quality.union_all(parts)
+
+
+@query("dq_foreign_key")
+def q_dq_fk(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    parts = [quality.orphans(t[child], fk, t[parent], pk)
+             .select(F.lit(child).alias("table_name"), F.lit(fk).alias("fk_column"),
+                     F.col("id").alias("row_id"), F.col(fk).alias("fk_value"))
+             for child, fk, parent, pk in FOREIGN_KEYS if child in t and parent in t]
+    return quality.union_all(parts)
+
+
+@query("dq_not_null")
+def q_dq_not_null(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return quality.union_all([
+        quality.null_counts(df, required_columns(n)).select(F.lit(n).alias("table_name"), "column", "nulls")
+        for n, df in t.items()])
+
+
+@query("schema_upgrade")
+def q_schema_upgrade(spark, sf_dir):
+    """Claims written before the amendment columns and submissions written
+    under the old column names are read into the final schema."""
+    t = tables(spark, sf_dir)
+    old_claim = t["claim"].drop("is_amended", "has_assessment", "version")
+    claim = quality.upgrade(old_claim, "claim")
+    old_sub = t["submission"].withColumnRenamed("crime_lower_schedule_number", "schedule_number")
+    sub = quality.upgrade(old_sub, "submission")
+    return claim.select("id", "submission_id", "is_amended", "has_assessment", "version").join(
+        sub.select(F.col("id").alias("submission_id"), "crime_lower_schedule_number"),
+        "submission_id", "left")

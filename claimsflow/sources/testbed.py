@@ -283,3 +283,29 @@ def claims_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 # Fixed parameters of the testbed runs: the driver's orders span 1995-2001.
 AS_OF = "2000-06-01"
+
+
+# Replication check inputs.  The summaries are what the source side would
+# have written for the day before AS_OF: true daily counts (computed by the
+# library's own daily_summary), with one table's record count off by one and
+# one table's summary left out, so that both failure paths are exercised.
+CURRENT_LSN = "1/0"
+SUMMARY_ERROR_TABLE = "claims.claim"
+SUMMARY_OMITTED_TABLE = "claims.bulk_submission"
+
+
+def replication_summaries(tables: dict[str, DataFrame], day, schema: str = "claims") -> DataFrame:
+    import functools
+
+    from claimsflow.operators.reconcile import daily_summary
+    parts = [daily_summary(df, f"{schema}.{name}").where(F.col("summary_date") == F.lit(day))
+             for name, df in tables.items()]
+    s = functools.reduce(DataFrame.unionByName, parts)
+    s = s.where(F.col("table_name") != SUMMARY_OMITTED_TABLE)
+    return s.select(
+        "table_name", "summary_date",
+        (F.col("record_count") + F.when(F.col("table_name") == SUMMARY_ERROR_TABLE, 1).otherwise(0))
+        .alias("record_count"),
+        "updated_count",
+        F.concat(F.lit("0/"), F.hex(F.col("record_count") * 4096)).alias("wal_lsn"),
+        F.lit(day).cast("timestamp").alias("created_on"))

@@ -448,3 +448,153 @@ SQL["report_order_000"] = with_testbed(REP000_CTES, """
 SELECT strftime(strptime(NULLIF("Submission Period", ''), '%b-%Y'), '%Y%m') AS period_key,
        "Office Account Number", "Line Number", "Claim ID"
 FROM rep0""")
+
+
+# ---------------------------------------------------------------- reconciliation
+TESTBED_TABLES = ("submission", "bulk_submission", "claim", "calculated_fee_detail",
+                  "claim_summary_fee", "claim_case", "client")
+RECON_DAY = "DATE '2000-05-31'"
+DAY_START = "TIMESTAMP '2000-05-31 00:00:00'"
+DAY_END = "TIMESTAMP '2000-06-01 00:00:00'"
+
+
+def daily(tbl: str) -> str:
+    return f"""
+ds_{tbl} AS (
+  WITH c AS (SELECT CAST(created_on AS DATE) AS day, count(*) AS n FROM {tbl} GROUP BY 1),
+       u AS (SELECT day, count(*) AS n FROM (
+               SELECT CAST(updated_on AS DATE) AS day FROM {tbl} WHERE updated_on IS NOT NULL
+               UNION ALL
+               SELECT CAST(updated_on AS DATE) - 1 FROM {tbl}
+               WHERE updated_on IS NOT NULL AND updated_on = date_trunc('day', updated_on)) GROUP BY day),
+       span AS (SELECT min(day) AS lo, max(day) AS hi FROM (SELECT day FROM c UNION ALL SELECT day FROM u)),
+       days AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM span)
+  SELECT 'claims.{tbl}' AS table_name, days.day AS summary_date,
+         CAST(sum(COALESCE(c.n, 0)) OVER (ORDER BY days.day) AS BIGINT) AS record_count,
+         CAST(COALESCE(u.n, 0) AS BIGINT) AS updated_count
+  FROM days LEFT JOIN c ON c.day = days.day LEFT JOIN u ON u.day = days.day
+)"""
+
+
+RECON_CTES = ",\n".join(daily(t) for t in TESTBED_TABLES) + f""",
+ds_all AS ({' UNION ALL '.join(f'SELECT * FROM ds_{t}' for t in TESTBED_TABLES)}),
+rs AS (
+  SELECT table_name, summary_date,
+         record_count + CASE WHEN table_name = 'claims.claim' THEN 1 ELSE 0 END AS record_count,
+         updated_count, '0/' || hex(record_count * 4096) AS wal_lsn
+  FROM ds_all WHERE summary_date = {RECON_DAY} AND table_name <> 'claims.bulk_submission'
+),
+actual AS ({' UNION ALL '.join(
+    f"SELECT 'claims.{t}' AS table_name, count(*) FILTER (WHERE created_on < {DAY_END}) AS actual_r, "
+    f"count(*) FILTER (WHERE updated_on BETWEEN {DAY_START} AND {DAY_END}) AS actual_u FROM {t}"
+    for t in TESTBED_TABLES)}),
+cnt AS (
+  SELECT rs.table_name, rs.record_count AS expected_r, rs.updated_count AS expected_u,
+         a.actual_r, a.actual_u,
+         rs.record_count = a.actual_r AND rs.updated_count = a.actual_u AS ok
+  FROM rs JOIN actual a ON a.table_name = rs.table_name
+),
+lsnv AS (
+  SELECT table_name, wal_lsn,
+         CAST(('0x' || split_part(wal_lsn, '/', 1))::UBIGINT AS HUGEINT) * 4294967296
+           + CAST(('0x' || split_part(wal_lsn, '/', 2))::UBIGINT AS HUGEINT) AS v
+  FROM rs
+),
+lsn_top AS (
+  SELECT table_name, wal_lsn, v <= 4294967296 AS ok FROM lsnv ORDER BY v DESC LIMIT 1
+),
+expected AS (
+  SELECT 'claims.' || t AS full_table_name
+  FROM (VALUES {', '.join(f"('{t}')" for t in TESTBED_TABLES)}) AS x(t)
+),
+miss AS (
+  SELECT full_table_name AS table_name FROM expected
+  WHERE full_table_name NOT IN (SELECT table_name FROM rs)
+),
+chk AS (
+  SELECT table_name, 1 AS check_no, 'WAL LSN in summary (' || wal_lsn || ') is ahead of current WAL (1/0)' AS message
+  FROM lsn_top WHERE NOT ok
+  UNION ALL
+  SELECT table_name, 2, 'Missing replication summary for table' FROM miss
+  UNION ALL
+  SELECT table_name, 3, 'Count mismatch — expected (' || expected_r || '/' || expected_u || '), actual ('
+         || actual_r || '/' || actual_u || ')' FROM cnt WHERE NOT ok
+),
+fails AS (
+  SELECT table_name, arg_max(message, check_no) AS reason, min(check_no) AS first_check
+  FROM chk GROUP BY table_name
+)"""
+
+SQL["daily_table_summary"] = with_testbed(RECON_CTES, """
+SELECT table_name, CAST(summary_date AS VARCHAR) AS summary_date, record_count, updated_count FROM ds_all""")
+
+SQL["recon_summaries_for_day"] = with_testbed(RECON_CTES, """
+SELECT table_name, record_count, updated_count, wal_lsn FROM rs""")
+
+SQL["recon_missing_tables"] = with_testbed(RECON_CTES, """
+SELECT table_name, 'Missing replication summary for table' AS message FROM miss""")
+
+SQL["recon_counts"] = with_testbed(RECON_CTES, """
+SELECT table_name, expected_r, expected_u, actual_r, actual_u, ok,
+       CASE WHEN NOT ok THEN 'Count mismatch — expected (' || expected_r || '/' || expected_u
+            || '), actual (' || actual_r || '/' || actual_u || ')' END AS message
+FROM cnt""")
+
+SQL["recon_lsn_progress"] = with_testbed(RECON_CTES, """
+SELECT table_name, wal_lsn AS lsn, ok,
+       CASE WHEN NOT ok THEN 'WAL LSN in summary (' || wal_lsn || ') is ahead of current WAL (1/0)' END AS message
+FROM lsn_top""")
+
+SQL["lsn_order"] = with_testbed(RECON_CTES, """
+SELECT table_name, wal_lsn, CAST(v AS VARCHAR) AS lsn_value FROM lsnv""")
+
+SQL["recon_failures"] = with_testbed(RECON_CTES, """
+SELECT table_name, reason, CAST(first_check AS BIGINT) AS first_check FROM fails""")
+
+SQL["recon_health_report"] = with_testbed(RECON_CTES, """
+SELECT '2000-05-31' AS day,
+       l.ok AND t.ok AND c.ok AS healthy, l.ok AS lsn_ok, t.ok AS tables_ok, c.ok AS counts_ok,
+       CASE WHEN l.ok AND t.ok AND c.ok THEN 'Replication is healthy for 2000-05-31 '
+            ELSE 'Replication issues found:' || chr(10) || f.txt END AS summary
+FROM (SELECT COALESCE(bool_and(ok), TRUE) AS ok FROM lsn_top) l,
+     (SELECT count(*) = 0 AS ok FROM miss) t,
+     (SELECT COALESCE(bool_and(ok), TRUE) AS ok FROM cnt) c,
+     (SELECT COALESCE(string_agg(' - ' || table_name || ': ' || reason || chr(10), ''
+                                 ORDER BY first_check, table_name), '') AS txt FROM fails) f""")
+
+# ---------------------------------------------------------------- contract checks
+PKS = {t: "id" for t in TESTBED_TABLES}
+SQL["dq_primary_key"] = with_testbed("", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS duplicate_keys, CAST(COALESCE(sum(n), 0) AS BIGINT) "
+    f"AS rows_in_duplicates FROM (SELECT id, count(*) AS n FROM {t} GROUP BY id HAVING count(*) > 1)"
+    for t in TESTBED_TABLES))
+
+FKS = (("claim", "submission_id", "submission"), ("claim", "matched_claim_id", "claim"),
+       ("client", "claim_id", "claim"), ("claim_case", "claim_id", "claim"),
+       ("claim_summary_fee", "claim_id", "claim"),
+       ("calculated_fee_detail", "claim_summary_fee_id", "claim_summary_fee"),
+       ("calculated_fee_detail", "claim_id", "claim"))
+SQL["dq_foreign_key"] = with_testbed("", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS table_name, '{fk}' AS fk_column, ch.id AS row_id, ch.{fk} AS fk_value "
+    f"FROM {c} ch WHERE ch.{fk} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {p} pa WHERE pa.id = ch.{fk})"
+    for c, fk, p in FKS))
+
+REQUIRED = {
+    "submission": ("id", "bulk_submission_id", "office_account_number", "submission_period",
+                   "area_of_law", "status", "created_by_user_id", "created_on", "provider_user_id"),
+    "bulk_submission": ("id", "status", "created_by_user_id", "created_on"),
+    "claim": ("id", "submission_id", "status", "line_number", "matter_type_code",
+              "created_by_user_id", "created_on", "is_amended", "has_assessment", "version"),
+    "calculated_fee_detail": ("id", "claim_summary_fee_id", "claim_id", "created_by_user_id", "created_on"),
+    "claim_summary_fee": ("id", "claim_id", "created_by_user_id", "created_on"),
+    "claim_case": ("id", "claim_id", "created_by_user_id", "created_on"),
+    "client": ("id", "claim_id", "created_by_user_id", "created_on"),
+}
+SQL["dq_not_null"] = with_testbed("", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM {t}"
+    for t, cols in REQUIRED.items() for c in cols))
+
+SQL["schema_upgrade"] = with_testbed("", """
+SELECT c.id, c.submission_id, FALSE AS is_amended, FALSE AS has_assessment, CAST(0 AS BIGINT) AS version,
+       s.crime_lower_schedule_number
+FROM claim c LEFT JOIN submission s ON s.id = c.submission_id""")

@@ -40,13 +40,16 @@ submission AS (
     CASE WHEN o_orderkey % 5 = 3 THEN 'LH' || CAST(o_orderkey AS VARCHAR) END
       AS legal_help_submission_reference,
     CASE WHEN o_orderkey % 5 = 2 THEN 'MED' || CAST(o_orderkey AS VARCHAR) END
-      AS mediation_submission_reference
+      AS mediation_submission_reference,
+    'loader' AS created_by_user_id,
+    'provider' || CAST(o_custkey % 40 AS VARCHAR) AS provider_user_id
   FROM orders
 )"""
 
 BULK = r"""
 bulk_submission AS (
-  SELECT bulk_submission_id AS id, arg_min(created_on, id) AS created_on, CAST(NULL AS TIMESTAMP) AS updated_on
+  SELECT bulk_submission_id AS id, 'READY_FOR_PARSING' AS status, 'loader' AS created_by_user_id,
+         arg_min(created_on, id) AS created_on, CAST(NULL AS TIMESTAMP) AS updated_on
   FROM submission GROUP BY bulk_submission_id
 )"""
 
@@ -85,8 +88,10 @@ claim AS (
     CAST(NULL AS VARCHAR) AS access_point_code,
     CAST(NULL AS VARCHAR) AS referral_source,
     CAST(NULL AS BOOLEAN) AS is_youth_court,
+    'loader' AS created_by_user_id,
     first_ship AS created_on,
-    CASE WHEN last_ship > first_ship THEN last_ship END AS updated_on
+    CASE WHEN last_ship > first_ship THEN last_ship END AS updated_on,
+    FALSE AS is_amended, FALSE AS has_assessment, CAST(0 AS BIGINT) AS version
   FROM claim_grp
 )"""
 
@@ -97,8 +102,10 @@ calculated_fee_detail AS (
         PARTITION BY l_orderkey, l_linenumber
         ORDER BY l_shipdate, l_extendedprice, l_partkey, l_suppkey, l_quantity, l_discount, l_tax
     ) AS VARCHAR) AS id,
+    'X' || lpad(CAST(l_orderkey * 10 + l_linenumber AS VARCHAR), 11, '0') AS claim_summary_fee_id,
     'C' || lpad(CAST(l_orderkey * 10 + l_linenumber AS VARCHAR), 11, '0') AS claim_id,
     'Type' || l_returnflag AS fee_type,
+    'loader' AS created_by_user_id,
     l_shipdate AS created_on,
     CASE WHEN l_discount >= 0.05 THEN l_shipdate + to_days(CAST(l_partkey % 30 AS INTEGER)) END AS updated_on,
     'Description ' || CAST(l_linenumber AS VARCHAR) AS fee_code_description,
@@ -171,6 +178,7 @@ claim_summary_fee AS (
     CAST(NULL AS BOOLEAN) AS is_substantive_hearing,
     CAST(NULL AS INTEGER) AS ho_interview,
     CAST(NULL AS VARCHAR) AS local_authority_number,
+    'loader' AS created_by_user_id,
     g.first_ship AS created_on,
     CAST(NULL AS TIMESTAMP) AS updated_on
   FROM claim_grp g
@@ -199,6 +207,7 @@ claim_case AS (
     CASE WHEN g.num % 5 = 0 THEN 'ECF' || CAST(g.num AS VARCHAR) WHEN g.num % 5 = 1 THEN '' END
       AS exceptional_case_funding_reference,
     g.num % 2 = 0 AS is_legacy_case,
+    'loader' AS created_by_user_id,
     g.first_ship AS created_on,
     CAST(NULL AS TIMESTAMP) AS updated_on
   FROM claim_grp g LEFT JOIN part p ON p.p_partkey = g.partkey
@@ -240,6 +249,7 @@ client AS (
     CAST(NULL AS VARCHAR) AS client_2_ethnicity_code,
     CAST(NULL AS VARCHAR) AS client_2_disability_code,
     CAST(NULL AS BOOLEAN) AS client_2_is_legally_aided,
+    'loader' AS created_by_user_id,
     first_ship AS created_on,
     CAST(NULL AS TIMESTAMP) AS updated_on
   FROM (SELECT * FROM client_src
