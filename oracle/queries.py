@@ -598,3 +598,40 @@ SQL["schema_upgrade"] = with_testbed("", """
 SELECT c.id, c.submission_id, FALSE AS is_amended, FALSE AS has_assessment, CAST(0 AS BIGINT) AS version,
        s.crime_lower_schedule_number
 FROM claim c LEFT JOIN submission s ON s.id = c.submission_id""")
+
+
+# ---------------------------------------------------------------- CSV lines
+def csv(x: str) -> str:
+    v = f"COALESCE(CAST({x} AS VARCHAR), '')"
+    return (f"CASE WHEN length({v}) > 24 OR regexp_matches({v}, '[\\x00-\\x2C]') "
+            f"THEN '\"' || replace({v}, '\"', '\"\"') || '\"' ELSE {v} END")
+
+
+SQL["csv_lines_loose_quote"] = with_testbed("", "SELECT " + " || ',' || ".join(csv(c) for c in (
+    "id", "client_forename", "client_surname", "client_date_of_birth", "is_legally_aided",
+    "client_postcode", "cla_reference_number", "ethnicity_code")) + " AS line FROM client")
+
+SQL["csv_lines_rep012"] = with_testbed(REP012_CTES, "SELECT " + " || ',' || ".join(csv(c) for c in (
+    '"Provider office account number"', '"Submission month"', '"Area of law"',
+    '"Original submission value"', '"Date submission was uploaded"')) + """ AS line FROM (
+SELECT ch.office_account_number AS "Provider office account number",
+       upper(strftime(ch.pdate, '%b-%Y')) AS "Submission month",
+       ch.area_of_law AS "Area of law",
+       CAST(COALESCE(CAST(round(t.total_fee, 2) AS DECIMAL(18,2)), CAST(0 AS DECIMAL(18,2))) AS VARCHAR)
+         AS "Original submission value",
+       """ + london_dmy("ch.created_on") + """ AS "Date submission was uploaded"
+FROM rep12_chosen ch LEFT JOIN rep12_totals t ON t.submission_id = ch.submission_id)""")
+
+SQL["refresh_report"] = SQL["rep012_original_values"]
+SQL["refresh_matrix"] = SQL["rep013_monthly_matrix"]
+
+SQL["batch_run_status"] = with_testbed(",\n".join([REP000_CTES.strip(), REP012_CTES.strip(),
+                                                    REP013_CTES.strip()]), """
+SELECT 'REPORT000' AS report, TRUE AS ok, (SELECT count(*) FROM rep0) AS rows
+UNION ALL SELECT 'REPORT012', TRUE, (SELECT count(*) FROM rep12_chosen)
+UNION ALL SELECT 'REPORT013', TRUE, (SELECT count(*) FROM (SELECT DISTINCT office_account_number, area FROM rep13_cells))""")
+
+SQL["change_apply"] = """
+SELECT user_id, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, event_type, value, props
+FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
