@@ -635,3 +635,9 @@ SQL["change_apply"] = """
 SELECT user_id, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, event_type, value, props
 FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
+
+COLUMN_COUNTS = {"submission": 18, "bulk_submission": 9, "claim": 39, "calculated_fee_detail": 40,
+                 "claim_summary_fee": 39, "claim_case": 22, "client": 28}
+SQL["snapshot_ingest"] = with_testbed("", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count, CAST({n} AS BIGINT) AS column_count FROM {t}"
+    for t, n in COLUMN_COUNTS.items()))
