@@ -484,3 +484,14 @@ def q_change_apply(spark, sf_dir):
     q = changes.apply_stream(spark, feed, root, "events", key, version, checkpoint=f"{root}/_checkpoint")
     q.awaitTermination()
     return store.current(spark, root, "events")
+
+
+@query("recon_expected_tables")
+def q_expected_tables(spark, sf_dir):
+    """SRC-3: the tables the copy must hold, as schema.table (never the
+    summary table), with the rows the copy holds for each."""
+    t = tables(spark, sf_dir)
+    expected = recon.expected_tables(spark, [*t.keys(), recon.SUMMARY_TABLE])
+    held = snapshot.ingest_summary(t).select(
+        F.concat(F.lit("claims."), F.col("table_name")).alias("full_table_name"), "row_count")
+    return expected.join(held, "full_table_name", "left")

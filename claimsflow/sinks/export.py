@@ -67,21 +67,46 @@ def write_parts(df: DataFrame, sort_keys: list, out_dir: str) -> int:
 def concat_parts(spark: SparkSession, parts_dir: str, dest: str, header: str | None,
                  max_bytes: int = MAX_SINGLE_FILE_BYTES) -> int:
     """Join ordered part files (name order = sort order) into one file,
-    header first.  Streams bytes file-system to file-system; refuses to build
-    a file over ``max_bytes`` (the reference's upload limit)."""
+    header first.
+
+    Where the file system concatenates natively (HDFS), no byte moves; other
+    file systems stream the parts file-to-file, which is refused above
+    ``max_bytes`` (the reference's single-upload limit) -- beyond it use the
+    ordered part folder that :func:`publish` writes with ``single_file=False``.
+    """
     fs, pdir, jvm = _jvm_fs(spark, parts_dir)
     statuses = sorted((s for s in fs.listStatus(pdir) if s.getPath().getName().startswith("part-")),
                       key=lambda s: s.getPath().getName())
     total = sum(s.getLen() for s in statuses)
-    if total > max_bytes:
-        raise ValueError(f"report is {total} bytes, over the single-file limit {max_bytes}")
     dfs, dpath, _ = _jvm_fs(spark, dest)
-    out = dfs.create(dpath, True)
+    if total == 0:
+        dfs.create(dpath, True).close()  # SNK-4: empty report, 0-byte file, no header
+        return 0
+    head = jvm.org.apache.hadoop.fs.Path(parts_dir + "/part-0000-header.csv")
+    out = fs.create(head, True)
     try:
-        if header is not None and total > 0:
+        if header is not None:
             out.write(bytearray((header + "\n").encode("utf-8")))
-        for s in statuses:
-            inp = fs.open(s.getPath())
+    finally:
+        out.close()
+    srcs = [s.getPath() for s in statuses if s.getLen() > 0]
+    try:
+        # metadata-only join where supported (HDFS); the header file becomes the target
+        fs.concat(head, _path_array(spark, srcs))
+        dfs.delete(dpath, False)
+        if not fs.rename(head, dpath):
+            raise OSError(f"could not move {head} to {dest}")
+        return total
+    except Exception as e:  # noqa: BLE001 - UnsupportedOperationException on local / object stores
+        if "UnsupportedOperation" not in str(e) and "not supported" not in str(e).lower():
+            raise
+    if total > max_bytes:
+        raise ValueError(f"report is {total} bytes, over the single-file limit {max_bytes}; "
+                         f"publish with single_file=False")
+    out = dfs.create(dpath, True)
+    try:
+        for p in [head, *srcs]:
+            inp = fs.open(p)
             try:
                 jvm.org.apache.hadoop.io.IOUtils.copyBytes(inp, out, 1 << 20, False)
             finally:
@@ -91,25 +116,50 @@ def concat_parts(spark: SparkSession, parts_dir: str, dest: str, header: str | N
     return total
 
 
+def _path_array(spark: SparkSession, paths):
+    gw = spark.sparkContext._gateway
+    arr = gw.new_array(gw.jvm.org.apache.hadoop.fs.Path, len(paths))
+    for i, p in enumerate(paths):
+        arr[i] = p
+    return arr
+
+
 def publish(spark: SparkSession, df: DataFrame, root: str, name: str, sort_keys: list,
-            local_file: str | None = None) -> dict:
+            local_file: str | None = None, single_file: bool = True) -> dict:
     """SNK-5: write ``<root>/reports/<name>``.  The name (and the local file,
     when given) must end with ``.csv``, case-sensitive, as in the reference.
 
-    An empty report becomes a 0-byte file without header (SNK-4)."""
+    ``single_file=True`` gives the reference's one CSV file (SNK-4: an empty
+    report is a 0-byte file without header).  ``single_file=False`` leaves a
+    folder of ordered part files whose name order is the report order, with
+    the header in the first one -- nothing passes through the driver."""
     if not name.endswith(".csv"):
         raise ValueError(f"report name must end with .csv: {name}")
     if local_file is not None and not local_file.endswith(".csv"):
         raise ValueError(f"file must end with .csv: {local_file}")
+    dest = f"{root}/reports/{name}"
+    if not single_file:
+        rows = write_parts(df, sort_keys, dest)
+        if rows:
+            _write_header(spark, f"{dest}/part-0000-header.csv", header_line(df.columns))
+        return {"rows": rows, "bytes": None, "path": dest}
     parts = f"{root}/_parts/{name}-{uuid.uuid4().hex}"
     rows = write_parts(df, sort_keys, parts)
-    dest = f"{root}/reports/{name}"
     size = concat_parts(spark, parts, dest, header_line(df.columns) if rows else None)
     fs, p, _ = _jvm_fs(spark, parts)
     fs.delete(p, True)
     return {"rows": rows, "bytes": size, "path": dest}
 
 
+def _write_header(spark: SparkSession, path: str, header: str) -> None:
+    fs, p, _ = _jvm_fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray((header + "\n").encode("utf-8")))
+    finally:
+        out.close()
+
+
 def default_root(spark: SparkSession) -> str:
     """Shared output root: ``claimsflow.output.dir`` or the checkpoint folder."""
     root = spark.conf.get("claimsflow.output.dir", None)

@@ -641,3 +641,6 @@ COLUMN_COUNTS = {"submission": 18, "bulk_submission": 9, "claim": 39, "calculate
 SQL["snapshot_ingest"] = with_testbed("", "\nUNION ALL\n".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count, CAST({n} AS BIGINT) AS column_count FROM {t}"
     for t, n in COLUMN_COUNTS.items()))
+
+SQL["recon_expected_tables"] = with_testbed("", "\nUNION ALL\n".join(
+    f"SELECT 'claims.{t}' AS full_table_name, count(*) AS row_count FROM {t}" for t in COLUMN_COUNTS))
