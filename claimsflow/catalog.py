@@ -79,6 +79,10 @@ def snapshot_root(spark: SparkSession, sf_dir: str) -> str:
     if root is None:
         root = f"{export.default_root(spark)}/snapshot-{uuid.uuid4().hex}"
         snapshot.write_snapshot(testbed.claims_tables(spark, sf_dir), root)
+        # the source side's daily summaries, stored with the copy as in the replica
+        day, _, _ = recon.day_bounds(dt.date.fromisoformat(testbed.AS_OF))
+        summary = testbed.replication_summaries(snapshot.read_tables(spark, root), day)
+        snapshot.write_snapshot({recon.SUMMARY_TABLE: summary}, root)
         _SNAPSHOTS[key] = root
     return root
 
@@ -317,14 +321,13 @@ def _recon_inputs(spark, sf_dir):
     t = tables(spark, sf_dir)
     as_of = dt.date.fromisoformat(testbed.AS_OF)
     day, _, _ = recon.day_bounds(as_of)
-    summary = testbed.replication_summaries(t, day)
+    summary = snapshot.read_table(spark, snapshot_root(spark, sf_dir), recon.SUMMARY_TABLE)
     return t, as_of, day, summary
 
 
 @query("daily_table_summary")
 def q_daily_summary(spark, sf_dir):
-    t = tables(spark, sf_dir)
-    return quality.union_all([recon.daily_summary(df, f"claims.{n}") for n, df in t.items()])
+    return recon.daily_summaries(tables(spark, sf_dir))
 
 
 @query("recon_summaries_for_day")

@@ -295,12 +295,8 @@ SUMMARY_OMITTED_TABLE = "claims.bulk_submission"
 
 
 def replication_summaries(tables: dict[str, DataFrame], day, schema: str = "claims") -> DataFrame:
-    import functools
-
-    from claimsflow.operators.reconcile import daily_summary
-    parts = [daily_summary(df, f"{schema}.{name}").where(F.col("summary_date") == F.lit(day))
-             for name, df in tables.items()]
-    s = functools.reduce(DataFrame.unionByName, parts)
+    from claimsflow.operators.reconcile import daily_summaries
+    s = daily_summaries(tables, schema).where(F.col("summary_date") == F.lit(day))
     s = s.where(F.col("table_name") != SUMMARY_OMITTED_TABLE)
     return s.select(
         "table_name", "summary_date",
