@@ -486,7 +486,7 @@ def q_change_apply(spark, sf_dir):
             .parquet(f"{sf_dir}/events.parque[t]"))
     q = changes.apply_stream(spark, feed, root, "events", key, version, checkpoint=f"{root}/_checkpoint")
     q.awaitTermination()
-    return store.current(spark, root, "events")
+    return changes.current_state(spark, root, "events")
 
 
 @query("recon_expected_tables")

@@ -44,20 +44,25 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
         inp.close()
 
 
-def refresh(spark: SparkSession, df: DataFrame, store: str, name: str) -> str:
-    """Recompute ``df`` into a new run folder and switch the pointer to it."""
-    run = f"{store}/{name}/run-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(run)
-    tmp = f"{store}/{name}/{POINTER}.{uuid.uuid4().hex}"
-    _write_text(spark, tmp, run)
+def switch_pointer(spark: SparkSession, folder: str, target: str) -> None:
+    """Make ``folder/_CURRENT`` name ``target`` (write a temp file, rename)."""
+    tmp = f"{folder}/{POINTER}.{uuid.uuid4().hex}"
+    _write_text(spark, tmp, target)
     fs, tmp_p, jvm = _fs(spark, tmp)
-    dst = jvm.org.apache.hadoop.fs.Path(f"{store}/{name}/{POINTER}")
+    dst = jvm.org.apache.hadoop.fs.Path(f"{folder}/{POINTER}")
     # rename over an existing file: delete-then-rename keeps the window to the
     # pointer file only; readers retry on a missing pointer.
     if fs.exists(dst):
         fs.delete(dst, False)
     if not fs.rename(tmp_p, dst):
-        raise OSError(f"could not switch {name} to {run}")
+        raise OSError(f"could not switch {folder} to {target}")
+
+
+def refresh(spark: SparkSession, df: DataFrame, store: str, name: str) -> str:
+    """Recompute ``df`` into a new run folder and switch the pointer to it."""
+    run = f"{store}/{name}/run-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(run)
+    switch_pointer(spark, f"{store}/{name}", run)
     return run
 
 

@@ -4,21 +4,32 @@ reference's database subscription).
 Initial copy, then every change: per key the row with the highest version
 wins.  A replayed or late change whose version is not newer than the stored
 row changes nothing, so replays after a lost executor or a restarted query
-are harmless.  Each micro-batch is reduced to one row per key (partial
-aggregation, so a hot key does not land whole in one task), merged with the
-stored state and written as a new state version; the pointer switch of
-``sinks.store`` makes a batch's result visible all at once, and writing the
-state cuts the lineage between batches.
+are harmless.
+
+State layout: rows are spread over ``buckets`` by a hash of the key and each
+bucket lives in its own folder; a small manifest (bucket -> folder) names the
+current folders and is switched all at once through ``sinks.store``'s
+pointer.  A micro-batch is reduced to one row per key (partial aggregation:
+a hot key never lands whole in one task), then only the buckets its keys fall
+into are read, merged and rewritten -- the cost of a batch follows the batch,
+not the size of the state.  Writing the new bucket folders also cuts the
+lineage between batches.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from claimsflow.sinks import store
 
+DEFAULT_BUCKETS = 64
+
 
 def latest_per_key(df: DataFrame, key: list[str], version: list[str]) -> DataFrame:
     """Per key the whole row with the greatest ``version`` tuple."""
@@ -34,28 +45,74 @@ def apply_changes(current: DataFrame | None, changes: DataFrame, key: list[str],
     return latest_per_key(merged, key, version)
 
 
-def _state_or_none(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    try:
-        return store.current(spark, root, name)
-    except FileNotFoundError:
+def _bucket(key: list[str], buckets: int):
+    return F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(buckets)).cast("int")
+
+
+def _manifest(spark: SparkSession, root: str, name: str) -> dict | None:
+    text = store._read_text(spark, f"{root}/{name}/{store.POINTER}")
+    if text is None:
         return None
+    return json.loads(store._read_text(spark, text))
+
+
+def _switch(spark: SparkSession, root: str, name: str, manifest: dict) -> None:
+    path = f"{root}/{name}/manifest-{uuid.uuid4().hex}.json"
+    store._write_text(spark, path, json.dumps(manifest))
+    store.switch_pointer(spark, f"{root}/{name}", path)
+
+
+def _write_buckets(df: DataFrame, folder: str, key: list[str], buckets: int) -> None:
+    # rows arrive hash-partitioned by key from the merge; every task writes its
+    # share of each bucket folder, so no bucket is funnelled through one task
+    df.withColumn("_bucket", _bucket(key, buckets)).write.partitionBy("_bucket").parquet(folder)
+
+
+def current_state(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The whole current state (union of the manifest's bucket folders)."""
+    m = _manifest(spark, root, name)
+    if m is None:
+        raise FileNotFoundError(f"no state for {name}")
+    schema = T.StructType.fromJson(m["schema"])
+    paths = list(m["buckets"].values())
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def _merge(spark: SparkSession, changes: DataFrame, root: str, name: str, key: list[str],
+           version: list[str], buckets: int) -> None:
+    reduced = latest_per_key(changes, key, version).withColumn("_bucket", _bucket(key, buckets))
+    folder = f"{root}/{name}/batch-{uuid.uuid4().hex}"
+    m = _manifest(spark, root, name)
+    if m is None:
+        m = {"schema": reduced.drop("_bucket").schema.jsonValue(), "buckets": {}}
+    # the touched bucket numbers: at most ``buckets`` small ints
+    touched = [r[0] for r in reduced.select("_bucket").distinct().collect()]
+    old_paths = [m["buckets"][str(b)] for b in touched if str(b) in m["buckets"]]
+    merged = reduced.drop("_bucket")
+    if old_paths:
+        old = spark.read.schema(T.StructType.fromJson(m["schema"])).parquet(*old_paths)
+        merged = apply_changes(old, merged, key, version)
+    _write_buckets(merged, folder, key, buckets)
+    for b in touched:
+        m["buckets"][str(b)] = f"{folder}/_bucket={b}"
+    _switch(spark, root, name, m)
 
 
 def start_copy(spark: SparkSession, initial: DataFrame, root: str, name: str,
-               key: list[str], version: list[str]) -> str:
-    """Write the initial copy (already one row per key after reduction)."""
-    return store.refresh(spark, latest_per_key(initial, key, version), root, name)
+               key: list[str], version: list[str], buckets: int = DEFAULT_BUCKETS) -> None:
+    """Write the initial copy (one row per key) as the first state."""
+    _merge(spark, initial, root, name, key, version, buckets)
 
 
 def apply_stream(spark: SparkSession, changes: DataFrame, root: str, name: str,
                  key: list[str], version: list[str], checkpoint: str,
-                 available_now: bool = True) -> StreamingQuery:
+                 available_now: bool = True, buckets: int = DEFAULT_BUCKETS) -> StreamingQuery:
     """Run the change feed into the stored state with ``foreachBatch``."""
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        reduced = latest_per_key(batch, key, version)
-        state = _state_or_none(batch.sparkSession, root, name)
-        store.refresh(batch.sparkSession, apply_changes(state, reduced, key, version), root, name)
+        _merge(batch.sparkSession, batch, root, name, key, version, buckets)
 
     writer = changes.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -209,3 +209,18 @@ def test_stream_created_per_day(spark, out_dir):
     # day the watermark has closed agrees with the batch count
     assert got and all(batch[d] == n for d, n in got.items())
     assert len(batch) - 2 <= len(got) < len(batch)
+
+
+def test_bucketed_change_state_rewrites_only_touched_buckets(spark, out_dir):
+    import json
+    from claimsflow.sinks import store as st
+    first = spark.createDataFrame([(k, 1, "a") for k in range(40)], "k int, v int, s string")
+    changes.start_copy(spark, first, out_dir, "S", ["k"], ["v"], buckets=8)
+    before = json.loads(st._read_text(spark, st._read_text(spark, f"{out_dir}/S/_CURRENT")))
+    upd = spark.createDataFrame([(3, 2, "b"), (3, 0, "old"), (99, 1, "new")], "k int, v int, s string")
+    changes._merge(spark, upd, out_dir, "S", ["k"], ["v"], 8)
+    after = json.loads(st._read_text(spark, st._read_text(spark, f"{out_dir}/S/_CURRENT")))
+    moved = [b for b in after["buckets"] if after["buckets"][b] != before["buckets"].get(b)]
+    assert 1 <= len(moved) <= 2
+    state = {r["k"]: (r["v"], r["s"]) for r in changes.current_state(spark, out_dir, "S").collect()}
+    assert len(state) == 41 and state[3] == (2, "b") and state[99] == (1, "new") and state[7] == (1, "a")
