@@ -224,3 +224,55 @@ def test_bucketed_change_state_rewrites_only_touched_buckets(spark, out_dir):
     assert 1 <= len(moved) <= 2
     state = {r["k"]: (r["v"], r["s"]) for r in changes.current_state(spark, out_dir, "S").collect()}
     assert len(state) == 41 and state[3] == (2, "b") and state[99] == (1, "new") and state[7] == (1, "a")
+
+
+def test_failing_refresh_skips_its_export_and_not_the_others(spark, out_dir):
+    from claimsflow.plans import batch
+    from tests import fixture as fx
+
+    def broken(_t):
+        raise RuntimeError("boom")
+    reports = [batch.Report("BROKEN", "broken.csv", broken, lambda df: []),
+               *batch.standard_reports(fx.AS_OF)[1:2]]
+    rows = {r["report"]: r for r in batch.run(spark, fx.tables(spark), reports, out_dir).collect()}
+    assert rows["BROKEN"]["ok"] is False and rows["BROKEN"]["error"].startswith("refresh: boom")
+    assert rows["REPORT012"]["ok"] and rows["REPORT012"]["rows"] == 3
+    import os
+    assert not os.path.exists(f"{out_dir}/reports/broken.csv")
+    assert batch.run(spark, fx.tables(spark), [], out_dir).count() == 0
+
+
+def test_unhealthy_copy_stops_the_run(spark, out_dir):
+    import pytest
+    from claimsflow.plans import batch
+    with pytest.raises(batch.ReplicationUnhealthy):
+        batch.run(spark, {}, [], out_dir, verdict={"healthy": False, "lsn_ok": False, "summary": "x"},
+                  ignore_rowcount_mismatch=True)
+
+
+def test_hot_submission_join_is_split(spark):
+    """One submission holds a third of all claims: AQE splits its partition."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 3000
+        subs = [sub(f"S{i}") for i in range(200)]
+        claims = [claim(f"C{i}", "S0" if i % 3 == 0 else f"S{i % 200}") for i in range(n)]
+        t = tables(spark, subs, claims, [])
+        df = combined.combined_extract(t, "2025-11-03")
+        assert len(df.collect()) == n
+        final = df._jdf.queryExecution().executedPlan().toString()
+        assert "isSkewJoin=true" in final or "skew=true" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
