@@ -7,7 +7,6 @@ Ids are one digit repeated in UUID form.  Columns not given are null.
 from __future__ import annotations
 
 import datetime as dt
-from decimal import Decimal  # noqa: F401  (kept for readers building variants)
 
 from pyspark.sql import DataFrame, SparkSession
 
