@@ -42,7 +42,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` is set by the deployment and points
     at shared storage; it is only filled in here when unset (local tests).
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    conf_dir = (spark.conf.get("spark.checkpoint.dir", None)
+                or sc.getConf().get("spark.checkpoint.dir", None)
+                or sc.getCheckpointDir())
     if not conf_dir:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")

@@ -4,6 +4,7 @@ and its two replication-check cases."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from claimsflow.operators import reconcile
@@ -12,13 +13,20 @@ from tests import fixture
 
 
 def _read(path):
-    with open(path, encoding="utf-8") as f:
-        return f.read().splitlines()
+    import glob
+    import os
+    files = sorted(glob.glob(f"{path}/part-*")) if os.path.isdir(path) else [path]
+    text = ""
+    for p in files:
+        with open(p, encoding="utf-8") as f:
+            text += f.read()
+    return text.splitlines()
 
 
-def test_three_reports_match_goldens(spark, out_dir):
+@pytest.mark.parametrize("single_file", [True, False])
+def test_three_reports_match_goldens(spark, out_dir, single_file):
     t = fixture.tables(spark)
-    status = batch.run(spark, t, batch.standard_reports(fixture.AS_OF), out_dir)
+    status = batch.run(spark, t, batch.standard_reports(fixture.AS_OF), out_dir, single_file=single_file)
     got = {r["report"]: r for r in status.collect()}
     assert all(r["ok"] for r in got.values()), got
     assert got["REPORT000"]["rows"] == 2 and got["REPORT012"]["rows"] == 3 and got["REPORT013"]["rows"] == 2
