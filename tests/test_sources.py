@@ -29,3 +29,26 @@ def test_snapshot_roundtrip_and_schema_guard(spark, out_dir):
     t["claim"].drop("version").write.mode("overwrite").parquet(f"{out_dir}/claim")
     with pytest.raises(snapshot.SchemaMismatch):
         snapshot.read_table(spark, out_dir, "claim")
+
+
+def test_nightly_command_on_a_snapshot(spark, out_dir):
+    import datetime as dt
+
+    from claimsflow.__main__ import main
+    from tests.fixture import AS_OF, T
+    t = fixture_tables(spark)
+    snapshot.write_snapshot(t, f"{out_dir}/replica")
+    day = AS_OF - dt.timedelta(days=1)
+    rows = [(f"claims.{n}", day, r, u, "0/16B6C40", T) for n, (r, u) in {
+        "claim": (2, 1), "client": (2, 1), "claim_summary_fee": (2, 2), "submission": (0, 0),
+        "bulk_submission": (0, 0), "claim_case": (2, 0), "calculated_fee_detail": (4, 0)}.items()]
+    spark.createDataFrame(rows, SCHEMAS["replication_summary"]).write.parquet(
+        f"{out_dir}/replica/replication_summary")
+    code = main(["--snapshot", f"{out_dir}/replica", "--out", f"{out_dir}/out", "--as-of", AS_OF.isoformat(),
+                 "--current-lsn", "0/16B6C50", "--single-file"])
+    assert code == 0
+    with open(f"{out_dir}/out/reports/report_013.csv", encoding="utf-8") as f:
+        assert f.read().splitlines()[2] == "OA001,CRIME,8000.00,0.00"
+    bad = main(["--snapshot", f"{out_dir}/replica", "--out", f"{out_dir}/out2", "--as-of", AS_OF.isoformat(),
+                "--current-lsn", "0/1"])
+    assert bad == 2
