@@ -31,6 +31,8 @@ def main(argv: list[str] | None = None) -> int:
     src.add_argument("--jdbc-url", help="PostgreSQL replica")
     ap.add_argument("--user")
     ap.add_argument("--password-env", default="PGPASSWORD")
+    ap.add_argument("--publication", help="publication whose tables the copy must hold (JDBC)")
+    ap.add_argument("--subscription", help="subscription whose LSN is current (JDBC)")
     ap.add_argument("--out", required=True, help="shared output root (store + reports/)")
     ap.add_argument("--as-of", default=dt.date.today().isoformat())
     ap.add_argument("--current-lsn", help="current subscription LSN (read from the catalog over JDBC)")
@@ -50,8 +52,8 @@ def main(argv: list[str] | None = None) -> int:
                  "driver": "org.postgresql.Driver"}
         tables = jdbc.read_tables(spark, args.jdbc_url, REPORT_TABLES, props)
         summary = jdbc.read_table(spark, args.jdbc_url, reconcile.SUMMARY_TABLE, props, partitions=1)
-        expected = jdbc.publication_tables(spark, args.jdbc_url, props)
-        current = args.current_lsn or jdbc.current_lsn(spark, args.jdbc_url, props)
+        expected = jdbc.publication_tables(spark, args.jdbc_url, props, args.publication)
+        current = args.current_lsn or jdbc.current_lsn(spark, args.jdbc_url, props, args.subscription)
 
     verdict = reconcile.health(spark, tables, summary, current, as_of, expected=expected).first().asDict()
     print(verdict["summary"])

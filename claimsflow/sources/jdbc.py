@@ -48,16 +48,14 @@ def read_tables(spark: SparkSession, url: str, tables, properties: dict, **kw) -
     return {t: read_table(spark, url, t, properties, **kw) for t in tables}
 
 
-def current_lsn(spark: SparkSession, url: str, properties: dict,
-                subscription: str = "claims_reporting_service_sub") -> str | None:
+def current_lsn(spark: SparkSession, url: str, properties: dict, subscription: str) -> str | None:
     q = (f"(SELECT latest_end_lsn::text AS lsn FROM pg_stat_subscription "
          f"WHERE subname = '{subscription}') AS s")
     row = spark.read.jdbc(url, q, properties=properties).first()
     return None if row is None else row["lsn"]
 
 
-def publication_tables(spark: SparkSession, url: str, properties: dict,
-                       publication: str = "claims_reporting_service_pub") -> DataFrame:
+def publication_tables(spark: SparkSession, url: str, properties: dict, publication: str) -> DataFrame:
     """SRC-3 from the catalog: ``schema.table`` of the publication, without
     the summary table itself."""
     q = (f"(SELECT schemaname || '.' || tablename AS full_table_name FROM pg_publication_tables "
