@@ -31,27 +31,39 @@ def _amount_per_claim(fee: DataFrame, zero_nulls: bool) -> DataFrame:
     return fee.groupBy("claim_id").agg(F.sum(amount).alias("claim_amount"))
 
 
-def fee_totals(claim: DataFrame, fee: DataFrame, chosen: DataFrame) -> DataFrame:
-    """AGG-2 + JN-5: REP012's SUM(COALESCE(total_amount, 0)) over every fee
-    detail of every claim (any status) of the chosen submissions.
-
-    Inner join: a submission without any fee detail gets no row here.
-    """
-    claims = claims_of(claim.select(F.col("id").alias("claim_id"), "submission_id"), chosen)
+def fee_totals_by_submission(claim: DataFrame, fee: DataFrame) -> DataFrame:
+    """SUM(COALESCE(total_amount, 0)) over every fee detail of every claim (any
+    status), per submission; submissions without fee details get no row.
+    Claims are shuffled once, by claim id, to meet the per-claim sums."""
+    claims = claim.select(F.col("id").alias("claim_id"), "submission_id")
     per_claim = _amount_per_claim(fee, zero_nulls=True)
     return (claims.join(per_claim, "claim_id", "inner")
             .groupBy("submission_id")
             .agg(F.sum("claim_amount").alias("total_fee")))
 
 
+def fee_totals(claim: DataFrame, fee: DataFrame, chosen: DataFrame) -> DataFrame:
+    """AGG-2 + JN-5 + JN-3: REP012's fee totals of the chosen submissions.
+    The semi join restricts the per-submission sums (one row per submission),
+    not the claim table."""
+    return claims_of(fee_totals_by_submission(claim, fee), chosen)
+
+
+def valid_totals_by_submission(claim: DataFrame, fee: DataFrame) -> DataFrame:
+    """SUM(total_amount) over every VALID claim's fee details, per submission
+    (null when there is nothing to sum).  Claims are shuffled once, by claim
+    id, to meet the per-claim sums; the per-submission sum is then partially
+    aggregated, so a submission with a third of all claims is pre-summed on
+    every map task."""
+    valid = claim.where(F.col("status") == VALID).select(F.col("id").alias("claim_id"), "submission_id")
+    per_claim = _amount_per_claim(fee, zero_nulls=False)
+    return (valid.join(per_claim, "claim_id", "left")
+            .groupBy("submission_id")
+            .agg(F.sum("claim_amount").alias("total_amount")))
+
+
 def submission_totals(current: DataFrame, claim: DataFrame, fee: DataFrame) -> DataFrame:
     """AGG-3 + JN-6: REP013's SUM(total_amount) over VALID claims' fee details,
     null when nothing is summed; every current submission keeps a row."""
     keys = current.select(F.col("id").alias("submission_id"))
-    valid = claim.where(F.col("status") == VALID).select(F.col("id").alias("claim_id"), "submission_id")
-    valid = valid.join(keys, "submission_id", "left_semi")
-    per_claim = _amount_per_claim(fee, zero_nulls=False)
-    per_sub = (valid.join(per_claim, "claim_id", "left")
-               .groupBy("submission_id")
-               .agg(F.sum("claim_amount").alias("total_amount")))
-    return keys.join(per_sub, "submission_id", "left")
+    return keys.join(valid_totals_by_submission(claim, fee), "submission_id", "left")
