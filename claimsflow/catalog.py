@@ -79,14 +79,25 @@ def snapshot_root(spark: SparkSession, sf_dir: str) -> str:
     if root is None:
         root = f"{export.default_root(spark)}/snapshot-{uuid.uuid4().hex}"
         snapshot.write_snapshot(testbed.claims_tables(spark, sf_dir), root)
-        # the source side's daily summaries, stored with the copy as in the replica
-        day, _, _ = recon.day_bounds(dt.date.fromisoformat(testbed.AS_OF))
-        summary = testbed.replication_summaries(snapshot.read_tables(spark, root), day)
-        snapshot.write_snapshot({recon.SUMMARY_TABLE: summary}, root)
         _SNAPSHOTS[key] = root
     return root
 
 
+_SUMMARIES: set[str] = set()
+
+
+def summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source side's daily summaries, stored with the copy as in the
+    replica (written on first use, from the stored claims tables)."""
+    root = snapshot_root(spark, sf_dir)
+    if root not in _SUMMARIES:
+        day, _, _ = recon.day_bounds(dt.date.fromisoformat(testbed.AS_OF))
+        summary = testbed.replication_summaries(tables(spark, sf_dir), day)
+        snapshot.write_snapshot({recon.SUMMARY_TABLE: summary}, root)
+        _SUMMARIES.add(root)
+    return snapshot.read_table(spark, root, recon.SUMMARY_TABLE)
+
+
 _TABLES: dict[str, dict[str, DataFrame]] = {}
 
 
@@ -321,8 +332,7 @@ def _recon_inputs(spark, sf_dir):
     t = tables(spark, sf_dir)
     as_of = dt.date.fromisoformat(testbed.AS_OF)
     day, _, _ = recon.day_bounds(as_of)
-    summary = snapshot.read_table(spark, snapshot_root(spark, sf_dir), recon.SUMMARY_TABLE)
-    return t, as_of, day, summary
+    return t, as_of, day, summary_table(spark, sf_dir)
 
 
 @query("daily_table_summary")
