@@ -275,3 +275,13 @@ def test_hot_submission_join_is_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_matrix_keeps_case_variant_periods_apart(spark):
+    t = tables(spark, [sub("S1", period="APR-2025"), sub("S2", period="apr-2025", office="OA002"),
+                       sub("S3", period="MAY`2025", office="OA003")],
+               [claim("C1", "S1"), claim("C2", "S2")], [fee("F1", "C1", "1"), fee("F2", "C2", "2")])
+    m = monthly_matrix.monthly_matrix(t)
+    assert m.columns[2:] == ["APR-2025", "apr-2025", "MAY`2025"]
+    rows = {r[0]: tuple(r[2:]) for r in m.collect()}
+    assert rows == {"OA001": ("1.00", "", ""), "OA002": ("", "2.00", ""), "OA003": ("", "", "0.00")}
