@@ -20,7 +20,7 @@ from pyspark.sql import SparkSession
 from claimsflow.operators import reconcile
 from claimsflow.plans import batch
 from claimsflow.schemas import REPORT_TABLES
-from claimsflow.session import configure
+from claimsflow.session import configure, tune_for_input
 from claimsflow.sources import jdbc, snapshot
 
 
@@ -43,6 +43,10 @@ def main(argv: list[str] | None = None) -> int:
     spark = configure(SparkSession.builder.appName("claimsflow-nightly").getOrCreate())
     as_of = dt.date.fromisoformat(args.as_of)
     if args.snapshot:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(args.snapshot)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        tune_for_input(spark, fs.getContentSummary(path).getLength())
         tables = snapshot.read_tables(spark, args.snapshot)
         summary = snapshot.read_table(spark, args.snapshot, reconcile.SUMMARY_TABLE)
         expected = reconcile.expected_tables(spark, REPORT_TABLES)

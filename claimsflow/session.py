@@ -29,6 +29,30 @@ RUNTIME_CONF = {
 }
 
 
+def tune_for_input(spark: SparkSession, input_bytes: int,
+                   target_partition_bytes: int = 128 * 1024 ** 2) -> dict:
+    """Size shuffles and scan splits for a run over ``input_bytes`` of input.
+
+    AQE starts from ``initialPartitionNum`` shuffle partitions of about
+    ``target_partition_bytes`` each and coalesces the small ones, so a
+    partition fits in an executor's memory at full scale (at 100 TB: ~800k
+    partitions of 128 MB before coalescing) while a small run is not split
+    into thousands of empty tasks.  Settings a deployment already fixed are
+    left alone."""
+    partitions = max(200, min(1_000_000, -(-input_bytes // target_partition_bytes)))
+    wanted = {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(2 * target_partition_bytes),
+    }
+    applied = {}
+    for key, value in wanted.items():
+        if spark.conf.get(key, None) in (None, ""):
+            spark.conf.set(key, value)
+            applied[key] = value
+    return applied
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
