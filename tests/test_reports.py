@@ -285,3 +285,14 @@ def test_matrix_keeps_case_variant_periods_apart(spark):
     assert m.columns[2:] == ["APR-2025", "apr-2025", "MAY`2025"]
     rows = {r[0]: tuple(r[2:]) for r in m.collect()}
     assert rows == {"OA001": ("1.00", "", ""), "OA002": ("", "2.00", ""), "OA003": ("", "", "0.00")}
+
+
+def test_day_period_fails_the_matrix_unless_lenient(spark):
+    import pytest
+    t = tables(spark, [sub("S1", period="APR-2025"), sub("S2", period="2025-04-01", office="OA002")],
+               [claim("C1", "S1")], [fee("F1", "C1", "1")])
+    with pytest.raises(Exception):
+        monthly_matrix.monthly_matrix(t).collect()
+    m = monthly_matrix.monthly_matrix(t, on_bad_period="null")
+    assert m.columns[2:] == ["APR-2025", "2025-04-01"]  # null year sorts last (D7)
+    assert {r[0]: tuple(r[2:]) for r in m.collect()} == {"OA001": ("1.00", ""), "OA002": ("", "0.00")}
