@@ -34,8 +34,10 @@ def csv_field(value: Column) -> Column:
 
 
 def csv_lines(df: DataFrame) -> DataFrame:
-    """SNK-3: one ``line`` per row, fields in column order."""
-    return df.select(F.concat_ws(",", *[csv_field(F.col(f"`{c}`")) for c in df.columns]).alias("line"))
+    """SNK-3: one ``line`` per row, fields in column order (taken by
+    position, so headers that differ only in case stay apart)."""
+    pos = df.toDF(*[f"_f{i}" for i in range(len(df.columns))])
+    return pos.select(F.concat_ws(",", *[csv_field(F.col(c)) for c in pos.columns]).alias("line"))
 
 
 def header_line(columns: list[str]) -> str:

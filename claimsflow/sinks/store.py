@@ -10,6 +10,7 @@ export reads the stored columns rather than recomputing the report.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,10 +59,19 @@ def switch_pointer(spark: SparkSession, folder: str, target: str) -> None:
         raise OSError(f"could not switch {folder} to {target}")
 
 
+COLUMNS_FILE = "_columns.json"
+
+
 def refresh(spark: SparkSession, df: DataFrame, store: str, name: str) -> str:
-    """Recompute ``df`` into a new run folder and switch the pointer to it."""
+    """Recompute ``df`` into a new run folder and switch the pointer to it.
+
+    Report columns are kept by position in the files (``c0``, ``c1``, ...) and
+    their names in a small sidecar: report headers may differ only in case
+    (two period texts), which PostgreSQL keeps apart and Spark's
+    case-insensitive column matching would not."""
     run = f"{store}/{name}/run-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(run)
+    df.toDF(*[f"c{i}" for i in range(len(df.columns))]).write.mode("errorifexists").parquet(run)
+    _write_text(spark, f"{run}/{COLUMNS_FILE}", json.dumps(df.columns))
     switch_pointer(spark, f"{store}/{name}", run)
     return run
 
@@ -71,4 +81,5 @@ def current(spark: SparkSession, store: str, name: str) -> DataFrame:
     run = _read_text(spark, f"{store}/{name}/{POINTER}")
     if run is None:
         raise FileNotFoundError(f"no stored result for {name}")
-    return spark.read.parquet(run)
+    names = json.loads(_read_text(spark, f"{run}/{COLUMNS_FILE}"))
+    return spark.read.parquet(run).toDF(*names)

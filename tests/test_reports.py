@@ -296,3 +296,15 @@ def test_day_period_fails_the_matrix_unless_lenient(spark):
     m = monthly_matrix.monthly_matrix(t, on_bad_period="null")
     assert m.columns[2:] == ["APR-2025", "2025-04-01"]  # null year sorts last (D7)
     assert {r[0]: tuple(r[2:]) for r in m.collect()} == {"OA001": ("1.00", ""), "OA002": ("", "0.00")}
+
+
+def test_case_variant_periods_survive_store_and_export(spark, out_dir):
+    t = tables(spark, [sub("S1", period="APR-2025"), sub("S2", period="apr-2025", office="OA002")],
+               [claim("C1", "S1")], [fee("F1", "C1", "1")])
+    store.refresh(spark, monthly_matrix.monthly_matrix(t), f"{out_dir}/store", "R13")
+    stored = store.current(spark, f"{out_dir}/store", "R13")
+    assert stored.columns[2:] == ["APR-2025", "apr-2025"]
+    info = export.publish(spark, stored, out_dir, "m.csv", monthly_matrix.sort_keys(stored))
+    with open(info["path"], encoding="utf-8") as f:
+        assert f.read().splitlines() == ['"Provider Office Account Number","Area of Law",APR-2025,apr-2025',
+                                         "OA001,CIVIL,1.00,", "OA002,CIVIL,,0.00"]
