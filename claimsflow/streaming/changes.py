@@ -82,22 +82,27 @@ def current_state(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def _merge(spark: SparkSession, changes: DataFrame, root: str, name: str, key: list[str],
            version: list[str], buckets: int) -> None:
-    reduced = latest_per_key(changes, key, version).withColumn("_bucket", _bucket(key, buckets))
-    folder = f"{root}/{name}/batch-{uuid.uuid4().hex}"
-    m = _manifest(spark, root, name)
-    if m is None:
-        m = {"schema": reduced.drop("_bucket").schema.jsonValue(), "buckets": {}}
-    # the touched bucket numbers: at most ``buckets`` small ints
-    touched = [r[0] for r in reduced.select("_bucket").distinct().collect()]
-    old_paths = [m["buckets"][str(b)] for b in touched if str(b) in m["buckets"]]
-    merged = reduced.drop("_bucket")
-    if old_paths:
-        old = spark.read.schema(T.StructType.fromJson(m["schema"])).parquet(*old_paths)
-        merged = apply_changes(old, merged, key, version)
-    _write_buckets(merged, folder, key, buckets)
-    for b in touched:
-        m["buckets"][str(b)] = f"{folder}/_bucket={b}"
-    _switch(spark, root, name, m)
+    # the batch is used twice (touched buckets, then the merge): keep its
+    # one-row-per-key reduction for the batch; a lost executor recomputes it
+    reduced = latest_per_key(changes, key, version).withColumn("_bucket", _bucket(key, buckets)).persist()
+    try:
+        folder = f"{root}/{name}/batch-{uuid.uuid4().hex}"
+        m = _manifest(spark, root, name)
+        if m is None:
+            m = {"schema": reduced.drop("_bucket").schema.jsonValue(), "buckets": {}}
+        # the touched bucket numbers: at most ``buckets`` small ints
+        touched = [r[0] for r in reduced.select("_bucket").distinct().collect()]
+        old_paths = [m["buckets"][str(b)] for b in touched if str(b) in m["buckets"]]
+        merged = reduced.drop("_bucket")
+        if old_paths:
+            old = spark.read.schema(T.StructType.fromJson(m["schema"])).parquet(*old_paths)
+            merged = apply_changes(old, merged, key, version)
+        _write_buckets(merged, folder, key, buckets)
+        for b in touched:
+            m["buckets"][str(b)] = f"{folder}/_bucket={b}"
+        _switch(spark, root, name, m)
+    finally:
+        reduced.unpersist()
 
 
 def start_copy(spark: SparkSession, initial: DataFrame, root: str, name: str,
