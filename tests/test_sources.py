@@ -52,3 +52,23 @@ def test_nightly_command_on_a_snapshot(spark, out_dir):
     bad = main(["--snapshot", f"{out_dir}/replica", "--out", f"{out_dir}/out2", "--as-of", AS_OF.isoformat(),
                 "--current-lsn", "0/1"])
     assert bad == 2
+
+
+def test_tune_for_input_sizes_partitions_and_keeps_fixed_settings(spark):
+    from claimsflow.session import tune_for_input
+    keys = ["spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64m")  # fixed by the deployment
+        applied = tune_for_input(spark, 100 * 1024 ** 4)
+        assert applied["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == str(800 * 1024)
+        assert "spark.sql.files.maxPartitionBytes" not in applied
+        assert tune_for_input(spark, 1) == {}  # already set now: left alone
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+        assert tune_for_input(spark, 1)["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "200"
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
