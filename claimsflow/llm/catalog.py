@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from claimsflow.llm.decontaminate import op5_decontaminate
+from claimsflow.llm.language import language_of_pages, op6_language_id
+from claimsflow.llm.near_duplicates import op3_jaccard_join
+from claimsflow.llm.pii import op8_pii
 from claimsflow.llm.quality import op7_quality_rules
 from claimsflow.llm.toxicity import op10_toxicity
 
-QUERIES = {f.__name__: f for f in (op7_quality_rules, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op3_jaccard_join, op5_decontaminate, op6_language_id, op7_quality_rules, op8_pii, op10_toxicity,
+                                   language_of_pages)}
 
 SQL: dict[str, str] = {}

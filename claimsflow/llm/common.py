@@ -95,3 +95,74 @@ def window_hashes(h: np.ndarray, n: int) -> np.ndarray:
         for k in range(n):
             out = (out ^ (out >> _ROT)) * _MIX + h[k:len(h) - n + 1 + k]
     return mix(out)
+
+
+#: Bytes of text that are worked on at once (one text more where it is longer).
+BLOCK_BYTES = 1 << 21
+_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+_BASE = 0x5851F42D4C957F2D  # odd, so it has an inverse modulo 2**64
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    steps = np.full(n, base % 2**64, np.uint64)
+    steps[0] = 1
+    with np.errstate(over="ignore"):
+        return np.cumprod(steps)
+
+
+class _Powers:
+    """Powers of the base and of its inverse, as many as were asked for."""
+
+    up = down = np.zeros(0, np.uint64)
+
+    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            size = max(n, BLOCK_BYTES)
+            self.up, self.down = _powers(_BASE, size), _powers(pow(_BASE, -1, 2**64), size)
+        return self.up, self.down
+
+
+_POWERS = _Powers()
+
+
+def run_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes from each ``start`` to its ``end`` (exclusive): a
+    polynomial over scrambled byte values, equal for equal bytes anywhere."""
+    up, down = _POWERS.get(len(data) + 1)
+    prefix = np.zeros(len(data) + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        np.cumsum(_BYTE[data] * up[:len(data)], out=prefix[1:])
+        return mix((prefix[end] - prefix[start]) * down[start])
+
+
+def blocks(texts: list[bytes], limit: int = BLOCK_BYTES):
+    """Runs ``(first, last)`` of texts that hold about ``limit`` bytes together."""
+    first, size = 0, 0
+    for k, t in enumerate(texts):
+        if k > first and size + len(t) > limit:
+            yield first, k
+            first, size = k, 0
+        size += len(t)
+    if first < len(texts):
+        yield first, len(texts)
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends (exclusive) of the runs of true."""
+    edge = np.diff(np.concatenate([[False], mask, [False]]).astype(np.int8))
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+def split_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the white-space separated words (A-Z lower-cased) of all
+    texts, and the text number of each."""
+    data = _LOWER[np.frombuffer(b"\n".join([*texts, b""]), np.uint8)]
+    start, end = runs(~_SPACE[data])
+    size = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    return run_hashes(data, start, end), np.searchsorted(np.cumsum(size), start, "right")
