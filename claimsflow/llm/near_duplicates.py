@@ -303,8 +303,8 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def join(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_key, class_id, n_links, n_copies``: one row per row of
-    ``docs``.  ``n_links``: linked nodes (different shingle sets); ``n_copies``: rows
+    """``doc_id, text_key, class_key, class_id, n_links, n_copies``: one row per
+    row of ``docs``; ``class_key`` is null for texts without words.  ``n_links``: linked nodes (different shingle sets); ``n_copies``: rows
     with the same set, itself included."""
     spark = docs.sparkSession
     sketched = common.stored(sketches(docs), "sketches")
@@ -331,27 +331,23 @@ def join(docs: DataFrame) -> DataFrame:
     named = reps.join(classes, "node", "left").join(links, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("class_id"))
-    named = named.join(smallest, "root").select("node", "class_id", "n_copies", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    named = named.join(smallest, "root").select("node", "root", "class_id", "n_copies", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     alone = F.col("node").isNull()
     return sketched.select("doc_id", "text_key", "node").join(named, "node", "left").select(
-        "doc_id", "text_key", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
-        alone.alias("no_words"))
+        "doc_id", "text_key", F.hex("root").alias("class_key"), F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each class: the one that names it, and of
-    its repeated rows one.  Texts without words all stay."""
-    joined = common.stored(join(docs), "classes")
-    staying = joined.where("NOT no_words AND doc_id = class_id").groupBy("doc_id").agg(F.min("text_key").alias("key"))
-    columns = docs.columns
+    """``docs`` with one document of each class: the smallest id (null last),
+    and of its rows one.  Texts without words all stay."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("s")
+    staying = join(docs).where("class_key IS NOT NULL").groupBy("class_key").agg(first)
+    staying = common.stored(staying.select("s.doc_id", "s.text_key").distinct(), "staying")
     marked = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_key": F.md5("text")})
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    kept = (marked.where(worded).join(staying, (F.col("_id") == staying["doc_id"]) & (F.col("_key") == staying["key"]), "left_semi")
-            .dropDuplicates(["_id", "_key"]))
-    nameless = marked.where(worded & F.col("_id").isNull())
-    nameless = nameless.join(joined.where("class_id IS NULL AND NOT no_words").select("text_key").distinct(), F.col("_key") == F.col("text_key"), "left_semi")
-    return kept.unionByName(nameless).unionByName(marked.where(~worded)).select(*columns)
+    kept = marked.where(worded).join(staying, F.col("_id").eqNullSafe(staying["doc_id"]) & (F.col("_key") == staying["text_key"]), "left_semi")
+    return kept.dropDuplicates(["_id", "_key"]).unionByName(marked.where(~worded)).drop("_id", "_key")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
