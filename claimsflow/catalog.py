@@ -11,7 +11,6 @@ added to it the first time a check needs them.
 from __future__ import annotations
 
 import datetime as dt
-import os
 import uuid
 from collections.abc import Callable
 
@@ -64,13 +63,16 @@ def stable(df: DataFrame) -> DataFrame:
 _SNAPSHOTS: dict[tuple, str] = {}
 
 
-def _source_stamp(sf_dir: str) -> tuple:
+def _source_stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Size and time of the input tables, on whatever file system they are."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     stamp = []
     for name in testbed.DRIVER_TABLES:
-        p = os.path.join(sf_dir, f"{name}.parquet")
-        if os.path.exists(p):
-            st = os.stat(p)
-            stamp.append((name, st.st_size, st.st_mtime_ns))
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            st = fs.getFileStatus(p)
+            stamp.append((name, fs.getContentSummary(p).getLength(), st.getModificationTime()))
     return tuple(stamp)
 
 
@@ -78,7 +80,7 @@ def snapshot_root(spark: SparkSession, sf_dir: str) -> str:
     """The claims tables shaped from ``sf_dir``, written once per session as a
     parquet snapshot in the shared checkpoint folder (as the replica would
     hold them) and re-read by every query from there."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), _source_stamp(sf_dir))
+    key = (spark.sparkContext.applicationId, str(sf_dir), _source_stamp(spark, sf_dir))
     root = _SNAPSHOTS.get(key)
     if root is None:
         root = f"{export.default_root(spark)}/snapshot-{uuid.uuid4().hex}"
@@ -133,7 +135,7 @@ def q_rep013_long(spark, sf_dir):
 
 @query("rep013_monthly_matrix")
 def q_rep013_matrix(spark, sf_dir):
-    return rep013.monthly_matrix(tables(spark, sf_dir))
+    return rep013.cells(rep013.monthly_matrix(tables(spark, sf_dir)))
 
 
 # ------------------------------------------------------------ period functions
@@ -389,7 +391,7 @@ def q_recon_failures(spark, sf_dir):
 @query("recon_health_report")
 def q_health(spark, sf_dir):
     t, as_of, _, summary = _recon_inputs(spark, sf_dir)
-    return recon.health(spark, t, summary, testbed.CURRENT_LSN, as_of)
+    return recon.health(spark, t, summary, testbed.CURRENT_LSN, as_of, recon.expected_tables(spark, t.keys()))
 
 
 # ------------------------------------------------------------ table contract checks
@@ -465,7 +467,7 @@ def q_refresh_report(spark, sf_dir):
 def q_refresh_matrix(spark, sf_dir):
     root = _store_root(spark)
     store.refresh(spark, rep013.monthly_matrix(tables(spark, sf_dir)), root, "REPORT013")
-    return store.current(spark, root, "REPORT013")
+    return rep013.cells(store.current(spark, root, "REPORT013"))
 
 
 @query("batch_run_status")
@@ -474,7 +476,8 @@ def q_batch(spark, sf_dir):
     deliberately incomplete (one count off, one summary missing) and the LSN
     is fine, so the run goes ahead only because the mismatch flag is set."""
     t, as_of, _, summary = _recon_inputs(spark, sf_dir)
-    verdict = recon.health(spark, t, summary, testbed.CURRENT_LSN, as_of).first().asDict()
+    verdict = recon.health(spark, t, summary, testbed.CURRENT_LSN, as_of,
+                           recon.expected_tables(spark, t.keys())).first().asDict()
     status = batch.run(spark, t, batch.standard_reports(as_of), export.default_root(spark),
                        verdict=verdict, ignore_rowcount_mismatch=True)
     return status.select("report", "ok", "rows")

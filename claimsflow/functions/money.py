@@ -5,16 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Working type for amounts read from NUMERIC text: exact, 6 decimals kept.
-AMOUNT = "decimal(22,6)"
-MONEY = "decimal(18,2)"
+# Working type for amounts read from NUMERIC text: exact, 20 digits before the
+# point and 18 after it.
+AMOUNT = "decimal(38,18)"
+MONEY = "decimal(38,2)"
+# Types of the two VAT factors: their exact product (with 1/100) has 38 digits.
+VAT_AMOUNT = "decimal(25,8)"
+VAT_RATE = "decimal(9,4)"
 # Fixed pattern of the reference: a plain decimal number, optional sign.
 NUMBER_TEXT = r"^[\s+-]?\d+(\.\d+)?\z"
 
 
 def num(c: Column) -> Column:
-    """NUMERIC text -> exact decimal; 'NaN' or junk -> null (never a failure)."""
-    return c.try_cast(AMOUNT)
+    """NUMERIC text -> exact decimal.  Text that is no number, ``NaN`` and numbers
+    that do not fit raise: an amount never silently becomes null or 0."""
+    return c.cast(AMOUNT)
+
+
+def _exactly(text: Column, kind: str) -> Column:
+    """``text`` as ``kind``; raises where that would lose a digit."""
+    narrow = text.cast(kind)
+    return F.when(text.isNull() | (num(text) == narrow), narrow).otherwise(
+        F.raise_error(F.concat(F.lit(f"not exact as {kind}: "), text)).cast(kind))
 
 
 def money2(c: Column) -> Column:
@@ -30,10 +42,11 @@ def guarded_money(text: Column) -> Column:
 
 def vat_text(amount_text: Column, rate_text: Column) -> Column:
     """MTH-2: ROUND(amount * rate / 100, 2) as text when both are present."""
-    amount, rate = num(amount_text), num(rate_text)
+    amount = _exactly(amount_text, VAT_AMOUNT)
+    share = _exactly(rate_text, VAT_RATE) * F.lit("0.01").cast("decimal(2,2)")
     return F.coalesce(
         F.when(rate_text.isNotNull() & amount_text.isNotNull(),
-               money2(amount * rate / 100).cast("string")),
+               money2(amount * share).cast("string")),
         F.lit(""))
 
 
@@ -43,5 +56,6 @@ def month_total(is_nil: Column, total: Column) -> Column:
 
 
 def cell_text(value: Column) -> Column:
-    """MTH-4/5: COALESCE(ROUND(v,2)::TEXT, ''), the matrix cell as NUMERIC(12,2)."""
+    """MTH-4/5: COALESCE(ROUND(v,2)::TEXT, ''), the matrix cell as NUMERIC(12,2)
+    (a larger value raises, as there)."""
     return F.coalesce(F.round(value, 2).cast("decimal(12,2)").cast("string"), F.lit(""))

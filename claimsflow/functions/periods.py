@@ -70,7 +70,7 @@ def month_order(period: Column) -> Column:
 def year_order(period: Column, on_bad_period: str = "error") -> Column:
     """DT-10: ``SUBSTRING(p, 5)::INTEGER``.  ``2025-04`` gives -4; ``2025-04-01``
     fails like the database unless ``on_bad_period='null'`` (D7)."""
-    tail = F.substring(period, 5, 1 << 20)
+    tail = F.substr(period, F.lit(5))
     if on_bad_period == "error":
         return tail.cast("int")
     return tail.try_cast("int")

@@ -55,10 +55,13 @@ def valid_counts(claim: DataFrame, chosen: DataFrame) -> DataFrame:
     """AGG-1: per chosen submission, ``COUNT(*) FILTER (WHERE status='VALID')``.
 
     REP012 computes this and never prints it; it is kept as an operator only.
+    Claims are counted first (partial sums before the shuffle), then the
+    one-row-per-submission counts are restricted, so a hot submission never
+    goes whole through one task.
     """
-    return (claims_of(claim.select("submission_id", "status"), chosen)
-            .groupBy("submission_id")
-            .agg(F.count_if(F.col("status") == VALID).alias("valid_claim_count")))
+    counted = (claim.groupBy("submission_id")
+               .agg(F.count_if(F.col("status") == VALID).alias("valid_claim_count")))
+    return claims_of(counted, chosen)
 
 
 def current_submissions(sub: DataFrame) -> DataFrame:

@@ -26,11 +26,6 @@ RUNTIME_CONF = {
     # threshold stays at Spark's 10 MB default so nothing that grows with the
     # data is broadcast from a guess.
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
-    # REP000 rows are 133 columns (REP013 one per period): above Spark's default
-    # of 100 fields whole-stage codegen is switched off for the final stage and
-    # the projection runs interpreted.  Large expression lists are still split
-    # into small generated methods (methodSplitThreshold).
-    "spark.sql.codegen.maxFields": "1000",
 }
 
 

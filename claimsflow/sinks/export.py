@@ -33,7 +33,9 @@ MAX_SINGLE_FILE_BYTES = 5 * 1024 ** 3  # the reference's single-upload limit
 def csv_field(value: Column) -> Column:
     v = F.coalesce(value.cast("string"), F.lit(""))
     quoted = F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('""')), F.lit('"'))
-    return F.when((F.length(v) > QUOTE_LONGER_THAN) | v.rlike(NEEDS_QUOTES), quoted).otherwise(v)
+    # The length is in UTF-16 units: characters plus those beyond U+FFFF.
+    units = F.length(v) + F.length(F.regexp_replace(v, r"[\x{0}-\x{FFFF}]", ""))
+    return F.when((units > QUOTE_LONGER_THAN) | v.rlike(NEEDS_QUOTES), quoted).otherwise(v)
 
 
 def csv_lines(df: DataFrame) -> DataFrame:
@@ -45,12 +47,18 @@ def csv_lines(df: DataFrame) -> DataFrame:
 
 def header_line(columns: list[str]) -> str:
     def q(name: str) -> str:
-        if len(name) > QUOTE_LONGER_THAN or any(ord(ch) < 0x2D for ch in name):
+        if len(name.encode("utf-16-le")) // 2 > QUOTE_LONGER_THAN or any(ord(ch) < 0x2D for ch in name):
             return '"' + name.replace('"', '""') + '"'
         return name
     return ",".join(q(c) for c in columns)
 
 
+def part_number(name: str) -> int:
+    """The number in a part file's name; the name pads it to five digits only,
+    so names of 100,000 parts and more do not sort by number."""
+    return int(name.split("-")[1])
+
+
 def _jvm_fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -81,7 +89,7 @@ def concat_parts(spark: SparkSession, parts_dir: str, dest: str, header: str | N
     """
     fs, pdir, jvm = _jvm_fs(spark, parts_dir)
     statuses = sorted((s for s in fs.listStatus(pdir) if s.getPath().getName().startswith("part-")),
-                      key=lambda s: s.getPath().getName())
+                      key=lambda s: part_number(s.getPath().getName()))
     total = sum(s.getLen() for s in statuses)
     dfs, dpath, _ = _jvm_fs(spark, dest)
     if total == 0:
@@ -105,7 +113,7 @@ def concat_parts(spark: SparkSession, parts_dir: str, dest: str, header: str | N
     except Exception as e:  # noqa: BLE001 - local and object stores have no concat;
         # HDFS refuses some layouts: either way fall back to streaming below
         log.info("native concat unavailable for %s (%s); streaming the parts", dest,
-                 str(e).splitlines()[0][:200])
+                 e)
     if total > max_bytes:
         raise ValueError(f"report is {total} bytes, over the single-file limit {max_bytes}; "
                          f"publish with single_file=False")

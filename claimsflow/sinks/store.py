@@ -1,8 +1,9 @@
 """Stored report results with an all-or-nothing refresh (SNK-1, SNK-2).
 
-Each refresh writes a fresh run folder; only after the write has succeeded is
-the ``_CURRENT`` pointer replaced (write-then-rename).  Readers resolve the
-pointer and see the old or the new result, never a mix.  A report whose
+Each refresh writes a fresh run folder; only after the write has succeeded does
+a new numbered pointer ``_CURRENT.<n>`` appear (write, then rename).  Readers take
+the highest number and see the old or the new result, never a mix; the previous
+run stays until the next refresh.  A report whose
 columns change between runs (REP013) needs nothing special: each run folder
 carries its own schema.  Writing the result also cuts the lineage, so the
 export reads the stored columns rather than recomputing the report.
@@ -39,24 +40,57 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
         return None
     inp = fs.open(p)
     try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(inp, "UTF-8"))
-        return reader.readLine()
+        return jvm.org.apache.commons.io.IOUtils.toString(inp, "UTF-8")
     finally:
         inp.close()
 
 
+def _pointers(spark: SparkSession, folder: str) -> list[tuple[int, str]]:
+    """(number, path) of the complete pointer files, oldest first."""
+    fs, p, _ = _fs(spark, folder)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    numbered = [n for n in names if n.startswith(f"{POINTER}.") and n.rsplit(".", 1)[1].isdigit()]
+    return sorted((int(n.rsplit(".", 1)[1]), f"{folder}/{n}") for n in numbered)
+
+
+def pointed(spark: SparkSession, folder: str) -> str | None:
+    """What the newest pointer of ``folder`` names; None where nothing was ever
+    stored.  Data without a pointer raises: it is never taken for "no state yet"."""
+    found = _pointers(spark, folder)
+    if found:
+        return _read_text(spark, found[-1][1])
+    fs, p, _ = _fs(spark, folder)
+    if fs.exists(p) and any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p)):
+        raise OSError(f"{folder} holds data but no pointer; a first write was cut off: remove the folder or restore the pointer")
+    return None
+
+
 def switch_pointer(spark: SparkSession, folder: str, target: str) -> None:
-    """Make ``folder/_CURRENT`` name ``target`` (write a temp file, rename)."""
-    tmp = f"{folder}/{POINTER}.{uuid.uuid4().hex}"
+    """Make ``folder`` point to ``target``: the pointer with the next number is
+    written aside and renamed to a name that is not there yet.  Nothing is
+    deleted before; the pointers older than the previous one go afterwards."""
+    found = _pointers(spark, folder)
+    number = found[-1][0] + 1 if found else 1
+    tmp = f"{folder}/{POINTER}-{uuid.uuid4().hex}.tmp"
     _write_text(spark, tmp, target)
     fs, tmp_p, jvm = _fs(spark, tmp)
-    dst = jvm.org.apache.hadoop.fs.Path(f"{folder}/{POINTER}")
-    # rename over an existing file: delete-then-rename keeps the window to the
-    # pointer file only; readers retry on a missing pointer.
-    if fs.exists(dst):
-        fs.delete(dst, False)
-    if not fs.rename(tmp_p, dst):
+    dst = jvm.org.apache.hadoop.fs.Path(f"{folder}/{POINTER}.{number:012d}")
+    if fs.exists(dst) or not fs.rename(tmp_p, dst):
         raise OSError(f"could not switch {folder} to {target}")
+    for _, old in found[:-1]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(old), False)
+
+
+def prune_runs(spark: SparkSession, folder: str) -> None:
+    """Remove the run folders that no pointer names any more."""
+    kept = {_read_text(spark, path) for _, path in _pointers(spark, folder)}
+    fs, p, jvm = _fs(spark, folder)
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("run-") and f"{folder}/{name}" not in kept:
+            fs.delete(st.getPath(), True)
 
 
 COLUMNS_FILE = "_columns.json"
@@ -73,12 +107,13 @@ def refresh(spark: SparkSession, df: DataFrame, store: str, name: str) -> str:
     df.toDF(*[f"c{i}" for i in range(len(df.columns))]).write.mode("errorifexists").parquet(run)
     _write_text(spark, f"{run}/{COLUMNS_FILE}", json.dumps(df.columns))
     switch_pointer(spark, f"{store}/{name}", run)
+    prune_runs(spark, f"{store}/{name}")
     return run
 
 
 def current(spark: SparkSession, store: str, name: str) -> DataFrame:
     """SRC-4 without the ORDER BY: the stored result the pointer names."""
-    run = _read_text(spark, f"{store}/{name}/{POINTER}")
+    run = pointed(spark, f"{store}/{name}")
     if run is None:
         raise FileNotFoundError(f"no stored result for {name}")
     names = json.loads(_read_text(spark, f"{run}/{COLUMNS_FILE}"))

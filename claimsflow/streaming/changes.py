@@ -50,7 +50,7 @@ def _bucket(key: list[str], buckets: int):
 
 
 def _manifest(spark: SparkSession, root: str, name: str) -> dict | None:
-    text = store._read_text(spark, f"{root}/{name}/{store.POINTER}")
+    text = store.pointed(spark, f"{root}/{name}")
     if text is None:
         return None
     return json.loads(store._read_text(spark, text))
@@ -63,9 +63,8 @@ def _switch(spark: SparkSession, root: str, name: str, manifest: dict) -> None:
 
 
 def _write_buckets(df: DataFrame, folder: str, key: list[str], buckets: int) -> None:
-    # rows arrive hash-partitioned by key from the merge; every task writes its
-    # share of each bucket folder, so no bucket is funnelled through one task
-    df.withColumn("_bucket", _bucket(key, buckets)).write.partitionBy("_bucket").parquet(folder)
+    # One task writes one bucket: at most one file for each bucket and batch.
+    df.withColumn("_bucket", _bucket(key, buckets)).repartition(buckets, "_bucket").write.partitionBy("_bucket").parquet(folder)
 
 
 def current_state(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -40,7 +40,7 @@ def london_dmy(ts: str) -> str:
 
 
 def money_text(x: str) -> str:
-    return f"CAST(CAST(round({x}, 2) AS DECIMAL(18,2)) AS VARCHAR)"
+    return f"CAST(CAST(round({x}, 2) AS DECIMAL(36,2)) AS VARCHAR)"
 
 
 # ---------------------------------------------------------------- REP012
@@ -59,7 +59,7 @@ rep12_ranked AS (
 ),
 rep12_chosen AS (SELECT * FROM rep12_ranked WHERE rn = 1),
 rep12_totals AS (
-  SELECT c.submission_id, sum(COALESCE(TRY_CAST(f.total_amount AS DECIMAL(22,6)), 0)) AS total_fee
+  SELECT c.submission_id, sum(COALESCE(CAST(f.total_amount AS DECIMAL(34,8)), 0)) AS total_fee
   FROM claim c JOIN calculated_fee_detail f ON f.claim_id = c.id
   WHERE c.submission_id IN (SELECT submission_id FROM rep12_chosen)
   GROUP BY c.submission_id
@@ -69,7 +69,7 @@ SQL["rep012_original_values"] = with_testbed(REP012_CTES, """
 SELECT ch.office_account_number AS "Provider office account number",
        upper(strftime(ch.pdate, '%b-%Y')) AS "Submission month",
        ch.area_of_law AS "Area of law",
-       CAST(COALESCE(CAST(round(t.total_fee, 2) AS DECIMAL(18,2)), CAST(0 AS DECIMAL(18,2))) AS VARCHAR)
+       CAST(COALESCE(CAST(round(t.total_fee, 2) AS DECIMAL(36,2)), CAST(0 AS DECIMAL(36,2))) AS VARCHAR)
          AS "Original submission value",
        """ + london_dmy("ch.created_on") + """ AS "Date submission was uploaded"
 FROM rep12_chosen ch LEFT JOIN rep12_totals t ON t.submission_id = ch.submission_id
@@ -93,15 +93,15 @@ rep13_cur AS (
   ) WHERE area IN ('CIVIL', 'CRIME', 'MEDIATION')
 ),
 rep13_tot AS (
-  SELECT cs.id, sum(TRY_CAST(f.total_amount AS DECIMAL(22,6))) AS total_amount
+  SELECT cs.id, sum(CAST(f.total_amount AS DECIMAL(34,8))) AS total_amount
   FROM rep13_cur cs
   LEFT JOIN claim c ON c.submission_id = cs.id AND c.status = 'VALID'
   LEFT JOIN calculated_fee_detail f ON f.claim_id = c.id
   GROUP BY cs.id
 ),
 rep13_long AS (
-  SELECT cs.*, CASE WHEN cs.is_nil_submission THEN CAST(0 AS DECIMAL(18,2))
-                    ELSE CAST(round(COALESCE(t.total_amount, 0), 2) AS DECIMAL(18,2)) END AS month_total
+  SELECT cs.*, CASE WHEN cs.is_nil_submission THEN CAST(0 AS DECIMAL(36,2))
+                    ELSE CAST(round(COALESCE(t.total_amount, 0), 2) AS DECIMAL(36,2)) END AS month_total
   FROM rep13_cur cs LEFT JOIN rep13_tot t ON t.id = cs.id
 ),
 rep13_cells AS (
@@ -126,7 +126,7 @@ SQL["nil_override"] = with_testbed(REP013_CTES, """
 SELECT id, CAST(month_total AS VARCHAR) AS month_total FROM rep13_long""")
 
 SQL["submission_totals_left"] = with_testbed(REP013_CTES, """
-SELECT id AS submission_id, CAST(total_amount AS VARCHAR) AS total_amount FROM rep13_tot""")
+SELECT id AS submission_id, CAST(CAST(total_amount AS DECIMAL(38,18)) AS VARCHAR) AS total_amount FROM rep13_tot""")
 
 SQL["superseded_anti_join"] = with_testbed(REP013_CTES, """
 SELECT id, office_account_number, area AS area_of_law, submission_period, is_nil_submission
@@ -146,23 +146,14 @@ SQL["period_list_joined"] = with_testbed(REP013_CTES, """
 SELECT string_agg(period, ', ' ORDER BY year_order, month_order, period) AS list_text
 FROM rep13_periods""")
 
-# Matrix: DuckDB discovers the pivot columns itself; one all-null row per
-# succeeded period makes every period a column even without a current value.
+# The matrix as rows: every (office, area) with a current value times every
+# period column, blank where there is no value.
 SQL["rep013_monthly_matrix"] = with_testbed(REP013_CTES, """
-SELECT * EXCLUDE (k) FROM (
-  SELECT "Provider Office Account Number" AS k, "Provider Office Account Number", "Area of Law",
-         COALESCE(COLUMNS(* EXCLUDE ("Provider Office Account Number", "Area of Law")), '')
-  FROM (
-    PIVOT (
-      SELECT office_account_number AS "Provider Office Account Number", area AS "Area of Law",
-             submission_period,
-             CAST(CAST(round(month_total, 2) AS DECIMAL(12,2)) AS VARCHAR) AS cell
-      FROM rep13_cells
-      UNION ALL
-      SELECT NULL, NULL, period, NULL FROM rep13_periods
-    ) ON submission_period USING first(cell) GROUP BY "Provider Office Account Number", "Area of Law"
-  )
-) WHERE k IS NOT NULL""")
+SELECT o.office_account_number, o.area AS area_of_law, p.column_number, p.period,
+       COALESCE(CAST(CAST(round(c.month_total, 2) AS DECIMAL(12,2)) AS VARCHAR), '') AS cell
+FROM (SELECT DISTINCT office_account_number, area FROM rep13_cells) o
+CROSS JOIN (SELECT period, row_number() OVER (ORDER BY year_order, month_order, period) AS column_number FROM rep13_periods) p
+LEFT JOIN rep13_cells c ON c.office_account_number = o.office_account_number AND c.area = o.area AND c.submission_period = p.period""")
 
 SQL["report_order_013"] = with_testbed(REP013_CTES, """
 SELECT DISTINCT office_account_number AS "Provider Office Account Number", area AS "Area of Law"
@@ -184,7 +175,7 @@ FROM claim WHERE submission_id IN (SELECT submission_id FROM rep12_chosen)
 GROUP BY submission_id""")
 
 SQL["fee_totals_inner"] = with_testbed(REP012_CTES, """
-SELECT submission_id, CAST(total_fee AS VARCHAR) AS total_fee FROM rep12_totals""")
+SELECT submission_id, CAST(CAST(total_fee AS DECIMAL(38,18)) AS VARCHAR) AS total_fee FROM rep12_totals""")
 
 SQL["report_order_012"] = with_testbed(REP012_CTES, """
 SELECT office_account_number AS "Provider office account number",
@@ -237,7 +228,7 @@ SELECT id, matter_type_code, left(matter_type_code, 4) AS matter_type_1,
 FROM claim""")
 
 GUARD = r"""COALESCE(CASE WHEN regexp_full_match({x}, '[\s+-]?\d+(\.\d+)?')
-  THEN CAST(CAST(round(TRY_CAST({x} AS DECIMAL(22,6)), 2) AS DECIMAL(18,2)) AS VARCHAR) END, '')"""
+  THEN CAST(CAST(round(CAST({x} AS DECIMAL(34,8)), 2) AS DECIMAL(36,2)) AS VARCHAR) END, '')"""
 
 SQL["numeric_text_guard"] = with_testbed("", f"""
 SELECT id, total_amount, {GUARD.format(x='total_amount')} AS total_text
@@ -245,15 +236,15 @@ FROM calculated_fee_detail""")
 
 SQL["money_round"] = with_testbed("", """
 SELECT id,
-  CAST(CAST(round(TRY_CAST(total_amount AS DECIMAL(22,6)), 2) AS DECIMAL(18,2)) AS VARCHAR) AS rounded,
-  CAST(CAST(round(-TRY_CAST(total_amount AS DECIMAL(22,6)), 2) AS DECIMAL(18,2)) AS VARCHAR) AS rounded_negative,
-  CAST(CAST(round(TRY_CAST(total_amount AS DECIMAL(22,6)) * CAST(0.5 AS DECIMAL(2,1)), 2) AS DECIMAL(18,2)) AS VARCHAR)
+  CAST(CAST(round(CAST(total_amount AS DECIMAL(34,8)), 2) AS DECIMAL(36,2)) AS VARCHAR) AS rounded,
+  CAST(CAST(round(-CAST(total_amount AS DECIMAL(34,8)), 2) AS DECIMAL(36,2)) AS VARCHAR) AS rounded_negative,
+  CAST(CAST(round(CAST(total_amount AS DECIMAL(34,8)) * CAST(0.5 AS DECIMAL(2,1)), 2) AS DECIMAL(36,2)) AS VARCHAR)
     AS rounded_half
 FROM calculated_fee_detail""")
 
 VAT = """COALESCE(CASE WHEN vat_rate_applied IS NOT NULL AND {x} IS NOT NULL
-  THEN CAST(CAST(round(CAST({x} AS DECIMAL(22,6)) * CAST(vat_rate_applied AS DECIMAL(22,6)) * CAST(0.01 AS DECIMAL(3,2)), 2)
-       AS DECIMAL(18,2)) AS VARCHAR) END, '')"""
+  THEN CAST(CAST(round(CAST({x} AS DECIMAL(20,6)) * CAST(vat_rate_applied AS DECIMAL(9,4)) * CAST(0.01 AS DECIMAL(3,2)), 2)
+       AS DECIMAL(36,2)) AS VARCHAR) END, '')"""
 VAT_COLS = ("fixed_fee_amount", "net_profit_costs_amount", "net_cost_of_counsel_amount",
             "net_travel_costs_amount", "net_waiting_costs_amount", "jr_form_filling_amount",
             "bolt_on_total_fee_amount")
@@ -282,8 +273,8 @@ def d(x: str) -> str:
 
 def vat(x: str) -> str:
     return (f"COALESCE(CASE WHEN calc.vat_rate_applied IS NOT NULL AND {x} IS NOT NULL THEN "
-            f"CAST(CAST(round(CAST({x} AS DECIMAL(22,6)) * CAST(calc.vat_rate_applied AS DECIMAL(22,6))"
-            f" * CAST(0.01 AS DECIMAL(3,2)), 2) AS DECIMAL(18,2)) AS VARCHAR) END, '')")
+            f"CAST(CAST(round(CAST({x} AS DECIMAL(20,6)) * CAST(calc.vat_rate_applied AS DECIMAL(9,4))"
+            f" * CAST(0.01 AS DECIMAL(3,2)), 2) AS DECIMAL(36,2)) AS VARCHAR) END, '')")
 
 
 REP000_CTES = f"""
@@ -617,7 +608,7 @@ SQL["csv_lines_rep012"] = with_testbed(REP012_CTES, "SELECT " + " || ',' || ".jo
 SELECT ch.office_account_number AS "Provider office account number",
        upper(strftime(ch.pdate, '%b-%Y')) AS "Submission month",
        ch.area_of_law AS "Area of law",
-       CAST(COALESCE(CAST(round(t.total_fee, 2) AS DECIMAL(18,2)), CAST(0 AS DECIMAL(18,2))) AS VARCHAR)
+       CAST(COALESCE(CAST(round(t.total_fee, 2) AS DECIMAL(36,2)), CAST(0 AS DECIMAL(36,2))) AS VARCHAR)
          AS "Original submission value",
        """ + london_dmy("ch.created_on") + """ AS "Date submission was uploaded"
 FROM rep12_chosen ch LEFT JOIN rep12_totals t ON t.submission_id = ch.submission_id)""")

@@ -215,10 +215,10 @@ def test_bucketed_change_state_rewrites_only_touched_buckets(spark, out_dir):
     from claimsflow.sinks import store as st
     first = spark.createDataFrame([(k, 1, "a") for k in range(40)], "k int, v int, s string")
     changes.start_copy(spark, first, out_dir, "S", ["k"], ["v"], buckets=8)
-    before = json.loads(st._read_text(spark, st._read_text(spark, f"{out_dir}/S/_CURRENT")))
+    before = json.loads(st._read_text(spark, st.pointed(spark, f"{out_dir}/S")))
     upd = spark.createDataFrame([(3, 2, "b"), (3, 0, "old"), (99, 1, "new")], "k int, v int, s string")
     changes._merge(spark, upd, out_dir, "S", ["k"], ["v"], 8)
-    after = json.loads(st._read_text(spark, st._read_text(spark, f"{out_dir}/S/_CURRENT")))
+    after = json.loads(st._read_text(spark, st.pointed(spark, f"{out_dir}/S")))
     moved = [b for b in after["buckets"] if after["buckets"][b] != before["buckets"].get(b)]
     assert 1 <= len(moved) <= 2
     state = {r["k"]: (r["v"], r["s"]) for r in changes.current_state(spark, out_dir, "S").collect()}
