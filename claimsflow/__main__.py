@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 
 from claimsflow.operators import reconcile
 from claimsflow.plans import batch
-from claimsflow.schemas import REPORT_TABLES
+from claimsflow.schemas import COUNTED_TABLES, REPORT_TABLES
 from claimsflow.session import configure, tune_for_input
 from claimsflow.sources import jdbc, snapshot
 
@@ -47,14 +47,15 @@ def main(argv: list[str] | None = None) -> int:
         path = jvm.org.apache.hadoop.fs.Path(args.snapshot)
         fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         tune_for_input(spark, fs.getContentSummary(path).getLength())
-        tables = snapshot.read_tables(spark, args.snapshot)
+        names = snapshot.names_to_check(spark, args.snapshot)
+        tables = snapshot.read_tables(spark, args.snapshot, names)
         summary = snapshot.read_table(spark, args.snapshot, reconcile.SUMMARY_TABLE)
-        expected = reconcile.expected_tables(spark, REPORT_TABLES)
+        expected = reconcile.expected_tables(spark, names)
         current = args.current_lsn
     else:
         props = {"user": args.user or "", "password": os.environ.get(args.password_env, ""),
                  "driver": "org.postgresql.Driver"}
-        tables = jdbc.read_tables(spark, args.jdbc_url, REPORT_TABLES, props)
+        tables = jdbc.read_tables(spark, args.jdbc_url, (*REPORT_TABLES, *COUNTED_TABLES), props)
         summary = jdbc.read_table(spark, args.jdbc_url, reconcile.SUMMARY_TABLE, props, partitions=1)
         expected = jdbc.publication_tables(spark, args.jdbc_url, props, args.publication)
         current = args.current_lsn or jdbc.current_lsn(spark, args.jdbc_url, props, args.subscription)

@@ -487,25 +487,47 @@ def q_batch(spark, sf_dir):
 EVENTS_INITIAL_BEFORE = "2024-01-15"
 
 
-@query("change_apply")
-def q_change_apply(spark, sf_dir):
-    """Initial copy of the events before the 15th, then the whole events table
-    replayed as a change feed (older versions must be ignored); result is the
-    latest event per user."""
+def _applied_events(spark, sf_dir, deleted=None):
     import uuid
     key, version = ["user_id"], ["ts", "event_id"]
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     root = f"{export.default_root(spark)}/changes-{uuid.uuid4().hex}"
     changes.start_copy(spark, events.where(F.col("ts") < F.lit(EVENTS_INITIAL_BEFORE).cast("timestamp_ntz")),
-                       root, "events", key, version)
+                       root, "events", key, version, deleted=deleted)
     # The file source watches a folder; the glob picks the one table out of it.
     feed = (spark.readStream.schema(events.schema).option("basePath", sf_dir)
             .parquet(f"{sf_dir}/events.parque[t]"))
-    q = changes.apply_stream(spark, feed, root, "events", key, version, checkpoint=f"{root}/_checkpoint")
+    q = changes.apply_stream(spark, feed, root, "events", key, version, checkpoint=f"{root}/_checkpoint", deleted=deleted)
     q.awaitTermination()
     return changes.current_state(spark, root, "events")
 
 
+@query("change_apply")
+def q_change_apply(spark, sf_dir):
+    """Initial copy of the events before the 15th, then the whole events table
+    replayed as a change feed (older versions must be ignored); result is the
+    latest event per user."""
+    return _applied_events(spark, sf_dir)
+
+
+@query("change_apply_deletes")
+def q_change_apply_deletes(spark, sf_dir):
+    """The same feed with ``error`` events standing in for deletes of the user:
+    a user whose newest event is one is gone."""
+    return _applied_events(spark, sf_dir, deleted="event_type = 'error'")
+
+
+@query("publish_report")
+def q_publish_report(spark, sf_dir):
+    """SNK-5: REP012 published as a folder of ordered parts, read back with the
+    number of each line; the header is line 0."""
+    import uuid
+    root = f"{export.default_root(spark)}/publish-{uuid.uuid4().hex}"
+    rep = rep012.original_values(tables(spark, sf_dir))
+    export.publish(spark, rep, root, "report_012.csv", rep012.sort_keys(rep), single_file=False)
+    return export.published_lines(spark, root, "report_012.csv")
+
+
 @query("recon_expected_tables")
 def q_expected_tables(spark, sf_dir):
     """SRC-3: the tables the copy must hold, as schema.table (never the

@@ -16,9 +16,11 @@ import logging
 import os
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from claimsflow.sinks import store
+
 log = logging.getLogger(__name__)
 
 # Fixed behaviour of the reference's CSV writer (deduced from its goldens):
@@ -27,7 +29,8 @@ log = logging.getLogger(__name__)
 # written as nothing; lines end in LF.
 QUOTE_LONGER_THAN = 24
 NEEDS_QUOTES = r"[\x00-\x2C]"
-MAX_SINGLE_FILE_BYTES = 5 * 1024 ** 3  # the reference's single-upload limit
+#: Digits of a published part's number: names sort by number up to that many parts.
+PART_DIGITS = 10
 
 
 def csv_field(value: Column) -> Column:
@@ -78,46 +81,45 @@ def write_parts(df: DataFrame, sort_keys: list, out_dir: str) -> int:
 
 
 def concat_parts(spark: SparkSession, parts_dir: str, dest: str, header: str | None,
-                 max_bytes: int = MAX_SINGLE_FILE_BYTES) -> int:
-    """Join ordered part files (name order = sort order) into one file,
-    header first.
+                 max_bytes: int | None = None) -> int:
+    """Join ordered part files (by number = sort order) into one file, header
+    first.  The file is made beside the parts and then takes the place of
+    ``dest`` in one rename, so readers see the old or the new report.
 
     Where the file system concatenates natively (HDFS), no byte moves; other
-    file systems stream the parts file-to-file, which is refused above
-    ``max_bytes`` (the reference's single-upload limit) -- beyond it use the
-    ordered part folder that :func:`publish` writes with ``single_file=False``.
-    """
+    file systems stream the parts file to file.  ``max_bytes``, where given,
+    refuses a larger report on every file system before anything is written."""
     fs, pdir, jvm = _jvm_fs(spark, parts_dir)
     statuses = sorted((s for s in fs.listStatus(pdir) if s.getPath().getName().startswith("part-")),
                       key=lambda s: part_number(s.getPath().getName()))
     total = sum(s.getLen() for s in statuses)
-    dfs, dpath, _ = _jvm_fs(spark, dest)
-    if total == 0:
-        dfs.create(dpath, True).close()  # SNK-4: empty report, 0-byte file, no header
-        return 0
-    head = jvm.org.apache.hadoop.fs.Path(parts_dir + "/part-0000-header.csv")
+    if max_bytes is not None and total > max_bytes:
+        raise ValueError(f"report is {total} bytes, over the single-file limit {max_bytes}; "
+                         f"publish with single_file=False")
+    head = jvm.org.apache.hadoop.fs.Path(f"{parts_dir}/header.csv")
     out = fs.create(head, True)
     try:
-        if header is not None:
+        if total and header is not None:  # SNK-4: empty report, 0-byte file, no header
             out.write(bytearray((header + "\n").encode("utf-8")))
     finally:
         out.close()
     srcs = [s.getPath() for s in statuses if s.getLen() > 0]
+    if srcs:
+        head = _joined(spark, fs, jvm, parts_dir, head, srcs)
+    _replace(spark, jvm, head, dest)
+    return total
+
+
+def _joined(spark: SparkSession, fs, jvm, folder: str, head, srcs: list):
+    """The path of a file with the header and all parts."""
     try:
-        # metadata-only join where supported (HDFS); the header file becomes the target
-        fs.concat(head, _path_array(spark, srcs))
-        dfs.delete(dpath, False)
-        if not fs.rename(head, dpath):
-            raise OSError(f"could not move {head} to {dest}")
-        return total
+        fs.concat(head, _path_array(spark, srcs))  # metadata only; the header file becomes the target
+        return head
     except Exception as e:  # noqa: BLE001 - local and object stores have no concat;
         # HDFS refuses some layouts: either way fall back to streaming below
-        log.info("native concat unavailable for %s (%s); streaming the parts", dest,
-                 e)
-    if total > max_bytes:
-        raise ValueError(f"report is {total} bytes, over the single-file limit {max_bytes}; "
-                         f"publish with single_file=False")
-    out = dfs.create(dpath, True)
+        log.info("native concat unavailable for %s (%s); streaming the parts", folder, e)
+    whole = jvm.org.apache.hadoop.fs.Path(f"{folder}/whole.csv")
+    out = fs.create(whole, True)
     try:
         for p in [head, *srcs]:
             inp = fs.open(p)
@@ -127,7 +129,19 @@ def concat_parts(spark: SparkSession, parts_dir: str, dest: str, header: str | N
                 inp.close()
     finally:
         out.close()
-    return total
+    return whole
+
+
+def _replace(spark: SparkSession, jvm, source, dest: str) -> None:
+    """Rename ``source`` to ``dest``, over a file that is there."""
+    target = jvm.org.apache.hadoop.fs.Path(dest)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target.getFileSystem(conf).mkdirs(target.getParent())
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf)
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    files.rename(files.makeQualified(source), files.makeQualified(target), options)
 
 
 def _path_array(spark: SparkSession, paths):
@@ -139,32 +153,72 @@ def _path_array(spark: SparkSession, paths):
 
 
 def publish(spark: SparkSession, df: DataFrame, root: str, name: str, sort_keys: list,
-            local_file: str | None = None, single_file: bool = True) -> dict:
+            local_file: str | None = None, single_file: bool = True, max_bytes: int | None = None) -> dict:
     """SNK-5: write ``<root>/reports/<name>``.  The name (and the local file,
     when given) must end with ``.csv``, case-sensitive, as in the reference.
 
     ``single_file=True`` gives the reference's one CSV file (SNK-4: an empty
-    report is a 0-byte file without header).  ``single_file=False`` leaves a
-    folder of ordered part files whose name order is the report order, with
-    the header in the first one -- nothing passes through the driver."""
+    report is a 0-byte file without header); ``max_bytes`` is its limit, if any.
+    ``single_file=False`` writes a fresh run folder of ordered part files below
+    ``<root>/reports/<name>``, header first, whose names sort in report order,
+    and then points to it (:func:`published`): readers see the old or the new
+    report, and no row passes through the driver."""
     if not name.endswith(".csv"):
         raise ValueError(f"report name must end with .csv: {name}")
     if local_file is not None and not local_file.endswith(".csv"):
         raise ValueError(f"file must end with .csv: {local_file}")
     dest = f"{root}/reports/{name}"
     if not single_file:
-        rows = write_parts(df, sort_keys, dest)
+        run = f"{dest}/run-{uuid.uuid4().hex}"
+        rows = write_parts(df, sort_keys, run)
+        _number_parts(spark, run)
         if rows:
-            _write_header(spark, f"{dest}/part-0000-header.csv", header_line(df.columns))
-        return {"rows": rows, "bytes": None, "path": dest}
+            _write_header(spark, f"{run}/part-{0:0{PART_DIGITS}d}.csv", header_line(df.columns))
+        store.switch_pointer(spark, dest, run)
+        store.prune_runs(spark, dest)
+        return {"rows": rows, "bytes": None, "path": run}
     parts = f"{root}/_parts/{name}-{uuid.uuid4().hex}"
     rows = write_parts(df, sort_keys, parts)
-    size = concat_parts(spark, parts, dest, header_line(df.columns) if rows else None)
+    size = concat_parts(spark, parts, dest, header_line(df.columns) if rows else None, max_bytes)
     fs, p, _ = _jvm_fs(spark, parts)
     fs.delete(p, True)
     return {"rows": rows, "bytes": size, "path": dest}
 
 
+def _number_parts(spark: SparkSession, folder: str) -> None:
+    """Name the parts by number from 1 on, at a fixed width (0 is the header)."""
+    fs, p, jvm = _jvm_fs(spark, folder)
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("part-"):
+            to = jvm.org.apache.hadoop.fs.Path(p, f"part-{part_number(name) + 1:0{PART_DIGITS}d}.csv")
+            if not fs.rename(st.getPath(), to):
+                raise OSError(f"could not name {to}")
+
+
+def published(spark: SparkSession, root: str, name: str) -> str:
+    """The folder of the report published last as parts."""
+    run = store.pointed(spark, f"{root}/reports/{name}")
+    if run is None:
+        raise FileNotFoundError(f"no published report {name}")
+    return run
+
+
+def published_lines(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """``line_number`` (the header is 0) and ``line`` of a report published as
+    parts.  Lines are numbered within each piece of a file that a task reads and
+    moved on by the lines of the pieces before: only the pieces' counts come
+    together in one place, never the lines."""
+    read = spark.read.text(published(spark, root, name)).select(
+        F.col("_metadata.file_name").alias("part"), F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line"))
+    piece = ["part", "start"]
+    counts = read.groupBy(*piece).agg(F.count(F.lit(1)).alias("n"))
+    before = counts.select(*piece, (F.sum("n").over(Window.orderBy(*piece)) - F.col("n")).alias("before"))
+    place = F.row_number().over(Window.partitionBy(*piece).orderBy("at"))
+    return (read.withColumn("at", F.monotonically_increasing_id()).withColumn("place", place).join(before, piece)
+            .select((F.col("before") + F.col("place") - 1).cast("bigint").alias("line_number"), "line"))
+
+
 def _write_header(spark: SparkSession, path: str, header: str) -> None:
     fs, p, _ = _jvm_fs(spark, path)
     out = fs.create(p, True)

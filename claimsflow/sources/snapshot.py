@@ -14,7 +14,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimsflow.schemas import REPORT_TABLES, SCHEMAS
+from claimsflow.schemas import COUNTED_TABLES, REPORT_TABLES, SCHEMAS
 
 
 class SchemaMismatch(ValueError):
@@ -41,6 +41,14 @@ def read_tables(spark: SparkSession, root: str, names=REPORT_TABLES) -> dict[str
     return {n: read_table(spark, root, n) for n in names}
 
 
+def names_to_check(spark: SparkSession, root: str) -> tuple[str, ...]:
+    """The report tables, and the other tables that the snapshot holds."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    held = [n for n in COUNTED_TABLES if (p := path(f"{root}/{n}")).getFileSystem(conf).exists(p)]
+    return (*REPORT_TABLES, *held)
+
+
 def ingest_summary(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows and columns per table, one aggregation per table."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count"))

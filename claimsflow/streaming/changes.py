@@ -6,6 +6,11 @@ wins.  A replayed or late change whose version is not newer than the stored
 row changes nothing, so replays after a lost executor or a restarted query
 are harmless.
 
+A delete is a change with its own version that carries the key; ``deleted`` says
+which changes are deletes (null: not one).  Its row stays in the state as a
+tombstone, so that an older change that arrives late does not bring the key
+back; :func:`current_state` leaves tombstones out.
+
 State layout: rows are spread over ``buckets`` by a hash of the key and each
 bucket lives in its own folder; a small manifest (bucket -> folder) names the
 current folders and is switched all at once through ``sinks.store``'s
@@ -21,7 +26,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -29,6 +34,13 @@ from pyspark.sql.streaming import StreamingQuery
 from claimsflow.sinks import store
 
 DEFAULT_BUCKETS = 64
+TOMBSTONE = "_deleted"
+
+
+def marked(df: DataFrame, deleted: Column | str | None = None) -> DataFrame:
+    """``df`` with the tombstone column: true where ``deleted`` holds."""
+    condition = F.expr(deleted) if isinstance(deleted, str) else F.lit(False) if deleted is None else deleted
+    return df.withColumn(TOMBSTONE, F.coalesce(condition, F.lit(False)))
 
 
 def latest_per_key(df: DataFrame, key: list[str], version: list[str]) -> DataFrame:
@@ -68,22 +80,24 @@ def _write_buckets(df: DataFrame, folder: str, key: list[str], buckets: int) ->
 
 
 def current_state(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The whole current state (union of the manifest's bucket folders)."""
+    """The whole current state (union of the manifest's bucket folders), without
+    deleted keys."""
     m = _manifest(spark, root, name)
     if m is None:
         raise FileNotFoundError(f"no state for {name}")
     schema = T.StructType.fromJson(m["schema"])
     paths = list(m["buckets"].values())
     if not paths:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*paths)
+        return spark.createDataFrame([], schema).drop(TOMBSTONE)
+    state = spark.read.schema(schema).parquet(*paths)
+    return state.where(~F.col(TOMBSTONE)).drop(TOMBSTONE) if TOMBSTONE in state.columns else state
 
 
 def _merge(spark: SparkSession, changes: DataFrame, root: str, name: str, key: list[str],
-           version: list[str], buckets: int) -> None:
+           version: list[str], buckets: int, deleted: Column | str | None = None) -> None:
     # the batch is used twice (touched buckets, then the merge): keep its
     # one-row-per-key reduction for the batch; a lost executor recomputes it
-    reduced = latest_per_key(changes, key, version).withColumn("_bucket", _bucket(key, buckets)).persist()
+    reduced = latest_per_key(marked(changes, deleted), key, version).withColumn("_bucket", _bucket(key, buckets)).persist()
     try:
         folder = f"{root}/{name}/batch-{uuid.uuid4().hex}"
         m = _manifest(spark, root, name)
@@ -95,6 +109,8 @@ def _merge(spark: SparkSession, changes: DataFrame, root: str, name: str, key: l
         merged = reduced.drop("_bucket")
         if old_paths:
             old = spark.read.schema(T.StructType.fromJson(m["schema"])).parquet(*old_paths)
+            if TOMBSTONE not in old.columns:  # a state written before deletes were kept
+                raise ValueError(f"the state of {name} has no tombstones; start its copy again")
             merged = apply_changes(old, merged, key, version)
         _write_buckets(merged, folder, key, buckets)
         for b in touched:
@@ -105,18 +121,20 @@ def _merge(spark: SparkSession, changes: DataFrame, root: str, name: str, key: l
 
 
 def start_copy(spark: SparkSession, initial: DataFrame, root: str, name: str,
-               key: list[str], version: list[str], buckets: int = DEFAULT_BUCKETS) -> None:
+               key: list[str], version: list[str], buckets: int = DEFAULT_BUCKETS,
+               deleted: Column | str | None = None) -> None:
     """Write the initial copy (one row per key) as the first state."""
-    _merge(spark, initial, root, name, key, version, buckets)
+    _merge(spark, initial, root, name, key, version, buckets, deleted)
 
 
 def apply_stream(spark: SparkSession, changes: DataFrame, root: str, name: str,
                  key: list[str], version: list[str], checkpoint: str,
-                 available_now: bool = True, buckets: int = DEFAULT_BUCKETS) -> StreamingQuery:
+                 available_now: bool = True, buckets: int = DEFAULT_BUCKETS,
+                 deleted: Column | str | None = None) -> StreamingQuery:
     """Run the change feed into the stored state with ``foreachBatch``."""
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        _merge(batch.sparkSession, batch, root, name, key, version, buckets)
+        _merge(batch.sparkSession, batch, root, name, key, version, buckets, deleted)
 
     writer = changes.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

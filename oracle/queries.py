@@ -602,16 +602,23 @@ SQL["csv_lines_loose_quote"] = with_testbed("", "SELECT " + " || ',' || ".join(c
     "id", "client_forename", "client_surname", "client_date_of_birth", "is_legally_aided",
     "client_postcode", "cla_reference_number", "ethnicity_code")) + " AS line FROM client")
 
-SQL["csv_lines_rep012"] = with_testbed(REP012_CTES, "SELECT " + " || ',' || ".join(csv(c) for c in (
+_REP012_LINE = " || ',' || ".join(csv(c) for c in (
     '"Provider office account number"', '"Submission month"', '"Area of law"',
-    '"Original submission value"', '"Date submission was uploaded"')) + """ AS line FROM (
+    '"Original submission value"', '"Date submission was uploaded"'))
+_REP012_TEXTS = """(
 SELECT ch.office_account_number AS "Provider office account number",
        upper(strftime(ch.pdate, '%b-%Y')) AS "Submission month",
        ch.area_of_law AS "Area of law",
        CAST(COALESCE(CAST(round(t.total_fee, 2) AS DECIMAL(36,2)), CAST(0 AS DECIMAL(36,2))) AS VARCHAR)
          AS "Original submission value",
-       """ + london_dmy("ch.created_on") + """ AS "Date submission was uploaded"
-FROM rep12_chosen ch LEFT JOIN rep12_totals t ON t.submission_id = ch.submission_id)""")
+       """ + london_dmy("ch.created_on") + """ AS "Date submission was uploaded", strftime(ch.pdate, '%Y%m') AS month_key
+FROM rep12_chosen ch LEFT JOIN rep12_totals t ON t.submission_id = ch.submission_id)"""
+SQL["csv_lines_rep012"] = with_testbed(REP012_CTES, f"SELECT {_REP012_LINE} AS line FROM {_REP012_TEXTS}")
+SQL["publish_report"] = with_testbed(REP012_CTES, f"""
+SELECT CAST(0 AS BIGINT) AS line_number, 'Provider office account number,Submission month,Area of law,Original submission value,Date submission was uploaded' AS line
+UNION ALL
+SELECT row_number() OVER (ORDER BY "Provider office account number", month_key, "Area of law") AS line_number, {_REP012_LINE} AS line
+FROM {_REP012_TEXTS}""")
 
 SQL["refresh_report"] = SQL["rep012_original_values"]
 SQL["refresh_matrix"] = SQL["rep013_monthly_matrix"]
@@ -627,6 +634,8 @@ SELECT user_id, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, event_type, v
 FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
 
+SQL["change_apply_deletes"] = f"SELECT * FROM ({SQL['change_apply']}) WHERE event_type <> 'error'"
+
 COLUMN_COUNTS = {"submission": 18, "bulk_submission": 9, "claim": 39, "calculated_fee_detail": 40,
                  "claim_summary_fee": 39, "claim_case": 22, "client": 28}
 SQL["snapshot_ingest"] = with_testbed("", "\nUNION ALL\n".join(
