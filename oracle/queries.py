@@ -605,6 +605,9 @@ SQL["csv_lines_loose_quote"] = with_testbed("", "SELECT " + " || ',' || ".join(c
 _REP012_LINE = " || ',' || ".join(csv(c) for c in (
     '"Provider office account number"', '"Submission month"', '"Area of law"',
     '"Original submission value"', '"Date submission was uploaded"'))
+_REP012_HEADER = " || ',' || ".join(csv(f"'{c}'") for c in (
+    "Provider office account number", "Submission month", "Area of law",
+    "Original submission value", "Date submission was uploaded"))
 _REP012_TEXTS = """(
 SELECT ch.office_account_number AS "Provider office account number",
        upper(strftime(ch.pdate, '%b-%Y')) AS "Submission month",
@@ -615,7 +618,7 @@ SELECT ch.office_account_number AS "Provider office account number",
 FROM rep12_chosen ch LEFT JOIN rep12_totals t ON t.submission_id = ch.submission_id)"""
 SQL["csv_lines_rep012"] = with_testbed(REP012_CTES, f"SELECT {_REP012_LINE} AS line FROM {_REP012_TEXTS}")
 SQL["publish_report"] = with_testbed(REP012_CTES, f"""
-SELECT CAST(0 AS BIGINT) AS line_number, 'Provider office account number,Submission month,Area of law,Original submission value,Date submission was uploaded' AS line
+SELECT CAST(0 AS BIGINT) AS line_number, {_REP012_HEADER} AS line
 UNION ALL
 SELECT row_number() OVER (ORDER BY "Provider office account number", month_key, "Area of law") AS line_number, {_REP012_LINE} AS line
 FROM {_REP012_TEXTS}""")
