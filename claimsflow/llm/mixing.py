@@ -9,7 +9,9 @@ functions only; cells, not documents, take part in the iteration, and they stay
 distributed: only margins' errors and the scale reach the driver.
 
 Without given targets a margin's target shares are its token shares to the power
-``TEMPER``, renormalised, which lifts small sources and languages.
+``TEMPER``, renormalised, which lifts small sources and languages.  Given targets
+hold for the categories that have tokens, renormalised; a category that they leave
+out has target 0, so none of its tokens are drawn.
 
 Defined results: null source, language or topic is the category ``none``; null text
 has no tokens and falls into its cell; cells without tokens keep factor 1.
@@ -33,6 +35,8 @@ TEMPER = 0.5
 RATE = 0.5
 TOLERANCE = 1e-9
 MAX_SWEEPS = 24
+#: Cells that one task takes: the raking is spread over more tasks where there are more.
+CELLS_A_TASK = 200_000
 GRID = 64
 SALT = "mix:"
 
@@ -52,6 +56,14 @@ def counted(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("n_tokens"))
 
 
+def in_tasks(cells: DataFrame, name: str, tasks: int | None = None) -> tuple[DataFrame, int]:
+    """``cells`` stored, and read by one task for each ``CELLS_A_TASK`` of them:
+    a small table is summed without a shuffle, a large one is spread."""
+    if tasks is None:
+        tasks = max(1, -(-cells.count() // CELLS_A_TASK))
+    return common.stored(cells.coalesce(tasks), name).coalesce(tasks), tasks
+
+
 def tempered_targets(cells: DataFrame, margin: str, temper: float = TEMPER) -> DataFrame:
     """``margin, target`` shares, from the tokens of the margin's categories."""
     sums = cells.groupBy(margin).agg(F.sum("tokens").cast("double").alias("t"))
@@ -59,45 +71,47 @@ def tempered_targets(cells: DataFrame, margin: str, temper: float = TEMPER) -> D
     return sums.select(margin, (F.pow("t", F.lit(temper)) / F.lit(total)).alias("target"))
 
 
+def met_targets(cells: DataFrame, margin: str, target: DataFrame) -> DataFrame:
+    """Given targets over the categories that have tokens, renormalised; the
+    categories that they leave out have target 0."""
+    there = cells.groupBy(margin).agg(F.sum("tokens").alias("t")).select(margin)
+    shares = there.join(target.select(margin, F.col("target").cast("double").alias("target")), margin, "left").fillna(0.0, ["target"])
+    total = shares.agg(F.sum("target")).first()[0] or 1.0
+    return shares.select(margin, (F.col("target") / F.lit(total)).alias("target"))
+
+
 def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE, sweeps: int = MAX_SWEEPS) -> DataFrame:
     """``cells`` (margins, ``tokens``) with ``w``: token weights that have the
     target shares in every margin.  Where missing cells make that impossible, the
     weights after ``sweeps`` sweeps stand: the last margin is met, the others are
     as near as raking brings them, and a warning is logged.
 
-    The weight of a cell is its tokens times one factor of each margin; a step
-    sums the cells by one margin, times the other margins' factors, and sets that
-    margin's factors to target over sum.  Only factor tables are rewritten."""
-    cells = cells.where("tokens > 0").withColumn("base", F.col("tokens").cast("double"))
-
-    def weighted(factors: dict[str, DataFrame], leave: str | None = None) -> DataFrame:
-        out = cells.withColumn("w", F.col("base"))
-        for m, f in factors.items():
-            if m != leave:
-                out = out.join(f.select(m, "f"), m).withColumn("w", F.col("w") * F.col("f")).drop("f")
-        return out
-
-    factors = {m: t.select(m, F.lit(1.0).alias("f"), F.lit(0.0).alias("moved")) for m, t in targets.items()}
-    for _ in range(sweeps):
+    A step sums the weights by one margin and multiplies each cell by target over
+    sum; a sweep takes every margin once and is written as a whole."""
+    start = cells.where("tokens > 0").withColumns({"w": F.col("tokens").cast("double"), "moved": F.lit(0.0)})
+    for m, target in targets.items():
+        start = start.join(target.select(m, F.col("target").alias(f"t_{m}")), m)
+    cells, tasks = in_tasks(start, "rake")
+    for sweep in range(sweeps):
+        step = cells.withColumn("before", F.col("w"))
         for m in targets:
-            sums = weighted(factors, m).groupBy(m).agg(F.sum("w").alias("s")).join(targets[m], m).join(factors[m].select(m, F.col("f").alias("old")), m)
-            factors[m] = common.stored(sums.select(m, (F.col("target") / F.col("s")).alias("f"), F.abs(F.col("target") / F.col("s") / F.col("old") - 1).alias("moved")), "rake")
-        moved = [f.select("moved") for f in factors.values()]
-        worst = moved[0]
-        for x in moved[1:]:
-            worst = worst.union(x)
-        if (worst.agg(F.max("moved")).first()[0] or 0.0) <= tolerance:
+            step = step.join(step.groupBy(m).agg(F.sum("w").alias("s")), m)
+            step = step.withColumn("w", F.when(F.col("s") > 0, F.col("w") * F.col(f"t_{m}") / F.col("s")).otherwise(0.0)).drop("s")
+        moved = F.when(F.col("before") > 0, F.abs(F.col("w") / F.col("before") - 1)).otherwise(0.0)
+        cells, _ = in_tasks(step.withColumn("moved", moved).drop("before"), "rake", tasks)
+        # The first sweep also brings the tokens to shares, so it always moves.
+        if sweep and (cells.agg(F.max("moved")).first()[0] or 0.0) <= tolerance:
             break
     else:
         log.warning("the margins were not all met in %d sweeps", sweeps)
-    return weighted(factors).drop("base")
+    return cells.drop("moved", *[f"t_{m}" for m in targets])
 
 
 def scale_for(cells: DataFrame, rate: float) -> float:
     """The scale s with sum(tokens * min(1, s * factor)) = rate * tokens, over
     cells with ``tokens`` and ``factor``: a few grid searches, then exactly."""
-    s = cells.agg(F.sum("tokens").alias("n"), F.sum(F.col("tokens") * F.col("factor")).alias("w"), F.min("factor").alias("low")).first()
-    if not s.n:
+    s = cells.agg(F.sum("tokens").alias("n"), F.sum(F.col("tokens") * F.col("factor")).alias("w"), F.min(F.when(F.col("factor") > 0, F.col("factor"))).alias("low")).first()
+    if not s.n or not s.w:
         return 0.0
     goal = rate * s.n
     low, high = goal / s.w, max(goal / s.w, 1.0 / s.low)
@@ -118,13 +132,13 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, rate: floa
     """Every document with its cell's ``weight`` (target over present token
     share), its ``probability`` and whether it is ``sampled``."""
     rows = common.stored(counted(docs), "mix_rows")
-    cells = common.stored(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), "mix_cells")
-    if targets is None:
-        full = cells.where("tokens > 0")
-        targets = {m: common.stored(tempered_targets(full, m), "targets") for m in MARGINS}
+    cells, tasks = in_tasks(common.stored(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), "cells"), "mix_cells")
+    full = cells.where("tokens > 0")
+    targets = {m: tempered_targets(full, m) if targets is None else met_targets(full, m, targets[m]) for m in MARGINS}
+    targets = {m: in_tasks(t, "targets", tasks)[0] for m, t in targets.items()}
     raked = rake(cells, targets)
     total = float(cells.agg(F.sum("tokens")).first()[0] or 1)
-    factors = common.stored(raked.select(*MARGINS, "tokens", (F.col("w") * F.lit(total) / F.col("tokens")).alias("factor")), "mix_factors")
+    factors, _ = in_tasks(raked.select(*MARGINS, "tokens", (F.col("w") * F.lit(total) / F.col("tokens")).alias("factor")), "mix_factors", tasks)
     scale = scale_for(factors, rate)
     out = rows.join(factors.drop("tokens"), [*MARGINS], "left")
     weight = F.coalesce("factor", F.lit(1.0))

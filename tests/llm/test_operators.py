@@ -100,6 +100,20 @@ def test_raked_margins_meet_their_targets(spark):
     assert abs((mixed.probability * mixed.n_tokens).sum() - total / 2) < 1e-6 * total
 
 
+def test_given_targets_hold_for_the_categories_that_have_tokens(spark):
+    docs = common.table(spark, SF, "documents")
+    shares = lambda m, rows: spark.createDataFrame(rows, f"{m} string, target double")
+    names = [r[0] for r in docs.where("source IS NOT NULL").select("source").distinct().orderBy("source").collect()]
+    out = names[0]
+    targets = {"source": shares("source", [(n, 1.0) for n in names[1:]] + [("nowhere", 5.0)]), "lang": shares("lang", [("en", 3.0), ("de", 1.0)]),
+               "topic": mixing.tempered_targets(mixing.counted(docs).groupBy("topic").agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0"), "topic")}
+    mixed = mixing.mix(docs, targets, rate=0.05).toPandas()
+    assert not mixed[(mixed.source == out) & (mixed.n_tokens > 0)].sampled.any()
+    left = mixed[mixed.n_tokens > 0]
+    drawn = (left.n_tokens * left.weight).groupby(left.lang).sum() / left.n_tokens.sum()
+    assert set(drawn[drawn > 0].index) == {"en", "de"} and (mixed.probability <= 1).all()
+
+
 # ---- 2 ----
 
 def test_base_scores_match_brute_force_and_model_sums_to_one(spark):
