@@ -18,7 +18,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows are judged by id and text: equal rows are judged alike."""
     keyed = docs.select("doc_id", F.md5("text").alias("text_key"), "text", "lang", "source")
     rows = keyed.select("doc_id", "text_key", "text", F.col("lang").alias("declared"), F.col("source").alias("host"))
-    found = language.identify(rows).where("kept").groupBy("doc_id", "text_key", "declared", "host").agg(F.first("language").alias("language"))
+    # Dealt by document: the join by host would leave a hot host in one task.
+    judged = language.identify(rows).where("kept").repartition("doc_id", "text_key")
+    found = judged.groupBy("doc_id", "text_key", "declared", "host").agg(F.first("language").alias("language"))
     found = found.select(*[F.col(c).alias(f"_{c}") for c in found.columns])
     # The evidence holds lower-cased declarations and hosts; compare alike.
     declared = language._listed(F.col("lang"))
