@@ -145,6 +145,40 @@ def test_model_probabilities_sum_to_one_and_windows_do_not_matter():
     assert np.allclose(alone[0], beside[0], rtol=1e-4)
 
 
+def test_context_is_learned_from_all_training_rows(spark, monkeypatch):
+    # the start is fitted to one document only; the others must still count
+    monkeypatch.setattr(language_model, "SAMPLE_DOCS", 1)
+    rng = random.Random(8)
+    pool = [f"{a}{b}{c}" for a in "bdfg" for b in "aeiou" for c in ("lar", "men", "tos", "rin")]
+    rows = [(k, " ".join(rng.choice(pool) for _ in range(40))) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    path, train = language_model.VOCABULARY, docs.where(~language_model.held_out())
+    ids = language_model.subword_counts(language_model.word_counts(train), path)
+    pieces = language_model.pieces_of(train, path)
+    sub, pairs = language_model.subwords(path), collections.Counter()
+    for r in train.collect():
+        own = [sub.end, *sub.flat(sub.entries([*r.text.encode().split(), b""]))[0].tolist()]
+        pairs.update(zip(own[:-1], own[1:], strict=True))
+    near = language_model.Neighbours(ids)
+    model = language_model.Model(ids, language_model.classes_by(near, language_model.pair_counts(pieces, near.cells, math.prod(near.shape)), ids, sub.opens))
+    wanted = collections.Counter()
+    for (a, b), n in pairs.items():
+        wanted[int(model.cells(np.array([a]), np.array([b]))[0])] += n
+    got = language_model.pair_counts(pieces, model.cells, model.p["B"].size)
+    assert {k: v for k, v in enumerate(got) if v} == wanted and got.sum() == ids.sum()
+    # every window is trained on, whatever the files and the shards
+    moved = []
+    for parts in (1, 7):
+        monkeypatch.setattr(language_model, "ROUNDS", 2)
+        again = language_model.Model(ids, model.classes)
+        language_model.refine(again, pieces.repartition(parts), shard_ids=4000)
+        moved.append(again.p)
+    assert all(np.allclose(moved[0][k], moved[1][k], atol=1e-5) for k in moved[0])
+    assert len(language_model.windows_of([r.ids for r in pieces.collect()])) == sum(-(-r.n // language_model.SAMPLE_IDS) for r in pieces.collect())
+    seen = [i for i in np.argsort(-ids)[:language_model.INPUTS] if ids[i] > 0]
+    assert (moved[0]["E"][again.inputs[seen]] != model.p["E"][again.inputs[seen]]).any(axis=1).all()
+
+
 # ---- 3 ----
 
 def sets_of(rows):
