@@ -2,11 +2,17 @@
 
 Documents are counted into cells (source, language, topic) by their tokens.  The
 cells' token weights are raked to target shares of each of the three margins in
-turn until all hold (``MAX_SWEEPS`` sweeps at most); a document is then drawn with the probability of its cell,
+turn until all hold to ``TOLERANCE``; a document is then drawn with the probability of its cell,
 scaled so that the drawn tokens are expected to be ``RATE`` of all.  Probabilities
 are cut at 1 and the rest is scaled up to keep the expected total.  DataFrame
-functions only; cells, not documents, take part in the iteration, and they stay
-distributed: only margins' errors and the scale reach the driver.
+functions; cells, not documents, take part in the iteration.  More than
+``CELLS_A_TASK`` cells stay distributed, and only margins' errors and the scale reach
+the driver; fewer are swept there, as hundreds of sweeps can be needed.
+
+Targets that contradict the cells (or need over ``MAX_SWEEPS`` sweeps) cannot all be
+met: ``margin_error`` of the result, the largest relative error of a margin's share
+before it was last set, is then over ``TOLERANCE``, and ``op1_source_mix``, which has
+no such column, raises.
 
 Without given targets a margin's target shares are its token shares to the power
 ``TEMPER``, renormalised, which lifts small sources and languages.  Given targets
@@ -23,6 +29,8 @@ from __future__ import annotations
 
 import logging
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,9 +42,13 @@ MARGINS = ("source", "lang", "topic")
 TEMPER = 0.5
 RATE = 0.5
 TOLERANCE = 1e-9
-MAX_SWEEPS = 24
-#: Cells that one task takes: the raking is spread over more tasks where there are more.
+MAX_SWEEPS = 20_000
+#: Sweeps written out in the SQL, whose rounded weights settle earlier on the given tables.
+SQL_SWEEPS = 24
+#: Cells that one task, or the driver, takes: the raking is spread over more tasks where there are more.
 CELLS_A_TASK = 200_000
+#: Sweeps that move no weight by this part of the tolerance only repeat.
+STILL = 1e-3
 GRID = 64
 SALT = "mix:"
 
@@ -80,31 +92,68 @@ def met_targets(cells: DataFrame, margin: str, target: DataFrame) -> DataFrame:
     return shares.select(margin, (F.col("target") / F.lit(total)).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE, sweeps: int = MAX_SWEEPS) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE, sweeps: int = MAX_SWEEPS,
+         on_driver: int = CELLS_A_TASK) -> tuple[DataFrame, float]:
     """``cells`` (margins, ``tokens``) with ``w``: token weights that have the
-    target shares in every margin.  Where missing cells make that impossible, the
-    weights after ``sweeps`` sweeps stand: the last margin is met, the others are
-    as near as raking brings them, and a warning is logged.
+    target shares in every margin, and the largest margin error of the last sweep.
+    Where missing cells make that impossible, the weights stand at which the
+    sweeps repeat: the last margin is met, the others are as near as raking
+    brings them, and the error is over ``tolerance``.
 
     A step sums the weights by one margin and multiplies each cell by target over
-    sum; a sweep takes every margin once and is written as a whole."""
-    start = cells.where("tokens > 0").withColumns({"w": F.col("tokens").cast("double"), "moved": F.lit(0.0)})
+    sum; a sweep takes every margin once and, on Spark, is written as a whole."""
+    start = cells.where("tokens > 0").withColumns({"w": F.col("tokens").cast("double"), "moved": F.lit(0.0), "error": F.lit(0.0)})
     for m, target in targets.items():
         start = start.join(target.select(m, F.col("target").alias(f"t_{m}")), m)
     cells, tasks = in_tasks(start, "rake")
-    for sweep in range(sweeps):
-        step = cells.withColumn("before", F.col("w"))
-        for m in targets:
+    total, n = cells.agg(F.sum("w"), F.count("*")).first()
+    if n <= on_driver:
+        cells, error = _raked_here(cells, [*targets], tolerance, sweeps)
+    else:
+        cells, error = _raked_on_spark(cells.withColumn("w", F.col("w") / F.lit(total)), [*targets], tolerance, sweeps, tasks)
+    if error > tolerance:
+        log.warning("the margins cannot all be met: relative error %g", error)
+    return cells.drop("moved", "error", *[f"t_{m}" for m in targets]), error
+
+
+def _raked_here(cells: DataFrame, margins: list[str], tolerance: float, sweeps: int) -> tuple[DataFrame, float]:
+    """The sweeps in numpy, for a bounded number of cells."""
+    table = cells.toArrow()
+    w, error = table.column("w").to_numpy().copy(), 0.0
+    w /= w.sum() or 1.0
+    codes = {m: table.column(m).combine_chunks().dictionary_encode().indices.to_numpy() for m in margins}
+    target = {}
+    for m in margins:
+        target[m] = np.zeros(codes[m].max(initial=-1) + 1)
+        target[m][codes[m]] = table.column(f"t_{m}").to_numpy()
+    for _ in range(sweeps if len(w) else 0):
+        before, error = w, 0.0
+        for m in margins:
+            sums, t = np.bincount(codes[m], weights=w), target[m]
+            error = max(error, (np.abs(sums - t) / np.where(t > 0, t, 1.0)).max())
+            w = w * np.divide(t, sums, out=np.zeros_like(t), where=sums > 0)[codes[m]]
+        moved = np.divide(w, before, out=np.ones_like(w), where=before > 0)
+        if error <= tolerance or np.abs(moved - 1).max() <= tolerance * STILL:
+            break
+    table = table.set_column(table.column_names.index("w"), "w", pa.array(w))
+    return cells.sparkSession.createDataFrame(table, cells.schema), float(error)
+
+
+def _raked_on_spark(cells: DataFrame, margins: list[str], tolerance: float, sweeps: int, tasks: int) -> tuple[DataFrame, float]:
+    error = 0.0
+    for _ in range(sweeps):
+        step = cells.withColumns({"before": F.col("w"), "error": F.lit(0.0)})
+        for m in margins:
+            t = F.col(f"t_{m}")
             step = step.join(step.groupBy(m).agg(F.sum("w").alias("s")), m)
-            step = step.withColumn("w", F.when(F.col("s") > 0, F.col("w") * F.col(f"t_{m}") / F.col("s")).otherwise(0.0)).drop("s")
+            step = step.withColumn("error", F.greatest("error", F.abs(F.col("s") - t) / F.when(t > 0, t).otherwise(1.0)))
+            step = step.withColumn("w", F.when(F.col("s") > 0, F.col("w") * t / F.col("s")).otherwise(0.0)).drop("s")
         moved = F.when(F.col("before") > 0, F.abs(F.col("w") / F.col("before") - 1)).otherwise(0.0)
         cells, _ = in_tasks(step.withColumn("moved", moved).drop("before"), "rake", tasks)
-        # The first sweep also brings the tokens to shares, so it always moves.
-        if sweep and (cells.agg(F.max("moved")).first()[0] or 0.0) <= tolerance:
+        error, still = (x or 0.0 for x in cells.agg(F.max("error"), F.max("moved")).first())
+        if error <= tolerance or still <= tolerance * STILL:
             break
-    else:
-        log.warning("the margins were not all met in %d sweeps", sweeps)
-    return cells.drop("moved", *[f"t_{m}" for m in targets])
+    return cells, error
 
 
 def scale_for(cells: DataFrame, rate: float) -> float:
@@ -130,13 +179,19 @@ def scale_for(cells: DataFrame, rate: float) -> float:
 
 def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, rate: float = RATE) -> DataFrame:
     """Every document with its cell's ``weight`` (target over present token
-    share), its ``probability`` and whether it is ``sampled``."""
+    share), its ``probability``, whether it is ``sampled``, and the
+    ``margin_error`` of the whole mix."""
+    mixed, error = _mix(docs, targets, rate)
+    return mixed.withColumn("margin_error", F.lit(error))
+
+
+def _mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, rate: float = RATE) -> tuple[DataFrame, float]:
     rows = common.stored(counted(docs), "mix_rows")
     cells, tasks = in_tasks(common.stored(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), "cells"), "mix_cells")
     full = cells.where("tokens > 0")
     targets = {m: tempered_targets(full, m) if targets is None else met_targets(full, m, targets[m]) for m in MARGINS}
     targets = {m: in_tasks(t, "targets", tasks)[0] for m, t in targets.items()}
-    raked = rake(cells, targets)
+    raked, error = rake(cells, targets)
     total = float(cells.agg(F.sum("tokens")).first()[0] or 1)
     factors, _ = in_tasks(raked.select(*MARGINS, "tokens", (F.col("w") * F.lit(total) / F.col("tokens")).alias("factor")), "mix_factors", tasks)
     scale = scale_for(factors, rate)
@@ -144,15 +199,17 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, rate: floa
     weight = F.coalesce("factor", F.lit(1.0))
     probability = F.least(F.lit(1.0), weight * F.lit(scale))
     return out.select("doc_id", *MARGINS, "n_tokens", weight.alias("weight"), probability.alias("probability"),
-                      (common.md5_fraction(F.col("doc_id"), SALT) < probability).alias("sampled"))
+                      (common.md5_fraction(F.col("doc_id"), SALT) < probability).alias("sampled")), error
 
 
 def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mix(common.table(spark, sf_dir, "documents"))
+    mixed, error = _mix(common.table(spark, sf_dir, "documents"))
+    if error > TOLERANCE:
+        raise RuntimeError(f"the target shares cannot all be met: relative error {error:g}")
     return mixed.withColumns({"weight": F.round("weight", 4), "probability": F.round("probability", 4)})
 
 
-def _op1_sql(sweeps: int = MAX_SWEEPS) -> str:
+def _op1_sql(sweeps: int = SQL_SWEEPS) -> str:
     """The same in SQL: the sweeps written out, the scale by sorted totals."""
     steps, last = [], "w0"
     for k in range(sweeps):

@@ -114,6 +114,26 @@ def test_given_targets_hold_for_the_categories_that_have_tokens(spark):
     assert set(drawn[drawn > 0].index) == {"en", "de"} and (mixed.probability <= 1).all()
 
 
+@pytest.mark.parametrize("on_driver", [0, 1000])
+def test_slow_margins_are_met_and_contradictions_are_reported(spark, on_driver):
+    def raked(rows, **more):
+        cells = spark.createDataFrame([(s, m, "t", n) for s, m, n in rows], "source string, lang string, topic string, tokens long")
+        targets = {m: mixing.tempered_targets(cells, m) for m in mixing.MARGINS}
+        out, error = mixing.rake(cells, targets, on_driver=on_driver, **more)
+        w = out.toPandas()
+        return max(abs(w.groupby(m).w.sum()[r[m]] / r.target - 1) for m in mixing.MARGINS for r in targets[m].collect()), error
+
+    # each source mainly in one language: 24 sweeps leave a margin over 1 % off
+    slow = [(f"s{k}", ("en", "de")[(k + x) % 2], (30, 900_000 * (k + 1) ** 2)[x == 0]) for k in range(4) for x in (0, 1)]
+    if on_driver:
+        assert raked(slow, sweeps=24)[0] > 0.01
+        off, error = raked(slow)
+        assert off < 1e-8 and error <= mixing.TOLERANCE
+    # two sources, each the only one of its language: no weights have both margins
+    off, error = raked([("a", "en", 900), ("b", "de", 100), ("c", "de", 400)])
+    assert error > 0.01 and off > 0.01
+
+
 # ---- 2 ----
 
 def test_base_scores_match_brute_force_and_model_sums_to_one(spark):
