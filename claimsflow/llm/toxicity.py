@@ -2,7 +2,8 @@
 
 Texts are folded character by character (lower case, accents and homoglyphs to
 plain letters, digits and signs that stand for letters), matched with an
-Aho-Corasick automaton at word starts, and scored by the summed weights of the
+Aho-Corasick automaton at word starts (a word with substitutes at its edges, as
+``1diot``, also with them folded in; tokens without any letter are no words), and scored by the summed weights of the
 hits over the square root of the number of words.  The lexicon is learned: word
 starts and whole words with their log-odds between toxic and clean labelled
 documents.  Hits inside an exception phrase (a hit with its neighbour word that
@@ -66,7 +67,9 @@ class _Fold(dict):
 
 
 _FOLD = _Fold()
-_WORD = re.compile(r"[^\W\d_]+(?:[@$0-9]+[^\W\d_]+)*")
+_EDGE = "@$0123456789"
+# A word with the signs and digits at its edges; each run of them is read once.
+_TOKEN = re.compile(r"(?<![@$0-9])[@$0-9]*+[^\W\d_]++(?:[@$0-9]++[^\W\d_]++)*+[@$0-9]*+")
 
 
 def fold(text: str) -> str:
@@ -74,11 +77,35 @@ def fold(text: str) -> str:
     return text.translate(_FOLD)
 
 
-def folded_words(text: str) -> list[str]:
+class Words(list):
+    """Folded words; ``more``: (word number, another form) of the words that
+    have substitutes at their edges."""
+
+    more: list[tuple[int, str]] = []
+
+    def every(self) -> list[str]:
+        return [*self, *(w for _, w in self.more)]
+
+
+def edge_forms(token: str, word: str) -> list[str]:
+    """``word`` with the substitutes before it, after it, and both.  An outer run of
+    three ``$`` or more is none, nor is an edge with a digit that stands for no letter."""
+    at = len(token) - len(token.lstrip(_EDGE))
+    lead, trail = re.sub(r"^\${3,}", "", token[:at]), re.sub(r"\${3,}$", "", token[at + len(word):])
+    lead, trail = (x if SUBSTITUTIONS.keys() >= set(x) else "" for x in (lead, trail))
+    return sorted({lead + word, word + trail, lead + word + trail} - {word})
+
+
+def folded_words(text: str) -> Words:
     """Words of the original text (letters, with substituted signs inside),
     folded.  Boundaries come from the original, so signs around a word stay
-    outside it."""
-    return fold("\n".join(_WORD.findall(text))).split("\n")
+    outside it; its forms with them are in ``more``."""
+    tokens = _TOKEN.findall(text)
+    plain = [t.strip(_EDGE) for t in tokens]
+    out = Words(fold("\n".join(plain)).split("\n"))
+    if tokens != plain:
+        out.more = [(k, fold(f)) for k, (t, w) in enumerate(zip(tokens, plain, strict=True)) if len(t) != len(w) for f in edge_forms(t, w)]
+    return out
 
 
 def terms_of(words: Iterable[str]) -> set[str]:
@@ -115,7 +142,7 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-            counts[label].update(terms_of(folded_words(text or "")) - {"$"})
+            counts[label].update(terms_of(folded_words(text or "").every()) - {"$"})
             counts[label]["\n"] += 1  # the number of documents
             if len(counts[label]) > FLUSH_TERMS:
                 yield from flush()
@@ -156,6 +183,20 @@ def learn_lexicon(train: DataFrame, size: int = LEXICON_SIZE) -> tuple[dict[str,
     return choose_lexicon([(r.term, r.a, r.b) for r in top.collect()], toxic, clean, size), toxic, clean
 
 
+def _best(found: list[tuple[int, str, float]]) -> list[tuple[int, float]]:
+    best: dict[int, float] = {}
+    for k, _, weight in found:
+        best[k] = max(best.get(k, 0.0), weight)
+    return sorted(best.items())
+
+
+def phrases_of(words: list[str], k: int, form: str) -> list[str]:
+    """A form of word ``k`` with the forms of its neighbour words."""
+    forms = lambda n: [words[n], *(f for m, f in getattr(words, "more", ()) if m == n)]
+    before = [f"{w} {form}" for w in forms(k - 1)] if k else []
+    return before + ([f"{form} {w}" for w in forms(k + 1)] if k + 1 < len(words) else [])
+
+
 class Matcher:
     """Aho-Corasick over the lexicon and the exception phrases."""
 
@@ -168,32 +209,39 @@ class Matcher:
         if lexicon:
             self.auto.make_automaton()
 
-    def hits(self, words: list[str]) -> list[tuple[int, float]]:
-        """(word number, weight) of each word that has a term; its best term counts."""
-        if not self.lexicon:
-            return []
-        joined = "\n" + "\n".join(words) + "\n"
+    def _found(self, joined: str) -> dict[int, float]:
+        """Place of each word of ``joined`` that has a term: its best weight."""
         found: dict[int, float] = {}
         for end, (weight, length) in self.auto.iter(joined):
             start = end - length + (joined[end] != "\n")
             found[start] = max(found.get(start, 0.0), weight)
-        if not found:
+        return found
+
+    def form_hits(self, words: list[str]) -> list[tuple[int, str, float]]:
+        """(word number, form, weight) of each form of a word that has a term."""
+        if not self.lexicon:
             return []
+        joined = "\n" + "\n".join(words) + "\n"
+        found = self._found(joined)
         out, counted, at = [], 0, 0
         for start in sorted(found):
             counted += joined.count("\n", at, start)
             at = start
-            out.append((counted - 1, found[start]))
+            out.append((counted - 1, words[counted - 1], found[start]))
+        for k, form in getattr(words, "more", ()):
+            out += [(k, form, weight) for weight in self._found(f"\n{form}\n").values()]
         return out
 
+    def hits(self, words: list[str]) -> list[tuple[int, float]]:
+        """(word number, weight) of each word that has a term; its best term counts."""
+        return _best(self.form_hits(words))
+
     def counted(self, words: list[str]) -> list[tuple[int, float]]:
         """The hits that no exception phrase covers."""
-        kept = []
-        for k, weight in self.hits(words):
-            pairs = ([f"{words[k - 1]} {words[k]}"] if k else []) + ([f"{words[k]} {words[k + 1]}"] if k + 1 < len(words) else [])
-            if not any(p in self.exceptions for p in pairs):
-                kept.append((k, weight))
-        return kept
+        found = self.form_hits(words)
+        if not found or not self.exceptions:
+            return _best(found)
+        return _best([x for x in found if not any(p in self.exceptions for p in phrases_of(words, x[0], x[1]))])
 
     def strength(self, text: str | None) -> float:
         words = folded_words(text or "")
@@ -214,8 +262,8 @@ def learn_exceptions(train: DataFrame, lexicon: dict[str, float], size: int = LE
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
                 words = folded_words(text or "")
                 own = set()
-                for k, _ in matcher.hits(words):
-                    own.update(([f"{words[k - 1]} {words[k]}"] if k else []) + ([f"{words[k]} {words[k + 1]}"] if k + 1 < len(words) else []))
+                for k, form, _ in matcher.form_hits(words):
+                    own.update(phrases_of(words, k, form))
                 seen += sorted(own)
                 label_of += [label] * len(own)
             yield pa.RecordBatch.from_pydict({"phrase": pa.array(seen, pa.string()), "label": pa.array(label_of, pa.int32())})

@@ -381,6 +381,19 @@ def test_folding_and_exceptions():
     assert m.strength("a clown fish") == 0 == m.strength("") == m.strength(None) and m.strength("a clown") > 0
 
 
+def test_substitutes_at_word_edges_are_folded():
+    m = toxicity.Matcher({"idio": 2.0, "stupid": 4.0, "trash$": 3.0, "scums$": 5.0, "clown$": 3.0}, {"trash can"})
+    hits = lambda t: m.hits(toxicity.folded_words(t))
+    assert hits("an 1diot, 5tupid 7rash 1d107!") == [(1, 2.0), (2, 4.0), (3, 3.0), (4, 2.0)]
+    assert hits("$cum5 5cum$ scum5 $cum$$$") == [(0, 5.0), (1, 5.0), (2, 5.0)]
+    assert hits("@clown clown5 clown$$$ 2clown 9clown9") == [(k, 3.0) for k in range(5)]
+    assert hits("1010 555 $$$ 7.5 4 455 @@ 291diot") == [] and toxicity.folded_words("1010 555 $$$ @$") == [""]
+    assert m.strength("the 7rash can") == 0 < m.strength("the 7rash bin")
+    # learned too, and the number of words stays
+    assert "stupid$" in toxicity.terms_of(toxicity.folded_words("a 5tupid").every()) and len(toxicity.folded_words("a 5tupid5")) == 2
+    assert toxicity.folded_words("1" * 200_000 + " $" * 200_000) == [""]
+
+
 def test_toxicity_learns_from_training_rows_only(spark):
     rng = random.Random(4)
     rows, told = [], []
