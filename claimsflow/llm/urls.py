@@ -3,7 +3,8 @@
 Listed rules (host, path) decide first.  For other urls, Spark's FP-growth mines
 combinations of url tokens that go with the label ``block`` or ``allow``; rules
 under the support and confidence bounds, and rules that a shorter one makes
-needless, are pruned.  An inverted index files each mined rule under its rarest
+needless, are pruned.  The support asked for is ``MIN_ROWS`` labelled pages, however
+many there are (``MIN_SUPPORT`` of them where that is less).  An inverted index files each mined rule under its rarest
 token; a url meets the rules of its tokens there and must have all tokens of a
 rule.  The surest rule wins, then the one with more support, then ``block``.
 DataFrame functions and Spark ML only.
@@ -18,6 +19,8 @@ With no labels nothing is mined and the default, allow, holds.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +31,7 @@ from claimsflow.llm import common
 # Fixed by the task: (verdict, host, path).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 MIN_SUPPORT = 0.01
+MIN_ROWS = 5
 MIN_CONFIDENCE = 0.7
 #: Tokens of a mined rule, and path segments of a url that become tokens of their own place.
 MAX_TOKENS = 3
@@ -87,22 +91,44 @@ def labelled(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.select(F.concat(made, F.array(F.concat(F.lit("="), F.col("label")))).alias("items"))
 
 
+def together(items: DataFrame, rows: int) -> DataFrame:
+    """``token, name``: the tokens of ``rows`` labelled pages or more; those of
+    the very same pages share a name, so that FP-growth does not enumerate the
+    subsets of tokens that always come together."""
+    spread = items.select("row", F.explode("items").alias("token")).where(~F.col("token").startswith("="))
+    seen = spread.groupBy("token").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("row")).alias("x"), F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("s"))
+    seen = seen.where(F.col("n") >= rows)
+    first = seen.groupBy("n", "x", "s").agg(F.min("token").alias("name"))
+    return seen.join(first, ["n", "x", "s"]).select("token", "name")
+
+
 _RULE_SCHEMA = T.StructType([T.StructField("tokens", T.ArrayType(T.StringType())), T.StructField("verdict", T.StringType()),
                              T.StructField("confidence", T.DoubleType()), T.StructField("support", T.DoubleType())])
 
 
-def mine(items: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:
-    """``rule_id, tokens, verdict, confidence, support`` of the pruned rules.
-    At most 2 / ``min_support`` * 2**tokens of a url rules can have the support."""
+def mine(items: DataFrame, min_rows: int = MIN_ROWS, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:
+    """``rule_id, tokens, verdict, confidence, support`` of the pruned rules."""
     spark = items.sparkSession
-    items = common.stored(items, "url_items")
-    if items.limit(1).count() == 0:
+    items = common.stored(items.withColumn("row", F.monotonically_increasing_id()), "url_items")
+    n = items.count()
+    if n == 0:
         return spark.createDataFrame([], _RULE_SCHEMA).withColumn("rule_id", F.lit(0).cast("long"))
-    mined = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items).associationRules
-    label = F.get(F.col("consequent"), F.lit(0))
-    rules = (mined.where(label.isin("=block", "=allow") & (F.size("antecedent") <= max_tokens))
-             .where(~F.exists("antecedent", lambda x: x.startswith("=")))
-             .select(F.array_sort("antecedent").alias("tokens"), F.substring(label, 2, 10).alias("verdict"), "confidence", "support"))
+    rows = max(1, min(min_rows, math.ceil(MIN_SUPPORT * n)))
+    names = common.stored(together(items, rows), "url_names")
+    spread = items.select("row", F.explode("items").alias("token"))
+    named = (spread.join(names, "token").select("row", "name")
+             .union(spread.where(F.col("token").startswith("=")).select("row", F.col("token").alias("name"))))
+    baskets = common.stored(named.groupBy("row").agg(F.collect_set("name").alias("items")).select("items"), "url_baskets")
+    # Half a row less: the share times the rows must not come out above ``rows``.
+    mined = FPGrowth(itemsCol="items", minSupport=(rows - 0.5) / n).fit(baskets).freqItemsets
+    mined = mined.where(F.size("items") <= max_tokens + 1).select(
+        F.array_sort(F.filter("items", lambda x: ~x.startswith("="))).alias("tokens"),
+        F.get(F.filter("items", lambda x: x.startswith("=")), F.lit(0)).alias("label"), "freq")
+    mined = common.stored(mined.where((F.size("tokens") > 0) & (F.size("tokens") <= max_tokens)), "url_itemsets")
+    every = mined.where("label IS NULL").select("tokens", F.col("freq").alias("met"))
+    rules = (mined.where("label IS NOT NULL").join(every, "tokens")
+             .select("tokens", F.substring("label", 2, 10).alias("verdict"), (F.col("freq") / F.col("met")).alias("confidence"), (F.col("freq") / F.lit(n)).alias("support"))
+             .where(F.col("confidence") >= min_confidence))
     rules = common.stored(rules.withColumn("rule_id", F.xxhash64("tokens", "verdict")), "url_rules")
     # A rule is needless if a part of its tokens is a rule that is as sure: looked
     # up by the rule's own subsets, at most 2 ** max_tokens.
@@ -110,7 +136,14 @@ def mine(items: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: flo
     longer = rules.where(F.size("tokens") > 1).select(F.explode(subsets).alias("part"), "rule_id", "verdict", "confidence")
     shorter = rules.select(F.col("tokens").alias("part"), F.col("verdict").alias("v"), F.col("confidence").alias("c"))
     needless = longer.join(shorter, "part").where((F.col("v") == F.col("verdict")) & (F.col("c") >= F.col("confidence"))).select("rule_id").distinct()
-    return rules.join(needless, "rule_id", "left_anti")
+    rules = rules.join(needless, "rule_id", "left_anti")
+    # Every token of a name can stand for it.
+    members = names.groupBy("name").agg(F.collect_list("token").alias("members"))
+    spelled = (rules.select("verdict", "confidence", "support", "rule_id", F.explode("tokens").alias("name")).join(members, "name")
+               .groupBy("rule_id", "verdict", "confidence", "support").agg(F.collect_list("members").alias("members")))
+    each = F.expr("aggregate(members, array(cast(array() as array<string>)), (acc, m) -> flatten(transform(acc, a -> transform(m, x -> concat(a, array(x))))))")
+    spelled = spelled.select(F.explode(each).alias("tokens"), "verdict", "confidence", "support").withColumn("tokens", F.array_sort("tokens"))
+    return common.stored(spelled.withColumn("rule_id", F.xxhash64("tokens", "verdict")), "url_spelled")
 
 
 def match(urls: DataFrame, rules: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import binascii
 import collections
+import itertools
 import math
 import os
 import random
@@ -373,6 +374,34 @@ def test_listed_and_mined_rules(spark):
     assert first[900] == first[901] == ("", "", None, "allow") == first[902]
 
 
+def test_small_hosts_get_rules_whatever_the_other_pages(spark):
+    # 6 of 1,206 labelled pages: under 1 %, all blocked, with a long path in common
+    deep = "/" + "/".join(f"part{chr(97 + k)}" for k in range(22))
+    rows = [(k, f"https://bulk{k % 3}.example.com/a/{k}", 1) for k in range(1200)]
+    rows += [(2000 + k, f"https://spam-farm.test{deep}/{k}", 0) for k in range(6)]
+    new = [(5000, "https://spam-farm.test/other"), (5001, "https://elsewhere.example.com/a/3"), (5002, "https://x.test/b/partv")]
+    df = spark.createDataFrame([(i, u) for i, u, _ in rows] + new, "page_id long, url string")
+    told = labels_of(spark, [(i, q, 0) for i, _, q in rows])
+    judged = {r.page_id: r.verdict for r in urls.judge(df, told).collect()}
+    assert judged[5000] == judged[5002] == "block" and judged[5001] == judged[0] == "allow" and judged[2000] == "block"
+    # rules by counting: every set of at most 2 tokens of a small table
+    few = [(k, f"https://h{k % 4}.site{k % 3}.org/{'xy'[k % 2]}?q{k % 5}=1") for k in range(90)]
+    small = urls.parsed(spark.createDataFrame(few, "page_id long, url string"))
+    items = urls.labelled(small, labels_of(spark, [(k, int(k % 4 != 1 or k % 7 == 0), 0) for k, _ in few]))
+    sets = [frozenset(r["items"]) for r in items.collect()]
+    want = {}
+    for size in (1, 2):
+        for c in {c for x in sets for c in itertools.combinations(sorted(t for t in x if t[0] != "="), size)}:
+            met = [x for x in sets if x >= set(c)]
+            for v in ("block", "allow"):
+                hit = sum("=" + v in x for x in met)
+                if hit >= 1 and hit / len(met) >= urls.MIN_CONFIDENCE:
+                    want[c, v] = (hit / len(met), hit / len(sets))
+    kept = {k: v for k, v in want.items() if not any(want.get(((t,), k[1]), (0,))[0] >= v[0] for t in k[0] if len(k[0]) > 1)}
+    got = {(tuple(r.tokens), r.verdict): (r.confidence, r.support) for r in urls.mine(items, max_tokens=2).collect()}
+    assert got.keys() == kept.keys() and all(np.allclose(got[k], kept[k]) for k in kept)
+
+
 # ---- 10 ----
 
 def test_folding_and_exceptions():
