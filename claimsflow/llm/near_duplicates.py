@@ -4,7 +4,7 @@ Documents are sets of five-word shingles (white-space separated words, A-Z
 lower-cased; a text with fewer words is one shingle).  Two are linked when their
 sets' Jaccard similarity is 0.8 or more.
 
-1. One pass makes a MinHash sketch of each text: 16 band keys of four values for
+1. One pass makes a MinHash sketch of each text: 32 band keys of four values for
    candidates and 64 further values for pruning.  Equal sets become one node.
 2. Nodes that share a band key are candidates.  Inside a bucket their values are
    compared a few at a time; a pair is dropped as soon as the posterior probability
@@ -18,7 +18,7 @@ sets' Jaccard similarity is 0.8 or more.
 Buckets and components of any size are cut into blocks of at most about
 ``BLOCK`` rows; tasks take one pair of blocks each, so memory is bounded and a
 hot group is spread.  A candidate is missed when no band agrees: at similarity
-0.8 with probability (1 - 0.8**4)**16, 2 in 10,000, less above it; step 3 looks at
+0.8 with probability (1 - 0.8**4)**32, 5 in 100,000,000, less above it; step 3 looks at
 all pairs of a component, also at those no band has brought together.
 
 Defined results: null and empty texts and texts without words have no shingles
@@ -41,7 +41,7 @@ from claimsflow.llm import common
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 16, 4
+BANDS, ROWS = 32, 4
 COMPARED = 64
 STEP = 8
 TOLERANCE = 1e-6

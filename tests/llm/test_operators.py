@@ -248,6 +248,21 @@ def test_join_matches_brute_force_in_a_hot_group(spark, monkeypatch):
             assert (got[i].class_id, got[i].n_links, got[i].n_copies) == (named[find(k)], count[k], len(groups[s]))
 
 
+def test_pairs_that_16_bands_miss_are_linked(spark):
+    # 9 shingles each, 8 of them in both texts: similarity 0.8
+    texts, missed = [], 0
+    for k in range(12_000):
+        words = [f"w{k}x{i}" for i in range(14)]
+        a, b = " ".join(words[:13]), " ".join(words[1:])
+        m = [near_duplicates.minhash(s)[:64].reshape(16, 4) for s in near_duplicates.shingles([a.encode(), b.encode()])]
+        if not (m[0] == m[1]).all(axis=1).any():
+            missed += 1
+            texts += [(2 * k, a), (2 * k + 1, b)]
+    assert missed
+    got = near_duplicates.join(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert all(r.n_links == 1 and r.class_id == r.doc_id // 2 * 2 for r in got)
+
+
 def test_fewest_matches_is_the_posterior_bound():
     for n in (8, 32, 64):
         m = near_duplicates.fewest_matches(n)
