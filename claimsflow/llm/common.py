@@ -31,16 +31,20 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back: cuts the
-    lineage, survives lost executors, computed once.  Removed when the
-    driver's JVM ends."""
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Remove the folder that holds ``path`` when the driver's JVM ends."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder.getParent())
+
+
+def stored(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder (in folders ``by`` columns)
+    and read it back: cuts the lineage, survives lost executors, computed once.
+    Removed when the driver's JVM ends."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder.getParent())
+    df.write.partitionBy(*by).parquet(path)
+    remove_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
