@@ -116,8 +116,9 @@ class LineRuns:
 
 def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
     """Hashes of the lines found in ``min_docs`` documents or more of ``docs``."""
-    keys = docs.select(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(batches)).alias("batch"),
-                       F.explode(F.array_distinct(line_keys(F.col("text")))).alias("key")).where("key <> ''")
+    # What is computed from a whole text is computed before its lines become rows.
+    dealt = docs.select(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(batches)).alias("batch"), "text")
+    keys = dealt.select("batch", F.explode(F.array_distinct(line_keys(F.col("text")))).alias("key")).where("key <> ''")
     lines = common.stored(keys.select("batch", *_hash(F.col("key"), "h")), "line_hashes", "batch")
     runs = LineRuns(docs.sparkSession, min_docs, fanout)
     for k in range(batches):
@@ -131,7 +132,7 @@ def drop_frequent(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATC
     own = ["_d", "_t1", "_t2"]
     gone = frequent_lines(docs.select("doc_id", "text"), min_docs, batches, fanout)
     identity = [F.col("doc_id").alias("_d"), *_hash(F.coalesce("text", F.lit("")), "_t")]
-    lines = docs.select(*identity, F.posexplode(line_keys(F.col("text"))).alias("_p", "_key")).where("_key <> ''")
+    lines = docs.select(*identity, "text").select(*own, F.posexplode(line_keys(F.col("text"))).alias("_p", "_key")).where("_key <> ''")
     hits = lines.select(*own, "_p", *_hash(F.col("_key"), "h")).join(gone, ["h1", "h2"])
     # Rows of one id and text have the same positions, so they may share a set.
     hits = hits.groupBy(*own).agg(F.collect_set("_p").alias("_gone"))

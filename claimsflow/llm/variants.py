@@ -44,7 +44,7 @@ def words(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int = MIN_CO
     low = F.translate(F.coalesce("text", F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
     # Shorter runs cannot become words, so the pattern skips them whole.
     runs = F.regexp_extract_all(low, F.lit(f"[a-zÀ-ÿ]{{{min_length},}}"), F.lit(0))
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.explode(runs).alias("word"))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "text").select("id", F.explode(runs).alias("word"))
     if typos:
         rows = rows.select("word", F.crc32(F.concat("id", F.lit(":"), "word").cast("binary")).alias("h"))
         at = (F.col("h") % F.char_length("word")).cast("int")
