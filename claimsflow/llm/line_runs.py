@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import string
 import uuid
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,14 +68,21 @@ class LineRuns:
         table = f"{self.name}_{self.made}"
         self.made += 1
         path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/{self.name}/{table}"
-        (counts.repartition(self.buckets, "h1").write.option("path", path)
-         .bucketBy(self.buckets, "h1").sortBy("h1", "h2").format("parquet").saveAsTable(table))
+        (counts.repartition(self.buckets, "h1", "h2").write.option("path", path)
+         .bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").format("parquet").saveAsTable(table))
         common.remove_at_end(self.spark, path)
         return table
 
     def _summed(self, tables: list[str]) -> DataFrame:
-        rows = reduce(DataFrame.unionByName, [self.spark.table(t) for t in tables])
-        return rows.groupBy("h1", "h2").agg(F.sum("n").alias("n"))
+        """The runs merged: a hash is once in each, so a full merge join sums it.
+        (A union of bucketed tables keeps their bucketing in Spark 4.1's plan but
+        not in its rows, so a sum over one is wrong.)"""
+        merged = self.spark.table(tables[0])
+        for t in tables[1:]:
+            more = self.spark.table(t).withColumnRenamed("n", "_more").hint("merge")
+            merged = merged.join(more, ["h1", "h2"], "full").select(
+                "h1", "h2", (F.coalesce("n", F.lit(0)) + F.coalesce("_more", F.lit(0))).alias("n"))
+        return merged
 
     def add(self, lines: DataFrame) -> None:
         """``lines``: ``h1, h2`` of the distinct lines of each document of a batch."""

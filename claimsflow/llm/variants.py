@@ -14,6 +14,10 @@ the number of its neighbours and the best of them, not the pairs (``pairs=True``
 of :func:`neighbours` emits them).  Words are counted with a partial sum in every
 task, so a hot word is no hot key; forms are followed by pointer doubling.
 
+Rotations of a word take the square of its length, so words of over ``LONG``
+letters (junk, as a rule) have them as hashes of the letters before and behind the
+terminator, which fall into the same groups and cost the same for every letter.
+
 Defined results: null text has no words, a null id is written as empty text.  Rows
 are counted one by one.  Ties of the largest count go to the smallest word in
 code-point order.  No words give an empty table.
@@ -22,7 +26,10 @@ code-point order.  No words give an empty table.
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +42,9 @@ RATIO = 5
 TYPO_DIVISOR = 199
 #: Marks the end of a word; no letter, and below all letters.
 END = "$"
+#: Letters up to which rotations are sorted as texts; longer ones by their hashes.
+LONG = 64
+ROWS_AT_ONCE = 20_000
 
 
 def words(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int = MIN_COUNT, typos: int | None = TYPO_DIVISOR) -> DataFrame:
@@ -54,45 +64,79 @@ def words(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int = MIN_CO
     return counted.where((F.char_length("word") >= min_length) & (F.col("n") >= min_count))
 
 
-def rotations(vocabulary: DataFrame) -> DataFrame:
-    """``key, word, n, whole, first``: every rotation of the marked words as a
+def named(vocabulary: DataFrame) -> DataFrame:
+    """``word, n, w``, stored: ``w`` is a short name that sorts like the word, so
+    that the rotations of a very long word do not carry it along: its first
+    ``LONG`` letters, and for longer words a number in word order."""
+    size = F.char_length("word")
+    long = vocabulary.where(size > LONG).repartitionByRange("word").sortWithinPartitions("word")
+    numbers = F.lpad(F.hex(F.monotonically_increasing_id()), 16, "0")
+    rows = [vocabulary.where(size <= LONG).select("word", "n", F.lit("").alias("id")), long.select("word", "n", numbers.alias("id"))]
+    rows = rows[0].unionByName(rows[1])
+    return common.stored(rows.select("word", "n", F.struct(F.substring("word", 1, LONG).alias("word"), "id").alias("w")), "variant_names")
+
+
+def rotations(names: DataFrame) -> DataFrame:
+    """``key, w, n, whole, first``: every rotation of the marked words as a
     whole, and without its last character (``whole`` false; ``first``: that
-    character does not repeat the one before it)."""
+    character does not repeat the one before it).  Keys of over ``LONG`` letters
+    are two hashes, of the letters before and behind the terminator."""
     size = F.char_length("word")
-    rows = vocabulary.select("word", "n", F.explode(F.sequence(F.lit(0), size)).alias("i"))
+    rows = names.where(size <= LONG + 1).select("word", "n", "w", F.explode(F.sequence(F.lit(0), size)).alias("i"))
     marked = F.concat("word", F.lit(END))
-    rows = rows.select("word", "n", "i", F.substring(F.concat(marked, marked), F.col("i") + 1, size + 1).alias("rotation"))
+    rows = rows.select("word", "n", "w", "i", F.substring(F.concat(marked, marked), F.col("i") + 1, size + 1).alias("rotation"))
     before = F.substring(F.col("word"), F.col("i") - 1, F.lit(1))
     skipped = F.substring(F.col("word"), F.col("i"), F.lit(1))
     whole = F.struct(F.col("rotation").alias("key"), F.lit(True).alias("whole"), F.lit(False).alias("first"))
     edited = F.struct(F.substring(F.col("rotation"), F.lit(1), size).alias("key"), F.lit(False).alias("whole"),
                       ((F.col("i") == 1) | (before != skipped)).alias("first"))
     # The rotation by 0 ends with the terminator, which is no edit.
-    both = F.when(F.col("i") == 0, F.array(whole)).otherwise(F.array(whole, edited))
-    return rows.select("word", "n", F.explode(both).alias("e")).select("e.key", "word", "n", "e.whole", "e.first")
-
-
-def neighbours(vocabulary: DataFrame, pairs: bool = False) -> DataFrame:
-    """``word, n_near, best_word, best_n`` of the words that have a near word; with
-    ``pairs`` the rows ``word, near`` instead, both ways."""
-    rows = rotations(vocabulary).repartitionByRange("key")
-    group = Window.partitionBy("key").orderBy(F.desc("n"), "word").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    both = F.concat(F.when(size <= LONG, F.array(whole)).otherwise(F.array()), F.when(F.col("i") > 0, F.array(edited)).otherwise(F.array()))
+    short = rows.select("n", "w", F.explode(both).alias("e")).select("e.key", "w", "n", "e.whole", "e.first")
+    long = LONG
+    hashed = names.where(size > long).select("word", "w", "n").mapInArrow(lambda batches: _hashed_rotations(batches, long), short.schema)
+    return short.unionByName(hashed)
+
+
+def _hashed_rotations(batches: Iterator[pa.RecordBatch], long: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for word, w, n in zip(*(batch.column(c).to_pylist() for c in ("word", "w", "n")), strict=True):
+            data, size = np.frombuffer(word.encode("utf-32-le"), np.uint8), len(word)
+            at = 4 * np.arange(size + 1)
+            first = np.array([True, *(a != b for a, b in zip(word, word[1:], strict=False))])
+            head, tail = (common.run_hashes(data, at * k, at * k + (at if not k else 4 * size - at)) for k in (0, 1))
+            kinds = [(head, tail, True, np.zeros(size + 1, bool))]
+            if size > long + 1:
+                kinds.append((head[:-1], tail[1:], False, first))
+            for x, y, whole, firsts in kinds:
+                for k in range(0, len(x), ROWS_AT_ONCE):
+                    keys = [f"{a:016x}{b:016x}" for a, b in zip(x[k:k + ROWS_AT_ONCE].tolist(), y[k:k + ROWS_AT_ONCE].tolist(), strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(keys), pa.array([w] * len(keys), batch.column("w").type), pa.array([n] * len(keys), pa.int64()),
+                         pa.array([whole] * len(keys)), pa.array(firsts[k:k + ROWS_AT_ONCE])], names=["key", "w", "n", "whole", "first"])
+
+
+def neighbours(names: DataFrame, pairs: bool = False) -> DataFrame:
+    """``w, n_near, best, best_n`` of the words (:func:`named`) that have a near
+    word; with ``pairs`` the rows ``w, near`` instead, both ways."""
+    rows = rotations(names).repartitionByRange("key")
+    group = Window.partitionBy("key").orderBy(F.desc("n"), "w").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     if pairs:
-        member = F.struct("word", "whole", "first")
-        rows = rows.withColumn("other", F.explode(F.collect_list(member).over(group)))
-        replaced = ~F.col("whole") & ~F.col("other.whole") & (F.col("word") != F.col("other.word"))
+        member = F.struct("w", "whole", "first")
+        rows = rows.withColumn("others", F.collect_list(member).over(group)).select("w", "whole", "first", F.explode("others").alias("other"))
+        replaced = ~F.col("whole") & ~F.col("other.whole") & (F.col("w") != F.col("other.w"))
         inserted = (F.col("whole") & F.col("other.first")) | (F.col("other.whole") & F.col("first"))
-        return rows.where(replaced | inserted).select("word", F.col("other.word").alias("near"))
+        return rows.where(replaced | inserted).select("w", F.col("other.w").alias("near"))
     edited = F.count_if(~F.col("whole")).over(group)
     whole = F.count_if("whole").over(group)
     firsts = F.count_if("first").over(group)
-    near = F.struct("n", "word")
-    seen = rows.select("word", F.when(F.col("whole"), firsts).otherwise(edited - 1 + F.when(F.col("first"), whole).otherwise(0)).alias("near"),
+    near = F.struct("n", "w")
+    seen = rows.select("w", F.when(F.col("whole"), firsts).otherwise(edited - 1 + F.when(F.col("first"), whole).otherwise(0)).alias("near"),
                        F.first(near).over(group).alias("one"), F.nth_value(near, 2).over(group).alias("two"))
     seen = seen.where("two IS NOT NULL").select(
-        "word", "near", F.when(F.col("one.word") == F.col("word"), F.col("two")).otherwise(F.col("one")).alias("best"))
-    seen = seen.groupBy("word").agg(F.sum("near").alias("n_near"), F.min(F.struct((-F.col("best.n")).alias("minus"), F.col("best.word").alias("word"))).alias("best"))
-    return seen.select("word", "n_near", F.col("best.word").alias("best_word"), (-F.col("best.minus")).alias("best_n"))
+        "w", "near", F.when(F.col("one.w") == F.col("w"), F.col("two")).otherwise(F.col("one")).alias("best"))
+    seen = seen.groupBy("w").agg(F.sum("near").alias("n_near"), F.min(F.struct((-F.col("best.n")).alias("minus"), F.col("best.w").alias("w"))).alias("best"))
+    return seen.select("w", "n_near", F.col("best.w").alias("best"), (-F.col("best.minus")).alias("best_n"))
 
 
 def roots(forms: DataFrame) -> DataFrame:
@@ -114,11 +158,12 @@ def variants(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int = MIN
              typos: int | None = TYPO_DIVISOR) -> DataFrame:
     """``word, form, root, n, n_near, form_n`` of every word of ``docs``."""
     vocabulary = common.stored(words(docs, min_length, min_count, typos), "variant_words")
-    near = neighbours(vocabulary)
+    names = named(vocabulary)
+    longer = names.where("w.id <> ''").select(F.col("w").alias("best"), F.col("word").alias("long_word"))
     takes = F.col("best_n") >= ratio * F.col("n")
-    found = vocabulary.join(near, "word", "left").select(
+    found = names.join(neighbours(names), "w", "left").join(longer, "best", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
-        F.when(takes, F.col("best_word")).alias("form"), F.when(takes, F.col("best_n")).alias("form_n"))
+        F.when(takes, F.coalesce("long_word", "best.word")).alias("form"), F.when(takes, F.col("best_n")).alias("form_n"))
     found = common.stored(found, "variant_forms")
     last = roots(found.where("form IS NOT NULL"))
     return found.join(last, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
