@@ -10,13 +10,17 @@ documents.  Hits inside an exception phrase (a hit with its neighbour word that
 labelled documents show to be harmless, or one passed in) do not count.  A
 logistic curve fitted to the training scores turns the sum into 0..1.
 
-Only document counts by term, and score histograms, reach the driver: they cover
-all training rows, and the lexicon is cut to ``LEXICON_SIZE`` terms.
+The classifier is fitted on at most about ``FIT_ROWS`` labelled rows (drawn by a
+hash of the id where there are more), which bounds its lexicon and phrases: every
+term and phrase that has the support and the odds is taken.  Labelled rows are cut
+out of the documents by a bitmap of their ids before they are shuffled, and stored
+once for the three passes over them.  Document counts of the chosen terms and the
+strength histogram reach the driver.
 
 Defined results: null or empty text has no hits and gets the curve's value at 0.
 Repeated rows are scored one by one; each repeated label id counts once and
 contradicting labels are left out.  With no labels of one kind every score is the
-(smoothed) share of toxic labels.  Ties in the lexicon go to the alphabetically first.
+(smoothed) share of toxic labels.
 """
 
 from __future__ import annotations
@@ -44,11 +48,13 @@ SUBSTITUTIONS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8"
 PREFIX_LENGTHS = range(3, 9)
 MIN_SUPPORT = 5
 MIN_LOG_ODDS = 2.0
-LEXICON_SIZE = 2000
+#: Labelled rows that the classifier is fitted on, at most (about).
+FIT_ROWS = 400_000
+#: Bits of the bitmap of labelled ids: so many an id, up to 32 MB in all.
+BITS_AN_ID, MOST_BITS = 16, 1 << 28
 THRESHOLD = 0.3
 #: Terms a task counts before it passes its counts on (bounds its memory).
 FLUSH_TERMS = 200_000
-BINS = 400
 BIN_WIDTH = 0.05
 
 
@@ -117,13 +123,33 @@ def terms_of(words: Iterable[str]) -> set[str]:
     return out
 
 
+def cut_to(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` is among the ``n`` ``ids``, and a few
+    others: a bitmap of hashed ids, broadcast in blocks of 4 KB and bounded by
+    ``MOST_BITS``.  Keeps the texts of most other rows out of the shuffle."""
+    bits = 1 << 15
+    while bits < min(MOST_BITS, BITS_AN_ID * n):
+        bits *= 2
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    blocks = ids.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("_block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("_bits"))
+    place = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    met = docs.withColumn("_block", F.bitmap_bucket_number(bit)).join(F.broadcast(blocks), "_block")
+    return met.where(F.getbit(byte, (place % 8).cast("int")) == 1).drop("_block", "_bits")
+
+
 def labelled(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> DataFrame:
-    """Training rows: labelled documents whose crc32(doc_id as text) mod 4 is not 2."""
+    """``text, label``, stored: labelled documents whose crc32(doc_id as text) mod
+    4 is not 2, about ``FIT_ROWS`` of them at most."""
     sure = (labels.where(F.col("doc_id").isNotNull() & F.col(column).isNotNull())
-            .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-            .agg(F.min(column).alias("label"), F.max(column).alias("_max")).where("label = _max").drop("_max"))
-    train = docs.where(~held_out()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return train.join(sure, "doc_id").select("text", (F.col("label") > 0).cast("int").alias("label"))
+            .select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).alias("_label")).where(~held_out())
+            .groupBy("doc_id").agg(F.min("_label").alias("label"), F.max("_label").alias("_max")).where("label = _max").drop("_max"))
+    sure = common.stored(sure, "toxicity_labels")
+    n = sure.count()
+    if n > FIT_ROWS:
+        sure = sure.where(common.md5_fraction(F.col("doc_id"), "fit") < FIT_ROWS / n)
+    train = cut_to(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(~held_out()), sure, n)
+    return common.stored(train.join(sure, "doc_id").select("text", (F.col("label") > 0).cast("int").alias("label")), "toxicity_rows")
 
 
 def held_out():
@@ -149,7 +175,7 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
-def choose_lexicon(rows: list[tuple[str, int, int]], toxic: int, clean: int, size: int = LEXICON_SIZE) -> dict[str, float]:
+def choose_lexicon(rows: list[tuple[str, int, int]], toxic: int, clean: int) -> dict[str, float]:
     """Term -> weight (log-odds) from ``(term, toxic documents, clean documents)``.
 
     A word start is replaced by a longer one that is met in the same toxic
@@ -161,13 +187,12 @@ def choose_lexicon(rows: list[tuple[str, int, int]], toxic: int, clean: int, siz
         if t[:-1] in good and count[t] >= 0.98 * count[t[:-1]] and odds[t] >= odds[t[:-1]] - 0.05:
             good.discard(t[:-1])
     kept = {t for t in good if not any(t[:k] in good and odds[t[:k]] >= odds[t] - 0.5 for k in range(PREFIX_LENGTHS[0], len(t)))}
-    best = sorted(kept, key=lambda t: (-odds[t] * count[t], t))[:size]
-    return {t: odds[t] for t in sorted(best)}
+    return {t: odds[t] for t in sorted(kept)}
 
 
-def learn_lexicon(train: DataFrame, size: int = LEXICON_SIZE) -> tuple[dict[str, float], int, int]:
-    """The lexicon and the numbers of toxic and clean training documents.  The
-    candidates that reach the driver are cut to ``20 * size`` of the best."""
+def learn_lexicon(train: DataFrame) -> tuple[dict[str, float], int, int]:
+    """The lexicon and the numbers of toxic and clean training documents.  Terms
+    with the support and the odds reach the driver."""
     n = (train.mapInArrow(_count_terms, "term string, label int, n long").groupBy("term")
          .agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("a"),
               F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("b"))
@@ -178,9 +203,8 @@ def learn_lexicon(train: DataFrame, size: int = LEXICON_SIZE) -> tuple[dict[str,
     if not toxic or not clean:
         return {}, toxic, clean
     odds = F.log((F.col("a") + 0.5) / (toxic + 1.0)) - F.log((F.col("b") + 0.5) / (clean + 1.0))
-    top = (n.where(F.col("term") != "\n").withColumn("o", odds).where(F.col("o") >= MIN_LOG_ODDS)
-           .orderBy(F.desc(F.col("o") * F.col("a")), "term").limit(20 * size))
-    return choose_lexicon([(r.term, r.a, r.b) for r in top.collect()], toxic, clean, size), toxic, clean
+    good = n.where(F.col("term") != "\n").where(odds >= MIN_LOG_ODDS - 1e-9).select("term", "a", "b")
+    return choose_lexicon([tuple(r) for r in good.collect()], toxic, clean), toxic, clean
 
 
 def _best(found: list[tuple[int, str, float]]) -> list[tuple[int, float]]:
@@ -249,7 +273,7 @@ class Matcher:
         return sum(w for _, w in found) / math.sqrt(len(words)) if found else 0.0
 
 
-def learn_exceptions(train: DataFrame, lexicon: dict[str, float], size: int = LEXICON_SIZE) -> list[str]:
+def learn_exceptions(train: DataFrame, lexicon: dict[str, float]) -> list[str]:
     """Neighbour phrases of hits that are met in ``MIN_SUPPORT`` clean documents
     or more and at most as often in toxic ones."""
     if not lexicon:
@@ -269,9 +293,8 @@ def learn_exceptions(train: DataFrame, lexicon: dict[str, float], size: int = LE
             yield pa.RecordBatch.from_pydict({"phrase": pa.array(seen, pa.string()), "label": pa.array(label_of, pa.int32())})
 
     rows = (train.mapInArrow(phrases, "phrase string, label int").groupBy("phrase")
-            .agg(F.sum("label").alias("a"), F.count("*").alias("n")).where(F.col("n") - F.col("a") >= F.greatest(F.lit(MIN_SUPPORT), F.col("a")))
-            .orderBy(F.desc("n"), "phrase").limit(size))
-    return [r.phrase for r in rows.collect()]
+            .agg(F.sum("label").alias("a"), F.count("*").alias("n")).where(F.col("n") - F.col("a") >= F.greatest(F.lit(MIN_SUPPORT), F.col("a"))))
+    return sorted(r.phrase for r in rows.select("phrase").collect())
 
 
 def fit_curve(bins: list[tuple[int, int, int]], toxic: int, clean: int) -> tuple[float, float]:
@@ -305,7 +328,7 @@ def fit(docs: DataFrame, labels: DataFrame, exceptions: Iterable[str] = ()) -> d
     def strengths(batches):
         matcher = Matcher(lexicon, phrases)
         for batch in batches:
-            bins = [min(BINS, round(matcher.strength(t) / BIN_WIDTH)) for t in batch.column("text").to_pylist()]
+            bins = [round(matcher.strength(t) / BIN_WIDTH) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(bins, pa.int32()), batch.column("label")], names=["bin", "label"])
 
     bins = [] if not lexicon else train.mapInArrow(strengths, "bin int, label int").groupBy("bin", "label").count().collect()
@@ -328,7 +351,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
                 hits.append(len(found))
                 strengths.append(sum(w for _, w in found) / math.sqrt(len(words)) if found else 0.0)
             s = np.array(strengths, float)
-            value = 1 / (1 + np.exp(-np.clip(a + b * np.minimum(s, BINS * BIN_WIDTH), -30, 30)))
+            value = 1 / (1 + np.exp(-np.clip(a + b * s, -30, 30)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(value), pa.array(s), pa.array(hits, pa.int64())],
                 names=["doc_id", "held_out", "score", "strength", "n_hits"])

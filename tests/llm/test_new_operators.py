@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from claimsflow.llm import common, hard_negatives, line_runs, variants
+from claimsflow.llm import common, hard_negatives, line_runs, toxicity, variants
 
 EMB = "vec_id long, embedding array<float>, label int, slot int, score string, rank int"
 
@@ -186,3 +186,65 @@ def test_long_texts_and_words(spark):
 def test_new_queries_read_whole_tables(spark):
     docs = common.table(spark, "/root/testdata/sf0.001", "documents")
     assert line_runs.op12_line_dedup(spark, "/root/testdata/sf0.001").count() == docs.count()
+
+
+# ---- toxicity against plain code ----
+
+def plain_strength(words, lexicon, exceptions):
+    total = 0.0
+    for k, w in enumerate(words):
+        weight = max((x for t, x in lexicon.items() if (w == t[:-1] if t.endswith("$") else w.startswith(t))), default=0.0)
+        mates = {f"{words[k - 1]} {w}" if k else "", f"{w} {words[k + 1]}" if k + 1 < len(words) else ""}
+        total += 0.0 if mates & exceptions else weight
+    return total / len(words)**0.5 if words else 0.0
+
+
+def test_toxicity_matches_plain_code(spark):
+    rng = random.Random(8)
+    plain = [f"{a}{b}{c}{d}" for a in "bcdf" for b in "aeiou" for c in "lmn" for d in ("", "er", "ing")]
+    rows, told = [], []
+    for k in range(600):
+        words = [rng.choice(plain) for _ in range(rng.randint(0, 40))]
+        toxic = k % 5 == 0
+        if toxic:
+            words[3:3] = rng.choice([["vileness", "vilest"], ["grumbo"], ["zapp", "zapper"]])
+        elif k % 35 == 1:
+            words += ["grumbo", "garden"]
+        rows.append((k, " ".join(words) if words or k % 2 else None))
+        told.append((k, 1, int(toxic)))
+    told += [(k, 1, 1) for k in range(1, 20, 5)] + [(9000, 1, 1), (None, 1, 1), (17, 1, None)]  # contradicting, unknown
+    docs = spark.createDataFrame([(*r, 1, "b", "t") for r in rows], "doc_id long, text string, label int, `_block` string, term string")
+    labels = spark.createDataFrame(told, "doc_id long, quality int, toxic int")
+    said = collections.defaultdict(set)
+    for i, _, t in told:
+        if i is not None and t is not None:
+            said[i].add(t)
+    train = [(t, min(said[i])) for i, t in rows if len(said[i]) == 1 and binascii.crc32(str(i).encode()) % 4 != 2]
+    got = toxicity.labelled(docs, labels).collect()
+    assert sorted((r.text or "", r.label) for r in got) == sorted((t or "", y) for t, y in train)
+    per_doc = collections.Counter()
+    for t, y in train:
+        per_doc.update({(x, y) for w in set((t or "").split()) for x in (w + "$", *(w[:k] for k in range(3, 9) if k <= len(w)))})
+    toxic, clean = sum(y for _, y in train), sum(1 - y for _, y in train)
+    terms = sorted({x for x, _ in per_doc})
+    odds = {x: np.log((per_doc[x, 1] + 0.5) / (toxic + 1)) - np.log((per_doc[x, 0] + 0.5) / (clean + 1)) for x in terms}
+    model = toxicity.fit(docs, labels)
+    lexicon = model["lexicon"]
+    assert lexicon and all(abs(odds[x] - v) < 1e-9 and v >= toxicity.MIN_LOG_ODDS and per_doc[x, 1] >= toxicity.MIN_SUPPORT for x, v in lexicon.items())
+    # every telling term is in it, or a shorter or longer one that says the same
+    told_by = lambda x: any(x[:-1].startswith(t.rstrip("$")) or t.startswith(x.rstrip("$")) for t in lexicon)
+    assert all(told_by(x) for x in terms if odds[x] >= toxicity.MIN_LOG_ODDS and per_doc[x, 1] >= toxicity.MIN_SUPPORT)
+    assert "grumbo garden" in model["exceptions"]
+    a, b = model["curve"]
+    out = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    for i, t in rows:
+        s = plain_strength((t or "").split(), lexicon, set(model["exceptions"]))
+        assert abs(out[i] - 1 / (1 + np.exp(-np.clip(a + b * s, -30, 30)))) < 1e-9
+
+
+def test_labelled_rows_are_cut_before_the_shuffle(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    ids = spark.range(0, 20_000, 40).select(F.col("id").alias("doc_id"))
+    left = {r.doc_id for r in toxicity.cut_to(docs, ids, 500).collect()}
+    assert left >= set(range(0, 20_000, 40)) and len(left) < 2500
+    assert toxicity.cut_to(docs, ids.limit(0), 0).count() == 0
