@@ -26,10 +26,10 @@ from claimsflow.plans import batch
 from claimsflow.plans import combined as rep000
 from claimsflow.plans import monthly_matrix as rep013
 from claimsflow.plans import original_values as rep012
-from claimsflow.schemas import FOREIGN_KEYS, PRIMARY_KEYS, required_columns
+from claimsflow.schemas import FOREIGN_KEYS, PRIMARY_KEYS, REPORT_TABLES, SCHEMAS, required_columns
 from claimsflow.sinks import export, store
-from claimsflow.sources import snapshot, testbed
-from claimsflow.streaming import changes
+from claimsflow.sources import layouts, snapshot, testbed
+from claimsflow.streaming import changes, summaries
 
 # The seven amounts REP000 prints a VAT part for (MTH-2).
 VAT_SOURCES = rep000.VAT_SOURCES
@@ -346,6 +346,17 @@ def q_daily_summary(spark, sf_dir):
     return recon.daily_summaries(tables(spark, sf_dir))
 
 
+@query("stream_table_summary")
+def q_stream_summary(spark, sf_dir):
+    """STM-2 as a stream: the tables' files come in over several micro-batches;
+    the summaries at the end of the input."""
+    root = snapshot_root(spark, sf_dir)
+    out = f"{export.default_root(spark)}/days-{uuid.uuid4().hex}"
+    streams = summaries.table_streams(spark, root, {n: SCHEMAS[n] for n in REPORT_TABLES}, files_per_batch=4)
+    summaries.start(streams, out, f"{out}/_checkpoint").awaitTermination()
+    return summaries.table_summaries(spark, out)
+
+
 @query("recon_summaries_for_day")
 def q_summaries_for_day(spark, sf_dir):
     _, _, day, summary = _recon_inputs(spark, sf_dir)
@@ -431,13 +442,39 @@ def q_schema_upgrade(spark, sf_dir):
     t = tables(spark, sf_dir)
     old_claim = t["claim"].drop("is_amended", "has_assessment", "version")
     claim = quality.upgrade(old_claim, "claim")
-    old_sub = t["submission"].withColumnRenamed("crime_lower_schedule_number", "schedule_number")
+    old_sub = t["submission"].withColumnRenamed("crime_lower_schedule_number", "crime_schedule_number")
     sub = quality.upgrade(old_sub, "submission")
     return claim.select("id", "submission_id", "is_amended", "has_assessment", "version").join(
         sub.select(F.col("id").alias("submission_id"), "crime_lower_schedule_number"),
         "submission_id", "left")
 
 
+def _mixed_layouts(spark, sf_dir) -> str:
+    """Submissions and claims written by three releases into one folder each."""
+    t = tables(spark, sf_dir)
+    root = f"{export.default_root(spark)}/mixed-{uuid.uuid4().hex}"
+    number = F.substring("id", 2, 20).cast("bigint")
+    sub, claim = t["submission"], t["claim"]
+    first = sub.withColumnsRenamed({"crime_lower_schedule_number": "crime_schedule_number",
+                                    "legal_help_submission_reference": "civil_submission_reference"})
+    amended = claim.withColumns({"is_amended": number % 3 == 0, "version": (number % 5).cast("bigint")})
+    for name, df, part in (("submission", first.drop("provider_user_id"), number % 3 == 0), ("submission", first, number % 3 == 1),
+                           ("submission", sub, number % 3 == 2),
+                           ("claim", claim.drop("is_amended", "has_assessment", "version"), number % 2 == 0), ("claim", amended, number % 2 == 1)):
+        df.where(part).write.mode("append").parquet(f"{root}/{name}")
+    return root
+
+
+@query("mixed_layout_ingest")
+def q_mixed_layouts(spark, sf_dir):
+    """SRC-1 + DQ-4: folders whose files have the first, a middle and the last
+    layout, read under the final schema."""
+    root = _mixed_layouts(spark, sf_dir)
+    sub, claim = (layouts.read_mixed(spark, f"{root}/{n}", n) for n in ("submission", "claim"))
+    sub = sub.select(F.col("id").alias("submission_id"), "crime_lower_schedule_number", "legal_help_submission_reference", "provider_user_id")
+    return claim.select("id", "submission_id", "is_amended", "has_assessment", "version").join(sub, "submission_id", "full")
+
+
 # ------------------------------------------------------------ export, store, batch
 @query("csv_lines_loose_quote")
 def q_csv_mixed(spark, sf_dir):

@@ -47,8 +47,6 @@ def upgrade(df: DataFrame, table: str) -> DataFrame:
     for f in SCHEMAS[table].fields:
         if f.name in df.columns:
             c = F.col(f.name)
-            if f.name in defaults:
-                c = F.coalesce(c, F.lit(defaults[f.name]))
         elif f.name in defaults:
             c = F.lit(defaults[f.name])
         else:

@@ -180,8 +180,8 @@ def required_columns(table: str) -> list[str]:
 # under an older layout can be read into the final schema (DQ-4).
 RENAMES: dict[str, dict[str, str]] = {
     "submission": {
-        "schedule_number": "crime_lower_schedule_number",
-        "legal_help_submission_ref": "legal_help_submission_reference",
+        "crime_schedule_number": "crime_lower_schedule_number",
+        "civil_submission_reference": "legal_help_submission_reference",
     },
     "calculated_fee_detail": {
         "detention_and_waiting_costs_amount": "detention_travel_and_waiting_costs_amount",
@@ -192,3 +192,13 @@ RENAMES: dict[str, dict[str, str]] = {
 ADDED_DEFAULTS: dict[str, dict[str, object]] = {
     "claim": {"is_amended": False, "has_assessment": False, "version": 0},
 }
+
+# Columns that the first layout of a table does not have, by the release that added
+# them together.  Those without a default are null in older files (DQ-3 reports the
+# required ones).
+LATER_COLUMNS: dict[str, tuple[tuple[str, ...], ...]] = {
+    "submission": (("provider_user_id",),),
+    "claim": (("is_amended", "has_assessment", "version"),),
+    "calculated_fee_detail": (("bolt_on_substantive_hearing_fee",),),
+    "matter_start": (("mediation_type",), ("number_of_matter_starts",)),
+}

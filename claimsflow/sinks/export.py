@@ -174,8 +174,7 @@ def publish(spark: SparkSession, df: DataFrame, root: str, name: str, sort_keys:
         _number_parts(spark, run)
         if rows:
             _write_header(spark, f"{run}/part-{0:0{PART_DIGITS}d}.csv", header_line(df.columns))
-        store.switch_pointer(spark, dest, run)
-        store.prune_runs(spark, dest)
+        store.prune_runs(spark, dest, store.switch_pointer(spark, dest, run))
         return {"rows": rows, "bytes": None, "path": run}
     parts = f"{root}/_parts/{name}-{uuid.uuid4().hex}"
     rows = write_parts(df, sort_keys, parts)

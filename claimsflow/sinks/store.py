@@ -12,11 +12,14 @@ export reads the stored columns rather than recomputing the report.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 POINTER = "_CURRENT"
+#: Runs that no pointer names are kept for so long after their last change.
+LEASE_S = 6 * 3600
 
 
 def _fs(spark: SparkSession, path: str):
@@ -67,10 +70,15 @@ def pointed(spark: SparkSession, folder: str) -> str | None:
     return None
 
 
-def switch_pointer(spark: SparkSession, folder: str, target: str) -> None:
+def _name(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
+def switch_pointer(spark: SparkSession, folder: str, target: str) -> set[str]:
     """Make ``folder`` point to ``target``: the pointer with the next number is
     written aside and renamed to a name that is not there yet.  Nothing is
-    deleted before; the pointers older than the previous one go afterwards."""
+    deleted before; the pointers older than the previous one go afterwards.
+    Returns the names of what only those pointed to."""
     found = _pointers(spark, folder)
     number = found[-1][0] + 1 if found else 1
     tmp = f"{folder}/{POINTER}-{uuid.uuid4().hex}.tmp"
@@ -79,17 +87,22 @@ def switch_pointer(spark: SparkSession, folder: str, target: str) -> None:
     dst = jvm.org.apache.hadoop.fs.Path(f"{folder}/{POINTER}.{number:012d}")
     if fs.exists(dst) or not fs.rename(tmp_p, dst):
         raise OSError(f"could not switch {folder} to {target}")
+    gone = {_name(_read_text(spark, old)) for _, old in found[:-1]}
     for _, old in found[:-1]:
         fs.delete(jvm.org.apache.hadoop.fs.Path(old), False)
+    return gone - {_name(target), *(_name(_read_text(spark, old)) for _, old in found[-1:])}
 
 
-def prune_runs(spark: SparkSession, folder: str) -> None:
-    """Remove the run folders that no pointer names any more."""
-    kept = {_read_text(spark, path) for _, path in _pointers(spark, folder)}
-    fs, p, jvm = _fs(spark, folder)
+def prune_runs(spark: SparkSession, folder: str, superseded: set[str], lease_s: float = LEASE_S) -> None:
+    """Remove the ``superseded`` run folders, and those that no pointer names and
+    nobody has touched within the lease (left by a writer that failed; a younger
+    one may still be written).  Runs are told by name, not by the text of paths."""
+    kept = {_name(_read_text(spark, path)) for _, path in _pointers(spark, folder)}
+    fs, p, _ = _fs(spark, folder)
+    oldest = (time.time() - lease_s) * 1000
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if name.startswith("run-") and f"{folder}/{name}" not in kept:
+        if name.startswith("run-") and name not in kept and (name in superseded or st.getModificationTime() < oldest):
             fs.delete(st.getPath(), True)
 
 
@@ -106,8 +119,7 @@ def refresh(spark: SparkSession, df: DataFrame, store: str, name: str) -> str:
     run = f"{store}/{name}/run-{uuid.uuid4().hex}"
     df.toDF(*[f"c{i}" for i in range(len(df.columns))]).write.mode("errorifexists").parquet(run)
     _write_text(spark, f"{run}/{COLUMNS_FILE}", json.dumps(df.columns))
-    switch_pointer(spark, f"{store}/{name}", run)
-    prune_runs(spark, f"{store}/{name}")
+    prune_runs(spark, f"{store}/{name}", switch_pointer(spark, f"{store}/{name}", run))
     return run
 
 

@@ -1,10 +1,10 @@
 """Read (and write) the replicated claims tables under their fixed schemas (SRC-1).
 
 A snapshot is a folder with one parquet table per claims table.  Reading
-checks the file columns against the final schema first (footer only, no data
-read): a missing or unexpected column is an error, because a silently
-different layout would give silently wrong reports.  Files written under an
-older layout go through ``operators.quality.upgrade`` instead.
+checks the columns of every file first (footers only, no data read): a missing
+or unexpected column is an error, because a silently different layout would give
+silently wrong reports.  Files written under an older layout are brought to the
+final schema (``sources.layouts``).
 """
 
 from __future__ import annotations
@@ -14,11 +14,10 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimsflow.schemas import COUNTED_TABLES, REPORT_TABLES, SCHEMAS
+from claimsflow.schemas import COUNTED_TABLES, REPORT_TABLES
+from claimsflow.sources.layouts import SchemaMismatch, read_mixed
 
-
-class SchemaMismatch(ValueError):
-    pass
+__all__ = ["SchemaMismatch", "ingest_summary", "names_to_check", "read_table", "read_tables", "write_snapshot"]
 
 
 def write_snapshot(tables: dict[str, DataFrame], root: str) -> None:
@@ -27,14 +26,7 @@ def write_snapshot(tables: dict[str, DataFrame], root: str) -> None:
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    path = f"{root}/{name}"
-    expected = [f.name for f in SCHEMAS[name].fields]
-    found = spark.read.parquet(path).columns
-    if sorted(found) != sorted(expected):
-        missing = sorted(set(expected) - set(found))
-        extra = sorted(set(found) - set(expected))
-        raise SchemaMismatch(f"{name}: missing {missing}, unexpected {extra}")
-    return spark.read.schema(SCHEMAS[name]).parquet(path)
+    return read_mixed(spark, f"{root}/{name}", name)
 
 
 def read_tables(spark: SparkSession, root: str, names=REPORT_TABLES) -> dict[str, DataFrame]:

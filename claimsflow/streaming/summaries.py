@@ -1,16 +1,34 @@
-"""Daily table summaries from a stream (STM-2, stream form).
+"""Daily table summaries from streams (STM-2, stream form).
 
-The batch form (``operators.reconcile.daily_summary``) gives the cumulative
-record counts; the stream form counts rows created per event-time day with a
-watermark, so rows arriving later than the watermark are dropped by the
-stream while the batch form still counts them — the replication check then
-reports the difference.
+The rows of several tables come in as streams; one stateful aggregation keeps, for
+every table and day, how many rows were created and how many updated.  The state
+has one entry a table and day, whatever the number of rows, so it needs no
+watermark: late rows count on their day, and no day waits for a later one to be
+closed.  In update mode every micro-batch emits the days it changed with their
+totals so far.  The sink keeps the newest totals of each day in a stored table
+that is replaced as a whole after each batch; a replayed batch writes the same
+totals again.
+
+:func:`table_summaries` turns the stored days into summaries.  Once the input has
+ended (``availableNow``, or a stopped query) they equal the batch form
+(``operators.reconcile.daily_summaries``), the last days and the update counts
+included.  While rows still come, days before :func:`closed_before` have only late
+rows to fear.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import functools
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from claimsflow.operators import reconcile
+from claimsflow.sinks import store
+
+DAYS = "table_days"
 
 
 def created_per_day(stream: DataFrame, ts_col: str = "created_on", delay: str = "1 day") -> DataFrame:
@@ -19,3 +37,41 @@ def created_per_day(stream: DataFrame, ts_col: str = "created_on", delay: str =
             .groupBy(F.window(ts_col, "1 day").alias("w"))
             .agg(F.count(F.lit(1)).alias("created"))
             .select(F.to_date(F.col("w.start")).alias("day"), "created"))
+
+
+def table_streams(spark: SparkSession, root: str, schemas: Mapping, files_per_batch: int | None = None) -> dict[str, DataFrame]:
+    """A stream for each table of a snapshot folder that is being written."""
+    reader = spark.readStream
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return {name: reader.schema(schema).parquet(f"{root}/{name}") for name, schema in schemas.items()}
+
+
+def start(streams: Mapping[str, DataFrame], root: str, checkpoint: str, schema: str = "claims", available_now: bool = True,
+          name: str = DAYS) -> StreamingQuery:
+    """Keep the day totals of all ``streams`` (table name -> rows) under ``root``."""
+    marks = functools.reduce(DataFrame.unionByName, [reconcile.day_marks(df, f"{schema}.{n}") for n, df in streams.items()])
+
+    def keep(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        # Both sides have a row a table and day; the totals are read twice only where state exists.
+        if store.pointed(spark, f"{root}/{name}") is not None:
+            changed = batch.select("table_name", "day")
+            before = store.current(spark, root, name)
+            batch = before.join(changed, ["table_name", "day"], "left_anti").unionByName(batch)
+        store.refresh(spark, batch, root, name)
+
+    writer = reconcile.day_totals(marks).writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
+
+
+def table_summaries(spark: SparkSession, root: str, name: str = DAYS) -> DataFrame:
+    """The summaries that the totals stored so far give."""
+    return reconcile.running_summaries(store.current(spark, root, name))
+
+
+def closed_before(spark: SparkSession, root: str, name: str = DAYS) -> DataFrame:
+    """``table_name, open_day``: the last day each table has rows of; the days
+    before it are closed but for late rows."""
+    return store.current(spark, root, name).groupBy("table_name").agg(F.max("day").alias("open_day"))

@@ -519,6 +519,8 @@ fails AS (
 SQL["daily_table_summary"] = with_testbed(RECON_CTES, """
 SELECT table_name, CAST(summary_date AS VARCHAR) AS summary_date, record_count, updated_count FROM ds_all""")
 
+SQL["stream_table_summary"] = SQL["daily_table_summary"]
+
 SQL["recon_summaries_for_day"] = with_testbed(RECON_CTES, """
 SELECT table_name, record_count, updated_count, wal_lsn FROM rs""")
 
@@ -591,6 +593,16 @@ SELECT c.id, c.submission_id, FALSE AS is_amended, FALSE AS has_assessment, CAST
 FROM claim c LEFT JOIN submission s ON s.id = c.submission_id""")
 
 
+SQL["mixed_layout_ingest"] = with_testbed("", """
+SELECT c.id, COALESCE(c.submission_id, s.id) AS submission_id,
+       CASE WHEN c.id IS NOT NULL THEN CAST(substr(c.id, 2) AS BIGINT) % 2 = 1 AND CAST(substr(c.id, 2) AS BIGINT) % 3 = 0 END AS is_amended,
+       CASE WHEN c.id IS NOT NULL THEN FALSE END AS has_assessment,
+       CASE WHEN c.id IS NOT NULL THEN CASE WHEN CAST(substr(c.id, 2) AS BIGINT) % 2 = 1 THEN CAST(substr(c.id, 2) AS BIGINT) % 5 ELSE 0 END END AS version,
+       s.crime_lower_schedule_number, s.legal_help_submission_reference,
+       CASE WHEN CAST(substr(s.id, 2) AS BIGINT) % 3 > 0 THEN s.provider_user_id END AS provider_user_id
+FROM claim c FULL JOIN submission s ON s.id = c.submission_id""")
+
+
 # ---------------------------------------------------------------- CSV lines
 def csv(x: str) -> str:
     v = f"COALESCE(CAST({x} AS VARCHAR), '')"

@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from claimsflow.operators import reconcile
 from claimsflow.plans import batch
+from claimsflow.sinks import export
 from tests import fixture
 
 
 def _read(path):
     import glob
     import os
-    files = sorted(glob.glob(f"{path}/part-*")) if os.path.isdir(path) else [path]
+    files = sorted(glob.glob(f"{path}/part-*.csv")) if os.path.isdir(path) else [path]
     text = ""
     for p in files:
         with open(p, encoding="utf-8") as f:
@@ -32,9 +33,12 @@ def test_three_reports_match_goldens(spark, out_dir, single_file):
     assert got["REPORT000"]["rows"] == 2 and got["REPORT012"]["rows"] == 3 and got["REPORT013"]["rows"] == 2
     from claimsflow.plans.combined import HEADERS
     from claimsflow.sinks.export import header_line
-    assert _read(f"{out_dir}/reports/report_000.csv") == [header_line(list(HEADERS)), *fixture.GOLDEN_000_ROWS]
-    assert _read(f"{out_dir}/reports/report_012.csv") == fixture.GOLDEN_012.splitlines()
-    assert _read(f"{out_dir}/reports/report_013.csv") == fixture.GOLDEN_013.splitlines()
+
+    def lines(name):
+        return _read(f"{out_dir}/reports/{name}" if single_file else export.published(spark, out_dir, name))
+    assert lines("report_000.csv") == [header_line(list(HEADERS)), *fixture.GOLDEN_000_ROWS]
+    assert lines("report_012.csv") == fixture.GOLDEN_012.splitlines()
+    assert lines("report_013.csv") == fixture.GOLDEN_013.splitlines()
 
 
 def _summaries(spark, counts):

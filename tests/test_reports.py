@@ -157,7 +157,7 @@ def test_quality_checks(spark):
     parent = spark.createDataFrame([("x",)], "id string")
     assert [r["id"] for r in quality.orphans(df, "p", parent, "id").collect()] == ["b"]
     assert {r["column"]: r["nulls"] for r in quality.null_counts(df, ["id", "p"]).collect()} == {"id": 0, "p": 1}
-    old = spark.createDataFrame([("S1", "CSN9")], "id string, schedule_number string")
+    old = spark.createDataFrame([("S1", "CSN9")], "id string, crime_schedule_number string")
     up = quality.upgrade(old, "submission")
     assert up.first()["crime_lower_schedule_number"] == "CSN9" and len(up.columns) == 18
 
