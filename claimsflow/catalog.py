@@ -28,7 +28,7 @@ from claimsflow.plans import monthly_matrix as rep013
 from claimsflow.plans import original_values as rep012
 from claimsflow.schemas import FOREIGN_KEYS, PRIMARY_KEYS, REPORT_TABLES, SCHEMAS, required_columns
 from claimsflow.sinks import export, store
-from claimsflow.sources import layouts, snapshot, testbed
+from claimsflow.sources import layouts, retention, snapshot, testbed
 from claimsflow.streaming import changes, summaries
 
 # The seven amounts REP000 prints a VAT part for (MTH-2).
@@ -306,6 +306,15 @@ def q_rep000(spark, sf_dir):
     return rep000.combined_extract(tables(spark, sf_dir), as_of=testbed.AS_OF)
 
 
+@query("retention_pruned_extract")
+def q_retention_pruned(spark, sf_dir):
+    """FLT-5: REP000 over a snapshot laid out by upload month, of which only the
+    months of the window are read."""
+    root = f"{export.default_root(spark)}/by-month-{uuid.uuid4().hex}"
+    retention.write(tables(spark, sf_dir), root)
+    return rep000.combined_extract(snapshot.read_tables(spark, root), as_of=testbed.AS_OF)
+
+
 @query("retention_window")
 def q_retention(spark, sf_dir):
     bulk = tables(spark, sf_dir)["bulk_submission"]

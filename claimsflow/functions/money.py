@@ -16,10 +16,22 @@ VAT_RATE = "decimal(9,4)"
 NUMBER_TEXT = r"^[\s+-]?\d+(\.\d+)?\z"
 
 
+# A digit other than 0 behind the 18th decimal place.
+_BEYOND = r"\.\d{18}\d*[1-9]"
+
+
 def num(c: Column) -> Column:
     """NUMERIC text -> exact decimal.  Text that is no number, ``NaN`` and numbers
-    that do not fit raise: an amount never silently becomes null or 0."""
-    return c.cast(AMOUNT)
+    that do not fit (more than 18 decimal places, too) raise: an amount never
+    silently becomes null or 0, nor is it rounded."""
+    lost = F.concat(F.lit("more than 18 decimal places: "), c)
+    return F.when(c.cast("string").rlike(_BEYOND), F.raise_error(lost).cast(AMOUNT)).otherwise(c.cast(AMOUNT))
+
+
+def _cut(text: Column) -> Column:
+    """``text`` without the digits behind the 18th decimal place: towards zero, so
+    that rounding to fewer places gives what the whole number gives."""
+    return F.regexp_replace(text, r"(\.\d{18})\d+", "$1")
 
 
 def _exactly(text: Column, kind: str) -> Column:
@@ -37,7 +49,7 @@ def money2(c: Column) -> Column:
 def guarded_money(text: Column) -> Column:
     """STR-3: the text of ROUND(x,2) if the text looks numeric, else ''."""
     return F.coalesce(
-        F.when(text.rlike(NUMBER_TEXT), money2(num(text)).cast("string")), F.lit(""))
+        F.when(text.rlike(NUMBER_TEXT), money2(num(_cut(text))).cast("string")), F.lit(""))
 
 
 def vat_text(amount_text: Column, rate_text: Column) -> Column:

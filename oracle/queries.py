@@ -435,6 +435,8 @@ WHERE sp.status = 'VALIDATION_SUCCEEDED' AND c.status = 'VALID'
 
 SQL["rep000_combined_extract"] = with_testbed(REP000_CTES, "SELECT * FROM rep0")
 
+SQL["retention_pruned_extract"] = SQL["rep000_combined_extract"]
+
 SQL["report_order_000"] = with_testbed(REP000_CTES, """
 SELECT strftime(strptime(NULLIF("Submission Period", ''), '%b-%Y'), '%Y%m') AS period_key,
        "Office Account Number", "Line Number", "Claim ID"
