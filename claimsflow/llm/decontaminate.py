@@ -4,16 +4,20 @@ Texts and benchmark items become sequences of template tokens: numbers, units
 after a number, and names (capitalised inside a sentence) are replaced by typed
 placeholders, other words are lower-cased.  Windows of ``WINDOW`` template tokens
 are joined by hash, so a question asked again with other numbers or names still
-meets its item.  A hit counts only where its slots agree: at one alignment, each
-slot value of the item must stand for one value in the document.  A document leaks
-an item when the consistent windows cover ``MIN_COVERAGE`` of the item's.
+meets its item.  A second set of windows leaves names as lower-cased words, so a
+passage in other case (where nothing or everything looks like a name) meets it too.
+A hit counts only where its slots agree: at one alignment, each slot value of the
+item must stand for one value in the document.  A document leaks an item when the
+consistent windows of either set cover ``MIN_COVERAGE`` of the item's.
 
 A bitmap of fixed size (``BITMAP_BITS``) of the benchmark's window hashes is sent
 to the tasks, which drop windows that cannot match before the join; the join
 itself decides.  Texts are taken whole.
 
-Defined results: null and empty texts and items match nothing; items under
-``MIN_TOKENS`` template tokens are not judged, those under ``WINDOW`` are one window.
+Defined results: null and empty texts and items match nothing.  Items under
+``WINDOW`` template tokens are one window.  Those under ``MIN_TOKENS`` say too little
+as templates: they are found word for word (letter case aside), those under
+``MIN_RUN`` only where the document says nothing else.
 Rows with equal text get equal verdicts.  Repeated items are each reported.  A null
 id is kept as such.  Extra columns are ignored by ``leaks`` and kept by ``clean``.
 """
@@ -31,7 +35,7 @@ from pyspark.sql import functions as F
 from claimsflow.llm import common
 
 WINDOW = 8
-MIN_TOKENS = 5
+MIN_TOKENS, MIN_RUN = 5, 3
 MIN_LITERALS = 4
 MIN_COVERAGE = 0.5
 BITMAP_BITS = 1 << 23
@@ -41,6 +45,9 @@ ml l liter liters litre litres gallon gallons second seconds minute minutes hour
 cent cents dollar dollars euro euros percent degree degrees km2 m2 kmh mph hz khz mhz volt volts watt watts""".split())
 
 CAPITAL, NUMBER, UNIT = 1, 2, 3
+#: The two sets of windows: with placeholders for names, and without.
+NAMES, PLAIN = 0, 1
+_KIND = np.array([0, 0x3C6EF372FE94F82B], np.uint64)
 
 
 def _marks() -> dict[str, np.ndarray]:
@@ -109,19 +116,23 @@ class Template:
         unit = np.zeros(len(start), bool)
         after_number = np.flatnonzero(follows)
         unit[after_number] = np.isin(self.hash[after_number], _UNIT_HASHES)
-        self.slot = number | unit | name
-        for k, here in ((CAPITAL, name & ~unit), (NUMBER, number), (UNIT, unit)):
-            self.hash[here] = _PLACEHOLDER[k]
-
-    def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        plain = self.hash.copy()
+        for k, here in ((NUMBER, number), (UNIT, unit)):
+            plain[here] = _PLACEHOLDER[k]
+        self.hash = np.where(name & ~unit, _PLACEHOLDER[CAPITAL], plain)
+        self.hashes = (self.hash, plain)
+        self.slot = (number | unit | name, number | unit)
+
+    def windows(self, n: int, kind: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash of every window of ``n`` tokens, and whether one text holds it."""
         if len(self.hash) < n:
             return np.zeros(0, np.uint64), np.zeros(0, bool)
-        return common.window_hashes(self.hash, n) ^ np.uint64(WINDOW - n), self.owner[:len(self.hash) - n + 1] == self.owner[n - 1:]
+        mark = _KIND[kind] ^ np.uint64(WINDOW - n)
+        return common.window_hashes(self.hashes[kind], n) ^ mark, self.owner[:len(self.hash) - n + 1] == self.owner[n - 1:]
 
-    def slots(self, at: int, n: int) -> list[str]:
+    def slots(self, at: int, n: int, kind: int) -> list[str]:
         """The slot values of a window, lower-cased."""
-        return [self.raw[self.start[k]:self.end[k]].decode(errors="replace").lower() for k in range(at, at + n) if self.slot[k]]
+        return [self.raw[self.start[k]:self.end[k]].decode(errors="replace").lower() for k in range(at, at + n) if self.slot[kind][k]]
 
 
 def text_key(text: str) -> str:
@@ -129,9 +140,9 @@ def text_key(text: str) -> str:
     return hashlib.md5(text.encode(), usedforsecurity=False).hexdigest()
 
 
-_SCHEMA = "key string, window long, at int, slots array<string>, n int, of int"
+_SCHEMA = "key string, window long, at int, slots array<string>, kind int, n int, of int"
 _WINDOW_SCHEMA = pa.schema([("key", pa.string()), ("window", pa.int64()), ("at", pa.int32()), ("slots", pa.list_(pa.string())),
-                            ("n", pa.int32()), ("of", pa.int32())])
+                            ("kind", pa.int32()), ("n", pa.int32()), ("of", pa.int32())])
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -139,8 +150,8 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """Key of each distinct item text, window hash, place, slots, window length
-    and the item's number of windows.  Windows with few literal words are left
+    """Key of each distinct item text, window hash, place, slots, kind and length
+    of the window and the item's number of windows of the kind.  Windows with few literal words are left
     out unless the item has no others."""
 
     def made(batches):
@@ -149,13 +160,12 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
             for text in batch.column("text").to_pylist():
                 parsed = Template([text.encode()])
                 n = min(WINDOW, len(parsed.hash))
-                if n < MIN_TOKENS:
-                    continue
-                hashes = parsed.windows(n)[0].view(np.int64)
-                literal = np.convolve(~parsed.slot, np.ones(n, int), "valid") >= min(n, MIN_LITERALS)
-                keep = np.flatnonzero(literal) if literal.any() else np.arange(len(hashes))
                 key = text_key(text)
-                rows += [(key, int(hashes[k]), int(k), parsed.slots(int(k), n), n, len(keep)) for k in keep]
+                for kind in (NAMES, PLAIN) if n >= MIN_TOKENS else (PLAIN,) if n else ():
+                    hashes = parsed.windows(n, kind)[0].view(np.int64)
+                    literal = np.convolve(~parsed.slot[kind], np.ones(n, int), "valid") >= min(n, MIN_LITERALS)
+                    keep = np.flatnonzero(literal) if literal.any() else np.arange(len(hashes))
+                    rows += [(key, int(hashes[k]), int(k), parsed.slots(int(k), n, kind), kind, n, len(keep)) for k in keep]
             yield _rows(rows)
 
     return (benchmark.where("text IS NOT NULL").select("text").distinct()
@@ -177,7 +187,7 @@ def _bitmap(windows: DataFrame, bits: int) -> np.ndarray:
     return np.unpackbits(out).astype(bool)
 
 
-def document_windows(docs: DataFrame, bitmap, lengths: tuple[int, ...]) -> DataFrame:
+def document_windows(docs: DataFrame, bitmap, lengths: tuple[tuple[int, int], ...]) -> DataFrame:
     """The windows of every text that the bitmap lets through, keyed by text."""
     common.small_batches(docs.sparkSession)
 
@@ -190,36 +200,42 @@ def document_windows(docs: DataFrame, bitmap, lengths: tuple[int, ...]) -> DataF
             for first, last in common.blocks(texts):
                 parsed = Template(texts[first:last])
                 begin = np.searchsorted(parsed.owner, np.arange(last - first))
-                for n in lengths:
-                    windows, whole = parsed.windows(n)
+                size_of = np.bincount(parsed.owner, minlength=last - first)
+                for n, kind in lengths:
+                    windows, whole = parsed.windows(n, kind)
+                    if n < MIN_RUN:  # alone in its text only
+                        whole = whole & (size_of[parsed.owner[:len(whole)]] == n)
                     for at in np.flatnonzero(seen[windows % size] & whole):
                         k = int(parsed.owner[at])
                         key = keys.get(first + k) or keys.setdefault(first + k, text_key(texts[first + k].decode()))
-                        rows.append((key, int(windows[at].view(np.int64)), int(at - begin[k]), parsed.slots(int(at), n), n, 0))
+                        rows.append((key, int(windows[at].view(np.int64)), int(at - begin[k]), parsed.slots(int(at), n, kind), kind, n, 0))
             yield _rows(rows)
 
     return (docs.where("text IS NOT NULL").select("text")
-            .mapInArrow(made, _SCHEMA).drop("of", "n"))
+            .mapInArrow(made, _SCHEMA).drop("of", "n", "kind"))
 
 
 def leaking_texts(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """``text_key, item_key, coverage, verbatim``: distinct texts and the distinct items they leak."""
     spark = docs.sparkSession
     items = common.stored(benchmark_windows(benchmark), "benchmark_windows")
-    # At most WINDOW - MIN_TOKENS + 1 lengths; WINDOW alone unless there are short items.
-    lengths = tuple(r.n for r in items.select("n").distinct().orderBy("n").collect())
+    # At most WINDOW lengths of each kind; WINDOW alone unless there are short items.
+    lengths = tuple((r.n, r.kind) for r in items.select("n", "kind").distinct().orderBy("n", "kind").collect())
     bitmap = spark.sparkContext.broadcast(np.packbits(_bitmap(items, BITMAP_BITS)))
     hits = document_windows(docs, bitmap, lengths).dropDuplicates(["key", "window", "at"])
-    met = hits.alias("d").join(items.alias("b"), "window").select(
-        F.col("d.key").alias("text_key"), F.col("b.key").alias("item_key"), F.col("b.of").alias("of"), F.col("b.at").alias("at"),
+    fits = (F.col("d.window") == F.col("b.window")) & ((F.col("b.n") >= MIN_TOKENS) | (F.col("d.slots") == F.col("b.slots")))
+    met = hits.alias("d").join(items.alias("b"), fits).select(
+        F.col("d.key").alias("text_key"), F.col("b.key").alias("item_key"), F.col("b.kind").alias("kind"), F.col("b.of").alias("of"), F.col("b.at").alias("at"),
         (F.col("d.at") - F.col("b.at")).alias("shift"), F.col("d.slots").alias("ds"), F.col("b.slots").alias("bs"))
     pairs = F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("bs", "ds"))))
-    aligned = (met.groupBy("text_key", "item_key", "of", "shift").agg(F.collect_set("at").alias("ats"), pairs.alias("pairs"))
+    aligned = (met.groupBy("text_key", "item_key", "kind", "of", "shift").agg(F.collect_set("at").alias("ats"), pairs.alias("pairs"))
                .where(F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["bs"])))))
     changed = F.exists("pairs", lambda p: p["bs"] != p["ds"])
     covered = F.size(F.array_distinct(F.flatten(F.collect_list("ats")))) / F.first("of")
-    found = (aligned.groupBy("text_key", "item_key").agg(covered.alias("coverage"), (~F.max(changed)).alias("verbatim"))
+    found = (aligned.groupBy("text_key", "item_key", "kind").agg(covered.alias("coverage"), (~F.max(changed)).alias("verbatim"))
              .where(F.col("coverage") >= min_coverage))
+    # With names, where they cover enough, tells best whether values changed.
+    found = found.groupBy("text_key", "item_key").agg(F.max("coverage").alias("coverage"), F.min_by("verbatim", "kind").alias("verbatim"))
     return common.stored(found, "leaking_texts")
 
 

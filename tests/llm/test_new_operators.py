@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from claimsflow.llm import common, hard_negatives, line_runs, toxicity, variants
+from claimsflow.llm import chat, common, decontaminate, hard_negatives, line_runs, mixing, toxicity, variants
 
 EMB = "vec_id long, embedding array<float>, label int, slot int, score string, rank int"
 
@@ -248,3 +248,48 @@ def test_labelled_rows_are_cut_before_the_shuffle(spark):
     left = {r.doc_id for r in toxicity.cut_to(docs, ids, 500).collect()}
     assert left >= set(range(0, 20_000, 40)) and len(left) < 2500
     assert toxicity.cut_to(docs, ids.limit(0), 0).count() == 0
+
+
+# ---- decontamination, chat and mixing on ordinary input ----
+
+def test_recased_copies_and_short_items_are_found(spark):
+    item = "If Anna has 12 apples and Bob has 7 apples, how many apples do Anna and Bob have together?"
+    bench = spark.createDataFrame([(1, item), (2, "What is 7 plus"), (3, "Yes"), (4, "7"), (5, "!?")], "item_id long, text string")
+    rows = [(1, f"So. {item} Well."), (2, f"so. {item.lower()} well."), (3, f"SO. {item.upper()} WELL."), (4, "Tell me: what is 7 plus 5?"),
+            (5, "Tell me: what is 8 plus 5?"), (6, "Yes"), (7, "Yes, of course, at 7"), (8, " 7! "), (9, "8"), (10, f"So. {item.title()}"),
+            (11, item.lower().replace("12", "30")), (12, "The cat sat on the mat and looked at the moon for 12 hours"), (13, None), (14, "?!")]
+    got = {(r.doc_id, r.item_id): r.verbatim for r in decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert set(got) == {(1, 1), (2, 1), (3, 1), (10, 1), (11, 1), (4, 2), (6, 3), (8, 4)}
+    assert not got[11, 1] and got[1, 1] and got[2, 1]
+    left = decontaminate.clean(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert {r.doc_id for r in left} == {5, 7, 9, 12, 13, 14}
+
+
+def test_turns_are_numbered_before_they_are_cut(spark):
+    rows = [(1, 300 * k, ("ann", "bob")[k % 2], f"t{k}") for k in range(6)] + [(2, None, "cy", f"n{k:03}") for k in range(300)]
+    rows += [(3, 10**15 + 7 * k, ("ann", "bob", "system")[k % 3], f"u{k}") for k in range(520)]
+    said = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    out = chat.rotate(said).collect()
+    assert [(r.part, r.place, r.n_turns) for r in out if r.conv_id == 1] == [(0, 0, 6)] * 2
+    assert sorted((r.part, r.place, r.n_turns) for r in out if r.conv_id == 2) == [(0, 0, 256), (1, 256, 44)]
+    for who in ("ann", "bob"):
+        own = sorted((r for r in out if r.conv_id == 3 and r.perspective == who), key=lambda r: r.part)
+        assert [(r.place, r.n_turns) for r in own] == [(0, 256), (256, 256), (512, 8)]
+        assert re.findall(r"u\d+", "".join(r.rendered for r in own)) == [f"u{k}" for k in range(520)]
+    whole = {(r.conv_id, r.perspective): r for r in chat.rotate(said, part_turns=None).collect()}
+    assert len(whole) == 5 and whole[3, "ann"].n_turns == 520 and whole[2, "cy"].rendered.count("<|assistant|>") == 300
+    r = whole[3, "bob"]
+    assert [r.rendered[m.start:m.end] for m in r.mask] == [f"u{k}<|end|>\n" for k in range(1, 520, 3)]
+
+
+def test_sources_of_one_language_each_have_a_defined_mix(spark, tmp_path):
+    rows = [(k, "word " * (20 + k), ("en", "de", "fr")[k % 3], f"s{k % 3}", 1) for k in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, margin_error int").write.parquet(f"{tmp_path}/documents.parquet")
+    out = mixing.op1_source_mix(spark, str(tmp_path)).collect()
+    assert len(out) == 60 and {r.margin_error for r in out} == {0.0}  # here both margins ask for the same
+    rows += [(100 + k, "word " * 900, "de", "s0", 1) for k in range(5)] + [(200, "word " * 50, "es", "s9", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, margin_error int")
+    docs.where("lang <> 'en' OR source <> 's0'").write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    out = mixing.op1_source_mix(spark, str(tmp_path)).collect()
+    assert len(out) == 46 and len({r.margin_error for r in out}) == 1 and out[0].margin_error > 0.01
+    assert all(0 <= r.probability <= 1 and r.weight >= 0 for r in out)

@@ -79,12 +79,13 @@ def test_empty_tables(spark):
 @pytest.mark.parametrize("name", sorted(catalog.SQL))
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     con.execute(f"CREATE VIEW answer AS {catalog.SQL[name]}")
     found = catalog.QUERIES[name](spark, SF)
     names = ", ".join(sorted(found.columns))
-    assert sorted(map(tuple, found.select(*sorted(found.columns)).collect())) == sorted(con.execute(f"SELECT {names} FROM answer").fetchall())
+    want = con.execute(f"SELECT {names} FROM answer").fetchall()
+    assert sorted(map(tuple, found.select(*sorted(found.columns)).collect()), key=repr) == sorted(want, key=repr)
 
 
 # ---- 1 ----
