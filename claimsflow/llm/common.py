@@ -48,6 +48,14 @@ def stored(df: DataFrame, name: str, *by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def smallest(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """The rows of the ``n`` smallest values of ``key``, one for each value.  The
+    bound is found from the keys alone, so that no task takes other tasks' rows."""
+    least = rows.select(key).where(F.col(key).isNotNull()).distinct().orderBy(key).limit(n)
+    last = least.agg(F.max(key)).first()[0]
+    return rows.where(F.col(key) <= F.lit(last)).dropDuplicates([key]) if last is not None else rows.limit(0)
+
+
 def md5_fraction(col, salt: str = ""):
     """A uniform number in [0, 1) from the md5 of ``col`` as text: the same on
     every run, retry and engine."""
