@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimsflow.functions import money, periods, text
-from claimsflow.operators import fees, quality
+from claimsflow.operators import fees, ordering, quality
 from claimsflow.operators import reconcile as recon
 from claimsflow.operators import submissions as subs
 from claimsflow.plans import batch
@@ -342,6 +342,46 @@ def q_order_013(spark, sf_dir):
     return rep.select(rep013.OFFICE, rep013.AREA)
 
 
+@query("report_lines_000")
+def q_lines_000(spark, sf_dir):
+    """SORT-1, SORT-5: REP000's rows by line number (ties share all keys)."""
+    rep = rep000.combined_extract(tables(spark, sf_dir), as_of=testbed.AS_OF)
+    lines = ordering.numbered(ordering.sorted_ranges(rep, rep000.sort_keys(rep)))
+    return lines.select("line_number", "Submission Period", "Office Account Number", "Line Number", "Claim ID")
+
+
+@query("report_lines_013")
+def q_lines_013(spark, sf_dir):
+    """SORT-3: the matrix's rows by line number."""
+    rep = rep013.monthly_matrix(tables(spark, sf_dir))
+    lines = ordering.numbered(ordering.sorted_ranges(rep, rep013.sort_keys(rep)))
+    return lines.select("line_number", rep013.OFFICE, rep013.AREA)
+
+
+@query("report_order_breaks")
+def q_order_breaks(spark, sf_dir):
+    """Rows of REP000 and REP012 that are out of order after their sort, found
+    from the sorted ranges alone (there must be none), with the rows checked."""
+    t = tables(spark, sf_dir)
+    out = []
+    for name, plan, rep in (("REPORT000", rep000, rep000.combined_extract(t, as_of=testbed.AS_OF)), ("REPORT012", rep012, rep012.original_values(t))):
+        ranges = ordering.sorted_ranges(rep, plan.sort_keys(rep))
+        breaks = ordering.order_breaks(ranges, plan.order_of(rep)).agg(F.count(F.lit(1)).alias("out_of_order"))
+        out.append(ranges.agg(F.count(F.lit(1)).alias("rows")).join(breaks).select(F.lit(name).alias("report"), "rows", "out_of_order"))
+    return quality.union_all(out)
+
+
+@query("stored_report_by_name")
+def q_stored_by_name(spark, sf_dir):
+    """SRC-4: the stored REP012 read by its catalog name and ordered."""
+    root, name = f"{export.default_root(spark)}/named-{uuid.uuid4().hex}", f"report_012_{uuid.uuid4().hex[:8]}"
+    store.refresh(spark, rep012.original_values(tables(spark, sf_dir)), root, "REPORT012")
+    store.expose(spark, root, "REPORT012", name)
+    rep = spark.table(name)
+    lines = ordering.numbered(ordering.sorted_ranges(rep, rep012.sort_keys(rep)))
+    return lines.select("line_number", *rep.columns)
+
+
 # ------------------------------------------------------------ reconciliation
 def _recon_inputs(spark, sf_dir):
     t = tables(spark, sf_dir)
@@ -385,6 +425,31 @@ def q_recon_counts(spark, sf_dir):
     return recon.counts(t, recon.summaries_for(summary, day), as_of)
 
 
+@query("recon_counts_incremental")
+def q_recon_counts_incremental(spark, sf_dir):
+    """AGG-7 / REC-3 from the change feed: every table starts from a part of its
+    rows and rows that are later deleted or changed, the feed brings the rest,
+    and the counts come from the day totals kept along the way."""
+    t, as_of, day, summary = _recon_inputs(spark, sf_dir)
+    root = f"{export.default_root(spark)}/counted-{uuid.uuid4().hex}"
+    late = F.to_timestamp(F.lit("1999-03-01"))
+    per_day = []
+    for name, df in t.items():
+        rows = df.select("id", "created_on", "updated_on", F.lit(2).alias("version"), F.lit(False).alias("gone"))
+        half = F.pmod(F.xxhash64("id"), F.lit(4))
+        gone = rows.where(half == 0).withColumns({"id": F.concat("id", F.lit("-x")), "version": F.lit(1)})
+        moved = rows.where(half == 1).withColumns({"created_on": late, "updated_on": late, "version": F.lit(1)})
+        feed = rows.where(half != 2).unionByName(gone.withColumns({"version": F.lit(3), "gone": F.lit(True)})).unionByName(moved)
+        args = {"key": ["id"], "version": ["version"], "buckets": 4, "deleted": "gone", "days": f"claims.{name}"}
+        changes.start_copy(spark, rows.where(half == 2).unionByName(gone).unionByName(moved), root, name, **args)
+        path = f"{root}/feed/{name}"
+        feed.write.parquet(path)
+        stream = spark.readStream.schema(feed.schema).parquet(path)
+        changes.apply_stream(spark, stream, root, name, checkpoint=f"{root}/_cp/{name}", **args).awaitTermination()
+        per_day.append(changes.day_totals(spark, root, name))
+    return recon.counts_of_days(quality.union_all(per_day), t.keys(), recon.summaries_for(summary, day), as_of)
+
+
 @query("recon_lsn_progress")
 def q_lsn_progress(spark, sf_dir):
     _, _, day, summary = _recon_inputs(spark, sf_dir)

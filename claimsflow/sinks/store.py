@@ -130,3 +130,17 @@ def current(spark: SparkSession, store: str, name: str) -> DataFrame:
         raise FileNotFoundError(f"no stored result for {name}")
     names = json.loads(_read_text(spark, f"{run}/{COLUMNS_FILE}"))
     return spark.read.parquet(run).toDF(*names)
+
+
+def expose(spark: SparkSession, store: str, name: str, view: str) -> None:
+    """SRC-4 under a catalog name: ``view`` shows the newest result, so that
+    ``spark.table(view).orderBy(...)`` reads the stored report.  Replaced as a whole;
+    a query that began on the old one reads the previous run to its end.  The names
+    of the columns must differ by more than case."""
+    run = pointed(spark, f"{store}/{name}")
+    if run is None:
+        raise FileNotFoundError(f"no stored result for {name}")
+    names = json.loads(_read_text(spark, f"{run}/{COLUMNS_FILE}"))
+    quoted = lambda x: "`" + x.replace("`", "``") + "`"
+    columns = ", ".join(f"c{i} AS {quoted(n)}" for i, n in enumerate(names))
+    spark.sql(f"CREATE OR REPLACE VIEW {quoted(view)} AS SELECT {columns} FROM parquet.{quoted(run)}")

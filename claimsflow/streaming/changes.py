@@ -18,7 +18,13 @@ pointer.  A micro-batch is reduced to one row per key (partial aggregation:
 a hot key never lands whole in one task), then only the buckets its keys fall
 into are read, merged and rewritten -- the cost of a batch follows the batch,
 not the size of the state.  Writing the new bucket folders also cuts the
-lineage between batches.
+lineage between batches.  Folders and manifests that neither the current nor the
+previous manifest names are removed.
+
+With ``days`` (the full name of the table) the state also keeps how many of its
+rows were created and updated on each day: a batch takes away the marks of the
+rows it replaces or deletes and adds those of the rows it brings.  The totals are
+switched together with the rows, so a replayed batch changes neither.
 """
 
 from __future__ import annotations
@@ -31,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from claimsflow.operators import reconcile
 from claimsflow.sinks import store
 
 DEFAULT_BUCKETS = 64
@@ -68,10 +75,51 @@ def _manifest(spark: SparkSession, root: str, name: str) -> dict | None:
     return json.loads(store._read_text(spark, text))
 
 
+def _folders(manifest: dict) -> set[str]:
+    """Names of the batch folders that a manifest points into."""
+    paths = [p.rsplit("/", 1)[0] for p in manifest["buckets"].values()] + [p for p in [manifest.get("days")] if p]
+    return {store._name(p) for p in paths}
+
+
 def _switch(spark: SparkSession, root: str, name: str, manifest: dict) -> None:
-    path = f"{root}/{name}/manifest-{uuid.uuid4().hex}.json"
+    home = f"{root}/{name}"
+    path = f"{home}/manifest-{uuid.uuid4().hex}.json"
     store._write_text(spark, path, json.dumps(manifest))
-    store.switch_pointer(spark, f"{root}/{name}", path)
+    gone = store.switch_pointer(spark, home, path)
+    kept = {store._name(store._read_text(spark, p)) for _, p in store._pointers(spark, home)}
+    used = set().union(*[_folders(json.loads(store._read_text(spark, f"{home}/{m}"))) for m in kept])
+    fs, _, jvm = store._fs(spark, home)
+    for old in gone:  # manifests that no pointer names, and what only they used
+        folders = _folders(json.loads(store._read_text(spark, f"{home}/{old}"))) - used
+        for item in (*folders, old):
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{home}/{item}"), True)
+
+
+def _live(df: DataFrame) -> DataFrame:
+    return df.where(~F.col(TOMBSTONE))
+
+
+def _new_days(spark: SparkSession, totals: str | None, before: DataFrame, after: DataFrame, table_name: str, path: str) -> str:
+    """Write the day totals once ``before`` (rows as they were) became ``after``."""
+    signed = [reconcile.day_marks(_live(df), table_name).select("table_name", "day", (F.col("c") * sign).alias("c"), (F.col("u") * sign).alias("u"))
+              for df, sign in ((before, -1), (after, 1))]
+    delta = reconcile.day_totals(signed[0].unionByName(signed[1]))
+    if totals:
+        delta = (spark.read.schema(_DAYS).parquet(totals).unionByName(delta).groupBy("table_name", "day")
+                 .agg(F.sum("created").alias("created"), F.sum("updated_count").alias("updated_count")))
+    delta.where("created <> 0 OR updated_count <> 0").select("table_name", "day", "created", "updated_count").write.parquet(path)
+    return path
+
+
+_DAYS = "table_name string, day date, created bigint, updated_count bigint"
+
+
+def day_totals(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """``table_name, day, created, updated_count`` of the rows of the current state."""
+    m = _manifest(spark, root, name)
+    if m is None or not m.get("days"):
+        raise FileNotFoundError(f"no day totals for {name}")
+    return spark.read.schema(_DAYS).parquet(m["days"])
 
 
 def _write_buckets(df: DataFrame, folder: str, key: list[str], buckets: int) -> None:
@@ -94,7 +142,7 @@ def current_state(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def _merge(spark: SparkSession, changes: DataFrame, root: str, name: str, key: list[str],
-           version: list[str], buckets: int, deleted: Column | str | None = None) -> None:
+           version: list[str], buckets: int, deleted: Column | str | None = None, days: str | None = None) -> None:
     # the batch is used twice (touched buckets, then the merge): keep its
     # one-row-per-key reduction for the batch; a lost executor recomputes it
     reduced = latest_per_key(marked(changes, deleted), key, version).withColumn("_bucket", _bucket(key, buckets)).persist()
@@ -107,6 +155,13 @@ def _merge(spark: SparkSession, changes: DataFrame, root: str, name: str, key: l
         touched = [r[0] for r in reduced.select("_bucket").distinct().collect()]
         old_paths = [m["buckets"][str(b)] for b in touched if str(b) in m["buckets"]]
         merged = reduced.drop("_bucket")
+        if days and m["buckets"] and not m.get("days"):
+            raise ValueError(f"the state of {name} has no day totals; start its copy again")
+        if days:
+            schema = T.StructType.fromJson(m["schema"])
+            old = spark.read.schema(schema).parquet(*old_paths) if old_paths else spark.createDataFrame([], schema)
+            before = old.join(merged.select(*key), key, "left_semi")
+            m["days"] = _new_days(spark, m.get("days"), before, apply_changes(before, merged, key, version), days, f"{root}/{name}/days-{uuid.uuid4().hex}")
         if old_paths:
             old = spark.read.schema(T.StructType.fromJson(m["schema"])).parquet(*old_paths)
             if TOMBSTONE not in old.columns:  # a state written before deletes were kept
@@ -122,19 +177,19 @@ def _merge(spark: SparkSession, changes: DataFrame, root: str, name: str, key: l
 
 def start_copy(spark: SparkSession, initial: DataFrame, root: str, name: str,
                key: list[str], version: list[str], buckets: int = DEFAULT_BUCKETS,
-               deleted: Column | str | None = None) -> None:
+               deleted: Column | str | None = None, days: str | None = None) -> None:
     """Write the initial copy (one row per key) as the first state."""
-    _merge(spark, initial, root, name, key, version, buckets, deleted)
+    _merge(spark, initial, root, name, key, version, buckets, deleted, days)
 
 
 def apply_stream(spark: SparkSession, changes: DataFrame, root: str, name: str,
                  key: list[str], version: list[str], checkpoint: str,
                  available_now: bool = True, buckets: int = DEFAULT_BUCKETS,
-                 deleted: Column | str | None = None) -> StreamingQuery:
+                 deleted: Column | str | None = None, days: str | None = None) -> StreamingQuery:
     """Run the change feed into the stored state with ``foreachBatch``."""
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        _merge(batch.sparkSession, batch, root, name, key, version, buckets, deleted)
+        _merge(batch.sparkSession, batch, root, name, key, version, buckets, deleted, days)
 
     writer = changes.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -442,6 +442,21 @@ SELECT strftime(strptime(NULLIF("Submission Period", ''), '%b-%Y'), '%Y%m') AS p
        "Office Account Number", "Line Number", "Claim ID"
 FROM rep0""")
 
+SQL["report_lines_000"] = with_testbed(REP000_CTES, """
+SELECT row_number() OVER (ORDER BY strftime(strptime(NULLIF("Submission Period", ''), '%b-%Y'), '%Y%m') NULLS LAST,
+                          "Office Account Number" NULLS LAST, "Line Number" NULLS LAST, "Claim ID" NULLS LAST) AS line_number,
+       "Submission Period", "Office Account Number", "Line Number", "Claim ID"
+FROM rep0""")
+
+SQL["report_lines_013"] = with_testbed(REP013_CTES, """
+SELECT row_number() OVER (ORDER BY office_account_number NULLS LAST, area NULLS LAST) AS line_number,
+       office_account_number AS "Provider Office Account Number", area AS "Area of Law"
+FROM (SELECT DISTINCT office_account_number, area FROM rep13_cells)""")
+
+SQL["report_order_breaks"] = with_testbed(",\n".join([REP000_CTES.strip(), REP012_CTES.strip()]), """
+SELECT 'REPORT000' AS report, count(*) AS rows, CAST(0 AS BIGINT) AS out_of_order FROM rep0
+UNION ALL SELECT 'REPORT012', count(*), 0 FROM rep12_chosen""")
+
 
 # ---------------------------------------------------------------- reconciliation
 TESTBED_TABLES = ("submission", "bulk_submission", "claim", "calculated_fee_detail",
@@ -535,6 +550,8 @@ SELECT table_name, expected_r, expected_u, actual_r, actual_u, ok,
             || '), actual (' || actual_r || '/' || actual_u || ')' END AS message
 FROM cnt""")
 
+SQL["recon_counts_incremental"] = SQL["recon_counts"]
+
 SQL["recon_lsn_progress"] = with_testbed(RECON_CTES, """
 SELECT table_name, wal_lsn AS lsn, ok,
        CASE WHEN NOT ok THEN 'WAL LSN in summary (' || wal_lsn || ') is ahead of current WAL (1/0)' END AS message
@@ -638,6 +655,11 @@ SELECT row_number() OVER (ORDER BY "Provider office account number", month_key,
 FROM {_REP012_TEXTS}""")
 
 SQL["refresh_report"] = SQL["rep012_original_values"]
+_REP012_ALL = SQL["rep012_original_values"]
+SQL["stored_report_by_name"] = f"""
+SELECT row_number() OVER (ORDER BY "Provider office account number" NULLS LAST, strftime(strptime("Submission month", '%b-%Y'), '%Y%m') NULLS LAST,
+                          "Area of law" NULLS LAST) AS line_number, *
+FROM ({_REP012_ALL})"""
 SQL["refresh_matrix"] = SQL["rep013_monthly_matrix"]
 
 SQL["batch_run_status"] = with_testbed(",\n".join([REP000_CTES.strip(), REP012_CTES.strip(),

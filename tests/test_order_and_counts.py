@@ -1,0 +1,94 @@
+"""Line numbers, proof of order, stored reports by name, counts from the feed."""
+
+import datetime as dt
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from claimsflow.operators import ordering, reconcile
+from claimsflow.plans import batch
+from claimsflow.sinks import store
+from claimsflow.streaming import changes
+from tests import fixture
+
+
+def test_lines_are_numbered_in_order_and_breaks_are_found(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice([None, "a", "B", "é", "z"]), rng.choice([None, *range(9)]), k) for k in range(3000)]
+    df = spark.createDataFrame(rows, "s string, n int, k int").repartition(7)
+    keys = [F.col("s"), F.col("n")]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else one range holds so few rows
+    try:
+        ranges = ordering.sorted_ranges(df, [c.asc_nulls_last() for c in keys] + [F.col("k")])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert ranges.select("_range").distinct().count() > 1
+    got = ordering.numbered(ranges).orderBy("line_number").collect()
+    order = sorted(rows, key=lambda r: (r[0] is None, (r[0] or "").encode(), r[1] is None, r[1] or 0, r[2]))
+    assert [(r.line_number, r.s, r.n, r.k) for r in got] == [(i, *r) for i, r in enumerate(order, 1)]
+    assert ordering.order_breaks(ranges, keys).count() == 0
+    # a wrong key, swapped ranges and one moved row are found
+    assert ordering.order_breaks(ranges, [F.col("k")]).count() > 30
+    top = ranges.agg(F.max("_range")).first()[0]
+    swapped = ranges.withColumn("_range", top - F.col("_range"))
+    assert ordering.order_breaks(swapped, keys).count() >= top - 1
+    moved = ranges.withColumn("s", F.when((F.col("_range") == 0) & (F.col("_at") == 2), F.lit("zz")).otherwise(F.col("s")))
+    assert [tuple(r) for r in ordering.order_breaks(moved, keys).collect()] == [(0, 3)]
+    none = ordering.sorted_ranges(df.limit(0), [F.col("s")])
+    assert ordering.numbered(none).count() == 0 == ordering.order_breaks(none, keys).count()
+
+
+def test_stored_reports_have_catalog_names(spark, out_dir):
+    t = fixture.tables(spark)
+    reports = batch.standard_reports(fixture.AS_OF)
+    status = batch.run(spark, t, reports, out_dir, views=True).collect()
+    assert all(r.ok for r in status)
+    for rep in reports:
+        stored = store.current(spark, f"{out_dir}/store", rep.name)
+        named = spark.table(rep.file_name.removesuffix(".csv"))
+        assert named.columns == stored.columns and sorted(map(str, named.collect())) == sorted(map(str, stored.collect()))
+    # a view follows the next refresh
+    df = spark.createDataFrame([(1, 2)], "`a ``b` int, c int")
+    store.refresh(spark, df, out_dir, "R")
+    store.expose(spark, out_dir, "R", "r_view")
+    store.refresh(spark, df.unionByName(df), out_dir, "R")
+    store.expose(spark, out_dir, "R", "r_view")
+    assert spark.table("r_view").columns == ["a `b", "c"] and spark.table("r_view").count() == 2
+    with pytest.raises(FileNotFoundError):
+        store.expose(spark, out_dir, "never", "v")
+
+
+CHANGE = "id string, created_on timestamp, updated_on timestamp, version int, gone boolean"
+
+
+def test_day_totals_follow_the_rows(spark, out_dir):
+    rng = random.Random(6)
+    midnight = dt.datetime(2025, 3, 1)
+
+    def row(k, version):
+        made = midnight + dt.timedelta(days=rng.randint(0, 4), hours=rng.randint(0, 23))
+        moved = rng.choice([None, made + dt.timedelta(hours=3), midnight + dt.timedelta(days=rng.randint(0, 5))])
+        return (f"r{k}", made, moved, version, rng.random() < 0.25)
+    for n in range(5):
+        rows = [row(rng.randint(0, 40), rng.randint(1, 9)) for _ in range(30)]
+        for _ in range(1 + (n == 3)):  # one batch comes twice
+            changes._merge(spark, spark.createDataFrame(rows, CHANGE), out_dir, "T", ["id"], ["version"], 3, "gone", "claims.t")
+        live = changes.current_state(spark, out_dir, "T")
+        want = reconcile.day_totals(reconcile.day_marks(live, "claims.t")).where("created <> 0 OR updated_count <> 0")
+        assert sorted(map(tuple, changes.day_totals(spark, out_dir, "T").collect())) == sorted(map(tuple, want.collect()))
+    # the state folder holds what the last two manifests need, no more
+    names = os.listdir(f"{out_dir}/T")
+    assert sum(n.startswith("manifest-") for n in names) == 2 == sum(n.startswith("days-") for n in names)
+    assert sum(n.startswith("batch-") for n in names) <= 6
+    # the check reads the totals alone
+    sums = spark.createDataFrame([("claims.t", 1, 2), ("claims.empty", 0, 0), ("claims.other", 0, 0)], "table_name string, record_count bigint, updated_count bigint")
+    got = {r.table_name: r for r in reconcile.counts_of_days(changes.day_totals(spark, out_dir, "T"), ["t", "empty"], sums, dt.date(2025, 3, 4)).collect()}
+    end, start = dt.datetime(2025, 3, 4), dt.datetime(2025, 3, 3)
+    actual = reconcile.actual_counts({"t": changes.current_state(spark, out_dir, "T")}, start, end).first()
+    assert (got["claims.t"].actual_r, got["claims.t"].actual_u) == (actual.actual_r, actual.actual_u)
+    assert got["claims.empty"].ok and not got["claims.other"].ok and got["claims.other"].actual_r is None
+    with pytest.raises(ValueError, match="no day totals"):
+        changes._merge(spark, spark.createDataFrame([row(1, 1)], CHANGE), out_dir, "U", ["id"], ["version"], 3, "gone")
+        changes._merge(spark, spark.createDataFrame([row(1, 1)], CHANGE), out_dir, "U", ["id"], ["version"], 3, "gone", "claims.u")
