@@ -4,22 +4,23 @@ Listed rules (host, path) decide first.  For other urls, Spark's FP-growth mines
 combinations of url tokens that go with the label ``block`` or ``allow``; rules
 under the support and confidence bounds, and rules that a shorter one makes
 needless, are pruned.  The support asked for is ``MIN_ROWS`` labelled pages, however
-many there are (``MIN_SUPPORT`` of them where that is less).  An inverted index files each mined rule under its rarest
-token; a url meets the rules of its tokens there and must have all tokens of a
-rule.  The surest rule wins, then the one with more support, then ``block``.
-DataFrame functions and Spark ML only.
+many there are.  Tokens of the very same labelled pages share a name, rules are made
+of names, and a url has a name if it has any of its tokens.  An inverted index files
+each mined rule under its rarest name; a url meets the rules of its names there and
+must have all names of a rule.  The surest rule wins, then the one with more support,
+then ``block``.  DataFrame functions and Spark ML only.
 
 Labels for mining: the verdict of the listed rules where one fits, else the
 ``labels`` row of the page's id (bad or toxic: block).
 
 Defined results: a null url, or one without ``://``, has empty host and path, no
 tokens and is allowed.  Repeated rows are judged one by one, equal urls alike.
-With no labels nothing is mined and the default, allow, holds.
+With fewer than ``MIN_ROWS`` labelled pages nothing is mined and the default, allow, holds.
 """
 
 from __future__ import annotations
 
-import math
+from typing import NamedTuple
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +31,6 @@ from claimsflow.llm import common
 
 # Fixed by the task: (verdict, host, path).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-MIN_SUPPORT = 0.01
 MIN_ROWS = 5
 MIN_CONFIDENCE = 0.7
 #: Tokens of a mined rule, and path segments of a url that become tokens of their own place.
@@ -102,69 +102,73 @@ def together(items: DataFrame, rows: int) -> DataFrame:
     return seen.join(first, ["n", "x", "s"]).select("token", "name")
 
 
-_RULE_SCHEMA = T.StructType([T.StructField("tokens", T.ArrayType(T.StringType())), T.StructField("verdict", T.StringType()),
-                             T.StructField("confidence", T.DoubleType()), T.StructField("support", T.DoubleType())])
+class Mined(NamedTuple):
+    """``rules``: ``rule_id, names, verdict, confidence, support``; ``names``:
+    ``token, name``.  A rule fits a url that has a token of each of its names."""
 
+    rules: DataFrame
+    names: DataFrame
 
-def mine(items: DataFrame, min_rows: int = MIN_ROWS, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:
-    """``rule_id, tokens, verdict, confidence, support`` of the pruned rules."""
+
+_RULE_SCHEMA = T.StructType([T.StructField("names", T.ArrayType(T.StringType())), T.StructField("verdict", T.StringType()),
+                             T.StructField("confidence", T.DoubleType()), T.StructField("support", T.DoubleType()),
+                             T.StructField("rule_id", T.LongType())])
+
+
+def mine(items: DataFrame, min_rows: int = MIN_ROWS, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> Mined:
+    """The pruned rules, and the names that they are made of."""
     spark = items.sparkSession
     items = common.stored(items.withColumn("row", F.monotonically_increasing_id()), "url_items")
     n = items.count()
-    if n == 0:
-        return spark.createDataFrame([], _RULE_SCHEMA).withColumn("rule_id", F.lit(0).cast("long"))
-    rows = max(1, min(min_rows, math.ceil(MIN_SUPPORT * n)))
-    names = common.stored(together(items, rows), "url_names")
+    if n < max(1, min_rows):
+        return Mined(spark.createDataFrame([], _RULE_SCHEMA), spark.createDataFrame([], "token string, name string"))
+    names = common.stored(together(items, min_rows), "url_names")
     spread = items.select("row", F.explode("items").alias("token"))
     named = (spread.join(names, "token").select("row", "name")
              .union(spread.where(F.col("token").startswith("=")).select("row", F.col("token").alias("name"))))
     baskets = common.stored(named.groupBy("row").agg(F.collect_set("name").alias("items")).select("items"), "url_baskets")
-    # Half a row less: the share times the rows must not come out above ``rows``.
-    mined = FPGrowth(itemsCol="items", minSupport=(rows - 0.5) / n).fit(baskets).freqItemsets
+    # Half a row less: the share times the rows must not come out above ``min_rows``.
+    mined = FPGrowth(itemsCol="items", minSupport=(min_rows - 0.5) / n).fit(baskets).freqItemsets
     mined = mined.where(F.size("items") <= max_tokens + 1).select(
-        F.array_sort(F.filter("items", lambda x: ~x.startswith("="))).alias("tokens"),
+        F.array_sort(F.filter("items", lambda x: ~x.startswith("="))).alias("names"),
         F.get(F.filter("items", lambda x: x.startswith("=")), F.lit(0)).alias("label"), "freq")
-    mined = common.stored(mined.where((F.size("tokens") > 0) & (F.size("tokens") <= max_tokens)), "url_itemsets")
-    every = mined.where("label IS NULL").select("tokens", F.col("freq").alias("met"))
-    rules = (mined.where("label IS NOT NULL").join(every, "tokens")
-             .select("tokens", F.substring("label", 2, 10).alias("verdict"), (F.col("freq") / F.col("met")).alias("confidence"), (F.col("freq") / F.lit(n)).alias("support"))
+    mined = common.stored(mined.where((F.size("names") > 0) & (F.size("names") <= max_tokens)), "url_itemsets")
+    every = mined.where("label IS NULL").select("names", F.col("freq").alias("met"))
+    rules = (mined.where("label IS NOT NULL").join(every, "names")
+             .select("names", F.substring("label", 2, 10).alias("verdict"), (F.col("freq") / F.col("met")).alias("confidence"), (F.col("freq") / F.lit(n)).alias("support"))
              .where(F.col("confidence") >= min_confidence))
-    rules = common.stored(rules.withColumn("rule_id", F.xxhash64("tokens", "verdict")), "url_rules")
-    # A rule is needless if a part of its tokens is a rule that is as sure: looked
+    rules = common.stored(rules.withColumn("rule_id", F.xxhash64("names", "verdict")), "url_rules")
+    # A rule is needless if a part of its names is a rule that is as sure: looked
     # up by the rule's own subsets, at most 2 ** max_tokens.
-    subsets = F.expr("transform(sequence(1, shiftleft(1, size(tokens)) - 2), b -> filter(tokens, (t, i) -> (shiftright(b, i) & 1) = 1))")
-    longer = rules.where(F.size("tokens") > 1).select(F.explode(subsets).alias("part"), "rule_id", "verdict", "confidence")
-    shorter = rules.select(F.col("tokens").alias("part"), F.col("verdict").alias("v"), F.col("confidence").alias("c"))
+    subsets = F.expr("transform(sequence(1, shiftleft(1, size(names)) - 2), b -> filter(names, (t, i) -> (shiftright(b, i) & 1) = 1))")
+    longer = rules.where(F.size("names") > 1).select(F.explode(subsets).alias("part"), "rule_id", "verdict", "confidence")
+    shorter = rules.select(F.col("names").alias("part"), F.col("verdict").alias("v"), F.col("confidence").alias("c"))
     needless = longer.join(shorter, "part").where((F.col("v") == F.col("verdict")) & (F.col("c") >= F.col("confidence"))).select("rule_id").distinct()
-    rules = rules.join(needless, "rule_id", "left_anti")
-    # Every token of a name can stand for it.
-    members = names.groupBy("name").agg(F.collect_list("token").alias("members"))
-    spelled = (rules.select("verdict", "confidence", "support", "rule_id", F.explode("tokens").alias("name")).join(members, "name")
-               .groupBy("rule_id", "verdict", "confidence", "support").agg(F.collect_list("members").alias("members")))
-    each = F.expr("aggregate(members, array(cast(array() as array<string>)), (acc, m) -> flatten(transform(acc, a -> transform(m, x -> concat(a, array(x))))))")
-    spelled = spelled.select(F.explode(each).alias("tokens"), "verdict", "confidence", "support").withColumn("tokens", F.array_sort("tokens"))
-    return common.stored(spelled.withColumn("rule_id", F.xxhash64("tokens", "verdict")), "url_spelled")
+    return Mined(common.stored(rules.join(needless, "rule_id", "left_anti"), "url_kept_rules"), names)
 
 
-def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
+def match(urls: DataFrame, mined: Mined) -> DataFrame:
     """``url, mined`` (verdict) of the distinct urls that a rule fits."""
-    tokened = urls.select("url", tokens(F.col("url"), F.col("host"), F.col("path")).alias("has")).distinct()
-    spread = tokened.select("url", "has", F.explode("has").alias("token"))
-    wanted = rules.select(F.explode("tokens").alias("token")).distinct()
-    rarity = spread.join(wanted, "token", "left_semi").groupBy("token").agg(F.count("*").alias("n"))
-    filed = (rules.select("rule_id", "tokens", "verdict", "confidence", "support", F.explode("tokens").alias("token"))
-             .join(rarity, "token", "left").groupBy("rule_id", "tokens", "verdict", "confidence", "support")
-             .agg(F.min_by("token", F.struct(F.coalesce("n", F.lit(0)), "token")).alias("token")))
-    met = spread.join(filed, "token").where(F.size(F.array_except("tokens", "has")) == 0)
-    best = F.max_by("verdict", F.struct("confidence", "support", "verdict", "tokens"))
+    rules, names = mined
+    wanted = rules.select(F.explode("names").alias("name")).distinct()
+    asked = names.join(wanted, "name", "left_semi")
+    tokened = urls.select("url", F.explode(tokens(F.col("url"), F.col("host"), F.col("path"))).alias("token"))
+    has = tokened.join(asked, "token").groupBy("url").agg(F.collect_set("name").alias("has"))
+    spread = has.select("url", "has", F.explode("has").alias("name"))
+    rarity = spread.groupBy("name").agg(F.count("*").alias("n"))
+    filed = (rules.select("rule_id", "names", "verdict", "confidence", "support", F.explode("names").alias("name"))
+             .join(rarity, "name", "left").groupBy("rule_id", "names", "verdict", "confidence", "support")
+             .agg(F.min_by("name", F.struct(F.coalesce("n", F.lit(0)), "name")).alias("name")))
+    met = spread.join(filed, "name").where(F.size(F.array_except("names", "has")) == 0)
+    best = F.max_by("verdict", F.struct("confidence", "support", "verdict", "names"))
     return met.groupBy("url").agg(best.alias("mined"))
 
 
 def judge(pages: DataFrame, labels: DataFrame) -> DataFrame:
     """``page_id, host, path, rule, verdict`` of every page."""
     rows = parsed(pages)
-    rules = mine(labelled(rows, labels))
-    found = match(rows.where("rule IS NULL AND host <> ''").select("url", "host", "path"), rules)
+    mined = mine(labelled(rows, labels))
+    found = match(rows.where("rule IS NULL AND host <> ''").select("url", "host", "path"), mined)
     out = rows.join(found, "url", "left")
     verdict = F.coalesce("rule_verdict", "mined", F.lit(DEFAULT))
     return out.select("page_id", "host", "path", "rule", verdict.alias("verdict"))

@@ -369,20 +369,27 @@ def test_field_learns_other_formats():
 
 # ---- 9 ----
 
+def spelled(mined):
+    """The mined rules with every token that may stand for a name: ``(tokens, rule)``."""
+    members = collections.defaultdict(list)
+    for r in mined.names.collect():
+        members[r.name].append(r.token)
+    return [(c, r) for r in mined.rules.collect() for c in itertools.product(*(members[x] for x in r.names))]
+
+
 def test_listed_and_mined_rules(spark):
     hosts = [("a.net", "/x"), ("example.net", "/en/1"), ("b.example.com", "/de/2"), ("c.org", "/fr/3"), ("c.org", "/en/3"), ("b.example.com", "/en/7?k=1#t"), ("net", "")]
     pages = [(k, f"https://{h.upper()}{p}") for k, (h, p) in enumerate(hosts * 12)] + [(900, None), (901, "no address"), (902, "http://"), (900, None)]
     df = spark.createDataFrame(pages, "page_id long, url string").withColumn("token", F.lit("clash"))
     rows = urls.parsed(df)
-    rules = urls.mine(urls.labelled(rows, labels_of(spark, LABELS)))
-    kept = [(set(r.tokens), r) for r in rules.collect()]
+    kept = [(set(t), r) for t, r in spelled(urls.mine(urls.labelled(rows, labels_of(spark, LABELS))))]
     tokened = {r.url: (set(r.t), r) for r in rows.select("url", "rule", "host", urls.tokens(F.col("url"), F.col("host"), F.col("path")).alias("t")).collect()}
     judged = urls.judge(df, labels_of(spark, LABELS)).collect()
     assert len(judged) == len(pages)
     by_id = dict(pages)
     for r in judged:
         if r.rule is None and r.host:
-            fits = [(x.confidence, x.support, x.verdict, sorted(x.tokens)) for t, x in kept if t <= tokened[by_id[r.page_id]][0]]
+            fits = [(x.confidence, x.support, x.verdict) for t, x in kept if t <= tokened[by_id[r.page_id]][0]]
             assert r.verdict == (max(fits)[2] if fits else "allow")
     first = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in judged}
     assert first[0] == ("a.net", "/x", "net/", "block") and first[1] == ("example.net", "/en/1", "example.net/en/", "allow")
@@ -414,10 +421,33 @@ def test_small_hosts_get_rules_whatever_the_other_pages(spark):
                 if hit >= 1 and hit / len(met) >= urls.MIN_CONFIDENCE:
                     want[c, v] = (hit / len(met), hit / len(sets))
     kept = {k: v for k, v in want.items() if not any(want.get(((t,), k[1]), (0,))[0] >= v[0] for t in k[0] if len(k[0]) > 1)}
-    got = {(tuple(r.tokens), r.verdict): (r.confidence, r.support) for r in urls.mine(items, max_tokens=2).collect()}
+    got = {(tuple(sorted(t)), r.verdict): (r.confidence, r.support) for t, r in spelled(urls.mine(items, min_rows=1, max_tokens=2))}
     assert got.keys() == kept.keys() and all(np.allclose(got[k], kept[k]) for k in kept)
 
 
+def test_rules_are_not_multiplied_by_tokens_that_come_together(spark):
+    one, other = ("/".join(f"{x}{chr(97 + k)}" for k in range(20)) for x in ("left", "right"))
+    paths = [f"{one}/{other}", one, other, "plain"]
+    rows = [(k, f"https://h.test/{paths[k % 4]}?p{k % 7}") for k in range(160)]
+    told = labels_of(spark, [(k, int(k % 4 != 0), 0) for k, _ in rows])
+    parsed = urls.parsed(spark.createDataFrame(rows, "page_id long, url string"))
+    rules = [r for r in urls.mine(urls.labelled(parsed, told)).rules.collect() if r.verdict == "block"]
+    assert 1 <= len(rules) <= 3 and min(len(r.names) for r in rules) == 2
+    new = [(900, "https://h.test/leftd/rightq"), (901, "https://h.test/leftd/x"), (902, "https://h.test/rightq/x")]
+    every = spark.createDataFrame(rows + new, "page_id long, url string")
+    judged = {r.page_id: r.verdict for r in urls.judge(every, told).collect()}
+    assert judged[900] == "block" and judged[901] == judged[902] == "allow"
+    assert all(judged[k] == ("block" if k % 4 == 0 else "allow") for k, _ in rows)
+
+
+def test_support_is_a_number_of_pages_at_every_size(spark):
+    rows = [(k, f"https://host{k}.test/a{k}") for k in range(40)] + [(50 + k, f"https://bad.site/{k}") for k in range(4)]
+    parsed = urls.parsed(spark.createDataFrame(rows, "page_id long, url string"))
+    told = labels_of(spark, [(k, int(k < 50), 0) for k, _ in rows])
+    mined = spelled(urls.mine(urls.labelled(parsed, told)))
+    assert {r.verdict for _, r in mined} == {"allow"} and all(r.support >= 5 / 44 for _, r in mined)
+
+
 # ---- 10 ----
 
 def test_folding_and_exceptions():
