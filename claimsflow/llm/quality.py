@@ -2,13 +2,15 @@
 
 Each rule compares one text statistic with a cutoff and rejects above it.  The
 cutoffs are not hand-set: labelled documents are a holdout, and for every
-stratum and rule the tightest cutoff of a fixed grid is taken whose exact
-binomial (Clopper-Pearson) upper bound on the false-rejection rate stays under
-the rule's share of the allowed risk.  The bounds hold together: the error
-probability is divided by the number of (stratum, rule, cutoff) tests
-(Bonferroni), and the risk by the number of rules (union bound), so with
-probability ``1 - delta`` no stratum loses more than ``risk`` of its good
-documents to the chosen rules.
+stratum and rule the cutoffs of a fixed grid are tested from the loosest to the
+tightest, each by the exact binomial (Clopper-Pearson) upper bound on the
+false-rejection rate against the rule's share of the allowed risk, up to the first
+that is not shown to be safe.  The bounds hold together: within a rule the fixed
+order needs no correction, the error probability is divided by the number of
+(stratum, rule) orders that are still open (Holm: an order tested to its end hands
+its part to the others), and the risk by the number of rules (union bound), so with
+probability ``1 - delta`` no stratum loses more than ``risk`` of its good documents
+to the chosen rules.
 
 Defined results: null or empty text has no words, so its statistics are 0 and
 the base rule rejects it.  A null or unlisted stratum value is stratum
@@ -135,20 +137,27 @@ def choose_cutoffs(counts: list[tuple[str, str, int, int, int]], n_strata: int,
     ``bin`` is how many grid cutoffs the statistic exceeds.
 
     The hypothesis "this cutoff rejects more than ``risk / n_rules`` of the
-    good documents" is tested with the exact binomial tail at level
-    ``delta / (n_strata * n_rules * len(grid))``.  Of the cutoffs whose
-    hypothesis is rejected the tightest one wins that rejects more bad than good
+    good documents" is tested with the exact binomial tail, loosest cutoff first,
+    at level ``delta`` by the number of open (stratum, rule) orders.  Of the
+    cutoffs shown to be safe the tightest one wins that rejects more bad than good
     labelled documents; a rule without such a cutoff is not used."""
-    level, share = delta / (n_strata * n_rules * len(grid)), risk / n_rules
+    share = risk / n_rules
     bins: dict[tuple[str, str], np.ndarray] = {}
     for stratum, rule, at, quality, n in counts:
         bins.setdefault((stratum, rule), np.zeros((2, len(grid) + 1), np.int64))[int(quality > 0), at] += n
+    safe = dict.fromkeys(bins, len(grid))  # the first cutoff of the grid that is shown to be safe
+    n_open, before = n_strata * n_rules, None  # strata and rules without labels stay open
+    while n_open and n_open != before:
+        before = n_open
+        for key, (_, good) in bins.items():
+            while safe[key] and binomial_cdf(int(good[safe[key]:].sum()), int(good.sum()), share) <= delta / before:
+                safe[key] -= 1
+        n_open = n_strata * n_rules - sum(at == 0 for at in safe.values())
     chosen = {}
     for key, (bad, good) in bins.items():
-        for g, cutoff in enumerate(grid):
-            lost, hit = int(good[g + 1:].sum()), int(bad[g + 1:].sum())
-            if hit > lost and binomial_cdf(lost, int(good.sum()), share) <= level:
-                chosen[key] = cutoff
+        for g in range(safe[key], len(grid)):
+            if bad[g + 1:].sum() > good[g + 1:].sum():
+                chosen[key] = grid[g]
                 break
     return chosen
 

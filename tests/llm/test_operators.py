@@ -339,6 +339,78 @@ def test_cutoffs_hold_the_risk():
     chosen = quality.choose_cutoffs(counts, 5, 5)
     assert chosen == {("en", "symbols"): quality.GRID[0]}  # too few labels for "de"
     assert not quality.choose_cutoffs([("en", "symbols", 5, 1, 2500), ("en", "symbols", 5, 0, 2600)], 5, 5)
+    # 700 good labels do: 0.99 ** 700 is under 0.05 / 25, not under 0.05 / (25 * 17)
+    assert quality.choose_cutoffs([("en", "symbols", 0, 1, 700), ("en", "symbols", 9, 0, 30)], 5, 5) == {("en", "symbols"): quality.GRID[0]}
+    # an order tested to its end hands its part on: of two, the second is open to 0.05
+    first, second = [("en", "a", 0, 1, 5000), ("en", "a", 9, 0, 5)], [("en", "b", 0, 1, 62), ("en", "b", 9, 0, 5)]
+    assert not quality.choose_cutoffs(second, 1, 2, risk=0.1) and ("en", "b") in quality.choose_cutoffs(first + second, 1, 2, risk=0.1)
+    # the order stops at the first cutoff that fails: none beyond it is looked at
+    split = [("en", "symbols", 0, 1, 5000), ("en", "symbols", 6, 1, 400), ("en", "symbols", 9, 0, 900)]
+    assert quality.choose_cutoffs(split, 5, 5) == {("en", "symbols"): quality.GRID[6]}
+
+
+def test_false_rejections_stay_within_the_risk():
+    """Labels drawn with a known rate beyond every cutoff: a chosen cutoff that loses
+    more than its share of good documents may come up in ``DELTA`` of the draws."""
+    rng = np.random.default_rng(7)
+    rate = np.linspace(0.03, 0.002, len(quality.GRID))  # good documents beyond each cutoff
+    steps = -np.diff(np.concatenate([[1.0], rate, [0.0]]))
+    wrong = used = 0
+    for _ in range(300):
+        counts = []
+        for stratum in quality.STRATA:
+            good = rng.multinomial(3000, steps)
+            counts += [(stratum, "symbols", at, 1, int(n)) for at, n in enumerate(good)] + [(stratum, "symbols", len(quality.GRID), 0, 2000)]
+        chosen = quality.choose_cutoffs(counts, len(quality.STRATA), 5)
+        used += len(chosen)
+        wrong += any(rate[quality.GRID.index(c)] > quality.RISK / 5 for c in chosen.values())
+    assert used > 300 and wrong <= 0.1 * 300
+
+
+def test_verdicts_match_plain_code(spark):
+    """``kept`` end to end against plain Python: statistics, cutoffs by a search of
+    every level and cutoff, verdicts."""
+    rng = random.Random(5)
+    rows, told = [], []
+    for k in range(2600):
+        words = [f"w{rng.randrange(900)}" for _ in range(rng.randrange(15, 40))]
+        bad = k % 9 == 0
+        for _ in range(rng.randrange(6, 12) if bad else rng.randrange(0, 2) * (k % 50 == 0)):
+            words.insert(rng.randrange(len(words)), "$$$$")
+        rows.append((k, " ".join(words), ("en", "en", "de", "xx")[k % 4]))
+        told.append((k, int(not bad), 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.kept, tuple(r.rejected_by)) for r in quality.judge(docs, labels_of(spark, told)).collect()}
+    shares, base = {}, {}
+    for k, text, _ in rows:
+        s = dict(zip(quality.STAT_NAMES, quality.text_stats(text), strict=True))
+        over = lambda a, b: s[a] / s[b] if s[b] else 0.0
+        shares[k] = {"symbols": over("n_symbols", "word_chars"), "repeated_lines": over("n_dup_lines", "n_lines"),
+                     "repeated_words": over("n_repeat_words", "n_words"), "capitals": over("n_upper", "word_chars"), "marks": over("n_marks", "word_chars")}
+        base[k] = s["n_words"] < 20 or 100 * s["n_repeat_words"] > 30 * s["n_words"]
+    stratum = {k: lang if lang in quality.STRATA else "other" for k, _, lang in rows}
+    cutoffs, closed = {}, set()
+    for _ in range(26):
+        level = quality.DELTA / (25 - len(closed))
+        for st in set(stratum.values()):
+            good = [k for k, q, _ in told if q and not base[k] and stratum[k] == st]
+            bad = [k for k, q, _ in told if not q and not base[k] and stratum[k] == st]
+            for rule in shares[0]:
+                passed = []
+                for c in reversed(quality.GRID):
+                    lost = sum(shares[k][rule] > c for k in good)
+                    if quality.binomial_cdf(lost, len(good), quality.RISK / 5) > level:
+                        break
+                    passed.append((c, lost, sum(shares[k][rule] > c for k in bad)))
+                useful = [c for c, lost, hit in passed if hit > lost]
+                if useful:
+                    cutoffs[st, rule] = min(useful)
+                if len(passed) == len(quality.GRID):
+                    closed.add((st, rule))
+    assert cutoffs and {st for st, _ in cutoffs} >= {"en"}
+    for k, _, _ in rows:
+        fired = tuple(r for r in shares[k] if (stratum[k], r) in cutoffs and shares[k][r] > cutoffs[stratum[k], r])
+        assert got[k] == (not base[k] and not fired, fired)
 
 
 # ---- 8 ----
