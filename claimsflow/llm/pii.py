@@ -5,15 +5,17 @@ texts.  A semi-Markov conditional random field then looks at the neighbourhood
 of every token with a digit or an ``@``: candidate segments of up to
 ``MAX_SEGMENT`` tokens are scored by whole-span features (digit counts,
 checksums, separators, shape, neighbour words) and a bounded-entity dynamic
-program chooses boundaries and types together.  Segments that do not overlap a
-base span are added; base spans always stay.
+program chooses boundaries and types together.  It takes the tokens in blocks and
+keeps back pointers only, so a text of nothing but numbers costs in proportion to
+its length.  Segments that do not overlap a base span are added; base spans always
+stay.
 
 The field is trained here, in numpy, by conditional likelihood.  Its examples
 are neighbourhoods from a bounded sample of documents (``SAMPLE_DOCS`` rows with
-the smallest md5 of their id, ``SAMPLE_ISLANDS`` neighbourhoods) labelled by the
-base patterns and a keyed-secret pattern, copies of them written in other
-formats, and fixed example sentences, so that an empty table trains too.  Finding
-covers every text whole.
+the smallest md5 of their id, ``SAMPLE_ISLANDS`` neighbourhoods of up to
+``SAMPLE_CHARS`` code points) labelled by the base patterns and a keyed-secret
+pattern, copies of them written in other formats, and fixed example sentences, so
+that an empty table trains too.  Finding covers every text whole.
 
 Defined results: null or empty text has no spans.  Repeated rows give equal
 results.  Offsets are code points, end exclusive.  Overlapping base spans of
@@ -22,8 +24,12 @@ different kinds are all kept.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import itertools
 import re
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +44,7 @@ KINDS = (*BASE_KINDS, "secret")
 MAX_SEGMENT = 9
 SAMPLE_DOCS = 4000
 SAMPLE_ISLANDS = 1200
+SAMPLE_CHARS = 400
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -107,27 +114,27 @@ def islands(text: str) -> Iterator[tuple[int, str]]:
     """(offset, neighbourhood) of the tokens with a digit or ``@``: two words
     before, one after, joined where they touch.  All of the text that has any."""
     ends = -1
-    start = 0
+    start = line = 0
+    line_end = -1
     for m in _TRIGGER.finditer(text):
         if m.end() <= ends:
             continue
+        if m.start() > line_end:
+            line = text.rfind("\n", line_end + 1, m.start()) + 1 or line_end + 1
+            line_end = text.find("\n", m.end())
+            line_end = len(text) if line_end < 0 else line_end
         left, right = m.start(), m.end()
         for _ in range(3):  # to the start of the third word back, never over a line end
-            cut = max(text.rfind(" ", 0, max(0, left - 1)), text.rfind("\n", 0, left))
-            left = cut + 1
-            if left == 0 or text[left - 1] == "\n":
-                break
+            left = max(line, text.rfind(" ", line, max(line, left - 1)) + 1)
         for _ in range(2):
-            nxt = [x for x in (text.find(" ", right + 1), text.find("\n", right)) if x >= 0]
-            right = min(nxt) if nxt else len(text)
-            if right == len(text) or text[right] == "\n":
-                break
+            space = text.find(" ", right + 1, line_end)
+            right = space if space >= 0 else line_end
         if ends >= 0 and left <= ends:
             ends = max(ends, right)
             continue
         if ends >= 0:
             yield start, text[start:ends]
-        start, ends = left, max(right, m.end())
+        start, ends = left, right
     if ends >= 0:
         yield start, text[start:ends]
 
@@ -136,60 +143,164 @@ def tokens(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in _TOKEN.finditer(text)]
 
 
-def features(text: str, spans: list[tuple[int, int]], i: int, j: int) -> list[int]:
-    """Active whole-span features of the segment of tokens ``i`` to ``j`` (exclusive)."""
-    a, b = spans[i][0], spans[j - 1][1]
-    s = text[a:b]
-    digits = _digits(s)
-    n = len(digits)
-    size = sum(n >= c for c in _COUNTS) - 1
-    octets = re.fullmatch(r"[0-9]{1,3}(\.[0-9]{1,3}){3}", s) is not None and all(int(p) <= 255 for p in s.split("."))
-    letters = sum(c.isalpha() for c in s)
-    plain = all(c in "0123456789 ()-./+" for c in s)
-    groups = re.findall(r"[0-9]+", s)
-    balanced = s.count("(") == s.count(")")
-    wordish = re.fullmatch(r"[A-Za-z0-9_/+-]{16,}", s) is not None
-    before = [text[x:y].lower() for x, y in spans[max(0, i - 4):i]]
+# Classes of ASCII characters, one bit each; all others have none.
+_DIGIT, _DOT, _PLAIN, _WORDISH, _HEX, _JOIN, _OPEN, _CLOSE, _AT, _LINE, _NEAR, _LEAD, _TAIL = (1 << k for k in range(13))
+_LOWER = "abcdefghijklmnopqrstuvwxyz"
+_MEMBERS = {
+    _DIGIT: "0123456789", _DOT: ".", _PLAIN: "0123456789 ()-./+", _WORDISH: _LOWER + _LOWER.upper() + "0123456789_/+-", _HEX: "0123456789abcdef",
+    _JOIN: "/-", _OPEN: "(", _CLOSE: ")", _AT: "@", _LINE: "\n", _NEAR: " \n\t\"'(=:<|[", _LEAD: ".,;:-)", _TAIL: ".,;:-(+",
+}
+_BITS = np.array([sum(bit for bit, chars in _MEMBERS.items() if chr(c) in chars) for c in range(128)] + [0], np.uint16)
+_EMAIL = re.compile(r"[\w.%+-]+@[\w-]+(\.[\w-]+)+")
+_OCTETS = re.compile(r"[0-9]{1,3}(\.[0-9]{1,3}){3}")
+#: Cue word -> a bit for each kind; ``=`` and ``:`` have the bit after them.
+_CUE_BITS = {w: sum(1 << k for k, kind in enumerate(KINDS) if w in CUES[kind]) for words in CUES.values() for w in words} | {"=": 1 << len(KINDS), ":": 1 << len(KINDS)}
+_CUE_CHARS = 16
+#: Tokens that a segment's features look back at.
+_BEFORE = 4
+
+
+@functools.cache
+def _unicode(test: str) -> np.ndarray:
+    return np.fromiter((getattr(chr(c), test)() for c in range(0x110000)), bool, 0x110000)
+
+
+def cells(text: str, spans: np.ndarray, first: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The candidate segments that end with token ``first`` of ``spans`` or a later
+    one, by end, the longest first: first token, token after the last, and the
+    whole-span features (segments x features, true where active).  A candidate
+    holds a digit or ``@`` and no line end.  Counts come from sums up to the token
+    boundaries, so a segment costs the same whatever its length."""
+    low, high = max(0, int(spans[0, 0]) - 1), min(len(text), int(spans[-1, 1]) + 1)
+    u = np.frombuffer(text[low:high].encode("utf-32-le", "surrogatepass"), np.uint32)
+    bits = _BITS[np.minimum(u, 128)]
+    x, y = spans[:, 0] - low, spans[:, 1] - low
+    end = np.repeat(np.arange(first, len(spans)), MAX_SEGMENT)
+    i = end + 1 - np.tile(np.arange(MAX_SEGMENT, 0, -1), len(spans) - first)
+    i, end = i[i >= 0], end[i >= 0]
+
+    def sums(mask: np.ndarray) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum(mask, dtype=np.int32)])
+
+    def count(mask: np.ndarray, short: int = 0) -> np.ndarray:
+        c = sums(mask)
+        return c[y - short][end] - c[x][i]
+
+    has = lambda bit: (bits & bit) > 0
+    keep = (count(has(_DIGIT | _AT)) > 0) & (count(has(_LINE)) == 0)
+    i, end = i[keep], end[keep]
+    a, b = x[i], y[end]
+    size, width = b - a, end + 1 - i
+    digit = has(_DIGIT)
+    upto = sums(digit)
+    da, db = upto[a], upto[b]
+    n = db - da
+    # Luhn's sum: digits at the last one's parity as they are, the others doubled.
+    d = u[digit].astype(np.int32) - 48
+    twice, odd = 2 * d - 9 * (d > 4), np.arange(len(d)) % 2 == 1
+    even_sum, odd_sum = sums(np.where(odd, twice, d)), sums(np.where(odd, d, twice))
+    luhn_ok = np.where((db - 1) % 2 == 1, odd_sum[db] - odd_sum[da], even_sum[db] - even_sum[da]) % 10 == 0
+    run = digit & ~np.concatenate([[False], digit[:-1]])
+    groups = count(run) + (digit & ~run)[a]
+    letters = count(_unicode("isalpha")[u])
+    plain, wordish = count(has(_PLAIN)) == size, (count(has(_WORDISH)) == size) & (size >= 16)
+    balanced = count(has(_OPEN)) == count(has(_CLOSE))
+    ats, dots = count(has(_AT)), count(has(_DOT))
+    paired = lambda bit: np.concatenate([has(bit)[:-1] & has(bit)[1:], [False]])
+    head, tail = u[a], u[b - 1]
+    v = head == ord("v")
+    version = ((n + dots == size - v) & (dots >= 1) & (dots <= 2) & (count(paired(_DOT), 1) == 0)
+               & digit[np.minimum(a + v, len(u) - 1)] & digit[b - 1])
+    second = u[np.minimum(a + 1, len(u) - 1)]
+    year = (size == 4) & (n == 4) & (((head == ord("1")) & (second == ord("9"))) | ((head == ord("2")) & (second == ord("0"))))
+    email, loose, octets = (np.zeros(len(i), bool) for _ in range(3))
+    for k in np.flatnonzero(ats == 1):
+        s = text[a[k] + low:b[k] + low]
+        email[k], loose[k] = _EMAIL.fullmatch(s) is not None, letters[k] > 4 and "." in s[s.index("@"):]
+    for k in np.flatnonzero((dots == 3) & (n + dots == size)):
+        s = text[a[k] + low:b[k] + low]
+        octets[k] = _OCTETS.fullmatch(s) is not None and all(int(p) <= 255 for p in s.split("."))
+    cue = np.array([0] * _BEFORE + [_CUE_BITS.get(text[p:q].lower(), 0) if q - p <= _CUE_CHARS else 0 for p, q in spans.tolist()])
+    two = (cue[3:-1] | cue[2:-2])[i]
+    four = (cue[3:-1] | cue[2:-2] | cue[1:-3] | cue[:-4])[i]
+    cued = [(four >> k & 1) > 0 for k in range(len(KINDS))]
+    long_plain = plain & (n >= 9) & (n <= 15)
+    step = sum((n >= c).astype(int) for c in _COUNTS) - 1
+    after = _unicode("isalnum")[u[np.minimum(b, len(u) - 1)]] & (b < len(u))
     on = [
-        True, n == 0, "@" in s, re.fullmatch(r"[\w.%+-]+@[\w-]+(\.[\w-]+)+", s) is not None,
-        s.count("@") == 1 and "." in s[s.index("@"):] and letters > 4,
-        octets, plain and 12 <= n <= 19 and luhn(digits), plain and 13 <= n <= 19 and s[0] not in "+(" and not luhn(digits),
-        s.startswith("+") and 9 <= n <= 15 and plain and balanced, s.startswith("(") and 9 <= n <= 15 and plain and balanced,
-        plain and 9 <= n <= 12 and len(groups) >= 3 and balanced and "." not in s, plain and 9 <= n <= 15 and any(w in CUES["phone"] for w in before),
-        wordish and 0 < n < len(s) and letters > 3 and not re.search(r"[/-]{2}", s), wordish and re.fullmatch(r"[0-9a-f]{24,}", s) is not None and letters > 0,
-        re.fullmatch(r"(19|20)[0-9]{2}", s) is not None, re.fullmatch(r"v?[0-9]+(\.[0-9]+){1,2}", s) is not None, plain and n <= 6,
-        s[0] in ".,;:-)" or s[-1] in ".,;:-(+", j - i == 1, j - i > 6, a > 0 and text[a - 1] not in " \n\t\"'(=:<|[", b < len(text) and text[b:b + 1].isalnum(),
-        any(w in ("=", ":") for w in before[-2:]), letters > 0 and plain is False and n > 0 and not wordish and "@" not in s,
+        np.ones(len(i), bool), n == 0, ats > 0, email, loose,
+        octets, plain & (n >= 12) & (n <= 19) & luhn_ok, plain & (n >= 13) & (n <= 19) & (head != ord("+")) & (head != ord("(")) & ~luhn_ok,
+        (head == ord("+")) & long_plain & balanced, (head == ord("(")) & long_plain & balanced,
+        plain & (n >= 9) & (n <= 12) & (groups >= 3) & balanced & (dots == 0), long_plain & cued[KINDS.index("phone")],
+        wordish & (n > 0) & (n < size) & (letters > 3) & (count(paired(_JOIN), 1) == 0), (count(has(_HEX)) == size) & (size >= 24) & (letters > 0),
+        year, version, plain & (n <= 6),
+        has(_LEAD)[a] | has(_TAIL)[b - 1], width == 1, width > 6, (a > 0) & ~has(_NEAR)[np.maximum(a, 1) - 1], after,
+        (two >> len(KINDS) & 1) > 0, (letters > 0) & ~plain & (n > 0) & ~wordish & (ats == 0),
+        *[step == k for k in range(len(_COUNTS))], *cued,
     ]
-    out = [k for k, x in enumerate(on) if x] + [len(on) + size]
-    for k, kind in enumerate(KINDS):
-        if any(w in CUES[kind] for w in before):
-            out.append(len(on) + len(_COUNTS) + k)
-    return out
+    return i, end + 1, np.stack(on, axis=1)
 
 
 N_FEATURES = 24 + len(_COUNTS) + len(KINDS)
 
 
+#: Tokens whose segments are scored at once.
+BLOCK_TOKENS = 2000
+
+
+def segment(text: str, weights: np.ndarray) -> list[Span]:
+    """The best segmentation of a neighbourhood of any length: a token outside
+    every segment scores 0; of equal segmentations, the one with the longer
+    segments.  Tokens come in blocks with the few before them that segments and
+    features reach back to; what stays is a score and a back pointer a token.  A
+    segment that scores 0 or less can never improve on leaving its tokens out."""
+    found = _TOKEN.finditer(text)
+    starts, ends = array("q"), array("q")
+    top, back, chosen = array("d", [0.0]), array("b", [0]), array("b", [0])
+    while block := [m.span() for m in itertools.islice(found, BLOCK_TOKENS)]:
+        done = len(starts)
+        starts.extend(a for a, _ in block)
+        ends.extend(b for _, b in block)
+        since = max(0, done - MAX_SEGMENT - _BEFORE)
+        i, j, on = cells(text, np.array([starts[since:], ends[since:]], np.int64).T, done - since)
+        score = np.zeros((len(i), len(KINDS)))
+        for k, weight in enumerate(weights):
+            score[on[:, k]] += weight
+        kinds = score.argmax(axis=1)
+        score = np.take_along_axis(score, kinds[:, None], 1)[:, 0]
+        use = score > 0
+        ready = zip((i[use] + since).tolist(), (j[use] + since).tolist(), kinds[use].tolist(), score[use].tolist(), strict=True)
+        ahead = next(ready, None)
+        for at in range(done + 1, done + len(block) + 1):
+            best, length, kind = top[at - 1], 0, 0
+            while ahead and ahead[1] == at:
+                value = top[ahead[0]] + ahead[3]
+                if value > best:
+                    best, length, kind = value, at - ahead[0], ahead[2]
+                ahead = next(ready, None)
+            top.append(best)
+            back.append(length)
+            chosen.append(kind)
+    out, j = [], len(starts)
+    while j > 0:
+        if back[j]:
+            out.append((starts[j - back[j]], ends[j - 1], KINDS[chosen[j]]))
+        j -= max(1, back[j])
+    return out[::-1]
+
+
 class Lattice:
-    """The candidate segments of one neighbourhood."""
+    """The candidate segments of one neighbourhood, for training."""
 
     def __init__(self, text: str):
         self.text = text
         self.spans = tokens(text)
-        self.active = [re.search(r"[0-9@]", text[a:b]) is not None for a, b in self.spans]
         self.cells: list[tuple[int, int]] = []
-        rows, cols = [], []
-        seen = np.concatenate([[0], np.cumsum(self.active)])
-        for i in range(len(self.spans)):
-            for j in range(i + 1, min(len(self.spans), i + MAX_SEGMENT) + 1):
-                if seen[j] == seen[i] or "\n" in text[self.spans[i][0]:self.spans[j - 1][1]]:
-                    continue
-                on = features(text, self.spans, i, j)
-                rows += [len(self.cells)] * len(on)
-                cols += on
-                self.cells.append((i, j))
-        self.rows, self.cols = np.array(rows, np.int64), np.array(cols, np.int64)
+        self.rows = self.cols = np.zeros(0, np.int64)
+        if self.spans:
+            i, j, on = cells(text, np.array(self.spans, np.int64))
+            self.cells = list(zip(i.tolist(), j.tolist(), strict=True))
+            self.rows, self.cols = np.nonzero(on)
         self.by_end: dict[int, list[tuple[int, int]]] = {}
         for k, (i, j) in enumerate(self.cells):
             self.by_end.setdefault(j, []).append((k, i))
@@ -201,28 +312,6 @@ class Lattice:
             out = np.add.reduceat(weights[self.cols], starts, axis=0)
         return out
 
-    def best(self, weights: np.ndarray) -> list[tuple[int, int, str]]:
-        """The best segmentation: a token outside every segment scores 0."""
-        score = self.scores(weights)
-        n = len(self.spans)
-        top, back = [0.0] * (n + 1), [None] * (n + 1)
-        kinds = score.argmax(axis=1) if len(score) else []
-        for j in range(1, n + 1):
-            top[j] = top[j - 1]
-            for k, i in self.by_end.get(j, ()):
-                value = top[i] + score[k, kinds[k]]
-                if value > top[j]:
-                    top[j], back[j] = value, (i, KINDS[kinds[k]])
-        out, j = [], n
-        while j > 0:
-            if back[j] is None:
-                j -= 1
-            else:
-                i, kind = back[j]
-                out.append((self.spans[i][0], self.spans[j - 1][1], kind))
-                j = i
-        return out[::-1]
-
     def gradient(self, weights: np.ndarray, truth: dict[tuple[int, int], int]) -> np.ndarray:
         """Of the log conditional likelihood, by forward-backward over segments."""
         score = self.scores(weights)
@@ -309,7 +398,7 @@ def train(sample: list[str], rounds: int = 25, rate: float = 0.3, ridge: float =
     built = []
     for text, spans in data:
         lattice = Lattice(text)
-        if not lattice.cells or len(lattice.cells) > 4000:
+        if not lattice.cells:
             continue
         starts, ends = {s[0]: k for k, s in enumerate(lattice.spans)}, {s[1]: k + 1 for k, s in enumerate(lattice.spans)}
         truth = {(starts[a], ends[b]): KINDS.index(kind) for a, b, kind in spans if a in starts and b in ends}
@@ -328,14 +417,14 @@ def train(sample: list[str], rounds: int = 25, rate: float = 0.3, ridge: float =
 
 
 def sample_islands(docs: DataFrame, n_docs: int = SAMPLE_DOCS, n_islands: int = SAMPLE_ISLANDS) -> list[str]:
-    """A bounded training sample: neighbourhoods under 400 characters of the
+    """A bounded training sample: neighbourhoods of up to ``SAMPLE_CHARS`` code points of the
     documents with the smallest md5 of their id."""
     h = F.concat(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.md5("text"))
     chosen = common.smallest(docs.where("text IS NOT NULL AND text RLIKE '[0-9@]'").select(h.alias("h"), "text"), "h", n_docs).select("text")
 
     def pieces(batches):
         for batch in batches:
-            found = [s for t in batch.column("text").to_pylist() for _, s in islands(t) if len(s) < 400]
+            found = [s for t in batch.column("text").to_pylist() for _, s in islands(t) if len(s) <= SAMPLE_CHARS]
             yield pa.RecordBatch.from_pydict({"island": pa.array(found, pa.string())})
 
     rows = (chosen.repartition(8).mapInArrow(pieces, "island string").distinct()
@@ -353,10 +442,13 @@ def all_spans(text: str | None, weights: np.ndarray) -> tuple[list[Span], list[S
     if not text or not _TRIGGER.search(text):
         return [], []
     base = base_spans(text)
+    begins = [s[0] for s in base]
+    reach = list(itertools.accumulate((s[1] for s in base), max))
     added = []
     for offset, island in islands(text):
-        for a, b, kind in Lattice(island).best(weights):
-            if all(b + offset <= s[0] or s[1] <= a + offset for s in base):
+        for a, b, kind in segment(island, weights):
+            before = bisect_left(begins, b + offset)
+            if before == 0 or reach[before - 1] <= a + offset:
                 added.append((a + offset, b + offset, kind))
     return base, sorted(base + added, key=lambda s: (s[0], KINDS.index(s[2])))
 

@@ -7,6 +7,8 @@ import math
 import os
 import random
 import re
+import time
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -439,6 +441,111 @@ def test_field_learns_other_formats():
     assert found("License, Version 2.0. of 2004 and page 12") == [] and found("") == []
 
 
+PIECES = ["12", "415", "555-0134", "(415)", "+1", "a@b.com", "x.y@z.org", "@", "key", "=", ":", "tel", "1.2.3.4", "v1.2", "1.2.3", "4111 1111 1111 1111", "10.20.300.1", "..",
+          "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b", "abc_DEF12345678901", "\n", " ", " ", ".", ",", "é5", "2021", "--", "//", '("', "--a1b2c3d4e5f6g7h8", "١٢", "²3", "e-mail", "(", ")", "\t", "|", "["]
+
+
+def plain_features(text: str, spans: list[tuple[int, int]], i: int, j: int) -> list[int]:
+    """The active whole-span features, one by one, of the segment of tokens ``i`` to ``j`` (exclusive)."""
+    a, b = spans[i][0], spans[j - 1][1]
+    s = text[a:b]
+    digits = pii._digits(s)
+    n = len(digits)
+    size = sum(n >= c for c in pii._COUNTS) - 1
+    octets = re.fullmatch(r"[0-9]{1,3}(\.[0-9]{1,3}){3}", s) is not None and all(int(p) <= 255 for p in s.split("."))
+    letters = sum(c.isalpha() for c in s)
+    plain = all(c in "0123456789 ()-./+" for c in s)
+    groups = re.findall(r"[0-9]+", s)
+    balanced = s.count("(") == s.count(")")
+    wordish = re.fullmatch(r"[A-Za-z0-9_/+-]{16,}", s) is not None
+    before = [text[x:y].lower() for x, y in spans[max(0, i - 4):i]]
+    on = [
+        True, n == 0, "@" in s, re.fullmatch(r"[\w.%+-]+@[\w-]+(\.[\w-]+)+", s) is not None,
+        s.count("@") == 1 and "." in s[s.index("@"):] and letters > 4,
+        octets, plain and 12 <= n <= 19 and pii.luhn(digits), plain and 13 <= n <= 19 and s[0] not in "+(" and not pii.luhn(digits),
+        s.startswith("+") and 9 <= n <= 15 and plain and balanced, s.startswith("(") and 9 <= n <= 15 and plain and balanced,
+        plain and 9 <= n <= 12 and len(groups) >= 3 and balanced and "." not in s, plain and 9 <= n <= 15 and any(w in pii.CUES["phone"] for w in before),
+        wordish and 0 < n < len(s) and letters > 3 and not re.search(r"[/-]{2}", s), wordish and re.fullmatch(r"[0-9a-f]{24,}", s) is not None and letters > 0,
+        re.fullmatch(r"(19|20)[0-9]{2}", s) is not None, re.fullmatch(r"v?[0-9]+(\.[0-9]+){1,2}", s) is not None, plain and n <= 6,
+        s[0] in ".,;:-)" or s[-1] in ".,;:-(+", j - i == 1, j - i > 6, a > 0 and text[a - 1] not in " \n\t\"'(=:<|[", b < len(text) and text[b:b + 1].isalnum(),
+        any(w in ("=", ":") for w in before[-2:]), letters > 0 and plain is False and n > 0 and not wordish and "@" not in s,
+    ]
+    out = [k for k, x in enumerate(on) if x] + [len(on) + size]
+    for k, kind in enumerate(pii.KINDS):
+        if any(w in pii.CUES[kind] for w in before):
+            out.append(len(on) + len(pii._COUNTS) + k)
+    return out
+
+
+def test_segment_features_match_plain_code():
+    rng = random.Random(8)
+    for _ in range(600):
+        text = "".join(rng.choice(PIECES) + rng.choice((" ", "")) for _ in range(rng.randrange(1, 22)))
+        spans = pii.tokens(text)
+        if not spans:
+            continue
+        got = {(a, b): np.flatnonzero(f).tolist() for a, b, f in zip(*pii.cells(text, np.array(spans, np.int64)), strict=True)}
+        want = {(a, b): sorted(plain_features(text, spans, a, b)) for a in range(len(spans)) for b in range(a + 1, min(len(spans), a + pii.MAX_SEGMENT) + 1)
+                if re.search("[0-9@]", text[spans[a][0]:spans[b - 1][1]]) and "\n" not in text[spans[a][0]:spans[b - 1][1]]}
+        assert got == want
+
+
+def test_segmentation_is_the_best_of_all(monkeypatch):
+    weights = pii.train([], rounds=25)
+    rng = random.Random(9)
+
+    def value(text, spans, chosen):
+        return sum(weights[plain_features(text, spans, a, b), k].sum() for a, b, k in chosen)
+
+    def every(text, spans, at):  # all segmentations from token ``at`` on, each segment with its best kind
+        if at == len(spans):
+            yield []
+            return
+        yield from every(text, spans, at + 1)
+        for b in range(at + 1, min(len(spans), at + pii.MAX_SEGMENT) + 1):
+            s = text[spans[at][0]:spans[b - 1][1]]
+            if re.search("[0-9@]", s) and "\n" not in s:
+                kind = int(weights[plain_features(text, spans, at, b)].sum(axis=0).argmax())
+                yield from ([(at, b, kind), *rest] for rest in every(text, spans, b))
+
+    some = 0
+    for _ in range(60):
+        text = " ".join(rng.choice(PIECES) for _ in range(rng.randrange(1, 6)))
+        spans = pii.tokens(text)
+        if len(spans) > 8:
+            continue
+        starts, ends = {a: k for k, (a, _) in enumerate(spans)}, {b: k + 1 for k, (_, b) in enumerate(spans)}
+        found = pii.segment(text, weights)
+        some += len(found)
+        mine = value(text, spans, [(starts[a], ends[b], pii.KINDS.index(kind)) for a, b, kind in found])
+        assert math.isclose(mine, max(value(text, spans, c) for c in every(text, spans, 0)), abs_tol=1e-9)
+    assert some > 5
+    # blocks of any size give the same segments
+    text = " ".join(rng.choice(PIECES) for _ in range(900))
+    whole = pii.segment(text, weights)
+    for size in (1, 2, 7):
+        monkeypatch.setattr(pii, "BLOCK_TOKENS", size)
+        assert pii.segment(text, weights) == whole
+
+
+def test_long_numeric_text_in_bounded_memory():
+    rng = random.Random(10)
+    text = " ".join(str(rng.randrange(10 ** rng.randrange(1, 5))) for _ in range(290_000)) + " write to ann@example.com or call (415) 555-0134 now"
+    weights = pii.train([], rounds=25)
+    start = time.perf_counter()
+    base, spans = pii.all_spans(text, weights)
+    assert time.perf_counter() - start < 60  # seconds; some 2 here
+    assert len(text) > 950_000 and base[-1][2] == "email" and (text[spans[-1][0]:spans[-1][1]], spans[-1][2]) == ("(415) 555-0134", "phone")
+    tracemalloc.start()
+    try:
+        pii.all_spans(text, weights)
+        assert tracemalloc.get_traced_memory()[1] < 200e6
+    finally:
+        tracemalloc.stop()
+    lines = "\n".join(f"{k} and {k}" for k in range(20_000))
+    assert list(pii.islands(lines)) == [(m.start(), m[0]) for m in re.finditer("[^\n]+", lines)]
+
+
 # ---- 9 ----
 
 def spelled(mined):
