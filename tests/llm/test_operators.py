@@ -321,6 +321,78 @@ def test_language_follows_text_and_host(spark):
     assert sum(r.language == r.declared for r in found) > 0.95 * len(found) and sum(r.kept for r in found) > 0.95 * len(found)
 
 
+def test_posterior_matches_plain_code(spark):
+    """Five languages, one of them in no list, against plain Python."""
+    rng = random.Random(6)
+    vocab = {"en": "the of and house with water light every morning", "pt": "uma casa com agua luz manhã também não coração", "de": "das haus mit wasser licht jeden morgen und",
+             "nl": "het huis met water licht elke ochtend een", "fr": "la maison avec eau lumière chaque matin où"}
+    hosts = ["a.site.pt", "b.site.pt", "news.de", "plain", None, "x.org"]
+    rows = []
+    for k in range(260):
+        true = sorted(vocab)[k % 5]
+        text = " ".join(rng.choice(vocab[true].split()) for _ in range(rng.choice((1, 3, 30))))
+        told = rng.choice((true, true, true + "-XX", true.upper(), None, rng.choice(sorted(vocab)), "q" + chr(97 + k % 26), "a language"))
+        rows.append((k, text if k % 40 else (None, "", "12 34")[k % 3], told, rng.choice(hosts)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, declared string, host string")
+    got = {r.doc_id: r for r in language.identify(df).collect()}
+
+    def code(x):
+        x = (x or "").strip().split("-")[0].lower()
+        return x if re.fullmatch("[a-z]{2}", x) else None
+
+    declared = collections.Counter(code(d) for _, t, d, _ in rows if t is not None)
+    langs = sorted(x for x, n in declared.items() if x and n >= language.MIN_DECLARED)
+    assert langs == sorted(vocab)
+    bins = {k: language.trigram_bins([(t or "").encode()])[0] for k, t, _, _ in rows}
+    seen = {x: collections.Counter() for x in langs}
+    for k, _, d, _ in rows:
+        if code(d) in seen:
+            seen[code(d)].update(bins[k].tolist())
+    total = {x: sum(c.values()) + 0.5 * language.BINS for x, c in seen.items()}
+    ll = {k: [sum(math.log((seen[x][b] + 0.5) / total[x]) for b in bins[k].tolist()) / max(1, len(bins[k])) for x in langs] for k, _, _, _ in rows}
+    guess = {k: max(range(5), key=lambda j: ll[k][j]) for k in ll if len(bins[k])}
+    parts = {k: (h, ".".join(h.split(".")[-2:]) if h and "." in h else None, h.split(".")[-1] if h and "." in h else None) for k, _, _, h in rows}
+
+    def smoothed(level, key, parent, strength):
+        n = [sum(g == j and (level is None or parts[k][level] == key) for k, g in guess.items()) for j in range(5)]
+        return [(c + strength * p) / (sum(n) + strength) for c, p in zip(n, parent, strict=True)]
+
+    base = smoothed(None, None, [0.2] * 5, 1.0)
+    for k, text, d, h in rows:
+        r = got[k]
+        if not len(bins[k]):
+            assert (r.language, r.kept) == (None, False)
+            continue
+        prior = base
+        if h:
+            for level, key in ((2, parts[k][2]), (1, parts[k][1]), (0, h)):
+                prior = smoothed(level, key, prior, language.HOST_STRENGTH) if key else prior
+        score = []
+        for j in range(5):
+            told = 1.0
+            if code(d) in langs:
+                at = [sum(code(rows[x][2]) == lang and guess.get(x) == j for x in guess) for lang in langs]
+                told = (at[langs.index(code(d))] + 2.0 * (1 if langs[j] == code(d) else 0.75 / 4)) / (sum(at) + 2.0 * 1.75)
+            score.append(min(len(bins[k]), language.TEXT_WEIGHT) * ll[k][j] + math.log(prior[j]) + math.log(told))
+        posterior = 1 / sum(math.exp(x - max(score)) for x in score)
+        assert math.isclose(r.posterior, posterior, rel_tol=1e-3), k
+        best = max(range(5), key=lambda j: score[j])
+        assert r.language == langs[best]
+        assert r.kept == (r.posterior >= 0.5 and ll[k][best] + 5 / math.sqrt(len(bins[k])) >= -math.log(language.BINS) + 0.5)
+    long = [k for k, t, _, _ in rows if t and len(t.split()) == 30]
+    assert sum(got[k].language == sorted(vocab)[k % 5] for k in long) > 0.95 * len(long)
+
+
+def test_language_of_pages(spark):
+    found = language.language_of_pages(spark, SF)
+    assert found.columns == ["page_id", "language", "posterior", "declared", "host", "kept"]
+    rows = found.collect()
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    assert len(rows) == pages.count()
+    told = [r for r in rows if r.declared and r.language]
+    assert len(told) > 0 and sum(r.language == r.declared for r in told) > 0.8 * len(told)
+
+
 # ---- 7 ----
 
 def test_statistics_match_plain_code():
