@@ -23,7 +23,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = judged.groupBy("doc_id", "text_key", "declared", "host").agg(F.first("language").alias("language"))
     found = found.select(*[F.col(c).alias(f"_{c}") for c in found.columns])
     # The evidence holds lower-cased declarations and hosts; compare alike.
-    declared = language._listed(F.col("lang"))
+    declared = language.code_of(F.col("lang"))
     host = F.lower(F.trim("source"))
     same = (docs["doc_id"].eqNullSafe(F.col("_doc_id")) & (F.md5(docs["text"]) == F.col("_text_key"))
             & declared.eqNullSafe(F.col("_declared")) & F.when(host != "", host).eqNullSafe(F.col("_host")))
