@@ -133,6 +133,15 @@ def claims(groups: DataFrame) -> DataFrame:
         F.when(line % 3 == 0, line).alias("mediation_sessions_count"),
         F.when((F.col("n") > 1) & (line > 1), cid(num - 1)).alias("matched_claim_id"),
         F.when(k % 4 == 0, F.concat(F.lit("MAAT"), k.cast("string"))).alias("maat_id"),
+        F.when(num % 3 != 0, F.concat(F.lit("SCH"), (num % 11).cast("string"))).alias("scheme_id"),
+        F.when(num % 4 != 0, F.to_date("last_ship")).alias("representation_order_date"),
+        F.when(num % 5 != 0, F.concat(F.lit("LOC"), (num % 13).cast("string"))).alias("delivery_location"),
+        F.when(num % 3 != 0, F.concat(F.lit("PS"), (num % 101).cast("string"))).alias("police_station_court_prison_id"),
+        F.when(num % 4 != 0, num % 7).alias("police_station_court_attendances_count"),
+        F.when(num % 6 != 0, F.concat(F.lit("PA"), (num % 17).cast("string"))).alias("procurement_area_code"),
+        F.when(num % 5 != 0, F.concat(F.lit("AP"), (num % 19).cast("string"))).alias("access_point_code"),
+        F.when(num % 7 != 0, F.concat(F.lit("RS"), (num % 23).cast("string"))).alias("referral_source"),
+        F.when(num % 3 != 0, num % 5 == 1).alias("is_youth_court"),
         F.lit("loader").alias("created_by_user_id"),
         F.col("first_ship").cast("timestamp").alias("created_on"),
         F.when(later, F.col("last_ship").cast("timestamp")).alias("updated_on"),
@@ -150,12 +159,18 @@ def _money_text(c: Column) -> Column:
     return F.round(c, 2).cast("decimal(18,2)").cast("string")
 
 
+def _amount(n: Column, most: int) -> Column:
+    """A NUMERIC text with two decimals."""
+    return F.concat((n % most).cast("string"), F.lit("."), _pad(n % 97, 2))
+
+
 def fee_details(lineitem: DataFrame) -> DataFrame:
     from pyspark.sql import Window as W
     w = W.partitionBy("l_orderkey", "l_linenumber").orderBy(
         "l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey", "l_quantity",
         "l_discount", "l_tax")
     line, num = F.col("l_linenumber"), F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    part = num + F.col("l_partkey")  # differs between the details of a claim
     p, d, x = _dec("l_extendedprice"), _dec("l_discount"), _dec("l_tax")
     shipped = F.col("l_shipdate").cast("timestamp")
     df = lineitem.select(
@@ -182,6 +197,17 @@ def fee_details(lineitem: DataFrame) -> DataFrame:
         F.when(F.col("l_returnflag") == "A", F.lit("12.5")).alias("bolt_on_total_fee_amount"),
         _money_text(p * x).alias("disbursement_amount"),
         F.when(F.col("l_returnflag") == "A", F.lit(1)).alias("bolt_on_adjourned_hearing_count"),
+        F.when(part % 4 != 0, _amount(part, 211)).alias("net_waiting_costs_amount"),
+        F.when(part % 3 != 0, _amount(part, 223)).alias("travel_and_waiting_costs_amount"),
+        F.when(part % 5 != 0, _amount(part, 227)).alias("detention_travel_and_waiting_costs_amount"),
+        F.when(part % 2 != 0, _amount(part, 229)).alias("hourly_total_amount"),
+        F.when(part % 6 != 0, _amount(part, 233)).alias("bolt_on_adjourned_hearing_fee"),
+        F.when(part % 4 != 0, part % 5).alias("bolt_on_cmrh_telephone_count"),
+        F.when(part % 7 != 0, _amount(part, 239)).alias("bolt_on_cmrh_telephone_fee"),
+        F.when(part % 5 != 0, part % 6).alias("bolt_on_cmrh_oral_count"),
+        F.when(part % 3 != 0, _amount(part, 241)).alias("bolt_on_cmrh_oral_fee"),
+        F.when(part % 6 != 0, part % 8).alias("bolt_on_home_office_interview_count"),
+        F.when(part % 4 != 0, _amount(part, 251)).alias("bolt_on_home_office_interview_fee"),
         (F.col("l_linestatus") == "F").alias("escape_case_flag"),
     )
     return _conform(df, "calculated_fee_detail")
@@ -206,6 +232,25 @@ def summary_fees(groups: DataFrame, lineitem: DataFrame) -> DataFrame:
         (line == 1).alias("is_london_rate"),
         F.when(line == 4, F.lit(2)).alias("adjourned_hearing_fee_amount"),
         F.when(line == 5, F.to_date("first_ship")).alias("surgery_date"),
+        F.when(num % 3 != 0, _amount(num, 257)).alias("disbursements_vat_amount"),
+        F.when(num % 4 != 0, _amount(num, 263)).alias("travel_waiting_costs_amount"),
+        F.when(num % 5 != 0, _amount(num, 269)).alias("net_waiting_costs_amount"),
+        F.when(num % 6 != 0, F.concat(F.lit("PRI"), (num % 29).cast("string"))).alias("prior_authority_reference"),
+        F.when(num % 3 != 0, num % 4 == 1).alias("is_additional_travel_payment"),
+        F.when(num % 7 != 0, _amount(num, 271)).alias("costs_damages_recovered_amount"),
+        F.when(num % 4 != 0, F.concat(F.lit("MTG"), (num % 31).cast("string"))).alias("meetings_attended_code"),
+        F.when(num % 5 != 0, _amount(num, 277)).alias("detention_travel_waiting_costs_amount"),
+        F.when(num % 3 != 0, _amount(num, 281)).alias("jr_form_filling_amount"),
+        F.when(num % 6 != 0, num % 9).alias("medical_reports_count"),
+        F.when(num % 5 != 0, num % 6 == 1).alias("is_irc_surgery"),
+        F.when(num % 4 != 0, num % 10).alias("surgery_clients_count"),
+        F.when(num % 7 != 0, num % 11).alias("surgery_matters_count"),
+        F.when(num % 3 != 0, num % 12).alias("cmrh_oral_count"),
+        F.when(num % 5 != 0, num % 13).alias("cmrh_telephone_count"),
+        F.when(num % 6 != 0, F.concat(F.lit("AIT"), (num % 37).cast("string"))).alias("ait_hearing_centre_code"),
+        F.when(num % 4 != 0, num % 7 == 1).alias("is_substantive_hearing"),
+        F.when(num % 7 != 0, num % 14).alias("ho_interview"),
+        F.when(num % 5 != 0, F.concat(F.lit("LA"), (num % 41).cast("string"))).alias("local_authority_number"),
         F.lit("loader").alias("created_by_user_id"),
         F.col("first_ship").cast("timestamp").alias("created_on"),
     )
@@ -229,6 +274,7 @@ def claim_cases(groups: DataFrame, part: DataFrame) -> DataFrame:
         F.when(num % 3 == 0, F.lit(True)).alias("is_nrm_advice"),
         F.when(num % 4 == 0, F.lit("YES")).alias("follow_on_work"),
         F.when(num % 8 == 0, F.to_date("first_ship")).alias("transfer_date"),
+        F.when(num % 4 != 0, F.concat(F.lit("EX"), (num % 43).cast("string"))).alias("exemption_criteria_satisfied"),
         F.when(num % 5 == 0, F.concat(F.lit("ECF"), num.cast("string")))
         .when(num % 5 == 1, F.lit("")).alias("exceptional_case_funding_reference"),
         (num % 2 == 0).alias("is_legacy_case"),
@@ -259,6 +305,18 @@ def clients(groups: DataFrame, orders: DataFrame, customer: DataFrame, nation: D
         (F.col("c_acctbal") > 0).alias("is_legally_aided"),
         F.lit("Type1").alias("client_type_code"),
         F.when(ck % 3 == 0, F.concat(F.lit("CLA"), ck.cast("string"))).alias("cla_reference_number"),
+        F.when(num % 3 != 0, F.concat(F.lit("DIS"), (num % 47).cast("string"))).alias("disability_code"),
+        F.when(num % 5 != 0, F.concat(F.lit("HO"), (num % 53).cast("string"))).alias("home_office_client_number"),
+        F.when(num % 4 != 0, F.concat(F.lit("CE"), (num % 59).cast("string"))).alias("cla_exemption_code"),
+        F.when(num % 6 != 0, F.concat(F.lit("Forename"), (num % 61).cast("string"))).alias("client_2_forename"),
+        F.when(num % 5 != 0, F.concat(F.lit("Surname"), (num % 67).cast("string"))).alias("client_2_surname"),
+        F.when(num % 3 != 0, F.date_add(F.lit("1960-01-01").cast("date"), (num % 9000).cast("int"))).alias("client_2_date_of_birth"),
+        F.when(num % 7 != 0, F.concat(F.lit("UCN2-"), (num % 71).cast("string"))).alias("client_2_ucn"),
+        F.when(num % 4 != 0, F.concat(F.lit("CD"), (num % 73).cast("string"))).alias("client_2_postcode"),
+        F.when(num % 5 != 0, F.concat(F.lit("G"), (num % 3).cast("string"))).alias("client_2_gender_code"),
+        F.when(num % 6 != 0, F.concat(F.lit("ETH"), (num % 79).cast("string"))).alias("client_2_ethnicity_code"),
+        F.when(num % 3 != 0, F.concat(F.lit("D2-"), (num % 83).cast("string"))).alias("client_2_disability_code"),
+        F.when(num % 4 != 0, num % 8 == 1).alias("client_2_is_legally_aided"),
         F.lit("loader").alias("created_by_user_id"),
         F.col("first_ship").cast("timestamp").alias("created_on"),
     )

@@ -2,7 +2,7 @@
 ``claimsflow.sources.testbed``, written separately in SQL).
 
 Every oracle query starts ``WITH`` + :data:`TESTBED` and then its own CTEs.
-Columns a report reads but the testbed never fills are declared NULL here.
+Every column that a report reads is filled, each by a modulus of its own.
 """
 
 SUBMISSION = r"""
@@ -79,15 +79,15 @@ claim AS (
     CASE WHEN n > 1 AND l_linenumber > 1 THEN 'C' || lpad(CAST(num - 1 AS VARCHAR), 11, '0') END
       AS matched_claim_id,
     CASE WHEN l_orderkey % 4 = 0 THEN 'MAAT' || CAST(l_orderkey AS VARCHAR) END AS maat_id,
-    CAST(NULL AS VARCHAR) AS scheme_id,
-    CAST(NULL AS DATE) AS representation_order_date,
-    CAST(NULL AS VARCHAR) AS delivery_location,
-    CAST(NULL AS VARCHAR) AS police_station_court_prison_id,
-    CAST(NULL AS INTEGER) AS police_station_court_attendances_count,
-    CAST(NULL AS VARCHAR) AS procurement_area_code,
-    CAST(NULL AS VARCHAR) AS access_point_code,
-    CAST(NULL AS VARCHAR) AS referral_source,
-    CAST(NULL AS BOOLEAN) AS is_youth_court,
+    CASE WHEN num % 3 <> 0 THEN 'SCH' || CAST(num % 11 AS VARCHAR) END AS scheme_id,
+    CASE WHEN num % 4 <> 0 THEN CAST(last_ship AS DATE) END AS representation_order_date,
+    CASE WHEN num % 5 <> 0 THEN 'LOC' || CAST(num % 13 AS VARCHAR) END AS delivery_location,
+    CASE WHEN num % 3 <> 0 THEN 'PS' || CAST(num % 101 AS VARCHAR) END AS police_station_court_prison_id,
+    CASE WHEN num % 4 <> 0 THEN CAST(num % 7 AS INTEGER) END AS police_station_court_attendances_count,
+    CASE WHEN num % 6 <> 0 THEN 'PA' || CAST(num % 17 AS VARCHAR) END AS procurement_area_code,
+    CASE WHEN num % 5 <> 0 THEN 'AP' || CAST(num % 19 AS VARCHAR) END AS access_point_code,
+    CASE WHEN num % 7 <> 0 THEN 'RS' || CAST(num % 23 AS VARCHAR) END AS referral_source,
+    CASE WHEN num % 3 <> 0 THEN num % 5 = 1 END AS is_youth_court,
     'loader' AS created_by_user_id,
     first_ship AS created_on,
     CASE WHEN last_ship > first_ship THEN last_ship END AS updated_on,
@@ -123,22 +123,22 @@ calculated_fee_detail AS (
     CASE WHEN l_tax >= 0.04 THEN CAST(CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(18,2)), 2) AS DECIMAL(18,2)) AS VARCHAR) END
       AS net_cost_of_counsel_amount,
     CASE WHEN l_quantity > 25 THEN CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) END AS net_travel_costs_amount,
-    CAST(NULL AS VARCHAR) AS net_waiting_costs_amount,
+    CASE WHEN (l_orderkey * 10 + l_linenumber + l_partkey) % 4 <> 0 THEN CAST((l_orderkey * 10 + l_linenumber + l_partkey) % 211 AS VARCHAR) || '.' || lpad(CAST((l_orderkey * 10 + l_linenumber + l_partkey) % 97 AS VARCHAR), 2, '0') END AS net_waiting_costs_amount,
     CASE WHEN l_linenumber = 1 THEN '0' END AS jr_form_filling_amount,
     CASE WHEN l_returnflag = 'A' THEN '12.5' END AS bolt_on_total_fee_amount,
     CAST(CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(18,2)), 2) AS DECIMAL(18,2)) AS VARCHAR)
       AS disbursement_amount,
-    CAST(NULL AS VARCHAR) AS travel_and_waiting_costs_amount,
-    CAST(NULL AS VARCHAR) AS detention_travel_and_waiting_costs_amount,
-    CAST(NULL AS VARCHAR) AS hourly_total_amount,
+    CASE WHEN (l_orderkey * 10 + l_linenumber + l_partkey) % 3 <> 0 THEN CAST((l_orderkey * 10 + l_linenumber + l_partkey) % 223 AS VARCHAR) || '.' || lpad(CAST((l_orderkey * 10 + l_linenumber + l_partkey) % 97 AS VARCHAR), 2, '0') END AS travel_and_waiting_costs_amount,
+    CASE WHEN (l_orderkey * 10 + l_linenumber + l_partkey) % 5 <> 0 THEN CAST((l_orderkey * 10 + l_linenumber + l_partkey) % 227 AS VARCHAR) || '.' || lpad(CAST((l_orderkey * 10 + l_linenumber + l_partkey) % 97 AS VARCHAR), 2, '0') END AS detention_travel_and_waiting_costs_amount,
+    CASE WHEN (l_orderkey * 10 + l_linenumber + l_partkey) % 2 <> 0 THEN CAST((l_orderkey * 10 + l_linenumber + l_partkey) % 229 AS VARCHAR) || '.' || lpad(CAST((l_orderkey * 10 + l_linenumber + l_partkey) % 97 AS VARCHAR), 2, '0') END AS hourly_total_amount,
     CASE WHEN l_returnflag = 'A' THEN 1 END AS bolt_on_adjourned_hearing_count,
-    CAST(NULL AS VARCHAR) AS bolt_on_adjourned_hearing_fee,
-    CAST(NULL AS INTEGER) AS bolt_on_cmrh_telephone_count,
-    CAST(NULL AS VARCHAR) AS bolt_on_cmrh_telephone_fee,
-    CAST(NULL AS INTEGER) AS bolt_on_cmrh_oral_count,
-    CAST(NULL AS VARCHAR) AS bolt_on_cmrh_oral_fee,
-    CAST(NULL AS INTEGER) AS bolt_on_home_office_interview_count,
-    CAST(NULL AS VARCHAR) AS bolt_on_home_office_interview_fee,
+    CASE WHEN (l_orderkey * 10 + l_linenumber + l_partkey) % 6 <> 0 THEN CAST((l_orderkey * 10 + l_linenumber + l_partkey) % 233 AS VARCHAR) || '.' || lpad(CAST((l_orderkey * 10 + l_linenumber + l_partkey) % 97 AS VARCHAR), 2, '0') END AS bolt_on_adjourned_hearing_fee,
+    CASE WHEN (l_orderkey * 10 + l_linenumber + l_partkey) % 4 <> 0 THEN CAST((l_orderkey * 10 + l_linenumber + l_partkey) % 5 AS INTEGER) END AS bolt_on_cmrh_telephone_count,
+    CASE WHEN (l_orderkey * 10 + l_linenumber + l_partkey) % 7 <> 0 THEN CAST((l_orderkey * 10 + l_linenumber + l_partkey) % 239 AS VARCHAR) || '.' || lpad(CAST((l_orderkey * 10 + l_linenumber + l_partkey) % 97 AS VARCHAR), 2, '0') END AS bolt_on_cmrh_telephone_fee,
+    CASE WHEN (l_orderkey * 10 + l_linenumber + l_partkey) % 5 <> 0 THEN CAST((l_orderkey * 10 + l_linenumber + l_partkey) % 6 AS INTEGER) END AS bolt_on_cmrh_oral_count,
+    CASE WHEN (l_orderkey * 10 + l_linenumber + l_partkey) % 3 <> 0 THEN CAST((l_orderkey * 10 + l_linenumber + l_partkey) % 241 AS VARCHAR) || '.' || lpad(CAST((l_orderkey * 10 + l_linenumber + l_partkey) % 97 AS VARCHAR), 2, '0') END AS bolt_on_cmrh_oral_fee,
+    CASE WHEN (l_orderkey * 10 + l_linenumber + l_partkey) % 6 <> 0 THEN CAST((l_orderkey * 10 + l_linenumber + l_partkey) % 8 AS INTEGER) END AS bolt_on_home_office_interview_count,
+    CASE WHEN (l_orderkey * 10 + l_linenumber + l_partkey) % 4 <> 0 THEN CAST((l_orderkey * 10 + l_linenumber + l_partkey) % 251 AS VARCHAR) || '.' || lpad(CAST((l_orderkey * 10 + l_linenumber + l_partkey) % 97 AS VARCHAR), 2, '0') END AS bolt_on_home_office_interview_fee,
     l_linestatus = 'F' AS escape_case_flag
   FROM lineitem
 )"""
@@ -154,30 +154,30 @@ claim_summary_fee AS (
     CAST(s.sum_price AS VARCHAR) AS net_profit_costs_amount,
     CASE WHEN g.l_linenumber = 2 THEN '200' END AS net_disbursement_amount,
     CASE WHEN g.l_linenumber = 3 THEN '500.00' END AS net_counsel_costs_amount,
-    CAST(NULL AS VARCHAR) AS disbursements_vat_amount,
-    CAST(NULL AS VARCHAR) AS travel_waiting_costs_amount,
-    CAST(NULL AS VARCHAR) AS net_waiting_costs_amount,
+    CASE WHEN g.num % 3 <> 0 THEN CAST(g.num % 257 AS VARCHAR) || '.' || lpad(CAST(g.num % 97 AS VARCHAR), 2, '0') END AS disbursements_vat_amount,
+    CASE WHEN g.num % 4 <> 0 THEN CAST(g.num % 263 AS VARCHAR) || '.' || lpad(CAST(g.num % 97 AS VARCHAR), 2, '0') END AS travel_waiting_costs_amount,
+    CASE WHEN g.num % 5 <> 0 THEN CAST(g.num % 269 AS VARCHAR) || '.' || lpad(CAST(g.num % 97 AS VARCHAR), 2, '0') END AS net_waiting_costs_amount,
     g.l_orderkey % 2 = 0 AS is_vat_applicable,
     CASE WHEN g.l_orderkey % 3 = 0 THEN FALSE END AS is_tolerance_applicable,
-    CAST(NULL AS VARCHAR) AS prior_authority_reference,
+    CASE WHEN g.num % 6 <> 0 THEN 'PRI' || CAST(g.num % 29 AS VARCHAR) END AS prior_authority_reference,
     g.l_linenumber = 1 AS is_london_rate,
     CASE WHEN g.l_linenumber = 4 THEN 2 END AS adjourned_hearing_fee_amount,
-    CAST(NULL AS BOOLEAN) AS is_additional_travel_payment,
-    CAST(NULL AS VARCHAR) AS costs_damages_recovered_amount,
-    CAST(NULL AS VARCHAR) AS meetings_attended_code,
-    CAST(NULL AS VARCHAR) AS detention_travel_waiting_costs_amount,
-    CAST(NULL AS VARCHAR) AS jr_form_filling_amount,
-    CAST(NULL AS INTEGER) AS medical_reports_count,
-    CAST(NULL AS BOOLEAN) AS is_irc_surgery,
+    CASE WHEN g.num % 3 <> 0 THEN g.num % 4 = 1 END AS is_additional_travel_payment,
+    CASE WHEN g.num % 7 <> 0 THEN CAST(g.num % 271 AS VARCHAR) || '.' || lpad(CAST(g.num % 97 AS VARCHAR), 2, '0') END AS costs_damages_recovered_amount,
+    CASE WHEN g.num % 4 <> 0 THEN 'MTG' || CAST(g.num % 31 AS VARCHAR) END AS meetings_attended_code,
+    CASE WHEN g.num % 5 <> 0 THEN CAST(g.num % 277 AS VARCHAR) || '.' || lpad(CAST(g.num % 97 AS VARCHAR), 2, '0') END AS detention_travel_waiting_costs_amount,
+    CASE WHEN g.num % 3 <> 0 THEN CAST(g.num % 281 AS VARCHAR) || '.' || lpad(CAST(g.num % 97 AS VARCHAR), 2, '0') END AS jr_form_filling_amount,
+    CASE WHEN g.num % 6 <> 0 THEN CAST(g.num % 9 AS INTEGER) END AS medical_reports_count,
+    CASE WHEN g.num % 5 <> 0 THEN g.num % 6 = 1 END AS is_irc_surgery,
     CASE WHEN g.l_linenumber = 5 THEN CAST(g.first_ship AS DATE) END AS surgery_date,
-    CAST(NULL AS INTEGER) AS surgery_clients_count,
-    CAST(NULL AS INTEGER) AS surgery_matters_count,
-    CAST(NULL AS INTEGER) AS cmrh_oral_count,
-    CAST(NULL AS INTEGER) AS cmrh_telephone_count,
-    CAST(NULL AS VARCHAR) AS ait_hearing_centre_code,
-    CAST(NULL AS BOOLEAN) AS is_substantive_hearing,
-    CAST(NULL AS INTEGER) AS ho_interview,
-    CAST(NULL AS VARCHAR) AS local_authority_number,
+    CASE WHEN g.num % 4 <> 0 THEN CAST(g.num % 10 AS INTEGER) END AS surgery_clients_count,
+    CASE WHEN g.num % 7 <> 0 THEN CAST(g.num % 11 AS INTEGER) END AS surgery_matters_count,
+    CASE WHEN g.num % 3 <> 0 THEN CAST(g.num % 12 AS INTEGER) END AS cmrh_oral_count,
+    CASE WHEN g.num % 5 <> 0 THEN CAST(g.num % 13 AS INTEGER) END AS cmrh_telephone_count,
+    CASE WHEN g.num % 6 <> 0 THEN 'AIT' || CAST(g.num % 37 AS VARCHAR) END AS ait_hearing_centre_code,
+    CASE WHEN g.num % 4 <> 0 THEN g.num % 7 = 1 END AS is_substantive_hearing,
+    CASE WHEN g.num % 7 <> 0 THEN CAST(g.num % 14 AS INTEGER) END AS ho_interview,
+    CASE WHEN g.num % 5 <> 0 THEN 'LA' || CAST(g.num % 41 AS VARCHAR) END AS local_authority_number,
     'loader' AS created_by_user_id,
     g.first_ship AS created_on,
     CAST(NULL AS TIMESTAMP) AS updated_on
@@ -203,7 +203,7 @@ claim_case AS (
     CASE WHEN g.num % 3 = 0 THEN TRUE END AS is_nrm_advice,
     CASE WHEN g.num % 4 = 0 THEN 'YES' END AS follow_on_work,
     CASE WHEN g.num % 8 = 0 THEN CAST(g.first_ship AS DATE) END AS transfer_date,
-    CAST(NULL AS VARCHAR) AS exemption_criteria_satisfied,
+    CASE WHEN g.num % 4 <> 0 THEN 'EX' || CAST(g.num % 43 AS VARCHAR) END AS exemption_criteria_satisfied,
     CASE WHEN g.num % 5 = 0 THEN 'ECF' || CAST(g.num AS VARCHAR) WHEN g.num % 5 = 1 THEN '' END
       AS exceptional_case_funding_reference,
     g.num % 2 = 0 AS is_legacy_case,
@@ -234,21 +234,21 @@ client AS (
     'AB' || CAST(c_nationkey AS VARCHAR) || ' 3CD' AS client_postcode,
     CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender_code,
     n_name AS ethnicity_code,
-    CAST(NULL AS VARCHAR) AS disability_code,
+    CASE WHEN num % 3 <> 0 THEN 'DIS' || CAST(num % 47 AS VARCHAR) END AS disability_code,
     c_acctbal > 0 AS is_legally_aided,
     'Type1' AS client_type_code,
-    CAST(NULL AS VARCHAR) AS home_office_client_number,
+    CASE WHEN num % 5 <> 0 THEN 'HO' || CAST(num % 53 AS VARCHAR) END AS home_office_client_number,
     CASE WHEN c_custkey % 3 = 0 THEN 'CLA' || CAST(c_custkey AS VARCHAR) END AS cla_reference_number,
-    CAST(NULL AS VARCHAR) AS cla_exemption_code,
-    CAST(NULL AS VARCHAR) AS client_2_forename,
-    CAST(NULL AS VARCHAR) AS client_2_surname,
-    CAST(NULL AS DATE) AS client_2_date_of_birth,
-    CAST(NULL AS VARCHAR) AS client_2_ucn,
-    CAST(NULL AS VARCHAR) AS client_2_postcode,
-    CAST(NULL AS VARCHAR) AS client_2_gender_code,
-    CAST(NULL AS VARCHAR) AS client_2_ethnicity_code,
-    CAST(NULL AS VARCHAR) AS client_2_disability_code,
-    CAST(NULL AS BOOLEAN) AS client_2_is_legally_aided,
+    CASE WHEN num % 4 <> 0 THEN 'CE' || CAST(num % 59 AS VARCHAR) END AS cla_exemption_code,
+    CASE WHEN num % 6 <> 0 THEN 'Forename' || CAST(num % 61 AS VARCHAR) END AS client_2_forename,
+    CASE WHEN num % 5 <> 0 THEN 'Surname' || CAST(num % 67 AS VARCHAR) END AS client_2_surname,
+    CASE WHEN num % 3 <> 0 THEN DATE '1960-01-01' + CAST(num % 9000 AS INTEGER) END AS client_2_date_of_birth,
+    CASE WHEN num % 7 <> 0 THEN 'UCN2-' || CAST(num % 71 AS VARCHAR) END AS client_2_ucn,
+    CASE WHEN num % 4 <> 0 THEN 'CD' || CAST(num % 73 AS VARCHAR) END AS client_2_postcode,
+    CASE WHEN num % 5 <> 0 THEN 'G' || CAST(num % 3 AS VARCHAR) END AS client_2_gender_code,
+    CASE WHEN num % 6 <> 0 THEN 'ETH' || CAST(num % 79 AS VARCHAR) END AS client_2_ethnicity_code,
+    CASE WHEN num % 3 <> 0 THEN 'D2-' || CAST(num % 83 AS VARCHAR) END AS client_2_disability_code,
+    CASE WHEN num % 4 <> 0 THEN num % 8 = 1 END AS client_2_is_legally_aided,
     'loader' AS created_by_user_id,
     first_ship AS created_on,
     CAST(NULL AS TIMESTAMP) AS updated_on
