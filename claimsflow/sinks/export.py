@@ -36,9 +36,11 @@ PART_DIGITS = 10
 def csv_field(value: Column) -> Column:
     v = F.coalesce(value.cast("string"), F.lit(""))
     quoted = F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('""')), F.lit('"'))
-    # The length is in UTF-16 units: characters plus those beyond U+FFFF.
+    # The length is in UTF-16 units: characters plus those beyond U+FFFF, which
+    # can only decide where half the limit is passed and some bytes are not ASCII.
     units = F.length(v) + F.length(F.regexp_replace(v, r"[\x{0}-\x{FFFF}]", ""))
-    return F.when((units > QUOTE_LONGER_THAN) | v.rlike(NEEDS_QUOTES), quoted).otherwise(v)
+    wide = (F.length(v) > QUOTE_LONGER_THAN // 2) & (F.octet_length(v) > F.length(v)) & (units > QUOTE_LONGER_THAN)
+    return F.when((F.length(v) > QUOTE_LONGER_THAN) | v.rlike(NEEDS_QUOTES) | wide, quoted).otherwise(v)
 
 
 def csv_lines(df: DataFrame) -> DataFrame:
