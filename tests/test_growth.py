@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimsflow import catalog
+from claimsflow.operators import reconcile
 from claimsflow.schemas import REPORT_TABLES
 from claimsflow.sources import testbed
 
@@ -48,3 +49,13 @@ def test_shaping_shuffles_narrow_rows_and_only_once(spark):
     plan = testbed.fee_details(li)._jdf.queryExecution().optimizedPlan().toString()
     below = plan[plan.index("Window"):]
     assert "Description" not in below and "FEE" not in below
+
+
+def test_the_run_goes_ahead_where_the_tables_have_grown(spark):
+    schema = "table_name string, summary_date date, record_count bigint, updated_count bigint, wal_lsn string"
+    day = dt.date(2000, 5, 31)
+    small = spark.createDataFrame([("claims.a", day, 1, 1, "0/1000")], schema)
+    assert testbed.source_lsn(small) == testbed.CURRENT_LSN == testbed.source_lsn(small.limit(0))
+    large = small.unionByName(spark.createDataFrame([("claims.b", day, 2_000_000, 1, "0/1E8480000")], schema))
+    assert not reconcile.lsn_progress(large, testbed.CURRENT_LSN).first().ok
+    assert reconcile.lsn_progress(large, testbed.source_lsn(large)).first().ok
