@@ -29,6 +29,7 @@ switched together with the rows, so a replayed batch changes neither.
 
 from __future__ import annotations
 
+import functools
 import json
 import uuid
 
@@ -99,11 +100,11 @@ def _live(df: DataFrame) -> DataFrame:
     return df.where(~F.col(TOMBSTONE))
 
 
-def _new_days(spark: SparkSession, totals: str | None, before: DataFrame, after: DataFrame, table_name: str, path: str) -> str:
-    """Write the day totals once ``before`` (rows as they were) became ``after``."""
+def _new_days(spark: SparkSession, totals: str | None, before: DataFrame | None, after: DataFrame, table_name: str, path: str) -> str:
+    """Write the day totals once ``before`` (rows as they were, if any) became ``after``."""
     signed = [reconcile.day_marks(_live(df), table_name).select("table_name", "day", (F.col("c") * sign).alias("c"), (F.col("u") * sign).alias("u"))
-              for df, sign in ((before, -1), (after, 1))]
-    delta = reconcile.day_totals(signed[0].unionByName(signed[1]))
+              for df, sign in ((before, -1), (after, 1)) if df is not None]
+    delta = reconcile.day_totals(functools.reduce(DataFrame.unionByName, signed))
     if totals:
         delta = (spark.read.schema(_DAYS).parquet(totals).unionByName(delta).groupBy("table_name", "day")
                  .agg(F.sum("created").alias("created"), F.sum("updated_count").alias("updated_count")))
@@ -123,8 +124,19 @@ def day_totals(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def _write_buckets(df: DataFrame, folder: str, key: list[str], buckets: int) -> None:
-    # One task writes one bucket: at most one file for each bucket and batch.
-    df.withColumn("_bucket", _bucket(key, buckets)).repartition(buckets, "_bucket").write.partitionBy("_bucket").parquet(folder)
+    # A large bucket is split over tasks and files, small ones share a task (AQE's rebalance).
+    df.withColumn("_bucket", _bucket(key, buckets)).hint("rebalance", "_bucket").write.partitionBy("_bucket").parquet(folder)
+
+
+def _met(old: DataFrame, new: DataFrame, key: list[str], version: list[str]) -> DataFrame:
+    """``_old, _new, _newer`` by key, of rows that both hold once a key: a change
+    counts where its key is new or its version is newer than the stored one."""
+    sides = [df.select(*[F.col(k).alias(f"{side}{i}") for i, k in enumerate(key)], F.struct(*[F.col(c) for c in new.columns]).alias(side))
+             for df, side in ((old, "_old"), (new, "_new"))]
+    same = functools.reduce(Column.__and__, [F.col(f"_old{i}").eqNullSafe(F.col(f"_new{i}")) for i in range(len(key))])
+    at = {side: F.struct(*[F.col(f"{side}.{v}").alias(f"v{i}") for i, v in enumerate(version)]) for side in ("_old", "_new")}
+    newer = F.col("_new").isNotNull() & (F.col("_old").isNull() | (at["_new"] > at["_old"]))
+    return sides[0].join(sides[1], same, "full").select("_old", "_new", newer.alias("_newer"))
 
 
 def current_state(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -157,16 +169,18 @@ def _merge(spark: SparkSession, changes: DataFrame, root: str, name: str, key: l
         merged = reduced.drop("_bucket")
         if days and m["buckets"] and not m.get("days"):
             raise ValueError(f"the state of {name} has no day totals; start its copy again")
-        if days:
-            schema = T.StructType.fromJson(m["schema"])
-            old = spark.read.schema(schema).parquet(*old_paths) if old_paths else spark.createDataFrame([], schema)
-            before = old.join(merged.select(*key), key, "left_semi")
-            m["days"] = _new_days(spark, m.get("days"), before, apply_changes(before, merged, key, version), days, f"{root}/{name}/days-{uuid.uuid4().hex}")
+        before, after = None, merged
         if old_paths:
             old = spark.read.schema(T.StructType.fromJson(m["schema"])).parquet(*old_paths)
             if TOMBSTONE not in old.columns:  # a state written before deletes were kept
                 raise ValueError(f"the state of {name} has no tombstones; start its copy again")
-            merged = apply_changes(old, merged, key, version)
+            # both hold a key once: one join tells the newer row of each, no second reduction
+            met = _met(old, merged, key, version)
+            merged = met.select(F.when(F.col("_newer"), F.col("_new")).otherwise(F.col("_old")).alias("_row")).select("_row.*")
+            changed = met.where("_newer")
+            before, after = changed.where("_old IS NOT NULL").select("_old.*"), changed.select("_new.*")
+        if days:
+            m["days"] = _new_days(spark, m.get("days"), before, after, days, f"{root}/{name}/days-{uuid.uuid4().hex}")
         _write_buckets(merged, folder, key, buckets)
         for b in touched:
             m["buckets"][str(b)] = f"{folder}/_bucket={b}"
