@@ -59,3 +59,21 @@ def test_the_run_goes_ahead_where_the_tables_have_grown(spark):
     large = small.unionByName(spark.createDataFrame([("claims.b", day, 2_000_000, 1, "0/1E8480000")], schema))
     assert not reconcile.lsn_progress(large, testbed.CURRENT_LSN).first().ok
     assert reconcile.lsn_progress(large, testbed.source_lsn(large)).first().ok
+
+
+def test_line_items_are_grouped_without_a_sort(spark):
+    day = dt.datetime(1999, 1, 5)
+    flags = {1: "RR", 2: "RS", 3: "AR", 4: "NA", 5: [None], 6: [None, "R"], 7: ["R", "Q"], 8: ["r", "R"], 9: ["", "R"]}
+    rows = [(k, 1, n, 1.0, f, day) for k, fs in flags.items() for n in (1, 2) for f in fs]
+    li = spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_linenumber int, l_extendedprice double, l_returnflag string, l_shipdate timestamp")
+    groups = testbed._claim_groups(li)
+    assert "SortAggregate" not in groups._jdf.queryExecution().executedPlan().toString()
+    got = {(r.submission_id, r.line_number): r.status for r in testbed.claims(groups).collect()}
+    assert got == {(f"S{k:010d}", n): "INVALID" if min((f for f in fs if f is not None), default="") == "R" else "VALID"
+                   for k, fs in flags.items() for n in (1, 2)}
+
+
+def test_the_snapshot_is_stored_small(spark, out_dir):
+    t = catalog.Snapshot(spark, SF, f"{out_dir}/snapshot")
+    assert all(".zstd." in f for f in t["claim"].inputFiles()) and t["claim"].count() > 0
+    assert ".zstd." in t._groups.inputFiles()[0]
