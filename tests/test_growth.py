@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimsflow import catalog
-from claimsflow.operators import reconcile
+from claimsflow.operators import key_filter, reconcile
+from claimsflow.plans import combined
 from claimsflow.schemas import REPORT_TABLES
 from claimsflow.sources import testbed
 
@@ -77,3 +78,15 @@ def test_the_snapshot_is_stored_small(spark, out_dir):
     t = catalog.Snapshot(spark, SF, f"{out_dir}/snapshot")
     assert all(".zstd." in f for f in t["claim"].inputFiles()) and t["claim"].count() > 0
     assert ".zstd." in t._groups.inputFiles()[0]
+
+
+def test_the_bits_of_a_key_filter_are_dealt_before_they_are_set(spark):
+    keys = spark.range(5000).select(F.concat(F.lit("C"), "id").alias("claim_id"))
+    plan = key_filter.bitmap(keys, "claim_id", 1 << 18)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_bitmap_construct_agg") < plan.index("Exchange hashpartitioning(_block")
+
+
+def test_the_claims_are_cut_before_their_shuffle_too(spark):
+    t = catalog.tables(spark, SF)
+    cut = combined.combined_extract(t, testbed.AS_OF)
+    assert cut._jdf.queryExecution().sparkPlan().toString().count("ReadSchema: struct<_block:bigint,_bits:binary>") == 5
