@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from claimsflow import catalog
 from claimsflow.operators import key_filter, reconcile
-from claimsflow.plans import combined
+from claimsflow.plans import combined, original_values
 from claimsflow.schemas import REPORT_TABLES
 from claimsflow.sources import testbed
 
@@ -90,3 +90,13 @@ def test_the_claims_are_cut_before_their_shuffle_too(spark):
     t = catalog.tables(spark, SF)
     cut = combined.combined_extract(t, testbed.AS_OF)
     assert cut._jdf.queryExecution().sparkPlan().toString().count("ReadSchema: struct<_block:bigint,_bits:binary>") == 5
+
+
+def test_the_order_is_proved_on_the_columns_it_reads(spark, monkeypatch):
+    sorted_with = []
+    whole = catalog.ordering.sorted_ranges
+    monkeypatch.setattr(catalog.ordering, "sorted_ranges", lambda df, keys: sorted_with.append(df.columns) or whole(df, keys))
+    rows = combined.combined_extract(catalog.tables(spark, SF), testbed.AS_OF).count()
+    assert catalog.QUERIES["report_lines_000"](spark, SF).count() == rows
+    assert {r.report: (r.rows, r.out_of_order) for r in catalog.QUERIES["report_order_breaks"](spark, SF).collect()}["REPORT000"] == (rows, 0)
+    assert sorted_with == [[*combined.ORDER_COLUMNS], [*combined.ORDER_COLUMNS], [*original_values.ORDER_COLUMNS]]
