@@ -11,6 +11,7 @@ from claimsflow.operators import key_filter, reconcile
 from claimsflow.plans import combined, original_values
 from claimsflow.schemas import REPORT_TABLES
 from claimsflow.sources import testbed
+from claimsflow.streaming import summaries
 
 SF = "/root/testdata/sf0.001"
 
@@ -92,6 +93,25 @@ def test_the_claims_are_cut_before_their_shuffle_too(spark):
     assert cut._jdf.queryExecution().sparkPlan().toString().count("ReadSchema: struct<_block:bigint,_bits:binary>") == 5
 
 
+def test_batches_and_state_of_the_summaries_do_not_grow_with_the_files(spark, out_dir):
+    made = dt.datetime(2025, 1, 1)
+    rows = spark.createDataFrame([(f"r{k}", made + dt.timedelta(days=k), None) for k in range(24)], "id string, created_on timestamp, updated_on timestamp")
+    rows.repartition(24).write.parquet(f"{out_dir}/in/claim")
+    files = summaries.files_a_batch(spark, f"{out_dir}/in", ["claim"], 3)
+    streams = summaries.table_streams(spark, f"{out_dir}/in", {"claim": rows.schema}, files_per_batch=files)
+    before = spark.conf.get(summaries.SHUFFLES)
+    spark.conf.set(summaries.SHUFFLES, "40")
+    try:
+        q = summaries.start(streams, f"{out_dir}/out", f"{out_dir}/cp")
+        q.awaitTermination()
+        assert spark.conf.get(summaries.SHUFFLES) == "40"
+    finally:
+        spark.conf.set(summaries.SHUFFLES, before)
+    assert 1 < len([p for p in q.recentProgress if p["numInputRows"]]) <= 3
+    assert len([d for d in os.listdir(f"{out_dir}/cp/state/0") if d.isdigit()]) == summaries.STATE_STORES
+    assert summaries.table_summaries(spark, f"{out_dir}/out").where("summary_date = '2025-01-24' AND record_count = 24").count() == 1
+
+
 def test_the_order_is_proved_on_the_columns_it_reads(spark, monkeypatch):
     sorted_with = []
     whole = catalog.ordering.sorted_ranges
