@@ -10,7 +10,7 @@ from claimsflow import catalog
 from claimsflow.operators import key_filter, reconcile
 from claimsflow.plans import combined, original_values
 from claimsflow.schemas import REPORT_TABLES
-from claimsflow.sources import testbed
+from claimsflow.sources import retention, testbed
 from claimsflow.streaming import summaries
 
 SF = "/root/testdata/sf0.001"
@@ -93,6 +93,16 @@ def test_the_claims_are_cut_before_their_shuffle_too(spark):
     assert cut._jdf.queryExecution().sparkPlan().toString().count("ReadSchema: struct<_block:bigint,_bits:binary>") == 5
 
 
+def test_months_come_from_the_written_parent_without_a_sort_of_the_rows(spark, out_dir):
+    child = spark.createDataFrame([("c1", "p1", "x"), ("c2", "p2", "y"), ("c3", None, "z"), ("c4", "gone", "w")], "id string, parent_id string, t string")
+    path = f"{out_dir}/parent"
+    spark.createDataFrame([("p1", "1999-01"), ("p2", None), (None, "1999-02")], "id string, upload_month string").write.partitionBy("upload_month").parquet(path)
+    got = retention._with_parents_month(child, "parent_id", retention._months_of(spark, path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort [" not in plan
+    assert sorted(map(tuple, got.collect())) == [("c1", "p1", "x", "1999-01"), ("c2", "p2", "y", None), ("c3", None, "z", None), ("c4", "gone", "w", None)]
+
+
 def test_batches_and_state_of_the_summaries_do_not_grow_with_the_files(spark, out_dir):
     made = dt.datetime(2025, 1, 1)
     rows = spark.createDataFrame([(f"r{k}", made + dt.timedelta(days=k), None) for k in range(24)], "id string, created_on timestamp, updated_on timestamp")
