@@ -169,6 +169,56 @@ def test_model_probabilities_sum_to_one_and_windows_do_not_matter():
     assert np.allclose(alone[0], beside[0], rtol=1e-4)
 
 
+def test_gradients_are_the_slopes_of_the_loss():
+    rng = np.random.default_rng(2)
+    counts = rng.integers(0, 50, 700).astype(float)
+    windows = rng.integers(0, 700, (40, language_model.SAMPLE_IDS + 1)).astype(np.int32)
+    windows[::3, 50:] = -1  # padding
+    model = language_model.Model(counts, language_model.id_classes(windows, counts, np.arange(700) % 2 == 0))
+    model.train(windows, rounds=1, batch=32)
+    x, valid, target, _ = model.steps(windows[:, :-1].ravel(), windows[:, 1:].ravel(), np.arange(0, windows[:, 1:].size + 1, language_model.SAMPLE_IDS))
+    tables = model.tables()
+    texts = [w[1:][w[1:] >= 0] for w in windows]
+
+    def loss(moved):
+        model.keep(moved)
+        before, goal = windows[:, :-1], windows[:, 1:]
+        total = 0.0  # the text before each window's ids is its first id
+        for b, g in zip(before, goal, strict=True):
+            n = (g >= 0).sum()
+            total -= model.log_probability(g[:n], np.array([0, n]), b[0])[0]
+        return total / sum(map(len, texts))
+
+    rows_of = {k: (slice(None) if rows is None else rows, g) for k, (rows, g) in model.gradients(tables, x, valid, target).items()}
+    for k, (rows, g) in rows_of.items():
+        step = np.zeros_like(tables[k])
+        step[rows] = g / np.sqrt((g * g).sum())
+        up, down = (loss(tables | {k: tables[k] + e * step}) for e in (0.05, -0.05))
+        assert math.isclose((up - down) / 0.1, float((g * step[rows]).sum()), rel_tol=0.03), k
+
+
+def test_rows_of_one_input_are_summed_together():
+    rng = np.random.default_rng(4)
+    at = (4000 * rng.random(16_384) ** 4).astype(np.int32)  # few inputs with many rows, many with few
+    values = rng.normal(0, 1, (len(at), 64)).astype(np.float32)
+    order = language_model._order(at)
+    seconds = []
+    for sums in (lambda: np.add.reduceat(values[order], np.flatnonzero(np.diff(at[order], prepend=-1)), axis=0),
+                 lambda: language_model._sum_runs(values, at, order)[1]):
+        sums()
+        start = time.thread_time()
+        for _ in range(5):
+            found = sums()
+        seconds.append(time.thread_time() - start)
+    keys, own = language_model._sum_runs(values, at, order)
+    assert keys.tolist() == sorted(set(at.tolist())) and np.array_equal(own, found)
+    wanted = np.zeros((4000, 64))
+    np.add.at(wanted, at, values.astype(float))
+    assert np.allclose(own, wanted[keys], atol=1e-3)
+    assert seconds[1] < 0.8 * seconds[0]  # a step of training has four such sums
+    assert [len(a) for a in language_model._sum_runs(values[:0], at[:0], at[:0])] == [0, 0]
+
+
 def test_context_is_learned_from_all_training_rows(spark, monkeypatch):
     # the start is fitted to one document only; the others must still count
     monkeypatch.setattr(language_model, "SAMPLE_DOCS", 1)
