@@ -14,16 +14,17 @@ back; :func:`current_state` leaves tombstones out.
 State layout: rows are spread over ``buckets`` by a hash of the key and each
 bucket lives in its own folder; a small manifest (bucket -> folder) names the
 current folders and is switched all at once through ``sinks.store``'s
-pointer.  A micro-batch is reduced to one row per key (partial aggregation:
-a hot key never lands whole in one task), then only the buckets its keys fall
-into are read, merged and rewritten -- the cost of a batch follows the batch,
-not the size of the state.  Writing the new bucket folders also cuts the
+pointer.  Only the buckets that the keys of a micro-batch fall into are read, and
+reduced together with the batch to one row per key (partial aggregation: a hot key
+never lands whole in one task), and rewritten -- the cost of a batch follows the
+batch, not the size of the state.  Writing the new bucket folders also cuts the
 lineage between batches.  Folders and manifests that neither the current nor the
 previous manifest names are removed.
 
 With ``days`` (the full name of the table) the state also keeps how many of its
 rows were created and updated on each day: a batch takes away the marks of the
-rows it replaces or deletes and adds those of the rows it brings.  The totals are
+buckets it rewrites as they were and adds those of what it wrote, so the totals
+change by the rows it replaces, deletes and brings.  The totals are
 switched together with the rows, so a replayed batch changes neither.
 """
 
@@ -43,6 +44,9 @@ from claimsflow.sinks import store
 
 DEFAULT_BUCKETS = 64
 TOMBSTONE = "_deleted"
+# Types that a hash aggregate updates in place.
+_FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+                T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType)
 
 
 def marked(df: DataFrame, deleted: Column | str | None = None) -> DataFrame:
@@ -51,11 +55,37 @@ def marked(df: DataFrame, deleted: Column | str | None = None) -> DataFrame:
     return df.withColumn(TOMBSTONE, F.coalesce(condition, F.lit(False)))
 
 
-def latest_per_key(df: DataFrame, key: list[str], version: list[str]) -> DataFrame:
-    """Per key the whole row with the greatest ``version`` tuple."""
+def _rank(df: DataFrame, version: list[str], stored: Column) -> Column | None:
+    """One number that orders rows as their version does, a null version below all
+    and ``stored`` rows before others of theirs; None where the version is not one
+    whole number, date or instant."""
+    kind, at = df.schema[version[0]].dataType, F.col(version[0])
+    if len(version) > 1:
+        return None
+    if isinstance(kind, T.ByteType | T.ShortType | T.IntegerType):
+        number, least = at.cast("bigint") * 2, F.lit(-(1 << 62))
+    elif isinstance(kind, T.DateType):
+        number, least = F.unix_date(at).cast("bigint") * 2, F.lit(-(1 << 62))
+    elif isinstance(kind, T.LongType | T.TimestampType):
+        whole = F.unix_micros(at) if isinstance(kind, T.TimestampType) else at
+        number, least = whole.cast("decimal(20,0)") * F.lit(2).cast("decimal(1,0)"), F.lit("-1e20").cast("decimal(21,0)")
+    else:
+        return None
+    return F.coalesce(number, least) + stored.cast("int")
+
+
+def latest_per_key(df: DataFrame, key: list[str], version: list[str], stored: Column | None = None) -> DataFrame:
+    """Per key the whole row with the greatest ``version`` tuple; of equal ones a
+    ``stored`` row, where given.  Rows of fixed width are reduced by a hash
+    aggregate: all columns follow one rank, so they come from one row."""
     others = [c for c in df.columns if c not in key]
-    best = F.max_by(F.struct(*[F.col(c) for c in others]), F.struct(*[F.col(v) for v in version]))
-    return df.groupBy(*key).agg(best.alias("_row")).select(*key, *[F.col(f"_row.{c}").alias(c) for c in others])
+    stored = F.lit(False) if stored is None else stored
+    rank = _rank(df, version, stored)
+    if rank is not None and all(isinstance(df.schema[c].dataType, _FIXED_WIDTH) for c in others):
+        best = [F.max_by(c, "_rank").alias(c) for c in others]
+        return df.select(*key, *others, rank.alias("_rank")).groupBy(*key).agg(*best).select(*key, *others)
+    row = F.max_by(F.struct(*[F.col(c) for c in others]), F.struct(*[F.col(v) for v in version], stored.alias("_stored")))
+    return df.groupBy(*key).agg(row.alias("_row")).select(*key, *[F.col(f"_row.{c}").alias(c) for c in others])
 
 
 def apply_changes(current: DataFrame | None, changes: DataFrame, key: list[str],
@@ -128,17 +158,6 @@ def _write_buckets(df: DataFrame, folder: str, key: list[str], buckets: int) ->
     df.withColumn("_bucket", _bucket(key, buckets)).hint("rebalance", "_bucket").write.partitionBy("_bucket").parquet(folder)
 
 
-def _met(old: DataFrame, new: DataFrame, key: list[str], version: list[str]) -> DataFrame:
-    """``_old, _new, _newer`` by key, of rows that both hold once a key: a change
-    counts where its key is new or its version is newer than the stored one."""
-    sides = [df.select(*[F.col(k).alias(f"{side}{i}") for i, k in enumerate(key)], F.struct(*[F.col(c) for c in new.columns]).alias(side))
-             for df, side in ((old, "_old"), (new, "_new"))]
-    same = functools.reduce(Column.__and__, [F.col(f"_old{i}").eqNullSafe(F.col(f"_new{i}")) for i in range(len(key))])
-    at = {side: F.struct(*[F.col(f"{side}.{v}").alias(f"v{i}") for i, v in enumerate(version)]) for side in ("_old", "_new")}
-    newer = F.col("_new").isNotNull() & (F.col("_old").isNull() | (at["_new"] > at["_old"]))
-    return sides[0].join(sides[1], same, "full").select("_old", "_new", newer.alias("_newer"))
-
-
 def current_state(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The whole current state (union of the manifest's bucket folders), without
     deleted keys."""
@@ -155,38 +174,36 @@ def current_state(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def _merge(spark: SparkSession, changes: DataFrame, root: str, name: str, key: list[str],
            version: list[str], buckets: int, deleted: Column | str | None = None, days: str | None = None) -> None:
-    # the batch is used twice (touched buckets, then the merge): keep its
-    # one-row-per-key reduction for the batch; a lost executor recomputes it
-    reduced = latest_per_key(marked(changes, deleted), key, version).withColumn("_bucket", _bucket(key, buckets)).persist()
-    try:
-        folder = f"{root}/{name}/batch-{uuid.uuid4().hex}"
-        m = _manifest(spark, root, name)
-        if m is None:
-            m = {"schema": reduced.drop("_bucket").schema.jsonValue(), "buckets": {}}
-        # the touched bucket numbers: at most ``buckets`` small ints
-        touched = [r[0] for r in reduced.select("_bucket").distinct().collect()]
-        old_paths = [m["buckets"][str(b)] for b in touched if str(b) in m["buckets"]]
-        merged = reduced.drop("_bucket")
-        if days and m["buckets"] and not m.get("days"):
-            raise ValueError(f"the state of {name} has no day totals; start its copy again")
-        before, after = None, merged
-        if old_paths:
-            old = spark.read.schema(T.StructType.fromJson(m["schema"])).parquet(*old_paths)
-            if TOMBSTONE not in old.columns:  # a state written before deletes were kept
-                raise ValueError(f"the state of {name} has no tombstones; start its copy again")
-            # both hold a key once: one join tells the newer row of each, no second reduction
-            met = _met(old, merged, key, version)
-            merged = met.select(F.when(F.col("_newer"), F.col("_new")).otherwise(F.col("_old")).alias("_row")).select("_row.*")
-            changed = met.where("_newer")
-            before, after = changed.where("_old IS NOT NULL").select("_old.*"), changed.select("_new.*")
-        if days:
-            m["days"] = _new_days(spark, m.get("days"), before, after, days, f"{root}/{name}/days-{uuid.uuid4().hex}")
-        _write_buckets(merged, folder, key, buckets)
-        for b in touched:
-            m["buckets"][str(b)] = f"{folder}/_bucket={b}"
-        _switch(spark, root, name, m)
-    finally:
-        reduced.unpersist()
+    changes = marked(changes, deleted)
+    folder = f"{root}/{name}/batch-{uuid.uuid4().hex}"
+    m = _manifest(spark, root, name)
+    if m is None:
+        m = {"schema": None, "buckets": {}}
+    # the touched bucket numbers, from the keys alone: at most ``buckets`` small ints
+    touched = [r[0] for r in changes.select(_bucket(key, buckets)).distinct().collect()]
+    old_paths = [m["buckets"][str(b)] for b in touched if str(b) in m["buckets"]]
+    if days and m["buckets"] and not m.get("days"):
+        raise ValueError(f"the state of {name} has no day totals; start its copy again")
+    old = spark.read.schema(T.StructType.fromJson(m["schema"])).parquet(*old_paths) if old_paths else None
+    if old is None:
+        merged = latest_per_key(changes, key, version)
+    elif TOMBSTONE not in old.columns:  # a state written before deletes were kept
+        raise ValueError(f"the state of {name} has no tombstones; start its copy again")
+    else:
+        # one reduction of both: a change counts where it is newer than the stored row
+        both = old.withColumn("_stored", F.lit(True)).unionByName(changes.withColumn("_stored", F.lit(False)))
+        merged = latest_per_key(both, key, version, F.col("_stored")).drop("_stored")
+    m["schema"] = m["schema"] or merged.schema.jsonValue()
+    _write_buckets(merged, folder, key, buckets)
+    written = [f"{folder}/_bucket={b}" for b in touched]
+    if days:
+        # unchanged rows are in both, the touched buckets as they were and as written, and cancel out
+        schema = T.StructType.fromJson(m["schema"])
+        after = spark.read.schema(schema).parquet(*written) if written else spark.createDataFrame([], schema)
+        m["days"] = _new_days(spark, m.get("days"), old, after, days, f"{root}/{name}/days-{uuid.uuid4().hex}")
+    for b, path in zip(touched, written, strict=True):
+        m["buckets"][str(b)] = path
+    _switch(spark, root, name, m)
 
 
 def start_copy(spark: SparkSession, initial: DataFrame, root: str, name: str,

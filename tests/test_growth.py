@@ -11,7 +11,7 @@ from claimsflow.operators import key_filter, reconcile
 from claimsflow.plans import combined, original_values
 from claimsflow.schemas import REPORT_TABLES
 from claimsflow.sources import retention, testbed
-from claimsflow.streaming import summaries
+from claimsflow.streaming import changes, summaries
 
 SF = "/root/testdata/sf0.001"
 
@@ -130,3 +130,31 @@ def test_the_order_is_proved_on_the_columns_it_reads(spark, monkeypatch):
     assert catalog.QUERIES["report_lines_000"](spark, SF).count() == rows
     assert {r.report: (r.rows, r.out_of_order) for r in catalog.QUERIES["report_order_breaks"](spark, SF).collect()}["REPORT000"] == (rows, 0)
     assert sorted_with == [[*combined.ORDER_COLUMNS], [*combined.ORDER_COLUMNS], [*original_values.ORDER_COLUMNS]]
+
+
+def test_rows_of_fixed_width_are_reduced_without_a_sort(spark):
+    made = dt.datetime(2025, 3, 1)
+    rows = [(f"k{k}" if k else None, v, made + dt.timedelta(days=10 * k + n), n % 3 == 0, old)
+            for k in range(6) for n, (v, old) in enumerate([(2, False), (None, False), (3, False), (3, True), (None, True), (1, True)]) if k != 4 or v is None]
+    df = spark.createDataFrame(rows, "id string, version int, created_on timestamp, gone boolean, old boolean")
+    for kind in ("int", "bigint", "timestamp", "date", "decimal(9,2)"):  # the last is no rank of its own: the whole row is compared
+        number = F.col("version")
+        version = F.timestamp_seconds(number * 90_000) if kind == "timestamp" else F.date_add(F.lit("2025-01-01"), number) if kind == "date" else number.cast(kind)
+        got = changes.latest_per_key(df.withColumn("version", version), ["id"], ["version"], F.col("old"))
+        assert ("SortAggregate" in got._jdf.queryExecution().executedPlan().toString()) == (kind == "decimal(9,2)")
+        # the stored row of equal versions, also where all versions are null
+        want = {f"k{k}" if k else None: (made + dt.timedelta(days=10 * k + (4 if k == 4 else 3)), k != 4) for k in range(6)}
+        assert {r.id: (r.created_on, r.gone) for r in got.collect()} == want
+    assert changes.latest_per_key(df, ["id"], ["version", "created_on"]).where("created_on = '2025-03-04 00:00:00'").count() == 1
+
+
+def test_a_batch_is_reduced_once_together_with_the_state(spark, out_dir, monkeypatch):
+    reduced = []
+    whole = changes.latest_per_key
+    monkeypatch.setattr(changes, "latest_per_key", lambda *a: reduced.append(a) or whole(*a))
+    made = dt.datetime(2025, 3, 1)
+    for n in (1, 2):
+        rows = spark.createDataFrame([(f"k{k}", made + dt.timedelta(days=n), None, n) for k in range(20 * n)], "id string, created_on timestamp, updated_on timestamp, version int")
+        changes._merge(spark, rows, out_dir, "T", ["id"], ["version"], 3, days="claims.t")
+        assert len(reduced) == n and not spark.sparkContext._jsc.getPersistentRDDs()
+    assert [(r.day, r.created, r.updated_count) for r in changes.day_totals(spark, out_dir, "T").collect()] == [(dt.date(2025, 3, 3), 40, 0)]
