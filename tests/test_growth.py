@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimsflow import catalog
-from claimsflow.operators import key_filter, reconcile
+from claimsflow.operators import key_filter, quality, reconcile
 from claimsflow.plans import combined, original_values
 from claimsflow.schemas import REPORT_TABLES
 from claimsflow.sources import retention, testbed
@@ -158,3 +158,13 @@ def test_a_batch_is_reduced_once_together_with_the_state(spark, out_dir, monkeyp
         changes._merge(spark, rows, out_dir, "T", ["id"], ["version"], 3, days="claims.t")
         assert len(reduced) == n and not spark.sparkContext._jsc.getPersistentRDDs()
     assert [(r.day, r.created, r.updated_count) for r in changes.day_totals(spark, out_dir, "T").collect()] == [(dt.date(2025, 3, 3), 40, 0)]
+
+
+def test_keys_are_not_broadcast_from_a_guess(spark):
+    t = catalog.tables(spark, SF)
+    found = quality.orphans(t["claim"], "submission_id", t["submission"], "id")
+    for df in (found, catalog.QUERIES["dq_foreign_key"](spark, SF)):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    child = spark.createDataFrame([("a", "p1"), ("b", None), ("c", "gone"), ("d", "gone")], "id string, parent string")
+    parent = spark.createDataFrame([("p1",), ("p1",), (None,)], "id string")
+    assert sorted(r.id for r in quality.orphans(child, "parent", parent, "id").collect()) == ["c", "d"]
