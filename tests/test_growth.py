@@ -168,3 +168,9 @@ def test_keys_are_not_broadcast_from_a_guess(spark):
     child = spark.createDataFrame([("a", "p1"), ("b", None), ("c", "gone"), ("d", "gone")], "id string, parent string")
     parent = spark.createDataFrame([("p1",), ("p1",), (None,)], "id string")
     assert sorted(r.id for r in quality.orphans(child, "parent", parent, "id").collect()) == ["c", "d"]
+
+
+def test_upgraded_submissions_are_not_broadcast_from_a_guess(spark):
+    got = catalog.QUERIES["schema_upgrade"](spark, SF)
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.count() == catalog.tables(spark, SF)["claim"].count()
