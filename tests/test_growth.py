@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimsflow import catalog
-from claimsflow.operators import key_filter, quality, reconcile
+from claimsflow.operators import key_filter, ordering, quality, reconcile
 from claimsflow.plans import combined, original_values
 from claimsflow.schemas import REPORT_TABLES
 from claimsflow.sources import retention, testbed
@@ -174,3 +174,16 @@ def test_upgraded_submissions_are_not_broadcast_from_a_guess(spark):
     got = catalog.QUERIES["schema_upgrade"](spark, SF)
     assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
     assert got.count() == catalog.tables(spark, SF)["claim"].count()
+
+
+def test_computed_sort_keys_are_made_once_a_row(spark, out_dir):
+    rows = [("MAR-2025", "b", "1", "c1"), ("APR-2024", "a", "1", "c2"), ("", "a", "1", "c3"), (None, "a", None, "c4"), ("MAR-2025", None, "1", "c5"), ("MAR-2025", "b", "1", "c0")]
+    rep = spark.createDataFrame(rows, [*combined.ORDER_COLUMNS])
+    keys = combined.sort_keys(rep)
+    got = ordering.ordered(rep, keys)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "to_date" not in plan[plan.index("Sort ["):].splitlines()[0] and got.columns == rep.columns
+    assert [r["Claim ID"] for r in got.collect()] == [r["Claim ID"] for r in rep.orderBy(*keys).collect()] == ["c2", "c0", "c1", "c5", "c3", "c4"]
+    lines = ordering.numbered(ordering.sorted_ranges(rep, keys)).orderBy("line_number")
+    assert [r["Claim ID"] for r in lines.collect()] == ["c2", "c0", "c1", "c5", "c3", "c4"]
+    assert [r.id for r in ordering.ordered(spark.range(3), [F.col("id").desc()]).collect()] == [2, 1, 0]
