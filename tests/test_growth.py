@@ -1,7 +1,9 @@
 """What a query does must not grow faster than its tables, nor break where they are large."""
 
 import datetime as dt
+import glob
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -187,3 +189,22 @@ def test_computed_sort_keys_are_made_once_a_row(spark, out_dir):
     lines = ordering.numbered(ordering.sorted_ranges(rep, keys)).orderBy("line_number")
     assert [r["Claim ID"] for r in lines.collect()] == ["c2", "c0", "c1", "c5", "c3", "c4"]
     assert [r.id for r in ordering.ordered(spark.range(3), [F.col("id").desc()]).collect()] == [2, 1, 0]
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    held = lambda: {f for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+                    for f in glob.glob(f"{d.toString()}/*/shuffle_*.data")}
+    before = held()
+    df = spark.range(100_000).repartition(5, "id").withColumn("x", F.col("id") % 7)
+    assert df.groupBy("x").count().count() == 7 and [len(df.collect()) for _ in range(2)] == [100_000] * 2  # an action again, after its files went
+    deadline = time.time() + 20
+    while held() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not held() - before
+
+
+def test_claim_groups_go_once_their_tables_are_stored(spark, out_dir):
+    t = catalog.Snapshot(spark, SF, f"{out_dir}/snapshot")
+    counts = {n: t[n].count() for n in testbed.GROUPED}
+    assert all(counts.values()) and not os.path.exists(f"{t.root}/_claim_groups")
+    assert counts == {n: t[n].count() for n in testbed.GROUPED} and t["submission"].count() > 0
