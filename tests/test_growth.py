@@ -12,6 +12,7 @@ from claimsflow import catalog
 from claimsflow.operators import key_filter, ordering, quality, reconcile
 from claimsflow.plans import combined, original_values
 from claimsflow.schemas import REPORT_TABLES
+from claimsflow.sinks import store
 from claimsflow.sources import retention, testbed
 from claimsflow.streaming import changes, summaries
 
@@ -208,3 +209,11 @@ def test_claim_groups_go_once_their_tables_are_stored(spark, out_dir):
     counts = {n: t[n].count() for n in testbed.GROUPED}
     assert all(counts.values()) and not os.path.exists(f"{t.root}/_claim_groups")
     assert counts == {n: t[n].count() for n in testbed.GROUPED} and t["submission"].count() > 0
+
+
+def test_reports_and_months_are_stored_small(spark, out_dir):
+    run = store.refresh(spark, spark.range(5), out_dir, "R")
+    retention.write({"bulk_submission": spark.createDataFrame([("b1", dt.datetime(1999, 1, 5))], "id string, created_on timestamp")}, f"{out_dir}/months")
+    files = glob.glob(f"{run}/*.parquet") + glob.glob(f"{out_dir}/months/bulk_submission/*/*.parquet")
+    assert len(files) >= 2 and all(".zstd." in f for f in files)
+    assert sorted(r.id for r in store.current(spark, out_dir, "R").collect()) == [0, 1, 2, 3, 4]
